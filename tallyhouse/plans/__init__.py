@@ -1 +1,8 @@
 """Named queries over a data folder, and their SQL counterparts."""
+
+from . import analytics, loading, oracle_analytics, oracle_loading
+from .registry import REGISTRY, runnable
+
+SQL = {**oracle_analytics.SQL, **oracle_loading.SQL}
+
+__all__ = ["REGISTRY", "SQL", "analytics", "loading", "runnable"]
