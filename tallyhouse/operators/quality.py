@@ -105,24 +105,35 @@ def select_rules(rules: Iterable[Rule], suffix: str) -> list[Rule]:
 # ---- computation -------------------------------------------------------------
 
 
+def _outcome(rule: Rule) -> str:
+    """Result columns of a rule that do not depend on the data, as select list."""
+    return (
+        f"'{rule.rule_id}' AS rule_id, '{rule.table}' AS table_name, '{rule.dimension}' AS dimension, "
+        f"'{rule.severity}' AS severity, {rule.allowed}L AS allowed"
+    )
+
+
+def _result(counted: DataFrame, rules: list[Rule], failed: list[str]) -> DataFrame:
+    """One row per rule out of the single row that has all counters."""
+    rows = ", ".join(f"struct({_outcome(r)}, checked, {column} AS failed)" for r, column in zip(rules, failed))
+    return counted.selectExpr(f"inline(array({rows}))")
+
+
 def _row_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One scan: a counter per rule, then one result row per rule."""
-    counters = [
-        (F.count("*") < r.spec).cast("bigint") if r.kind == "rows" else F.count_if(F.expr(r.spec)) for r in rules
-    ]
-    counted = df.agg(F.count("*").alias("checked"), *(c.alias(f"r{i}") for i, c in enumerate(counters)))
-    rows = F.array(*(F.struct(F.lit(r.rule_id).alias("rule_id"), F.col(f"r{i}").alias("failed")) for i, r in enumerate(rules)))
-    return counted.select("checked", F.explode(rows).alias("r")).select("r.rule_id", "checked", "r.failed")
+    counters = [f"bigint(count(*) < {r.spec})" if r.kind == "rows" else f"count_if({r.spec})" for r in rules]
+    names = [f"r{i}" for i in range(len(rules))]
+    counted = df.selectExpr("count(*) AS checked", *(f"{c} AS {n}" for c, n in zip(counters, names)))
+    return _result(counted, rules, names)
 
 
 def _key_rule(df: DataFrame, rule: Rule) -> DataFrame:
     """Keys that occur more than once; a NULL primary key fails row by row."""
     per_key = df.groupBy(F.col(rule.spec).alias("k")).agg(F.count("*").alias("n"))
-    null, twice = F.col("k").isNull(), F.count_if(F.col("k").isNotNull() & (F.col("n") > 1))
-    failed = twice + F.coalesce(F.sum(F.when(null, F.col("n"))), F.lit(0)) if rule.kind == "pk" else twice
-    return per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("checked"), failed.alias("failed")).select(
-        F.lit(rule.rule_id).alias("rule_id"), "checked", "failed"
-    )
+    failed = "count_if(k IS NOT NULL AND n > 1)"
+    if rule.kind == "pk":
+        failed += " + coalesce(sum(n) FILTER (WHERE k IS NULL), 0)"
+    return _result(per_key.selectExpr("coalesce(sum(n), 0) AS checked", f"{failed} AS r0"), [rule], ["r0"])
 
 
 def _fk_rule(tables: dict[str, DataFrame], rule: Rule) -> DataFrame:
@@ -130,16 +141,12 @@ def _fk_rule(tables: dict[str, DataFrame], rule: Rule) -> DataFrame:
     column, parent = rule.spec
     required = column in TABLES[rule.table].not_null
     per_key = tables[rule.table].groupBy(F.col(column).alias("k")).agg(F.count("*").alias("n"))
-    keys = tables[parent].select(F.col(TABLES[parent].primary_key).alias("k"), F.lit(True).alias("found")).distinct()
-    missing = F.col("found").isNull() & (F.col("k").isNotNull() | F.lit(required))
-    return (
-        per_key.join(keys, "k", "left")
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
-            F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("failed"),
-        )
-        .select(F.lit(rule.rule_id).alias("rule_id"), "checked", "failed")
+    keys = tables[parent].selectExpr(f"{TABLES[parent].primary_key} AS k", "TRUE AS found").distinct()
+    missing = "found IS NULL" if required else "found IS NULL AND k IS NOT NULL"
+    counted = per_key.join(keys, "k", "left").selectExpr(
+        "coalesce(sum(n), 0) AS checked", f"coalesce(sum(n) FILTER (WHERE {missing}), 0) AS r0"
     )
+    return _result(counted, [rule], ["r0"])
 
 
 def sum_mismatches(orders: DataFrame, items: DataFrame, tolerance: Decimal = SUM_TOLERANCE) -> DataFrame:
@@ -165,26 +172,7 @@ def owner_mismatches(invoices: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def _differing(df: DataFrame, rule: Rule) -> DataFrame:
-    return df.agg(F.count("*").alias("checked"), F.count_if("differs").alias("failed")).select(
-        F.lit(rule.rule_id).alias("rule_id"), "checked", "failed"
-    )
-
-
-def _attributes(rules: list[Rule]) -> Column:
-    """Rule attributes by id, as a literal map: no join for a handful of constants."""
-
-    def entry(r: Rule) -> list[Column]:
-        return [
-            F.lit(r.rule_id),
-            F.struct(
-                F.lit(r.table).alias("table_name"),
-                F.lit(r.dimension).alias("dimension"),
-                F.lit(r.severity).alias("severity"),
-                F.lit(r.allowed).cast("bigint").alias("allowed"),
-            ),
-        ]
-
-    return F.create_map(*(c for r in rules for c in entry(r)))
+    return _result(df.selectExpr("count(*) AS checked", "count_if(differs) AS r0"), [rule], ["r0"])
 
 
 def dq_run(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
@@ -203,12 +191,10 @@ def dq_run(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
             parts.append(_differing(sum_mismatches(tables["orders"], tables["order_items"], rule.spec), rule))
         elif rule.kind == "owner":
             parts.append(_differing(owner_mismatches(tables["invoices"], tables["orders"]), rule))
-    results = reduce(DataFrame.unionByName, parts).withColumn("a", F.element_at(_attributes(rules), F.col("rule_id")))
-    passed = F.col("failed") <= F.col("a.allowed")
-    status = F.when(passed, "PASS").when(F.col("a.severity") == MINOR, "WARN").otherwise("FAIL")
-    return results.select(
-        "rule_id", "a.table_name", "a.dimension", "a.severity", "checked", "failed", status.alias("status")
-    )
+    passed = F.col("failed") <= F.col("allowed")
+    status = F.when(passed, "PASS").when(F.col("severity") == MINOR, "WARN").otherwise("FAIL")
+    results = reduce(DataFrame.unionByName, parts).withColumn("status", status)
+    return results.select(*RESULT_COLUMNS)
 
 
 # ---- tables, columns, ranges -------------------------------------------------
