@@ -18,6 +18,8 @@ CSV_OPTIONS = {
     "emptyValue": "",
     "quote": '"',
     "escape": '"',  # a quote inside a field is doubled
+    "ignoreLeadingWhiteSpace": "false",  # blanks are data
+    "ignoreTrailingWhiteSpace": "false",
     "dateFormat": "yyyy-MM-dd",
     "timestampFormat": TIMESTAMP_FORMAT,
     "timestampNTZFormat": TIMESTAMP_FORMAT,

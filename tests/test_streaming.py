@@ -1,0 +1,74 @@
+from datetime import datetime, timedelta
+
+from tallyhouse.sources import sinks
+from tallyhouse.sources.binding import Tables
+from tallyhouse.operators import reconciliation as recon
+from tallyhouse.streaming import refresh
+
+from .conftest import d, rows
+
+SF = "/root/testdata/sf0.001"
+NOON = datetime(2024, 5, 1, 12)
+
+
+def order(id, at, total="10.00", status="Completed", channel="Store"):
+    return {"id": id, "order_timestamp": at, "total_amount": d(total), "status": status, "channel": channel}
+
+
+def refreshed(spark, tmp_path, staged, **options):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    query = refresh.stream_sales_refresh(refresh.read_staged_stream(spark, staged, "orders", 1), out, checkpoint, **options)
+    query.awaitTermination()
+    return query, refresh.refreshed_sales(spark, out)
+
+
+def test_refresh_equals_the_batch_report(spark, tmp_path):
+    orders, staged = Tables(spark, SF).orders, str(tmp_path / "orders")
+    sinks.snk_parquet(orders, staged)
+    _, found = refreshed(spark, tmp_path, staged)
+    assert rows(found) == rows(refresh.windowed_sales(orders, watermark=None))
+
+
+def test_next_files_update_open_windows(spark, table, tmp_path):
+    staged = str(tmp_path / "orders")
+    sinks.snk_parquet(table("orders", order(1, NOON), order(2, NOON, status="Cancelled")).coalesce(1), staged)
+    refreshed(spark, tmp_path, staged)
+    sinks.snk_parquet(table("orders", order(3, NOON + timedelta(minutes=29), "5.00"), order(4, NOON + timedelta(minutes=30))).coalesce(1), staged, mode="append")
+    _, found = refreshed(spark, tmp_path, staged)
+    assert rows(found.select("window_start", "orders", "revenue")) == [(NOON, 2, d("15.00")), (NOON + timedelta(minutes=30), 1, d("10.00"))]
+
+
+def test_rows_behind_the_watermark_are_dropped_and_counted(spark, table, tmp_path):
+    staged = str(tmp_path / "orders")
+    sinks.snk_parquet(table("orders", order(1, NOON)).coalesce(1), staged)
+    refreshed(spark, tmp_path, staged, watermark="1 hour")
+    sinks.snk_parquet(table("orders", order(2, NOON - timedelta(hours=3))).coalesce(1), staged, mode="append")
+    query, found = refreshed(spark, tmp_path, staged, watermark="1 hour")
+    assert rows(found.select("window_start", "orders")) == [(NOON, 1)]
+    assert refresh.late_rows_dropped(query) == 1
+
+
+def test_alerts_equal_the_batch_reconciliation(spark, tmp_path):
+    bound = Tables(spark, SF)
+    orders, payments, out = (str(tmp_path / n) for n in ("orders", "payments", "alerts"))
+    sinks.snk_parquet(bound.orders, orders)
+    sinks.snk_parquet(bound.payments.repartition(3), payments)
+    stream = refresh.read_staged_stream(spark, payments, "payments", 1)
+    refresh.stream_recon_alerts(stream, orders, payments, out, str(tmp_path / "checkpoint")).awaitTermination()
+    touched = bound.payments.select("order_id").distinct()
+    expected = recon.order_balance(bound.orders, bound.payments).where("abs(discrepancy) > 100000").join(touched, "order_id", "left_semi")
+    assert rows(refresh.recon_alerts(spark, out).select("order_id", "discrepancy")) == rows(expected.select("order_id", "discrepancy"))
+
+
+def test_settled_orders_leave_the_alerts(spark, table, tmp_path):
+    orders, payments, out, checkpoint = (str(tmp_path / n) for n in ("orders", "payments", "alerts", "checkpoint"))
+    sinks.snk_parquet(table("orders", {"id": 1, "total_amount": d("300000.00")}), orders)
+
+    def pay(id, amount):
+        sinks.snk_parquet(table("payments", {"id": id, "order_id": 1, "amount": d(amount), "status": "Completed"}), payments, mode="append")
+        stream = refresh.read_staged_stream(spark, payments, "payments")
+        refresh.stream_recon_alerts(stream, orders, payments, out, checkpoint).awaitTermination()
+        return rows(refresh.recon_alerts(spark, out).select("order_id", "discrepancy"))
+
+    assert pay(1, "100000.00") == [(1, d("200000.00"))]
+    assert pay(2, "200000.00") == []
