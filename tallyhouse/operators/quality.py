@@ -360,20 +360,31 @@ def dq_snapshot_gate(
     run = today.where("table_name IS NULL AND status = 'COMPLETE'")
     exported = today.where(F.col("table_name").isin(*expected) & (F.col("status") == "success"))
 
-    def rule(rule_id: str, severity: str, df: DataFrame, checked: Column, failed: Column) -> DataFrame:
-        return df.agg(checked.cast("bigint").alias("checked"), failed.cast("bigint").alias("failed")).select(
-            F.lit(rule_id).alias("rule_id"), F.lit(severity).alias("severity"), "checked", "failed"
+    def rules(df: DataFrame, *parts: tuple[str, str, str, str]) -> DataFrame:
+        """Rules (id, severity, checked, failed) that one pass over ``df`` answers."""
+        counted = df.selectExpr(
+            *(f"bigint({checked}) AS c{n}" for n, (_, _, checked, _) in enumerate(parts)),
+            *(f"bigint({failed}) AS f{n}" for n, (_, _, _, failed) in enumerate(parts)),
         )
+        structs = (
+            f"struct('snapshot.{name}' AS rule_id, '{severity}' AS severity, c{n} AS checked, f{n} AS failed)"
+            for n, (name, severity, _, _) in enumerate(parts)
+        )
+        return counted.selectExpr(f"inline(array({', '.join(structs)}))")
 
-    missing = F.lit(len(expected)) - F.count_distinct("table_name")
-    slow = F.count_if(F.col("duration_seconds") > longest.total_seconds())
     gate = [
-        rule("snapshot.row_counts", BLOCKER, row_recon, F.count("*"), F.count_if(~F.col("match"))),
-        rule("snapshot.readable", BLOCKER, row_recon, F.count("*"), F.count_if(F.col("staging_count").isNull())),
-        rule("snapshot.all_tables", BLOCKER, exported, F.lit(len(expected)), missing),
-        rule("snapshot.marker", BLOCKER, run, F.lit(1), (F.count("*") == 0).cast("int")),
-        rule("snapshot.export_time", MINOR, run, F.count("*"), slow),
-        rule("snapshot.schema", MINOR, drift, F.count("*"), F.count_if(F.col("change") != "unchanged")),
+        rules(
+            row_recon,
+            ("row_counts", BLOCKER, "count(*)", "count_if(NOT match)"),
+            ("readable", BLOCKER, "count(*)", "count_if(staging_count IS NULL)"),
+        ),
+        rules(exported, ("all_tables", BLOCKER, f"{len(expected)}", f"{len(expected)} - count(DISTINCT table_name)")),
+        rules(
+            run,
+            ("marker", BLOCKER, "1", "count(*) = 0"),
+            ("export_time", MINOR, "count(*)", f"count_if(duration_seconds > {longest.total_seconds()})"),
+        ),
+        rules(drift, ("schema", MINOR, "count(*)", "count_if(change != 'unchanged')")),
     ]
     status = F.when(F.col("failed") == 0, "PASS").when(F.col("severity") == MINOR, "WARN").otherwise("FAIL")
     return reduce(DataFrame.unionByName, gate).withColumn("status", status)

@@ -1,9 +1,9 @@
 """Orders against payments against invoices.
 
 Payments and invoices are brought to order grain before they meet anything, so
-instalments never multiply orders. The three-way match does not join at all: the
-three sources are stacked and grouped by order once, which pre-aggregates before
-the only shuffle and has no skewed join side.
+instalments never multiply orders. For the three-way match the two are stacked and
+grouped together: one pre-aggregated shuffle of numbers, then one join in which
+every key occurs at most once on either side.
 """
 
 from __future__ import annotations
@@ -155,29 +155,25 @@ def fact_reconciliation(
         F.col("status").alias("order_status"),
         F.col("total_amount").alias("order_amount"),
         (F.col("subtotal") + tax).alias("invoiceable_amount"),
-        F.lit(1).alias("orders"),
+        F.lit(1).alias("order_count"),
     )
     p = payments.where(F.col("status") == "Completed").select(
         "order_id", F.col("amount").alias("paid_amount"), F.lit(1).alias("payments")
     )
     i = invoices.select("order_id", (F.col("subtotal") + tax).alias("invoice_amount"), F.lit(1).alias("invoices"))
-    stacked = o.unionByName(p, allowMissingColumns=True).unionByName(i, allowMissingColumns=True)
-
-    def amount(name: str) -> Column:
-        return F.coalesce(F.sum(name), F.lit(ZERO)).alias(name)
-
-    matched = stacked.groupBy("order_id").agg(
-        F.max("order_number").alias("order_number"),
-        F.max("order_date").alias("order_date"),
-        F.max("order_status").alias("order_status"),
-        amount("order_amount"),
-        amount("paid_amount"),
-        amount("invoiceable_amount"),
-        amount("invoice_amount"),
-        F.count("orders").alias("order_count"),
-        F.count("payments").alias("payment_count"),
-        F.count("invoices").alias("invoice_count"),
+    settled = (
+        p.unionByName(i, allowMissingColumns=True)
+        .groupBy("order_id")
+        .agg(
+            F.sum("paid_amount").alias("paid_amount"),
+            F.sum("invoice_amount").alias("invoice_amount"),
+            F.count("payments").alias("payment_count"),
+            F.count("invoices").alias("invoice_count"),
+        )
     )
+    zeros = {c: F.coalesce(c, F.lit(ZERO)) for c in ("order_amount", "invoiceable_amount", "paid_amount", "invoice_amount")}
+    none = {c: F.coalesce(c, F.lit(0)) for c in ("order_count", "payment_count", "invoice_count")}
+    matched = o.join(settled, "order_id", "full").withColumns({**zeros, **none})
     return matched.select(
         "order_id",
         "order_number",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from .relational import revenue_orders
 from ..workspace import stage
@@ -39,6 +39,28 @@ def rfm_base(orders: DataFrame, as_of: date) -> DataFrame:
     )
 
 
+def _running(histogram: DataFrame, window: WindowSpec) -> DataFrame:
+    """Buckets with the number of rows before them and up to their end."""
+    through = F.sum("n").over(window)
+    return histogram.withColumns({"before": through - F.col("n"), "through": through})
+
+
+def _first_digit(values: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The bucket of the highest digit each wanted rank falls in.
+
+    There are two ranks per cut, so they travel as one small array instead of a
+    join without key. The window runs over buckets, of which 44 billion currency
+    units share one.
+    """
+    ranks = wanted.select(F.collect_list(F.struct("cut", "spot", "rank"))).scalar()
+    histogram = values.groupBy(F.shiftright("v", _SHIFTS[0]).alias("prefix")).agg(F.count("*").alias("n"))
+    ranked = _running(histogram, Window.orderBy("prefix")).withColumn("ranks", ranks)
+    hits = F.filter("ranks", lambda r: (r["rank"] >= F.col("before")) & (r["rank"] < F.col("through")))
+    return ranked.select("prefix", "before", F.explode(hits).alias("r")).select(
+        "r.cut", "r.spot", "r.rank", "prefix", (F.col("r.rank") - F.col("before")).alias("rest")
+    )
+
+
 def exact_percentiles(df: DataFrame, amount: str, cuts: list[str]) -> DataFrame:
     """Exact interpolated percentiles of a two-digit decimal, as one row p0, p1, …
 
@@ -54,34 +76,27 @@ def exact_percentiles(df: DataFrame, amount: str, cuts: list[str]) -> DataFrame:
     rows = values.agg(F.count("*").alias("n"))
     # Rank of a cut: (n - 1) * cut, in exact decimals; its two neighbours are looked up.
     spot = (F.col("n") - 1).cast("decimal(20,0)") * F.col("cut")
-    ranks = (
-        rows.select(F.col("n"), F.explode(F.array(*(F.lit(Decimal(c)).cast("decimal(3,2)") for c in cuts))).alias("cut"))
-        .where("n > 0")
+    wanted = (
+        rows.where("n > 0")
+        .select("n", F.explode(F.array(*(F.lit(Decimal(c)).cast("decimal(3,2)") for c in cuts))).alias("cut"))
         .select("cut", spot.alias("spot"))
-        .select("cut", "spot", F.explode(F.array(F.floor("spot"), F.ceil("spot"))).alias("rank"))
+        .select("cut", "spot", F.explode(F.array_distinct(F.array(F.floor("spot"), F.ceil("spot")))).alias("rank"))
         .select("cut", "spot", F.col("rank").cast("bigint").alias("rank"))
-        .distinct()
     )
-    found = ranks.select("cut", "spot", "rank", F.lit(0).cast("bigint").alias("prefix"), F.col("rank").alias("rest"))
-    wider = None
-    for shift in _SHIFTS:
-        prefix = F.lit(0).cast("bigint") if wider is None else F.shiftright("v", wider)
-        open_prefixes = found.select("prefix").distinct()
+    found = _first_digit(values, wanted)
+    for wider, shift in zip(_SHIFTS, _SHIFTS[1:]):
         histogram = (
-            values.select(prefix.alias("prefix"), F.shiftright("v", shift).alias("bucket"))
-            .join(open_prefixes, "prefix", "left_semi")
+            values.select(F.shiftright("v", wider).alias("prefix"), F.shiftright("v", shift).alias("bucket"))
+            .join(found.select("prefix").distinct(), "prefix", "left_semi")
             .groupBy("prefix", "bucket")
             .agg(F.count("*").alias("n"))
         )
-        running = F.sum("n").over(Window.partitionBy("prefix").orderBy("bucket"))
-        ranked = histogram.select("prefix", "bucket", (running - F.col("n")).alias("before"), running.alias("through"))
         inside = (F.col("rest") >= F.col("before")) & (F.col("rest") < F.col("through"))
         found = (
-            found.join(ranked, "prefix")
+            found.join(_running(histogram, Window.partitionBy("prefix").orderBy("bucket")), "prefix")
             .where(inside)
             .select("cut", "spot", "rank", F.col("bucket").alias("prefix"), (F.col("rest") - F.col("before")).alias("rest"))
         )
-        wider = shift
     cents = F.col("prefix").cast("decimal(25,2)") * Decimal("0.01")
     low = F.min(F.struct("rank", cents.alias("value")))["value"]
     high = F.max(F.struct("rank", cents.alias("value")))["value"]

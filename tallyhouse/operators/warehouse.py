@@ -108,8 +108,8 @@ def dim_customer_scd2(snapshots: DataFrame, tracked: list[str], pk: str = "id",
     """
     state = F.struct(*tracked)
     daily = snapshots.groupBy(pk, day).agg(F.max(state).alias("state"))
-    calendar = daily.select(day).distinct()
     # One row per snapshot day: bounded by the number of snapshots, not by rows.
+    calendar = snapshots.select(day).distinct()
     following = calendar.select(F.col(day), F.lead(day).over(Window.orderBy(day)).alias("next_day"))
     by_key = Window.partitionBy(pk).orderBy(day)
     seen = daily.join(following, day).select(

@@ -93,7 +93,9 @@ def util_touch_updated_at(
     Unchanged rows keep the stored time, new rows their own.
     """
     content = [c for c in incoming.columns if c not in (pk, column)]
-    before = stored.select(
+    # Only stored rows of incoming keys take part: while those are few, the stored
+    # table is filtered where it lies.
+    before = stored.join(incoming.select(pk).distinct(), pk, "left_semi").select(
         F.col(pk).alias("_key"), F.struct(*content).alias("_stored"), F.col(column).alias("_stored_at")
     )
     changed = ~F.equal_null(F.col("_stored"), F.struct(*(incoming[c] for c in content)))

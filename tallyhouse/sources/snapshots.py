@@ -13,6 +13,7 @@ import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -169,24 +170,25 @@ def snap_row_recon(
 ) -> DataFrame:
     """Rows at the source against rows staged that day; a missing table fails."""
     spark = next(iter(tables.values())).sparkSession
-    counts = None
     manifest = snap_manifest(spark, root)
     run = complete_runs(manifest.where(F.col("output_format") == fmt)).where(F.col("snapshot_date") == F.lit(day))
     listed = manifest.where("table_name IS NOT NULL").join(run, ["snapshot_date", "run_id"], "left_semi")
     staged_names = {r.table_name for r in listed.select("table_name").distinct().collect()}  # table names only
+    counts = []
     for name, df in tables.items():
-        source = src_row_count(df, name).withColumnRenamed("row_count", "source_count")
+        counts.append(src_row_count(df, name).withColumnRenamed("row_count", "source_count"))
         if name in staged_names:
             staged = src_row_count(snap_as_of(spark, root, name, day, fmt), name)
-            staged = staged.select("table_name", F.col("row_count").alias("staging_count"))
-            pair = source.join(staged, "table_name", "left")
+            counts.append(staged.withColumnRenamed("row_count", "staging_count"))
         else:
-            pair = source.withColumn("staging_count", F.lit(None).cast("bigint"))
-        counts = pair if counts is None else counts.unionByName(pair)
+            counts[-1] = counts[-1].withColumn("staging_count", F.lit(None).cast("bigint"))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts)
     match = F.coalesce(F.col("source_count") == F.col("staging_count"), F.lit(False))
-    return counts.select(
-        "table_name", "source_count", "staging_count", match.alias("match"),
-        F.when(match, "PASS").otherwise("FAIL").alias("status"),
+    return (
+        stacked.groupBy("table_name")
+        .agg(F.max("source_count").alias("source_count"), F.max("staging_count").alias("staging_count"))
+        .withColumn("match", match)
+        .withColumn("status", F.when(F.col("match"), "PASS").otherwise("FAIL"))
     )
 
 
@@ -194,18 +196,23 @@ def snap_sample_compare(source: DataFrame, staged: DataFrame, pk: str, per_256:
     """Compare a repeatable sample of keys column by column.
 
     The sample is drawn by a digest of the key, the same on both sides: about
-    ``per_256`` of 256 rows. One result row per column.
+    ``per_256`` of 256 keys. One result row per column. A key that is missing or
+    not unique on one side is unpaired.
     """
     columns = [c for c in source.columns if c in staged.columns and c != pk]
     drawn = F.conv(F.substring(F.md5(F.col(pk).cast("string").cast("binary")), 1, 2), 16, 10).cast("int") < per_256
-    a = source.where(drawn).select(F.col(pk).alias("_a"), *(F.col(c).alias(f"a_{c}") for c in columns))
-    b = staged.where(drawn).select(F.col(pk).alias("_b"), *(F.col(c).alias(f"b_{c}") for c in columns))
-    both = a.join(b, a["_a"] == b["_b"], "full")
-    found = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+
+    def drawn_rows(df: DataFrame, side: str) -> DataFrame:
+        """One row per drawn key, so that copies never pair up with copies."""
+        row = F.max(F.struct(*columns)).alias(f"{side}_row")
+        return df.where(drawn).groupBy(F.col(pk).alias("_key")).agg(F.count("*").alias(f"{side}_copies"), row)
+
+    both = drawn_rows(source, "a").join(drawn_rows(staged, "b"), "_key", "full")
+    found = F.coalesce((F.col("a_copies") == 1) & (F.col("b_copies") == 1), F.lit(False))
     counts = both.agg(
         F.count_if(found).alias("compared"),
         F.count_if(~found).alias("unpaired"),
-        *(F.count_if(found & ~F.equal_null(f"a_{c}", f"b_{c}")).alias(c) for c in columns),
+        *(F.count_if(found & ~F.equal_null(f"a_row.{c}", f"b_row.{c}")).alias(c) for c in columns),
     )
     rows = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("differing")) for c in columns))
     return counts.select("compared", "unpaired", F.explode(rows).alias("r")).select(
