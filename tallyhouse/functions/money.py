@@ -17,7 +17,8 @@ def money(col: Column) -> Column:
 
 def line_total(quantity: Column, unit_price: Column, discount_percent: Column) -> Column:
     """quantity x unit price less the percentage discount, to the cent."""
-    kept = 1 - F.coalesce(discount_percent, F.lit(ZERO)) / 100
+    # Hundredths by multiplication: exact like the division, and much cheaper.
+    kept = (100 - F.coalesce(discount_percent, F.lit(ZERO))) * Decimal("0.01")
     return F.round(quantity * unit_price * kept, 2).cast(MONEY)
 
 

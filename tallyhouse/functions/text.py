@@ -11,9 +11,11 @@ def full_name(first: Column, last: Column) -> Column:
 
 
 def business_code(prefix: str, year: Column | int, number: Column) -> Column:
-    """PREFIX-YYYY-000001."""
+    """PREFIX-YYYY-000001; numbers beyond six digits keep all of them."""
     year = F.lit(year) if isinstance(year, int) else year
-    return F.format_string("%s-%d-%06d", F.lit(prefix), year, number)
+    digits = number.cast("string")
+    padded = F.lpad(digits, F.greatest(F.length(digits), F.lit(6)), F.lit("0"))
+    return F.concat_ws("-", F.lit(prefix), year.cast("string"), padded)
 
 
 def words(col: Column) -> Column:

@@ -132,6 +132,11 @@ def view_daily_sales(t: Tables) -> DataFrame:
     return views.view_daily_sales(t.orders)
 
 
+@query
+def view_daily_sales_unique_ids(t: Tables) -> DataFrame:
+    return views.view_daily_sales(t.orders, unique_ids=True)
+
+
 @query
 def kpi_customer_ltv(t: Tables) -> DataFrame:
     return kpis.kpi_customer_ltv(t.orders)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from ..schemas import TABLES
 from ..workspace import fresh_path
 from .sinks import snk_parquet, write_as
-from .tables import src_csv_scan, src_parquet_scan, src_row_count
+from .tables import csv_reader, src_row_count
 
 PIPELINE = "source_to_staging"
 RETENTION_DAYS = 30
@@ -86,7 +86,7 @@ def snap_write(
 
     def export(name: str) -> tuple:
         begun = time.time()
-        path = f"{root}/{fmt}/{name}/snapshot_date={snapshot_date.isoformat()}/run_id={run_id}"
+        path = _run_path(root, fmt, name, snapshot_date, run_id)
         try:
             rows = _export(tables[name], path, fmt)
         except Exception as error:
@@ -131,35 +131,50 @@ def snap_commit(manifest: DataFrame) -> DataFrame:
     )
 
 
-def all_snapshots(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
-    """Every file of a table, committed or not, with its snapshot_date and run_id."""
-    schema = TABLES[table].ddl + ", snapshot_date DATE, run_id STRING"
-    path = f"{root}/{fmt}/{table}"
-    return src_csv_scan(spark, path, schema) if fmt == "csv" else src_parquet_scan(spark, path, schema)
+def _table_schema(table: str) -> str:
+    return TABLES[table].ddl + ", snapshot_date DATE, run_id STRING"
 
 
-def snap_complete(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
-    """All complete snapshots; files of unfinished runs are pruned away."""
-    runs = complete_runs(snap_manifest(spark, root).where(F.col("output_format") == fmt))
-    return all_snapshots(spark, root, table, fmt).join(runs, ["snapshot_date", "run_id"], "left_semi").drop("run_id")
+def _run_path(root: str, fmt: str, table: str, day: date, run_id: str) -> str:
+    return f"{root}/{fmt}/{table}/snapshot_date={day.isoformat()}/run_id={run_id}"
+
+
+def _read_runs(spark: SparkSession, root: str, table: str, fmt: str, runs: DataFrame) -> DataFrame:
+    """Rows of the given runs (snapshot_date, run_id).
+
+    The runs, one row per day, are looked up first, so that Spark only ever lists
+    the folders it will read, however many snapshots lie beside them.
+    """
+    schema = _table_schema(table)
+    paths = [_run_path(root, fmt, table, r.snapshot_date, r.run_id) for r in runs.collect()]
+    if not paths:
+        return spark.createDataFrame([], schema).drop("run_id")
+    reader = csv_reader(spark, schema) if fmt == "csv" else spark.read.schema(schema)
+    return reader.option("basePath", f"{root}/{fmt}/{table}").format(fmt).load(paths).drop("run_id")
+
 
+def _complete(spark: SparkSession, root: str, table: str, fmt: str) -> DataFrame:
+    """Newest complete run of each day that has the table."""
+    manifest = snap_manifest(spark, root).where(F.col("output_format") == fmt)
+    exported = manifest.where((F.col("table_name") == table) & (F.col("status") == "success")).select("run_id")
+    return complete_runs(manifest).join(exported, "run_id", "left_semi")
 
-def _only_run(spark: SparkSession, root: str, table: str, fmt: str, runs: DataFrame) -> DataFrame:
-    """Rows of the newest of the given runs: a scalar subquery on partition columns."""
-    newest = runs.select(F.max_by("run_id", "snapshot_date")).scalar()
-    return all_snapshots(spark, root, table, fmt).where(F.col("run_id") == newest).drop("run_id")
+
+def snap_complete(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
+    """All complete snapshots; what unfinished runs left behind is not read."""
+    return _read_runs(spark, root, table, fmt, _complete(spark, root, table, fmt))
 
 
 def snap_latest(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
     """The newest complete snapshot."""
-    runs = complete_runs(snap_manifest(spark, root).where(F.col("output_format") == fmt))
-    return _only_run(spark, root, table, fmt, runs)
+    newest = _complete(spark, root, table, fmt).orderBy(F.desc("snapshot_date")).limit(1)
+    return _read_runs(spark, root, table, fmt, newest)
 
 
 def snap_as_of(spark: SparkSession, root: str, table: str, day: date, fmt: str = "parquet") -> DataFrame:
     """The complete snapshot of that very day; no rows if there is none."""
-    runs = complete_runs(snap_manifest(spark, root).where(F.col("output_format") == fmt))
-    return _only_run(spark, root, table, fmt, runs.where(F.col("snapshot_date") == F.lit(day)))
+    runs = _complete(spark, root, table, fmt).where(F.col("snapshot_date") == F.lit(day))
+    return _read_runs(spark, root, table, fmt, runs)
 
 
 # ---- checks ------------------------------------------------------------------
@@ -221,15 +236,16 @@ def snap_sample_compare(source: DataFrame, staged: DataFrame, pk: str, per_256:
 
 
 def row_digest(df: DataFrame, pk: str, name: str) -> DataFrame:
-    """One row per key: copies and an order-free digest of their contents.
+    """One row per key: copies and an order-free 96-bit digest of their contents.
 
-    NULLs are hashed as flags too, since the hash itself skips them. Grouping
+    NULLs are hashed as flags too, since the hashes themselves skip them. Grouping
     keeps the later join one-to-one even if a key has many copies.
     """
     rest = [c for c in df.columns if c != pk]
-    row = F.xxhash64(*rest, *(F.col(c).isNull() for c in rest)).cast("decimal(20,0)")
-    return df.select(pk, row.alias("_row")).groupBy(pk).agg(
-        F.struct(F.count("*").alias("copies"), F.sum("_row").alias("content")).alias(name)
+    parts = (*rest, *(F.col(c).isNull() for c in rest))
+    rows = df.select(pk, F.xxhash64(*parts).cast("decimal(20,0)").alias("_x"), F.hash(*parts).cast("bigint").alias("_m"))
+    return rows.groupBy(pk).agg(
+        F.struct(F.count("*").alias("copies"), F.sum("_x").alias("x"), F.sum("_m").alias("m")).alias(name)
     )
 
 

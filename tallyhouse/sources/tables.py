@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
 from ..schemas import TABLES
 
@@ -59,9 +59,14 @@ def src_csv_scan(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Staged CSV with its declared schema, never an inferred one.
 
     Free text may hold line breaks, so a file is one split; the writer bounds
-    file sizes to keep the read parallel. A malformed row fails the read.
+    file sizes to keep the read parallel. A malformed row or a header other than
+    the declared columns fails the read.
     """
-    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine="true", mode="FAILFAST").csv(path)
+    return csv_reader(spark, schema).csv(path)
+
+
+def csv_reader(spark: SparkSession, schema: str) -> DataFrameReader:
+    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine="true", mode="FAILFAST", enforceSchema="false")
 
 
 def src_parquet_scan(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

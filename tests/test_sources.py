@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from tallyhouse.schemas import CUSTOMERS, ORDERS, TABLES
 from tallyhouse.sources import sinks, tables as src
@@ -46,6 +46,13 @@ def test_csv_with_a_bad_row_fails(spark, tmp_path):
         src.src_csv_scan(spark, str(path), "id INT, row_count INT").collect()
 
 
+def test_csv_with_other_columns_fails(spark, tmp_path):
+    path = tmp_path / "swapped.csv"
+    path.write_text("name,id\n1,2\n")
+    with pytest.raises(Exception):
+        src.src_csv_scan(spark, str(path), "id INT, name STRING").collect()
+
+
 def test_parquet_keeps_decimals(spark, table, tmp_path):
     path = str(tmp_path / "p")
     sinks.snk_parquet(table("orders", {"id": 1, "total_amount": d("0.10")}), path)
@@ -82,5 +89,42 @@ def test_warehouse_layers(spark, tmp_path):
         sinks.write_as(df, str(tmp_path / "x"), "xlsx")
 
 
+class Reader:
+    """Stands in for a session: records what a database read asks for."""
+
+    def __init__(self, low, high):
+        self.bounds, self.asked = (low, high), []
+
+    @property
+    def read(self):
+        self.asked.append({})
+        return self
+
+    def format(self, name):
+        assert name == "jdbc"
+        return self
+
+    def options(self, **options):
+        self.asked[-1].update(options)
+        return self
+
+    def load(self):
+        return self
+
+    def first(self):
+        return Row(lo=self.bounds[0], hi=self.bounds[1])
+
+
+def test_database_scan_reads_key_ranges():
+    reader = Reader(5, 900)
+    src.src_jdbc_scan(reader, "orders", "jdbc:x", {"user": "u"}, partitions=16)
+    asked = reader.asked[1]
+    assert asked["dbtable"] == "ecommerce.orders" and asked["user"] == "u"
+    assert (asked["partitionColumn"], asked["lowerBound"], asked["upperBound"], asked["numPartitions"]) == ("id", "5", "900", "16")
+    empty = Reader(None, None)
+    src.src_jdbc_scan(empty, "orders", "jdbc:x")
+    assert "partitionColumn" not in empty.asked[1]
+
+
 def test_database_options():
     assert src.jdbc_options("jdbc:x", {"user": "u"}, 5) == {"url": "jdbc:x", "fetchsize": "5", "user": "u"}

@@ -34,6 +34,11 @@ def orders_money(table):
     )
 
 
+def test_daily_sales_of_unique_ids_is_the_same(table):
+    o = orders_money(table)
+    assert rows(views.view_daily_sales(o, unique_ids=True)) == rows(views.view_daily_sales(o))
+
+
 def test_order_summary_cases(table):
     payments = table(
         "payments",
