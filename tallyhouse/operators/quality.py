@@ -348,12 +348,15 @@ def dq_snapshot_gate(
     day: date,
     expected: Iterable[str] = tuple(TABLES),
     longest: timedelta = timedelta(minutes=30),
+    sizes: DataFrame | None = None,
+    size_range: tuple[float, float] = (0.5, 2.0),
 ) -> DataFrame:
     """The gate a snapshot passes before anyone reads it.
 
     Blocking: equal counts, readable files, every table, completion marker.
-    Warning: export time, unchanged schema. ``row_recon`` has read the staged
-    files, so a count is proof that they are readable.
+    Warning: export time, unchanged schema and, given ``sizes``, table sizes within
+    a range of the snapshot before. ``row_recon`` has read the staged files, so a
+    count is proof that they are readable.
     """
     expected = list(expected)
     today = manifest.where(F.col("snapshot_date") == F.lit(day))
@@ -386,6 +389,9 @@ def dq_snapshot_gate(
         ),
         rules(drift, ("schema", MINOR, "count(*)", "count_if(change != 'unchanged')")),
     ]
+    if sizes is not None:
+        low, high = size_range
+        gate.append(rules(sizes, ("file_size", MINOR, "count(*)", f"count_if(ratio NOT BETWEEN {low} AND {high})")))
     status = F.when(F.col("failed") == 0, "PASS").when(F.col("severity") == MINOR, "WARN").otherwise("FAIL")
     return reduce(DataFrame.unionByName, gate).withColumn("status", status)
 

@@ -236,18 +236,23 @@ SELECT d AS snapshot_date, TRUE AS every_run_on_time, TRUE AS on_time, 1::BIGINT
 UNION ALL SELECT (d + 1)::DATE, FALSE, FALSE, 1, 'WARN' FROM newest"""
 
 GATE = (
-    ("row_counts", "blocker", "8", "(SELECT (count(*) > 0)::BIGINT FROM c_invoice_items)", "FAIL"),
-    ("readable", "blocker", "8", "1", "FAIL"),
-    ("all_tables", "blocker", "8", "1", "FAIL"),
-    ("marker", "blocker", "1", "0", "PASS"),
-    ("export_time", "minor", "1", "0", "PASS"),
-    ("schema", "minor", str(len(CUSTOMER_TYPES)), "1", "WARN"),
+    ("row_counts", "blocker", "8", "(SELECT count(*) FROM staged WHERE NOT same)"),
+    ("readable", "blocker", "8", "1"),
+    ("all_tables", "blocker", "8", "1"),
+    ("marker", "blocker", "1", "0"),
+    ("export_time", "minor", "1", "0"),
+    ("schema", "minor", str(len(CUSTOMER_TYPES)), "1"),
+    ("file_size", "minor", "7", "(SELECT count(*) FROM staged WHERE table_name = 'orders' AND n < whole / 2)"),
 )
-SQL["dq_snapshot_gate"] = over("c_invoice_items") + " UNION ALL ".join(
+SQL["dq_snapshot_gate"] = over("c_orders", "c_order_changes") + """,
+sizes AS (SELECT (SELECT count(*) FROM c_order_changes) AS n, (SELECT count(*) FROM c_orders) AS whole),
+staged AS (SELECT 'orders' AS table_name, n, whole, n = whole AS same FROM sizes
+           UNION ALL SELECT 'invoice_items', NULL, NULL, FALSE),
+gate AS (""" + " UNION ALL ".join(
     f" SELECT 'snapshot.{name}' AS rule_id, '{severity}' AS severity, {checked}::BIGINT AS checked, "
-    f"{failed}::BIGINT AS failed, '{status}' AS status"
-    for name, severity, checked, failed, status in GATE
-)
+    f"{failed}::BIGINT AS failed"
+    for name, severity, checked, failed in GATE
+) + """) SELECT *, CASE WHEN failed = 0 THEN 'PASS' WHEN severity = 'minor' THEN 'WARN' ELSE 'FAIL' END AS status FROM gate"""
 
 ORDER_RULES = [
     r for r in UNIQUE + NOT_NULL + ACCEPTED + RANGE + LENGTH + FORMAT + MIN_ROWS + DATES

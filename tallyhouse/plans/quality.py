@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import quality as dq, warehouse as wh
 from ..schemas import TABLES
-from ..sources import sinks, snapshots as snap, tables as src
+from ..sources import sinks, snapshots as snap
 from ..sources.binding import Tables
 from ..workspace import fresh_path
 from .loading import RUN_AT, bound, snapshot_root
@@ -135,16 +135,21 @@ def dq_timeliness(t: Tables) -> DataFrame:
 
 @query
 def dq_snapshot_gate(t: Tables) -> DataFrame:
-    """A snapshot without invoice items, whose customers lost a column."""
+    """A snapshot without invoice items, whose customers lost a column and whose
+    orders shrank to a month against the day before."""
     root = snapshot_root(t)
     tables = bound(t)
-    snap.snap_write({n: df for n, df in tables.items() if n != "invoice_items"}, root, AS_OF, run_timestamp=RUN_AT)
-    staged = src.src_parquet_scan(t.spark, f"{root}/parquet/customers").drop("snapshot_date", "run_id", "gender")
+    snap.snap_write(tables, root, AS_OF - timedelta(days=1), run_timestamp=RUN_AT - timedelta(days=1))
+    less = {**tables, "orders": t.order_changes}
+    less.pop("invoice_items")
+    snap.snap_write(less, root, AS_OF, run_timestamp=RUN_AT)
+    staged = snap.snap_latest(t.spark, root, "customers").drop("snapshot_date", "gender")
     return dq.dq_snapshot_gate(
         snap.snap_manifest(t.spark, root),
         snap.snap_row_recon(tables, root, AS_OF),
         dq.dq_schema_drift(t.customers, staged),
         AS_OF,
+        sizes=snap.snap_size_change(t.spark, root, AS_OF).where("bytes IS NOT NULL"),
     )
 
 

@@ -303,9 +303,36 @@ def snap_retention(manifest: DataFrame, as_of: date, days: int = RETENTION_DAYS)
 
 
 def snap_compact(spark: SparkSession, path: str, target_mb: int = 256) -> str:
-    """Rewrite many small Parquet files as few large ones; returns the new path."""
-    total = file_sizes(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first().bytes
-    files = max(1, -(-total // (target_mb * 1024 * 1024)))
+    """Rewrite many small Parquet files as few large ones; returns the new path.
+
+    A scan can pack many files into one task. With the packing set to the wanted
+    size, each task writes one file and nothing is shuffled. The setting lives in
+    a session of its own.
+    """
+    packing = spark.newSession()
+    packing.conf.set("spark.sql.files.maxPartitionBytes", f"{target_mb}MB")
+    packing.conf.set("spark.sql.files.openCostInBytes", "64KB")
+    packing.conf.set("spark.sql.files.minPartitionNum", "1")
     target = fresh_path(spark, "compacted")
-    snk_parquet(spark.read.parquet(path).repartition(files), target)
+    snk_parquet(packing.read.parquet(path), target)
     return target
+
+
+def snap_size_change(spark: SparkSession, root: str, day: date, fmt: str = "parquet") -> DataFrame:
+    """Bytes per table of a day's snapshot and of the one before, with their ratio."""
+    runs = complete_runs(snap_manifest(spark, root).where(F.col("output_format") == fmt))
+    recent = runs.where(F.col("snapshot_date") <= F.lit(day)).orderBy(F.desc("snapshot_date")).limit(2).select("run_id", "snapshot_date")
+    part = f"/{fmt}/([^/]+)/snapshot_date=[^/]+/run_id=([^/]+)/"
+    sizes = file_sizes(spark, f"{root}/{fmt}").select(
+        F.regexp_extract("path", part, 1).alias("table_name"), F.regexp_extract("path", part, 2).alias("run_id"), "length"
+    )
+    now = F.col("snapshot_date") == F.lit(day)
+    return (
+        sizes.join(recent, "run_id")
+        .groupBy("table_name")
+        .agg(
+            F.sum(F.when(now, F.col("length"))).alias("bytes"),
+            F.sum(F.when(~now, F.col("length"))).alias("previous_bytes"),
+        )
+        .withColumn("ratio", F.try_divide(F.col("bytes").cast("double"), F.col("previous_bytes").cast("double")))
+    )

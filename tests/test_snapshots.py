@@ -124,7 +124,17 @@ def test_retention_and_compaction(spark, table, root, tmp_path):
     assert rows(expired.select("snapshot_date", "age_days")) == [(DAY - timedelta(days=31), 31)]
     small = str(tmp_path / "small")
     spark.range(1000).repartition(20).write.parquet(small)
-    target = snap.snap_compact(spark, small, 1)
+    target = snap.snap_compact(spark, small, 8)
     assert snap.file_sizes(spark, target).where("path LIKE '%.parquet'").count() == 1
     assert spark.read.parquet(target).exceptAll(spark.read.parquet(small)).isEmpty()
     assert spark.read.parquet(target).count() == 1000
+
+
+def test_size_against_the_day_before(spark, table, root):
+    for n, count in ((0, 1), (1, 5_000)):
+        orders = table("orders", *({"id": i, "order_number": str(hash((i, "x")))} for i in range(count)))
+        snap.snap_write({"orders": orders, "customers": table("customers", {"id": 1})}, root, DAY + timedelta(days=n))
+    change = {r.table_name: r for r in snap.snap_size_change(spark, root, DAY + timedelta(days=1)).collect()}
+    assert change["customers"].ratio == 1.0 and change["orders"].ratio > 2
+    first = snap.snap_size_change(spark, root, DAY).where("table_name = 'orders'").first()
+    assert first.previous_bytes is None and first.ratio is None
