@@ -11,9 +11,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.dates import accounting_period
-from ..functions.money import line_total
+from ..functions.money import ZERO, line_total
 from ..functions.text import business_code, full_name
 from ..workspace import stage
+from .views import paid_per_order
 
 UNKNOWN_CHANNEL = "Unknown"
 
@@ -147,6 +148,28 @@ def jn_scd2_lookup(facts: DataFrame, history: DataFrame, key: str, day: str, pk:
 # ---- facts -------------------------------------------------------------------
 
 
+def fact_order(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """Orders with their keys, amounts and what has been paid."""
+    paid = F.coalesce("paid_amount", F.lit(ZERO))
+    return orders.join(paid_per_order(payments), orders.id == F.col("order_id"), "left").select(
+        orders.id.alias("order_id"),
+        "order_number",
+        "customer_id",
+        surrogate_key(channel_name(F.col("channel"))).alias("channel_key"),
+        date_key(F.col("order_date")).alias("date_key"),
+        "order_date",
+        "channel",
+        F.col("status").alias("order_status"),
+        "subtotal",
+        "discount_amount",
+        "tax_amount",
+        "shipping_fee",
+        "total_amount",
+        paid.alias("paid_amount"),
+        F.coalesce("payment_count", F.lit(0)).alias("payment_count"),
+    )
+
+
 def fact_orderline(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Order lines with their keys, the recomputed line total, cost and margin."""
     o = orders.select(

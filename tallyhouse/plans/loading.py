@@ -125,6 +125,23 @@ def snap_manifest(t: Tables) -> DataFrame:
     )
 
 
+@query
+def snap_runs(t: Tables) -> DataFrame:
+    """The manifest nested by run, summed up inside the nested rows."""
+    runs = snap.snap_runs(snap.snap_manifest(t.spark, _history(t)))
+    exported = F.filter("tables", lambda x: x["status"] == "success")
+    rows = F.aggregate(exported, F.lit(0).cast("bigint"), lambda total, x: total + x["rows"])
+    return runs.select("snapshot_date", "status", F.size(exported).cast("bigint").alias("tables"), rows.alias("rows"))
+
+
+@query
+def snap_size_change(t: Tables) -> DataFrame:
+    root = snapshot_root(t)
+    for day in (BEFORE, AS_OF):
+        snap.snap_write(bound(t, "customers", "order_items"), root, day)
+    return snap.snap_size_change(t.spark, root, AS_OF).select("table_name", "ratio")
+
+
 @query
 def snap_commit(t: Tables) -> DataFrame:
     root = snapshot_root(t)
@@ -223,6 +240,12 @@ def inc_high_water(t: Tables) -> DataFrame:
     return inc.inc_high_water(t.orders)
 
 
+@query
+def inc_latest_per_key(t: Tables) -> DataFrame:
+    versions = t.orders.unionByName(t.order_changes.where("channel = 'Website'"))
+    return inc.latest_per_key(versions, "id").select("id", "total_amount", "updated_at")
+
+
 @query
 def inc_merge_latest(t: Tables) -> DataFrame:
     return inc.inc_merge_latest(t.orders, t.order_changes).select("id", "status", "total_amount", "updated_at")
@@ -293,6 +316,11 @@ def jn_scd2_lookup(t: Tables) -> DataFrame:
     return found.select("order_id", "customer_id", "order_date", "segment", "version_from", "version_to")
 
 
+@query
+def fact_order(t: Tables) -> DataFrame:
+    return wh.fact_order(t.orders, t.payments).drop("channel_key")
+
+
 @query
 def fact_orderline(t: Tables) -> DataFrame:
     return wh.fact_orderline(t.order_items, t.orders, t.products).drop("product_key", "channel_key")

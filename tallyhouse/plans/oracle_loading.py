@@ -62,6 +62,15 @@ SELECT 'source_to_staging' AS pipeline, {DAY} AS snapshot_date, TIMESTAMP '2001-
 SQL["snap_commit"] = f"""
 SELECT {DAY} AS snapshot_date, 'COMPLETE' AS status, 2::BIGINT AS tables,
        (SELECT count(*) FROM customer) + (SELECT count(*) FROM orders) AS rows"""
+SQL["snap_runs"] = """
+WITH n AS (SELECT (SELECT count(*) FROM customer) AS c, (SELECT count(*) FROM orders) AS o,
+                  (SELECT count(*) FROM orders WHERE o_orderdate < DATE '2001-06-01') AS early)
+SELECT DATE '2001-06-01' AS snapshot_date, 'COMPLETE' AS status, 2::BIGINT AS tables, c + early AS rows FROM n
+UNION ALL SELECT DATE '2001-08-01', 'COMPLETE', 2, c + o FROM n
+UNION ALL SELECT DATE '2001-08-02', 'FAILED', 1, o FROM n"""
+SQL["snap_size_change"] = """
+SELECT 'customers' AS table_name, (count(*) / count(c_custkey))::DOUBLE AS ratio FROM customer
+UNION ALL SELECT 'order_items', (count(*) / count(l_orderkey))::DOUBLE FROM lineitem"""
 SQL["snap_latest"] = over("c_orders") + f"""
 SELECT {DAY} AS snapshot_date, id, total_amount::DOUBLE AS total_amount FROM c_orders"""
 SQL["snap_as_of"] = over("c_orders") + """
@@ -118,6 +127,11 @@ SQL["inc_extract"] = over("c_orders") + """
 SELECT id, order_date, updated_at, total_amount::DOUBLE AS total_amount
 FROM c_orders WHERE updated_at > TIMESTAMP '2001-07-01'"""
 SQL["inc_high_water"] = over("c_orders") + " SELECT max(updated_at) AS high_water FROM c_orders"
+SQL["inc_latest_per_key"] = over("c_order_changes") + """,
+versions AS (SELECT id, total_amount, updated_at FROM c_orders
+             UNION ALL SELECT id, total_amount, updated_at FROM c_order_changes WHERE channel = 'Website')
+SELECT id, total_amount::DOUBLE AS total_amount, updated_at FROM versions
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated_at DESC) = 1"""
 SQL["inc_merge_latest"] = MERGED + " SELECT id, status, total_amount::DOUBLE AS total_amount, updated_at FROM merged"
 SQL["fact_merge"] = MERGED + """
 SELECT id, order_number, customer_id, order_date, status, total_amount::DOUBLE AS total_amount, updated_at,
@@ -165,6 +179,13 @@ SELECT o.id AS order_id, o.customer_id, o.order_date, h.segment, h.valid_from AS
 FROM c_orders o LEFT JOIN history h ON o.customer_id = h.id AND o.order_date >= h.valid_from
      AND (h.valid_to IS NULL OR o.order_date < h.valid_to)"""
 
+SQL["fact_order"] = over("c_orders", "c_paid") + """
+SELECT o.id AS order_id, o.order_number, o.customer_id, strftime(o.order_date, '%Y%m%d')::INTEGER AS date_key,
+       o.order_date, o.channel, o.status AS order_status, o.subtotal::DOUBLE AS subtotal,
+       o.discount_amount::DOUBLE AS discount_amount, o.tax_amount::DOUBLE AS tax_amount,
+       o.shipping_fee::DOUBLE AS shipping_fee, o.total_amount::DOUBLE AS total_amount,
+       coalesce(p.paid, 0)::DOUBLE AS paid_amount, coalesce(p.n, 0) AS payment_count
+FROM c_orders o LEFT JOIN c_paid p ON o.id = p.order_id"""
 SQL["fact_orderline"] = over("c_order_items", "c_orders", "c_products") + """
 SELECT i.id AS order_item_id, i.order_id, o.order_number, o.customer_id, i.product_id,
        strftime(o.order_date, '%Y%m%d')::INTEGER AS date_key, o.order_date, o.channel, o.status AS order_status,
