@@ -2,8 +2,8 @@
 
 The test tables know customers, parts, orders, order lines and an event feed, but
 no channels, payments or invoices. This module derives what is missing from the
-attributes of whole rows (dates, priorities, states, types); no row of a source
-table is left out. In production the same tables come from ``sources.tables``.
+attributes of whole rows (dates, priorities, states, types) and always from whole
+tables. In production the same tables come from ``sources.tables``.
 
 Stand-in rules by day of month (so every reconciliation case occurs): the 7th has
 no invoice, the 8th a 3 % higher one, the 14th is overpaid by 5 %, the 15th

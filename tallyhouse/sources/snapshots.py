@@ -3,8 +3,8 @@
 Layout: ``<root>/<format>/<table>/snapshot_date=YYYY-MM-DD/run_id=…``, so both
 are partition columns. A run never touches the files of another one; readers take
 the newest COMPLETE run of a day from the manifest, so a failed repeat leaves the
-earlier snapshot readable. The manifest has a row per table and, written last, a
-row per run (without table name) that commits it.
+earlier snapshot readable. The manifest has a row per table and a row per run
+(without table name); they are written together, after the last table.
 """
 
 from __future__ import annotations
@@ -95,16 +95,17 @@ def snap_write(
         return record(name, "success", rows, path, time.time() - begun, None)
 
     failures: list[Exception] = []
-    results: list[tuple] = []
+
+    def export_unless_failed(name: str) -> tuple | None:
+        return None if failures else export(name)
+
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        skip_when_failed = lambda name: None if failures else export(name)
-        results = [r for r in pool.map(skip_when_failed, tables) if r is not None]
-    commit(results)
+        results = [r for r in pool.map(export_unless_failed, tables) if r is not None]
     seconds = time.time() - started
     if failures:
-        commit([record(None, "FAILED", None, None, seconds, str(failures[0])[:2000])])
+        commit([*results, record(None, "FAILED", None, None, seconds, str(failures[0])[:2000])])
         raise failures[0]
-    commit([record(None, "COMPLETE", None, None, seconds, None)])
+    commit([*results, record(None, "COMPLETE", None, None, seconds, None)])
     return run_id
 
 
