@@ -1,14 +1,16 @@
 """Shared working folder: staged intermediate tables and job output.
 
 Everything staged lands in the folder the cluster names in
-``spark.checkpoint.dir``, so a lost executor costs a re-read, not a re-run. A
-temporary folder is only used in local mode, where one machine is the cluster.
+``spark.checkpoint.dir``, so a lost executor costs a re-read, not a re-run.
+Where no such folder is configured, the warehouse folder, which all executors
+share as well, takes its place. Both hold in every mode alike.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,12 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     configured = configured or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallyhouse-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -35,3 +32,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a staged table that nothing reads any more."""
+    spark, jvm = df.sparkSession, df.sparkSession.sparkContext._jvm
+    root = shared_root(spark)
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if f"{root.split(':', 1)[-1].rstrip('/')}/tallyhouse/".replace("//", "/") in folder.replace("//", "/"):
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A staged table for the length of a block that also writes out what it makes of it."""
+    table = stage(df, name)
+    try:
+        yield table
+    finally:
+        discard(table)
