@@ -34,6 +34,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 2_000_000
+
+
+def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A staged table of few columns, marked for broadcast if it has at most ``rows`` rows.
+
+    A larger one is left as it is, and Spark joins it by shuffle.
+    """
+    return df.hint("broadcast") if df.limit(rows + 1).count() <= rows else df
+
+
 def discard(df: DataFrame) -> None:
     """Remove the files of a staged table that nothing reads any more."""
     spark, jvm = df.sparkSession, df.sparkSession.sparkContext._jvm
