@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import langid, linededup, neardup
+from tallyhouse.llm import decontam, langid, linededup, mixing, neardup
 from tallyhouse.llm.queries import table
 from tallyhouse.workspace import stage
 
@@ -27,9 +27,25 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return neardup.one_of_each_group(docs)
 
 
-STAGES = [("language", language), ("lines", lines), ("near_copies", near_copies)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontam.uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
-# The first stage is a trained classifier, which SQL cannot express.
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their tokens, domain posteriors and sampling rate."""
+    return mixing.mixed(docs, table(spark, sf_dir, "labels"))
+
+
+STAGES = [
+    ("language", language),
+    ("lines", lines),
+    ("near_copies", near_copies),
+    ("decontamination", decontamination),
+    ("mixture", mixture),
+]
+
+# Trained classifiers and fitted rates are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 

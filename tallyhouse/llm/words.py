@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 WIDTH = 5  # words of a shingle
+BEGINNING = 4  # bytes
 CHUNK_BYTES = 1 << 20  # texts worked on at a time
 
 _random = np.random.default_rng(20240607)
@@ -65,6 +66,7 @@ class Chunk:
     first: int
     words: np.ndarray  # uint64, word after word, text after text
     at: np.ndarray  # texts + 1 positions in words
+    beginnings: np.ndarray  # hash of each word's first bytes; 0 for a word no longer than these
 
 
 def _text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -90,10 +92,10 @@ def chunks(column: pa.Array, ends_word: np.ndarray = BLANK) -> Iterator[Chunk]:
         first = last
 
 
-def _hash_words(raw: np.ndarray, edges: np.ndarray, ends_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hash_words(raw: np.ndarray, edges: np.ndarray, ends_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(raw)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(edges), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(edges), np.int64), np.zeros(0, np.uint64)
     inside = ~ends_word[raw]
     begins, stops = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -105,7 +107,9 @@ def _hash_words(raw: np.ndarray, edges: np.ndarray, ends_word: np.ndarray) -> tu
     up, down = _powers_to(n)
     running = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE_VALUES[FOLDED[raw]] * up[:n], out=running[1:])
-    return mix((running[stop] - running[start]) * down[start]), np.searchsorted(start, edges)
+    words = mix((running[stop] - running[start]) * down[start])
+    begun = mix((running[np.minimum(start + BEGINNING, n)] - running[start]) * down[start] + _LENGTH_SALT[0])
+    return words, np.searchsorted(start, edges), np.where(stop - start > BEGINNING, begun, np.uint64(0))
 
 
 def shingles(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
