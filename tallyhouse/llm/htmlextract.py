@@ -331,7 +331,7 @@ def training_pages(seed: int = 11) -> list[tuple[str, list[bool]]]:
                     text = text.replace(" ", f' <a href="/{word()}">{word()}</a> ', 1)
                 return block("p", text, True)
             if kind < 0.72:
-                return block("p", short().capitalize() + ".", True)
+                return block("p", short().capitalize() + draw.choice((".", "")), True)
             if kind < 0.82:
                 return block(draw.choice(("h2", "h3")), short().capitalize(), True)
             if kind < 0.88:

@@ -24,7 +24,7 @@ from ..workspace import stage
 
 SLOTS = 4096  # hashed beginnings of words, and as many ends
 ROUNDS, CLOSE_ENOUGH = 60, 1e-6  # most rounds, and the largest residual share that ends them
-PATIENCE = 50.0  # words; longer texts weigh their average word as this many
+PATIENCE = 12.0  # words; longer texts weigh their average word as this many
 SMOOTHING = 1.0
 
 # Domains of the labelled table and the share of all tokens each is to have.
@@ -81,26 +81,24 @@ def _adding_from(table: Column) -> Callable[[Column, Column], Column]:
 
 
 def with_posteriors(docs: DataFrame, weights: list[list[float]], priors: list[float]) -> DataFrame:
-    """``docs`` with ``_tokens`` and ``_posterior``, an array with a probability per domain.
+    """(row, tokens, posteriors): all columns of ``docs``, its words counted, and a probability per domain.
 
     Only differences to the first domain are summed up. A text without words has
     the priors as its posterior and no tokens.
     """
     domains = len(priors)
     gains = [[round(w - b, 6) for w, b in zip(weights[d], weights[0], strict=True)] for d in range(1, domains)]
-    slots = docs.withColumn("_slots", _slots(F.col("text"))).withColumn("_tokens", (F.size("_slots") / 2).cast("long"))
-    pull = F.least(F.lit(1.0), F.lit(PATIENCE) / F.greatest(F.col("_tokens"), F.lit(1)))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), _slots(F.col("text")).alias("slots"))
+    rows = rows.withColumn("tokens", (F.size("slots") / 2).cast("long"))
+    pull = F.least(F.lit(1.0), F.lit(PATIENCE) / F.greatest(F.col("tokens"), F.lit(1)))
     scores = [F.lit(0.0)]
     for d in range(1, domains):
         table = F.expr(f"cast(split('{','.join(map(str, gains[d - 1]))}', ',') as array<double>)")
-        scores.append(
-            pull * F.aggregate("_slots", F.lit(0.0), _adding_from(table)) + F.lit(priors[d] - priors[0])
-        )
-    scored = slots.withColumn("_scores", F.array(*scores)).drop("_slots")
-    raised = F.transform("_scores", lambda s: F.exp(s - F.array_max("_scores")))
-    return scored.withColumn("_raised", raised).withColumn(
-        "_posterior", F.transform("_raised", lambda s: s / F.aggregate("_raised", F.lit(0.0), lambda a, b: a + b))
-    ).drop("_scores", "_raised")
+        scores.append(pull * F.aggregate("slots", F.lit(0.0), _adding_from(table)) + F.lit(priors[d] - priors[0]))
+    scored = rows.select("row", "tokens", F.array(*scores).alias("scores"))
+    raised = scored.withColumn("raised", F.transform("scores", lambda s: F.exp(s - F.array_max("scores"))))
+    total = F.aggregate("raised", F.lit(0.0), lambda a, b: a + b)
+    return raised.select("row", "tokens", F.transform("raised", lambda s: s / total).alias("posteriors"))
 
 
 def _rate(gradients: Sequence[Sequence[float]], domains: int) -> Column:
@@ -112,7 +110,7 @@ def _rate(gradients: Sequence[Sequence[float]], domains: int) -> Column:
         steps,
         F.lit(1.0),
         lambda rate, g: F.greatest(
-            F.lit(0.0), rate - sum((F.col("_posterior")[d] * F.get(g, F.lit(d)) for d in range(domains)), F.lit(0.0))
+            F.lit(0.0), rate - sum((F.col("posteriors")[d] * F.get(g, F.lit(d)) for d in range(domains)), F.lit(0.0))
         ),
     )
 
@@ -141,8 +139,8 @@ def fit_rates(posteriors: DataFrame, targets: Sequence[float]) -> list[list[floa
     posterior for cannot be met; the least-squares fit then leaves that residual.
     """
     domains = len(targets)
-    tokens = F.col("_tokens").cast("double")
-    p = [F.col("_posterior")[d] for d in range(domains)]
+    tokens = F.col("tokens").cast("double")
+    p = [F.col("posteriors")[d] for d in range(domains)]
     moments = posteriors.agg(
         F.sum(tokens).alias("all"),
         *(F.sum(tokens * p[d] * p[e]).alias(f"g{d}_{e}") for d in range(domains) for e in range(d, domains)),
@@ -164,25 +162,27 @@ def fit_rates(posteriors: DataFrame, targets: Sequence[float]) -> list[list[floa
     return gradients
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS, name: str = "posteriors") -> DataFrame:
-    """``docs`` with ``tokens``, ``posteriors`` (per domain) and ``rate``, staged once.
+def fitted(docs: DataFrame, labels: DataFrame, targets: Sequence[float]) -> DataFrame:
+    """(row, tokens, posteriors, rate), staged once before the rates are fitted."""
+    weights, priors = word_weights(docs, labels, len(targets))
+    known = stage(with_posteriors(docs, weights, priors), "posteriors")
+    return known.withColumn("rate", _rate(fit_rates(known, targets), len(targets)))
+
+
+def mixed(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS) -> DataFrame:
+    """``docs`` with ``tokens``, ``posteriors`` (per domain) and ``rate``.
 
     Every row gets a rate, also one without text (no tokens, posterior = prior).
     Columns of these names replace equally named ones of ``docs``. An empty
     table gives an empty one.
     """
-    docs = docs.drop("tokens", "posteriors", "rate")
-    weights, priors = word_weights(docs, labels, len(targets))
-    known = stage(with_posteriors(docs, weights, priors), name)
-    gradients = fit_rates(known, targets)
-    return known.withColumn("rate", _rate(gradients, len(targets))).withColumnsRenamed(
-        {"_tokens": "tokens", "_posterior": "posteriors"}
-    )
+    kept = [F.col(f"row.{c}").alias(c) for c in docs.columns if c not in ("tokens", "posteriors", "rate")]
+    return fitted(docs, labels, targets).select(*kept, "tokens", "posteriors", "rate")
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS) -> DataFrame:
     """doc_id, tokens, a posterior per domain, rate."""
-    fitted = mixed(docs.select("doc_id", "text"), labels, targets).drop("text")
-    return fitted.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "tokens", *(F.col("posteriors")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)), "rate"
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return fitted(slim, labels, targets).select(
+        "row.doc_id", "tokens", *(F.col("posteriors")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)), "rate"
     )

@@ -176,10 +176,10 @@ SQL: dict[str, str] = {
             SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sets a JOIN sets b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY 1, 2
         ), links AS (
             SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * k >= 75 * (p.n + q.n - k)
-        ), both AS (
+        ), sides AS (
             SELECT x, y FROM links UNION SELECT y, x FROM links
         ), reached(doc_id, other) AS (
-            SELECT doc_id, doc_id FROM words UNION SELECT r.doc_id, b.y FROM reached r JOIN both b ON b.x = r.other
+            SELECT doc_id, doc_id FROM words UNION SELECT r.doc_id, b.y FROM reached r JOIN sides b ON b.x = r.other
         ), components AS (
             SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
         )
