@@ -9,9 +9,10 @@ the full shingle sets.
 Documents with equal sets form one class first, and only classes are compared.
 Within a band's bucket the classes are compared with the bucket's most central
 class; classes that this leaves in different components are then compared with
-the bucket's classes in other components. Pairs within a component cannot change
-it, so a group of n copies costs about n comparisons and no link that joins two
-components is lost.
+the bucket's classes in other components, unless an upper bound of what the two
+share rules a link out. Pairs within a component cannot change it, so a
+group of n copies costs about n comparisons and no link that joins two components
+is lost.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import discard, stage
+from ..workspace import discard, sized, stage
 from .components import connected_components
 from .words import chunks, distinct_sets, mix, shingles
 
@@ -39,7 +40,9 @@ _SHIFT = _random.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
 _VALUE_SALT = _random.integers(0, 2**63, (BANDS, 2 * PERMUTATIONS_PER_BAND), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 SIGNATURES = "doc_id long, n_shingles long, digest binary, bands array<long>"
-SETS = "digest binary, shingles array<long>"
+SETS = "class long, shingles array<long>"
+CROWDED = 8  # classes in a bucket from which on a bound spares comparisons
+PARTS = 32  # of the shingles, by which that bound counts
 
 
 def min_max_values(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -91,22 +94,25 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Full sets of the texts whose set is the one that the class stands for."""
     for batch in batches:
-        digests, sets = [], []
+        wanted, classes = batch.column("digest").to_pylist(), batch.column("class").to_pylist()
+        of_class, sets = [], []
         for chunk in chunks(batch.column("text")):
             hashes, begin = distinct_sets(*shingles(chunk.words, chunk.at))
-            for a, b in zip(begin[:-1], begin[1:], strict=True):
-                digests.append(_set_digest(hashes[a:b]))
-                sets.append(hashes[a:b].view(np.int64))
+            for i, (a, b) in enumerate(zip(begin[:-1], begin[1:], strict=True), chunk.first):
+                if _set_digest(hashes[a:b]) == wanted[i]:
+                    of_class.append(classes[i])
+                    sets.append(hashes[a:b].view(np.int64))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(digests, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["digest", "shingles"]
+            [pa.array(of_class, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["class", "shingles"]
         )
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (x, y) of digests whose full sets are similar enough, with their overlap."""
-    left = sets.select(F.col("digest").alias("x"), F.col("shingles").alias("of_x"))
-    right = sets.select(F.col("digest").alias("y"), F.col("shingles").alias("of_y"))
+    """The pairs (x, y) of classes whose full sets are similar enough."""
+    left = sets.select(F.col("class").alias("x"), F.col("shingles").alias("of_x"))
+    right = sets.select(F.col("class").alias("y"), F.col("shingles").alias("of_y"))
     counted = pairs.join(right, "y").join(left, "x").select(
         "x",
         "y",
@@ -116,6 +122,119 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return counted.where(100 * F.col("shared") >= SIMILAR_PERCENT * (F.col("total") - F.col("shared"))).select("x", "y")
 
 
+def _could_be_similar(size: str, other_size: str) -> Column:
+    """Sets of these sizes can reach the similarity: the smaller one would have to lie in the larger."""
+    return 100 * F.least(size, other_size) >= SIMILAR_PERCENT * F.greatest(size, other_size)
+
+
+def _centres(rows: DataFrame) -> DataFrame:
+    """(bucket, centre, centre_size): the bucket's class that meets most others over all its buckets."""
+    weight = rows.groupBy("class").agg(F.sum("filled").alias("weight"))
+    first = F.max(F.struct("weight", "class", "size")).alias("first")
+    return rows.join(weight, "class").groupBy("bucket").agg(first).select(
+        "bucket", F.col("first.class").alias("centre"), F.col("first.size").alias("centre_size")
+    )
+
+
+def _star_pairs(rows: DataFrame, centres: DataFrame) -> DataFrame:
+    """Each bucket's classes with its centre."""
+    return (
+        rows.join(centres, "bucket")
+        .where((F.col("class") != F.col("centre")) & _could_be_similar("size", "centre_size"))
+        .select(F.least("centre", "class").alias("x"), F.greatest("centre", "class").alias("y"))
+        .distinct()
+    )
+
+
+def _profiles(crowded: DataFrame, sets: DataFrame) -> DataFrame:
+    """How a class's shingles lie: (class, centre, inside, outside) for the given pairs.
+
+    Shingles fall into PARTS parts. ``inside`` counts, part by part, those that
+    the centre has too, ``outside`` the others that at least one more class has.
+    What two classes share lies in both's counts, so the smaller counts, summed
+    up, bound it.
+    """
+    met = crowded.select("class").union(crowded.select("centre")).distinct()
+    each = stage(sets.join(met, "class", "left_semi").select("class", F.explode("shingles").alias("shingle")), "each")
+    owned = each.groupBy("shingle").agg(F.count("*").alias("owners")).where("owners = 1").select("shingle", F.lit(True).alias("own"))
+    of_centre = each.select(F.col("class").alias("centre"), "shingle", F.lit(True).alias("shared"))
+    counted = (
+        crowded.join(each.join(owned, "shingle", "left"), "class")
+        .join(of_centre, ["centre", "shingle"], "left")
+        .groupBy("class", "centre", F.pmod("shingle", F.lit(PARTS)).cast("int").alias("part"))
+        .agg(
+            F.count_if(F.col("shared")).alias("inside"),
+            F.count_if(F.col("shared").isNull() & F.col("own").isNull()).alias("outside"),
+        )
+    )
+    parts = counted.groupBy("class", "centre").agg(
+        F.map_from_entries(F.collect_list(F.struct("part", F.struct("inside", "outside")))).alias("parts")
+    )
+
+    def filled(side: str) -> Column:
+        every = F.sequence(F.lit(0), F.lit(PARTS - 1))
+        return F.transform(every, lambda p: F.coalesce(F.col("parts")[p][side], F.lit(0).cast("long"))).alias(side)
+
+    return stage(parts.select("class", "centre", filled("inside"), filled("outside")), "profiles")
+
+
+def _total(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0).cast("long"), lambda a, b: a + b)
+
+
+def _smaller(a: Column, b: Column) -> Column:
+    return F.least(a, b)
+
+
+def _bridge_pairs(placed: DataFrame, centres: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of classes that share a bucket but no component, as far as they can be similar.
+
+    All classes outside a bucket's largest component meet those of other
+    components there. In crowded buckets the bound of ``_profiles`` goes first, so
+    a copy that is too far from all others is compared with next to none of them.
+    """
+    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("many")).groupBy("bucket").agg(
+        F.count("*").alias("parts"), F.sum("many").alias("filled"), F.max(F.struct("many", "component")).alias("main")
+    )
+    split = parts.where("parts > 1").select("bucket", "filled", F.col("main.component").alias("main"))
+    open_rows = stage(placed.drop("filled").join(split, "bucket").join(centres.select("bucket", "centre"), "bucket"), "open")
+    crowded = F.col("filled") >= CROWDED
+    profiles = _profiles(open_rows.where(crowded).select("class", "centre").distinct(), sets)
+    known = open_rows.join(profiles, ["class", "centre"], "left").withColumns(
+        {side: F.when(crowded, F.col(side)) for side in ("inside", "outside")}
+    )
+    bounded = known.withColumn("common", F.coalesce(_total(F.col("inside")) + _total(F.col("outside")), F.col("size")))
+    # What a class can reach at best: its common part lies in the smallest class of the bucket that is large enough.
+    smallest = open_rows.groupBy("bucket").agg(F.min("size").alias("smallest"))
+    reach = F.greatest(F.col("smallest"), F.ceil(F.col("size") * SIMILAR_PERCENT / 100))
+    able = stage(
+        bounded.join(smallest, "bucket").where(
+            100 * F.col("common") >= SIMILAR_PERCENT * (F.col("size") + reach - F.least(F.col("common"), reach))
+        ),
+        "able",
+    )
+    apart = able.where("component <> main").select("bucket", "class", "component", "size", "inside", "outside")
+    others = able.select(
+        "bucket",
+        F.col("class").alias("other"),
+        F.col("component").alias("other_component"),
+        F.col("size").alias("other_size"),
+        F.col("inside").alias("other_inside"),
+        F.col("outside").alias("other_outside"),
+        (F.col("component") == F.col("main")).alias("in_main"),
+    )
+    by_parts = _total(F.zip_with("inside", "other_inside", _smaller)) + _total(F.zip_with("outside", "other_outside", _smaller))
+    most = F.coalesce(by_parts, F.least("size", "other_size"))
+    return (
+        apart.join(others, "bucket")
+        .where((F.col("component") != F.col("other_component")) & (F.col("in_main") | (F.col("class") < F.col("other"))))
+        .where(_could_be_similar("size", "other_size"))
+        .where(100 * most >= SIMILAR_PERCENT * (F.col("size") + F.col("other_size") - most))
+        .select(F.least("class", "other").alias("x"), F.greatest("class", "other").alias("y"))
+        .distinct()
+    )
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -127,84 +246,44 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component, is linked with nothing and is kept.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = stage(texts.mapInArrow(_sign, SIGNATURES), "signatures")
+    signed = stage(texts.mapInArrow(_sign, SIGNATURES).withColumn("row", F.monotonically_increasing_id()), "signatures")
     known = signed.where("doc_id is not null and digest is not null")
 
-    classes = known.groupBy("digest").agg(F.min("doc_id").alias("class_id"))
-    members = known.join(classes, "digest").where("doc_id <> class_id").select(
-        F.col("doc_id").alias("a"), F.col("class_id").alias("b")
-    )
-    first_of_class = (
-        known.join(classes.withColumnRenamed("class_id", "doc_id"), ["digest", "doc_id"])
-        .dropDuplicates(["digest"])
-        .select("digest", F.col("doc_id").alias("class_id"), F.col("n_shingles").alias("size"), F.explode("bands").alias("bucket"))
+    # A class is named by the row of its first document.
+    first = F.min(F.struct("doc_id", "row", "n_shingles")).alias("first")
+    classes = stage(
+        known.groupBy("digest").agg(first).select("digest", "first.doc_id", F.col("first.row").alias("class"), F.col("first.n_shingles").alias("size")),
+        "classes",
     )
+    members = known.select("digest", F.col("doc_id").alias("a")).join(classes.select("digest", F.col("doc_id").alias("b")), "digest")
+    members = members.where("a <> b").select("a", "b").distinct()
 
-    shared = first_of_class.groupBy("bucket").agg(F.count("*").alias("filled")).where("filled > 1")
-    rows = stage(first_of_class.join(shared, "bucket"), "buckets")
-    sets = stage(
-        texts.join(rows.select(F.col("class_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .where("text is not null")
-        .mapInArrow(_shingle_sets, SETS)
-        .dropDuplicates(["digest"]),
-        "sets",
+    in_buckets = known.join(classes.select(F.col("class").alias("row")), "row", "left_semi").select(
+        F.col("row").alias("class"), F.explode("bands").alias("bucket")
     )
-
-    # The class that meets most others in its buckets stands in the middle of its group.
-    central = rows.groupBy("digest").agg(F.sum("filled").alias("weight"))
-    weighted = rows.join(central, "digest")
-    centre = weighted.groupBy("bucket").agg(F.max(F.struct("weight", "digest", "size")).alias("centre"))
-    star = (
-        weighted.join(centre, "bucket")
-        .where("digest <> centre.digest and 100 * least(size, centre.size) >= 75 * greatest(size, centre.size)")
-        .select(F.col("centre.digest").alias("x"), F.col("digest").alias("y"))
-        .distinct()
+    shared = in_buckets.groupBy("bucket").agg(F.count("*").alias("filled")).where("filled > 1")
+    met = stage(in_buckets.join(shared, "bucket"), "buckets")
+    named = stage(classes.join(met.select("class").distinct(), "class", "left_semi"), "named")
+    rows = met.join(named.select("class", "size"), "class")
+    sets = stage(
+        texts.where("text is not null").join(sized(named.select("doc_id", "class", "digest")), "doc_id").mapInArrow(_shingle_sets, SETS), "sets"
     )
-    ids = rows.select("digest", "class_id").distinct()
+    if sets.count() > sets.select("class").distinct().count():  # the same row twice in the table
+        sets = stage(sets.dropDuplicates(["class"]), "sets")
 
     def as_edges(links: DataFrame) -> DataFrame:
-        x, y = (ids.select(F.col("digest").alias(s), F.col("class_id").alias(e)) for s, e in (("x", "a"), ("y", "b")))
+        x, y = (named.select(F.col("class").alias(s), F.col("doc_id").alias(e)) for s, e in (("x", "a"), ("y", "b")))
         return links.join(y, "y").join(x, "x").select("a", "b")
 
+    centres = stage(_centres(rows), "centres")
+    star = stage(_star_pairs(rows, centres), "star")
     links = stage(as_edges(confirmed(star, sets)), "links")
     joined = connected_components(links)
-
-    placed = stage(
-        rows.join(joined.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn(
-            "component", F.coalesce("component", "class_id")
-        ),
-        "placed",
-    )
-    split = (
-        placed.groupBy("bucket", "component").agg(F.count("*").alias("many")).groupBy("bucket")
-        .agg(F.count("*").alias("parts"), F.max(F.struct("many", "component")).alias("main"))
-        .where("parts > 1")
-        .select("bucket", F.col("main.component").alias("main"))
-    )
-    open_rows = placed.join(split, "bucket")
-    apart = open_rows.where("component <> main").select("bucket", "digest", "component", "size")
-    # A class outside the bucket's largest component meets all classes of other components there.
-    others = open_rows.select(
-        "bucket",
-        F.col("digest").alias("other"),
-        F.col("component").alias("other_component"),
-        F.col("size").alias("other_size"),
-        (F.col("component") == F.col("main")).alias("in_main"),
-    )
-    across = (
-        apart.join(others, "bucket")
-        .where(
-            "component <> other_component and (in_main or digest < other)"
-            " and 100 * least(size, other_size) >= 75 * greatest(size, other_size)"
-        )
-        .select(F.least("digest", "other").alias("x"), F.greatest("digest", "other").alias("y"))
-        .distinct()
-    )
-    across = across.join(star.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")), ["x", "y"], "left_anti")
-    bridges = as_edges(confirmed(across, sets))
-
-    components = connected_components(links.unionByName(bridges).unionByName(members))
-    for table in (rows, sets, links, joined, placed):
+    known_part = named.select("class", F.col("doc_id").alias("node")).join(joined, "node", "left")
+    placed = stage(rows.join(known_part.select("class", F.coalesce("component", "node").alias("component")), "class"), "placed")
+    bridges = confirmed(_bridge_pairs(placed, centres, sets).join(star, ["x", "y"], "left_anti"), sets)
+    components = connected_components(links.unionByName(as_edges(bridges)).unionByName(members))
+    for table in (classes, met, named, sets, centres, star, links, joined, placed):
         discard(table)
     return (
         signed.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -215,5 +294,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that are not the first of their group."""
-    going = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(stage(going, "copies"), "doc_id", "left_anti").select(*docs.columns)
+    going = stage(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "copies")
+    return docs.join(sized(going), "doc_id", "left_anti").select(*docs.columns)
