@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     # aggregation would otherwise keep Spark from doing so.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Whole texts travel to Python tasks: a batch of them has to fit beside the heap.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # The default (STATIC) would wipe every other snapshot on a partition write.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
