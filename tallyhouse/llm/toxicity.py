@@ -1,11 +1,12 @@
 """Toxicity by nearest labelled examples.
 
 A text is its normalised TF-IDF vector over the words, and the first four bytes of
-longer words, that tell toxic from other labelled texts. Its nearest examples by exact cosine come from an inverted index
-in blocks: for every word and block of examples the index knows the largest
-weight, so a block whose bound cannot reach the k-th cosine is never read. The
-nearest examples vote by cosine; the vote is calibrated on labelled texts that
-are no examples, and the ids of the voters are the evidence.
+longer words, that tell toxic from other labelled texts. Its nearest examples by
+exact cosine come from an inverted index in blocks: for every word and block of
+examples the index knows the largest weight, so a block whose bound cannot reach
+the k-th cosine is never read. The nearest examples vote by cosine; the vote is
+calibrated on labelled texts that are no examples, and the ids of the voters are
+the evidence.
 
 Word counts cover all labelled rows that may be learnt from. The examples are a
 bounded sample, at most ``EXAMPLES_PER_LABEL`` of each label, as are the texts of
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..workspace import stage
+from ..workspace import sized, stage
 from .words import NOT_PLAIN, chunks
 
 EXAMPLES_PER_LABEL = 1500
@@ -53,7 +54,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .agg(F.max("toxic").alias("toxic"))
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.where("text is not null").join(known, "doc_id").select("doc_id", "text", "toxic")
+    # Labels are few and narrow: as long as they are, no text has to travel to meet them.
+    return texts.where("text is not null").join(sized(stage(known, "labels")), "doc_id").select("doc_id", "text", "toxic")
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
