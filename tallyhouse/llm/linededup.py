@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import stage
+from ..workspace import sized, stage
 
 LEAST_CHARS = 40
 LEAST_DOCUMENTS = 5
@@ -54,6 +54,8 @@ def keep_bitmaps(docs: DataFrame) -> DataFrame:
         .where(F.col("documents") >= LEAST_DOCUMENTS)
         .drop("documents")
     )
+    # Few lines are in many documents; as long as they are, no line has to travel to meet them.
+    repeated = sized(stage(repeated, "repeated"))
     word = F.floor(F.col("position") / WORD_LINES).cast("int")
     bit = F.expr(f"shiftleft(1L, cast(position % {WORD_LINES} as int))")
     words = (
@@ -69,7 +71,7 @@ def keep_bitmaps(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with its kept lines: all columns, plus n_lines, n_dropped and kept_text.
+    """(row, n_lines, n_dropped, kept_text), ``row`` holding all columns of ``docs``.
 
     A NULL or empty text is one empty line. A line's key is the line without
     ASCII blanks at its ends, A-Z lower-cased. Keys of at least 40 code points in
@@ -77,47 +79,44 @@ def deduplicate_lines(docs: DataFrame) -> DataFrame:
     with all their lines. Rows that repeat a doc_id are one document; rows
     without doc_id lose nothing and count for nothing.
     """
-    found = stage(keep_bitmaps(docs), "bitmaps").select(
-        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("dropped").alias("_dropped"), F.col("n_dropped").alias("_n")
+    found = stage(keep_bitmaps(docs), "bitmaps")
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    text = F.col("row.text").cast("string")
+    joined = rows.join(
+        found, (F.col("row.doc_id").cast("long") == F.col("doc_id")) & (F.xxhash64(text) == F.col("text_hash")), "left"
     )
-    joined = docs.join(
-        found,
-        (docs["doc_id"].cast("long") == found["_doc"]) & (F.xxhash64(docs["text"].cast("string")) == found["_hash"]),
-        "left",
-    )
-    text = docs["text"].cast("string")
     stays = F.array_join(
         F.filter(
             _lines(text),
-            lambda line, at: F.shiftright(
-                F.coalesce(F.element_at("_dropped", F.floor(at / WORD_LINES).cast("int")), F.lit(0).cast("long")), 0
-            ).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (at % WORD_LINES).cast("int")))
+            lambda line, at: F.coalesce(F.element_at("dropped", F.floor(at / WORD_LINES).cast("int")), F.lit(0).cast("long")).bitwiseAND(
+                F.call_function("shiftleft", F.lit(1).cast("long"), (at % WORD_LINES).cast("int"))
+            )
             == 0,
         ),
         "\n",
     )
     return joined.select(
-        *(docs[c] for c in docs.columns),
-        F.size(_lines(text)).cast("long").alias("_lines"),
-        F.coalesce("_n", F.lit(0)).cast("long").alias("_lost"),
-        F.when(F.col("_n").isNull(), F.coalesce(text, F.lit(""))).otherwise(stays).alias("_kept"),
+        "row",
+        F.size(_lines(text)).cast("long").alias("n_lines"),
+        F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col("n_dropped").isNull(), F.coalesce(text, F.lit(""))).otherwise(stays).alias("kept_text"),
     )
 
 
 def line_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_sha256."""
-    return deduplicate_lines(docs).select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("_lines").alias("n_lines"),
-        F.col("_lost").alias("n_dropped"),
-        F.sha2(F.col("_kept"), 256).alias("kept_sha256"),
+    return deduplicate_lines(docs.select("doc_id", "text")).select(
+        F.col("row.doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
     )
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``; ``n_chars`` follows, other columns stay."""
-    done = deduplicate_lines(docs)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        done = done.withColumn("n_chars", F.when(F.col("_lost") > 0, F.char_length("_kept").cast(kind)).otherwise(F.col("n_chars")))
-    return done.withColumn("text", F.when(F.col("_lost") > 0, F.col("_kept")).otherwise(F.col("text"))).select(*docs.columns)
+    new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text")}
+    columns = [
+        F.when(F.col("n_dropped") > 0, new[f.name].cast(f.dataType)).otherwise(F.col(f"row.{f.name}")).alias(f.name)
+        if f.name in new
+        else F.col(f"row.{f.name}").alias(f.name)
+        for f in docs.schema.fields
+    ]
+    return deduplicate_lines(docs).select(*columns)
