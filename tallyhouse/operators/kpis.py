@@ -121,6 +121,7 @@ def kpi_net_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
 def kpi_gross_margin_by_category(items: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
     """Margin per category over lines with a known cost; the others are counted.
 
+    Lines whose product or category is not known come out under the NULL category.
     Lines are summed per product before any join: a best-seller costs one row.
     """
     sold = items.groupBy("product_id").agg(
@@ -132,8 +133,8 @@ def kpi_gross_margin_by_category(items: DataFrame, products: DataFrame, categori
     revenue = F.sum(F.when(known, F.col("revenue")))
     cost = F.sum(F.when(known, (F.col("quantity") * F.col("cost_price")).cast("decimal(25,2)")))
     return (
-        sold.join(p, "product_id")
-        .join(c, "category_id")
+        sold.join(p, "product_id", "left")
+        .join(c, "category_id", "left")
         .groupBy("category_id", "category_name")
         .agg(
             revenue.alias("revenue"),
@@ -260,11 +261,11 @@ def kpi_churn_risk(customers: DataFrame, orders: DataFrame, as_of: date, days: i
 
 
 def kpi_cac(spend: DataFrame, customers: DataFrame) -> DataFrame:
-    """Marketing spend (given by the caller as month, spend) per new customer."""
+    """Marketing spend (given by the caller as month, spend) per new customer, for every month with either."""
     monthly = spend.groupBy("month").agg(F.sum("spend").alias("spend"))
     return (
-        monthly.join(kpi_new_customers(customers), "month", "left")
-        .select("month", "spend", F.coalesce("new_customers", F.lit(0)).alias("new_customers"))
+        monthly.join(kpi_new_customers(customers), "month", "full")
+        .select("month", F.coalesce("spend", F.lit(ZERO)).alias("spend"), F.coalesce("new_customers", F.lit(0)).alias("new_customers"))
         .withColumn("cac", ratio(F.col("spend"), F.col("new_customers")))
     )
 
@@ -278,7 +279,10 @@ def kpi_order_status_distribution(orders: DataFrame) -> DataFrame:
 
 
 def kpi_top_products(items: DataFrame, products: DataFrame, k: int = 20, by: str = "quantity") -> DataFrame:
-    """Best-sellers by ``quantity`` or ``revenue``; ties go to the lower id."""
+    """Best-sellers by ``quantity`` or ``revenue``; ties go to the lower id.
+
+    A product nobody knows keeps its place, without name.
+    """
     sold = items.groupBy("product_id").agg(F.sum("quantity").alias("quantity"), F.sum("line_total").alias("revenue"))
     names = products.select(F.col("id").alias("product_id"), "sku", "name")
-    return sold.join(names, "product_id").orderBy(F.desc(by), "product_id").limit(k)
+    return sold.join(names, "product_id", "left").orderBy(F.desc(by), "product_id").limit(k)

@@ -1,7 +1,8 @@
 """Declarative data-quality rules and the jobs that run them.
 
-All row-level rules of a table share one scan. Uniqueness and reference rules
-count rows per key before anything is shuffled, so a hot key costs one row.
+All row-level rules of a table share one scan, and so do all its uniqueness and
+reference rules: every value of a key or reference column is counted, before
+anything is shuffled, and those counts answer all such rules of all tables.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.money import ZERO
 from ..schemas import TABLES, Table
+from ..sources.snapshots import readable_tables
+from ..workspace import stage
 
-BLOCKER, MAJOR, MINOR = "blocker", "major", "minor"
+BLOCKER, MAJOR, MINOR, INFO = "blocker", "major", "minor", "info"
 
 RESULT_COLUMNS = ("rule_id", "table_name", "dimension", "severity", "checked", "failed", "status")
 
@@ -127,26 +130,61 @@ def _row_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return _result(counted, rules, names)
 
 
-def _key_rule(df: DataFrame, rule: Rule) -> DataFrame:
-    """Keys that occur more than once; a NULL primary key fails row by row."""
-    per_key = df.groupBy(F.col(rule.spec).alias("k")).agg(F.count("*").alias("n"))
-    failed = "count_if(k IS NOT NULL AND n > 1)"
-    if rule.kind == "pk":
-        failed += " + coalesce(sum(n) FILTER (WHERE k IS NULL), 0)"
-    return _result(per_key.selectExpr("coalesce(sum(n), 0) AS checked", f"{failed} AS r0"), [rule], ["r0"])
-
-
-def _fk_rule(tables: dict[str, DataFrame], rule: Rule) -> DataFrame:
-    """Rows whose parent is missing. NULL counts where the column must be set."""
-    column, parent = rule.spec
-    required = column in TABLES[rule.table].not_null
-    per_key = tables[rule.table].groupBy(F.col(column).alias("k")).agg(F.count("*").alias("n"))
-    keys = tables[parent].selectExpr(f"{TABLES[parent].primary_key} AS k", "TRUE AS found").distinct()
-    missing = "found IS NULL" if required else "found IS NULL AND k IS NOT NULL"
-    counted = per_key.join(keys, "k", "left").selectExpr(
-        "coalesce(sum(n), 0) AS checked", f"coalesce(sum(n) FILTER (WHERE {missing}), 0) AS r0"
+def _column(rule: Rule) -> str:
+    """The counted column of a key or reference rule, with its table."""
+    return f"{rule.table}.{rule.spec[0] if rule.kind == 'fk' else rule.spec}"
+
+
+def _parent_column(rule: Rule) -> str | None:
+    return f"{rule.spec[1]}.{TABLES[rule.spec[1]].primary_key}" if rule.kind == "fk" else None
+
+
+def _key_counts(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
+    """(column_name, k, n): rows per value of each column the rules name, one scan per table."""
+    wanted = dict.fromkeys(c for r in rules for c in (_column(r), _parent_column(r)) if c)
+    by_table: dict[str, list[str]] = {}
+    for column in wanted:
+        by_table.setdefault(column.split(".")[0], []).append(column.split(".")[1])
+    parts = []
+    for name, columns in by_table.items():
+        values = ", ".join(f"struct('{name}.{c}' AS column_name, cast({c} AS string) AS k)" for c in columns)
+        parts.append(tables[name].selectExpr(f"inline(array({values}))").groupBy("column_name", "k").agg(F.count("*").alias("n")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _key_rules(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
+    """Results of all uniqueness and reference rules.
+
+    A value that occurs more than once fails its uniqueness rule once; a NULL
+    primary key fails row by row. A reference fails per row whose parent is
+    missing; NULL counts where the column must be set.
+    """
+    counts = stage(_key_counts(tables, rules), "key-counts")
+
+    def literal(value: object) -> str:
+        return "cast(null AS string)" if value is None else str(value).lower() if isinstance(value, bool) else f"'{value}'"
+
+    declared = ", ".join(
+        f"struct({_outcome(r)}, {literal(_column(r))} AS column_name, {literal(_parent_column(r))} AS parent_column, "
+        f"'{r.kind}' AS kind, {literal(r.kind == 'fk' and r.spec[0] in TABLES[r.table].not_null)} AS must_be_set)"
+        for r in rules
+    )
+    # One row per rule; each has a row without value as well, so that empty tables are reported.
+    named = counts.sparkSession.range(1).selectExpr(f"inline(array({declared}))")
+    values = counts.join(named, "column_name").unionByName(named.withColumns({"k": F.lit(None).cast("string"), "n": F.lit(None).cast("bigint")}))
+    is_reference = F.col("kind") == "fk"
+    parents = counts.join(named.where(is_reference).selectExpr("parent_column AS column_name").distinct(), "column_name", "left_semi")
+    found = parents.selectExpr("column_name AS parent_column", "k", "TRUE AS found")
+    referring = values.where(is_reference).join(found, ["parent_column", "k"], "left")
+    missing = F.col("found").isNull() & (F.col("k").isNotNull() | F.col("must_be_set"))
+    referring = referring.withColumn("bad", F.when(missing, F.col("n")))
+    repeated = F.when(F.col("k").isNotNull(), (F.col("n") > 1).cast("bigint")).when(F.col("kind") == "pk", F.col("n"))
+    unique = values.where(~is_reference).withColumn("bad", repeated)
+    outcome = ("rule_id", "table_name", "dimension", "severity", "allowed")
+    judged = unique.select(*outcome, "n", "bad").unionByName(referring.select(*outcome, "n", "bad"))
+    return judged.groupBy(*outcome).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("checked"), F.coalesce(F.sum("bad"), F.lit(0)).alias("failed")
     )
-    return _result(counted, [rule], ["r0"])
 
 
 def sum_mismatches(orders: DataFrame, items: DataFrame, tolerance: Decimal = SUM_TOLERANCE) -> DataFrame:
@@ -182,12 +220,11 @@ def dq_run(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
         scanned = [r for r in rules if r.table == name and r.kind in ("row", "rows")]
         if scanned:
             parts.append(_row_rules(tables[name], scanned))
+    keyed = [r for r in rules if r.kind in ("pk", "unique", "fk")]
+    if keyed:
+        parts.append(_key_rules(tables, keyed))
     for rule in rules:
-        if rule.kind in ("pk", "unique"):
-            parts.append(_key_rule(tables[rule.table], rule))
-        elif rule.kind == "fk":
-            parts.append(_fk_rule(tables, rule))
-        elif rule.kind == "sum":
+        if rule.kind == "sum":
             parts.append(_differing(sum_mismatches(tables["orders"], tables["order_items"], rule.spec), rule))
         elif rule.kind == "owner":
             parts.append(_differing(owner_mismatches(tables["invoices"], tables["orders"]), rule))
@@ -242,15 +279,15 @@ def dq_date_range(orders: DataFrame, start: date = DATE_START, end: date = DATE_
 # ---- profiles, drift, equality -----------------------------------------------
 
 
-def dq_profile(df: DataFrame, columns: Iterable[str] | None = None, approximate: bool = False) -> DataFrame:
+def dq_profile(df: DataFrame, columns: Iterable[str] | None = None, exact: Iterable[str] = ()) -> DataFrame:
     """Rows, NULLs, distinct values, least and greatest value per column.
 
-    Exact distinct counts go through (column, value) groups, merged before the
-    shuffle, in one pass for all columns. ``approximate`` uses sketches instead:
-    a single aggregate without any shuffle of values.
+    One aggregate with sketches of the distinct values, without any shuffle of
+    values. Columns named in ``exact`` are counted exactly instead: their (column,
+    value) groups are merged before the shuffle, in one pass for all of them.
     """
-    names = list(columns or df.columns)
-    distinct = {c: F.approx_count_distinct(c) if approximate else F.lit(None).cast("bigint") for c in names}
+    names, exact = list(columns or df.columns), set(exact)
+    distinct = {c: F.lit(None).cast("bigint") if c in exact else F.approx_count_distinct(c) for c in names}
     stats = df.agg(
         F.count("*").alias("rows"),
         *(
@@ -266,43 +303,43 @@ def dq_profile(df: DataFrame, columns: Iterable[str] | None = None, approximate:
     )
     stats = stats.select("rows", F.explode(F.array(*(f"s{i}" for i in range(len(names))))).alias("s"))
     stats = stats.select("s.column_name", "rows", "s.nulls", "s.distinct_values", "s.min_value", "s.max_value")
-    if approximate:
+    counted = [c for c in names if c in exact]
+    if not counted:
         return stats
-    pairs = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in names))
+    pairs = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in counted))
     values = df.select(F.explode(pairs).alias("p")).select("p.*").where("value IS NOT NULL").distinct()
-    counts = values.groupBy("column_name").agg(F.count("*").alias("distinct_values"))
-    return (
-        stats.drop("distinct_values")
-        .join(counts, "column_name", "left")
-        .select("column_name", "rows", "nulls", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"), "min_value", "max_value")
-    )
-
-
-def _columns_of(df: DataFrame, side: str) -> DataFrame:
-    """Columns of a table with their type and how many rows fill them."""
-    counted = df.agg(*(F.count(c).alias(f"c{i}") for i, c in enumerate(df.columns)))
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias(f"{side}_type"),
-                F.col(f"c{i}").alias(f"{side}_filled"),
-            )
-            for i, f in enumerate(df.schema.fields)
+    counts = values.groupBy("column_name").agg(F.count("*").alias("counted_values"))
+    found = F.coalesce("distinct_values", "counted_values", F.lit(0)).alias("distinct_values")
+    return stats.join(counts, "column_name", "left").select("column_name", "rows", "nulls", found, "min_value", "max_value")
+
+
+def _columns_of(df: DataFrame, side: str, fills: bool) -> DataFrame:
+    """Columns of a table with their type and, if asked for, how many rows fill them."""
+    named = [
+        F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias(f"{side}_type"),
+            *([F.col(f"c{i}").alias(f"{side}_filled")] if fills else []),
         )
-    )
-    return counted.select(F.explode(rows).alias("r")).select("r.*")
+        for i, f in enumerate(df.schema.fields)
+    ]
+    source = df.agg(*(F.count(c).alias(f"c{i}") for i, c in enumerate(df.columns))) if fills else df.sparkSession.range(1)
+    return source.select(F.explode(F.array(*named)).alias("r")).select("r.*")
 
 
-def dq_schema_drift(previous: DataFrame, current: DataFrame) -> DataFrame:
-    """Columns added, removed, retyped or unchanged between two snapshots."""
+def dq_schema_drift(previous: DataFrame, current: DataFrame, fills: bool = False) -> DataFrame:
+    """Columns added, removed, retyped or unchanged between two snapshots.
+
+    The schemas tell; no row is read unless ``fills`` asks how many rows fill each column.
+    """
     change = (
         F.when(F.col("previous_type").isNull(), "added")
         .when(F.col("current_type").isNull(), "removed")
         .when(F.col("previous_type") != F.col("current_type"), "retyped")
         .otherwise("unchanged")
     )
-    return _columns_of(previous, "previous").join(_columns_of(current, "current"), "column_name", "full").withColumn("change", change)
+    before, after = _columns_of(previous, "previous", fills), _columns_of(current, "current", fills)
+    return before.join(after, "column_name", "full").withColumn("change", change)
 
 
 def dq_agg_match(source: DataFrame, target: DataFrame, measures: Iterable[str]) -> DataFrame:
@@ -332,7 +369,7 @@ def dq_timeliness(manifest: DataFrame, deadline: time = time(8, 0)) -> DataFrame
     due = F.date_add("snapshot_date", 1).cast("timestamp_ntz") + F.make_dt_interval(
         hours=F.lit(deadline.hour), mins=F.lit(deadline.minute)
     )
-    done = F.col("run_timestamp") + F.make_dt_interval(secs=F.floor("duration_seconds").cast("decimal(18,6)"))
+    done = F.col("run_timestamp") + F.make_dt_interval(secs=F.col("duration_seconds").cast("decimal(18,6)"))
     return (
         manifest.where("table_name IS NULL AND status = 'COMPLETE'")
         .groupBy("snapshot_date")
@@ -350,18 +387,23 @@ def dq_snapshot_gate(
     longest: timedelta = timedelta(minutes=30),
     sizes: DataFrame | None = None,
     size_range: tuple[float, float] = (0.5, 2.0),
+    profile: DataFrame | None = None,
+    sample: DataFrame | None = None,
+    fmt: str = "parquet",
 ) -> DataFrame:
     """The gate a snapshot passes before anyone reads it.
 
     Blocking: equal counts, readable files, every table, completion marker.
     Warning: export time, unchanged schema and, given ``sizes``, table sizes within
-    a range of the snapshot before. ``row_recon`` has read the staged files, so a
-    count is proof that they are readable.
+    a range of the snapshot before. For information: given a ``profile``, columns
+    without any value, and given a ``sample`` comparison, columns that differ from
+    the source. ``row_recon`` has read the staged files, so a count is proof that
+    they are readable; a table counts as there if readers would get it.
     """
     expected = list(expected)
     today = manifest.where(F.col("snapshot_date") == F.lit(day))
     run = today.where("table_name IS NULL AND status = 'COMPLETE'")
-    exported = today.where(F.col("table_name").isin(*expected) & (F.col("status") == "success"))
+    exported = readable_tables(today, fmt).where(F.col("table_name").isin(*expected))
 
     def rules(df: DataFrame, *parts: tuple[str, str, str, str]) -> DataFrame:
         """Rules (id, severity, checked, failed) that one pass over ``df`` answers."""
@@ -392,7 +434,11 @@ def dq_snapshot_gate(
     if sizes is not None:
         low, high = size_range
         gate.append(rules(sizes, ("file_size", MINOR, "count(*)", f"count_if(ratio NOT BETWEEN {low} AND {high})")))
-    status = F.when(F.col("failed") == 0, "PASS").when(F.col("severity") == MINOR, "WARN").otherwise("FAIL")
+    if profile is not None:
+        gate.append(rules(profile, ("column_statistics", INFO, "count(*)", "count_if(nulls = rows)")))
+    if sample is not None:
+        gate.append(rules(sample, ("sample", INFO, "count(*)", "count_if(differing > 0 OR unpaired > 0)")))
+    status = F.when(F.col("failed") == 0, "PASS").when(F.col("severity") == MINOR, "WARN").when(F.col("severity") == INFO, "INFO").otherwise("FAIL")
     return reduce(DataFrame.unionByName, gate).withColumn("status", status)
 
 

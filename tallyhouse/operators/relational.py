@@ -11,8 +11,6 @@ from ..functions.money import ZERO
 from ..functions.text import has_word, masked_digits, masked_email
 from ..schemas import NON_REVENUE_STATUSES
 
-NULL_KEY_SPREAD = 64
-
 
 def revenue_orders(orders: DataFrame) -> DataFrame:
     """Orders that count as revenue. A NULL status is dropped, as in SQL."""
@@ -85,9 +83,11 @@ def anti_join_spread(child: DataFrame, fk: str, parent: DataFrame, parent_key: s
     """Rows of ``child`` without a parent; a NULL key counts as without.
 
     NULL keys match nothing, yet a shuffle on the key alone would send all of
-    them to one task. A second key column, constant for real keys, spreads them.
+    them to one task. A second key column, constant for real keys, spreads them
+    over as many values as a shuffle has partitions.
     """
-    spread = F.when(F.col(fk).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(NULL_KEY_SPREAD))).otherwise(F.lit(0))
+    tasks = int(child.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.when(F.col(fk).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(tasks))).otherwise(F.lit(0))
     keys = parent.select(F.col(parent_key).alias("_key"), F.lit(0).cast("bigint").alias("_spread"))
     left = child.withColumn("_child_spread", spread.cast("bigint"))
     on = (left[fk] == keys["_key"]) & (left["_child_spread"] == keys["_spread"])

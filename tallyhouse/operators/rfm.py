@@ -6,6 +6,7 @@ from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql.types import DecimalType
 
 from .relational import revenue_orders
 from ..workspace import stage
@@ -16,7 +17,7 @@ FREQUENCY_ORDERS = ((10, 5), (6, 4), (3, 3), (2, 2))
 MONETARY_CUTS = (("0.90", 5), ("0.75", 4), ("0.50", 3), ("0.25", 2))
 SEGMENTS = ("Champions", "Loyal", "Potential", "At Risk", "Hibernating", "New")
 
-# Digits of the order-statistic search: 3 x 21 bits cover every amount in cents.
+# Digits of the order-statistic search: 3 x 21 bits cover every 64-bit number.
 _SHIFTS = (42, 21, 0)
 
 
@@ -49,8 +50,7 @@ def _first_digit(values: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bucket of the highest digit each wanted rank falls in.
 
     There are two ranks per cut, so they travel as one small array instead of a
-    join without key. The window runs over buckets, of which 44 billion currency
-    units share one.
+    join without key. The window runs over buckets of 2^42 units of the last digit.
     """
     ranks = wanted.select(F.collect_list(F.struct("cut", "spot", "rank"))).scalar()
     histogram = values.groupBy(F.shiftright("v", _SHIFTS[0]).alias("prefix")).agg(F.count("*").alias("n"))
@@ -62,7 +62,7 @@ def _first_digit(values: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def exact_percentiles(df: DataFrame, amount: str, cuts: list[str]) -> DataFrame:
-    """Exact interpolated percentiles of a two-digit decimal, as one row p0, p1, …
+    """Exact interpolated percentiles of a decimal column, as one row p0, p1, …
 
     The built-in exact ``percentile`` gathers every distinct value in one task.
     Here the wanted ranks are narrowed down instead, 21 bits at a time: each pass
@@ -70,15 +70,26 @@ def exact_percentiles(df: DataFrame, amount: str, cuts: list[str]) -> DataFrame:
     bucket each rank falls in. At most 2^21 buckets per open prefix are ever
     ranked, whatever the number of rows.
 
-    ``df`` is read once per pass, so hand in a staged table.
+    All digits of the column count. A value that does not fit 64 bits in units of
+    its last digit fails the query; nothing is rounded. ``df`` is read once per
+    pass, so hand in a staged table.
     """
-    values = df.where(F.col(amount).isNotNull()).select((F.col(amount) * 100).cast("bigint").alias("v"))
+    kind = df.schema[amount].dataType
+    if not isinstance(kind, DecimalType):
+        raise TypeError(f"{amount} must be a decimal, not {kind.simpleString()}")
+    points = [Decimal(c) for c in cuts]
+    if any(not 0 <= p <= 1 for p in points):
+        raise ValueError("cuts lie between 0 and 1")
+    digits = max(1, *(-p.as_tuple().exponent for p in points))
+    exact_cut = f"decimal({digits + 1},{digits})"
+    units = (F.col(amount) * F.lit(Decimal(10**kind.scale))).cast("bigint")
+    values = df.where(F.col(amount).isNotNull()).select(units.alias("v"))
     rows = values.agg(F.count("*").alias("n"))
     # Rank of a cut: (n - 1) * cut, in exact decimals; its two neighbours are looked up.
     spot = (F.col("n") - 1).cast("decimal(20,0)") * F.col("cut")
     wanted = (
         rows.where("n > 0")
-        .select("n", F.explode(F.array(*(F.lit(Decimal(c)).cast("decimal(3,2)") for c in cuts))).alias("cut"))
+        .select("n", F.explode(F.array(*(F.lit(p).cast(exact_cut) for p in points))).alias("cut"))
         .select("cut", spot.alias("spot"))
         .select("cut", "spot", F.explode(F.array_distinct(F.array(F.floor("spot"), F.ceil("spot")))).alias("rank"))
         .select("cut", "spot", F.col("rank").cast("bigint").alias("rank"))
@@ -97,13 +108,13 @@ def exact_percentiles(df: DataFrame, amount: str, cuts: list[str]) -> DataFrame:
             .where(inside)
             .select("cut", "spot", "rank", F.col("bucket").alias("prefix"), (F.col("rest") - F.col("before")).alias("rest"))
         )
-    cents = F.col("prefix").cast("decimal(25,2)") * Decimal("0.01")
-    low = F.min(F.struct("rank", cents.alias("value")))["value"]
-    high = F.max(F.struct("rank", cents.alias("value")))["value"]
+    unit = F.col("prefix").cast("decimal(20,0)")
+    low = F.min(F.struct("rank", unit.alias("value")))["value"]
+    high = F.max(F.struct("rank", unit.alias("value")))["value"]
     by_cut = found.groupBy("cut", "spot").agg(low.alias("low"), high.alias("high"))
     value = F.col("low") + (F.col("high") - F.col("low")) * (F.col("spot") - F.floor("spot"))
-    by_cut = by_cut.select("cut", value.alias("value"))
-    return by_cut.agg(*(F.max(F.when(F.col("cut") == Decimal(c), F.col("value"))).alias(f"p{i}") for i, c in enumerate(cuts)))
+    by_cut = by_cut.select("cut", (value * F.lit(Decimal(1).scaleb(-kind.scale))).alias("value"))
+    return by_cut.agg(*(F.max(F.when(F.col("cut") == F.lit(p).cast(exact_cut), F.col("value"))).alias(f"p{i}") for i, p in enumerate(points)))
 
 
 def recency_score(days: Column) -> Column:

@@ -1,12 +1,16 @@
 """Star schema: dimensions, history, facts, business codes.
 
-Surrogate keys are hashes of the natural key: stable between runs, computed
-wherever a row is, so facts need no lookup join and no global numbering.
+Surrogate keys are hashes of the source key: stable between runs, computed
+wherever a row is, so facts need no lookup join and no global numbering. A NULL
+key is never hashed: it is the key of the unknown member every dimension has.
+``fact_dim_integrity`` counts fact rows without a dimension row and dimension keys
+that occur twice, be it by a copy or by a collision.
 """
 
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -16,11 +20,29 @@ from ..functions.text import business_code, full_name
 from ..workspace import stage
 from .views import paid_per_order
 
-UNKNOWN_CHANNEL = "Unknown"
+UNKNOWN = "Unknown"
+
+
+UNKNOWN_KEY = -1
 
 
 def surrogate_key(*natural: Column | str) -> Column:
-    return F.xxhash64(*natural)
+    """A hash of the key columns, or the unknown key where one of them is NULL."""
+    columns = [F.col(c) if isinstance(c, str) else c for c in natural]
+    missing = reduce(lambda a, b: a | b, (c.isNull() for c in columns))
+    return F.when(missing, F.lit(UNKNOWN_KEY).cast("bigint")).otherwise(F.xxhash64(*columns))
+
+
+def id_key(column: Column | str) -> Column:
+    """Key of a customer or product by its id, whatever integer type the source has."""
+    return surrogate_key((F.col(column) if isinstance(column, str) else column).cast("bigint"))
+
+
+def with_unknown(dimension: DataFrame, key: str, label: str) -> DataFrame:
+    """The dimension and its unknown member: the unknown key, a label, all else NULL."""
+    values = {key: UNKNOWN_KEY, label: UNKNOWN}
+    row = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in dimension.schema.fields]
+    return dimension.unionByName(dimension.sparkSession.range(1).select(*row))
 
 
 def date_key(day: Column) -> Column:
@@ -28,7 +50,7 @@ def date_key(day: Column) -> Column:
 
 
 def channel_name(channel: Column) -> Column:
-    return F.coalesce(channel, F.lit(UNKNOWN_CHANNEL))
+    return F.coalesce(channel, F.lit(UNKNOWN))
 
 
 # ---- dimensions --------------------------------------------------------------
@@ -62,8 +84,8 @@ def dim_date_of(df: DataFrame, column: str) -> DataFrame:
 
 
 def dim_customer(customers: DataFrame) -> DataFrame:
-    return customers.select(
-        surrogate_key("customer_code").alias("customer_key"),
+    found = customers.select(
+        id_key("id").alias("customer_key"),
         F.col("id").alias("customer_id"),
         "customer_code",
         full_name(F.col("first_name"), F.col("last_name")).alias("customer_name"),
@@ -74,14 +96,15 @@ def dim_customer(customers: DataFrame) -> DataFrame:
         "registration_date",
         "is_active",
     )
+    return with_unknown(found, "customer_key", "customer_name")
 
 
 def dim_product(products: DataFrame, categories: DataFrame) -> DataFrame:
     c = categories.select(
         F.col("id").alias("category_id"), F.col("name").alias("category_name"), F.col("parent_id").alias("parent_category_id")
     )
-    return products.join(c, "category_id", "left").select(
-        surrogate_key("sku").alias("product_key"),
+    found = products.join(c, "category_id", "left").select(
+        id_key(products.id).alias("product_key"),
         F.col("id").alias("product_id"),
         "sku",
         products.name.alias("product_name"),
@@ -92,12 +115,14 @@ def dim_product(products: DataFrame, categories: DataFrame) -> DataFrame:
         "cost_price",
         "is_active",
     )
+    return with_unknown(found, "product_key", "product_name")
 
 
 def dim_channel(orders: DataFrame) -> DataFrame:
-    return orders.select(channel_name(F.col("channel")).alias("channel")).distinct().select(
-        surrogate_key("channel").alias("channel_key"), "channel"
-    )
+    """Channels of the orders, and the one of rows whose channel or order is not known."""
+    unknown = orders.sparkSession.range(1).select(F.lit(UNKNOWN).alias("channel"))
+    named = orders.select(channel_name(F.col("channel")).alias("channel")).unionByName(unknown).distinct()
+    return named.select(surrogate_key("channel").alias("channel_key"), "channel")
 
 
 def dim_customer_scd2(snapshots: DataFrame, tracked: list[str], pk: str = "id", day: str = "snapshot_date") -> DataFrame:
@@ -138,6 +163,41 @@ def dim_customer_scd2(snapshots: DataFrame, tracked: list[str], pk: str = "id",
     )
 
 
+def scd2_apply(history: DataFrame, snapshot: DataFrame, day: date, tracked: list[str], pk: str = "id") -> DataFrame:
+    """A stored type-2 history with the snapshot of one more day applied.
+
+    The result equals a rebuild from all snapshots up to ``day``. Only open
+    versions take part in the join; closed ones pass by.
+    """
+    state = F.struct(*tracked)
+    today = snapshot.groupBy(pk).agg(F.max(state).alias("_today"))
+    open_rows = history.where("is_current").select(F.col(pk), "version_key", state.alias("_state"), "valid_from")
+    # Outer join on a key that may be NULL in neither: a key is one row on either side.
+    both = open_rows.join(today, pk, "full")
+    stays = F.col("version_key").isNotNull() & F.col("_today").isNotNull() & F.equal_null("_state", "_today")
+    new_day = F.lit(day)
+
+    def version(key: Column, of: Column, start: Column, end: Column) -> Column:
+        return F.struct(key.alias("version_key"), of.alias("state"), start.alias("valid_from"), end.alias("valid_to"))
+
+    never = F.lit(None).cast("date")
+    old = F.when(
+        F.col("version_key").isNotNull(),
+        version(F.col("version_key"), F.col("_state"), F.col("valid_from"), F.when(~stays, new_day).otherwise(never)),
+    )
+    opened = F.when(
+        F.col("_today").isNotNull() & ~stays,
+        version(surrogate_key(F.col(pk), new_day), F.col("_today"), new_day, never),
+    )
+    now = both.select(pk, F.explode(F.array_compact(F.array(old, opened))).alias("v"))
+    columns = ("version_key", pk, *tracked, "valid_from", "valid_to", "is_current")
+    applied = now.select(
+        "v.version_key", pk, *(F.col(f"v.state.{c}").alias(c) for c in tracked), "v.valid_from", "v.valid_to",
+        F.col("v.valid_to").isNull().alias("is_current"),
+    )
+    return history.where(~F.col("is_current")).select(*columns).unionByName(applied.select(*columns))
+
+
 def jn_scd2_lookup(facts: DataFrame, history: DataFrame, key: str, day: str, pk: str = "id") -> DataFrame:
     """Facts with the dimension version valid on their day; NULLs if there was none."""
     h = history.withColumnsRenamed({pk: "_pk", "valid_from": "version_from", "valid_to": "version_to"})
@@ -155,6 +215,7 @@ def fact_order(orders: DataFrame, payments: DataFrame) -> DataFrame:
         orders.id.alias("order_id"),
         "order_number",
         "customer_id",
+        id_key("customer_id").alias("customer_key"),
         surrogate_key(channel_name(F.col("channel"))).alias("channel_key"),
         date_key(F.col("order_date")).alias("date_key"),
         "order_date",
@@ -171,14 +232,18 @@ def fact_order(orders: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def fact_orderline(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Order lines with their keys, the recomputed line total, cost and margin."""
+    """Every order line with its keys, the recomputed line total, cost and margin.
+
+    A line whose order or product is not known keeps its amounts; what the order
+    or product would add is NULL, and the keys are those of the unknown members.
+    """
     o = orders.select(
         F.col("id").alias("order_id"), "order_number", "customer_id", "order_date", "channel", F.col("status").alias("order_status")
     )
-    p = products.select(F.col("id").alias("product_id"), "sku", "cost_price")
+    p = products.select(F.col("id").alias("product_id"), "cost_price")
     cost = (F.col("quantity") * F.col("cost_price")).cast("decimal(15,2)")
     return (
-        items.join(o, "order_id")
+        items.join(o, "order_id", "left")
         .join(p, "product_id", "left")
         .select(
             items.id.alias("order_item_id"),
@@ -186,7 +251,8 @@ def fact_orderline(items: DataFrame, orders: DataFrame, products: DataFrame) ->
             "order_number",
             "customer_id",
             "product_id",
-            surrogate_key("sku").alias("product_key"),
+            id_key("customer_id").alias("customer_key"),
+            id_key("product_id").alias("product_key"),
             surrogate_key(channel_name(F.col("channel"))).alias("channel_key"),
             date_key(F.col("order_date")).alias("date_key"),
             "order_date",
@@ -210,6 +276,7 @@ def fact_payment(payments: DataFrame, orders: DataFrame) -> DataFrame:
         "payment_code",
         "order_id",
         "customer_id",
+        id_key("customer_id").alias("customer_key"),
         surrogate_key(channel_name(F.col("channel"))).alias("channel_key"),
         date_key(F.col("payment_date")).alias("date_key"),
         "payment_date",
@@ -229,6 +296,7 @@ def fact_invoice(invoices: DataFrame, orders: DataFrame) -> DataFrame:
         "invoice_number",
         "order_id",
         "customer_id",
+        id_key("customer_id").alias("customer_key"),
         surrogate_key(channel_name(F.col("channel"))).alias("channel_key"),
         date_key(F.col("invoice_date")).alias("date_key"),
         "invoice_date",
@@ -242,6 +310,34 @@ def fact_invoice(invoices: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+# ---- integrity ---------------------------------------------------------------
+
+
+def fact_dim_integrity(facts: dict[str, DataFrame], dimensions: dict[str, DataFrame]) -> DataFrame:
+    """Per fact and dimension: rows, rows of the unknown member, rows without dimension row, repeated keys.
+
+    A dimension's first column is its key; facts carry it under the same name.
+    Fact rows are counted per key before they meet the dimension.
+    """
+    parts = []
+    for fact_name, fact in facts.items():
+        for name, dimension in dimensions.items():
+            key = dimension.columns[0]
+            if key not in fact.columns:
+                continue
+            used = fact.groupBy(F.col(key).alias("k")).agg(F.count("*").alias("rows"))
+            keys = dimension.groupBy(F.col(key).alias("k")).agg(F.count("*").alias("times"))
+            parts.append(
+                used.join(keys, "k", "full").agg(
+                    F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+                    F.coalesce(F.sum(F.when(F.col("k") == UNKNOWN_KEY, F.col("rows"))), F.lit(0)).alias("unknown_rows"),
+                    F.coalesce(F.sum(F.when(F.col("times").isNull(), F.col("rows"))), F.lit(0)).alias("rows_without_member"),
+                    F.count_if(F.col("times") > 1).alias("repeated_keys"),
+                ).select(F.lit(fact_name).alias("fact"), F.lit(name).alias("dimension"), "*")
+            )
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ---- codes -------------------------------------------------------------------
 
 

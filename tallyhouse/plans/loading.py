@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import warehouse as wh
 from ..schemas import INVOICES, ORDERS, PAYMENTS, PRODUCTS, TABLES
-from ..sources import incremental as inc, sinks, snapshots as snap, tables as src
+from ..sources import incremental as inc, sinks, snapshots as snap, tables as src, versions
 from ..sources.binding import Tables
 from ..streaming import refresh
 from ..workspace import fresh_path
@@ -30,6 +30,10 @@ def snapshot_root(t: Tables) -> str:
     return fresh_path(t.spark, "staging")
 
 
+def schema_of(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 # ---- sources and sinks -------------------------------------------------------
 
 
@@ -89,10 +93,10 @@ def snk_table_append(t: Tables) -> DataFrame:
 @query
 def snk_warehouse_write(t: Tables) -> DataFrame:
     root = fresh_path(t.spark, "warehouse")
-    fact = wh.fact_invoice(t.invoices, t.orders).drop("channel_key")
-    path = sinks.snk_warehouse_write(fact, root, "dw", "fact_invoice", partition_by="accounting_period")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fact.schema.fields)
-    return t.spark.read.schema(schema).parquet(path)
+    fact = wh.fact_invoice(t.invoices, t.orders).drop("channel_key", "customer_key")
+    for rows in (fact.where("invoice_status <> 'Paid'"), fact):  # the second version replaces what the first had
+        path = sinks.snk_warehouse_write(rows, root, "dw", "fact_invoice", partition_by="accounting_period")
+    return versions.read_current(t.spark, path, schema_of(fact))
 
 
 # ---- snapshots ---------------------------------------------------------------
@@ -136,10 +140,11 @@ def snap_runs(t: Tables) -> DataFrame:
 
 @query
 def snap_size_change(t: Tables) -> DataFrame:
+    """Which tables take more room than the day before: rows came, went or stayed away."""
     root = snapshot_root(t)
-    for day in (BEFORE, AS_OF):
-        snap.snap_write(bound(t, "customers", "order_items"), root, day)
-    return snap.snap_size_change(t.spark, root, AS_OF).select("table_name", "ratio")
+    snap.snap_write({"customers": t.customers, "order_items": t.order_items.where("quantity <= 10")}, root, BEFORE)
+    snap.snap_write({"customers": t.customers.where("is_active"), "order_items": t.order_items}, root, AS_OF)
+    return snap.snap_size_change(t.spark, root, AS_OF).select("table_name", (F.col("ratio") > 1).alias("grown"))
 
 
 @query
@@ -182,6 +187,25 @@ def snap_complete(t: Tables) -> DataFrame:
     return orders.groupBy("snapshot_date").agg(F.count("*").alias("orders"), F.sum("total_amount").alias("amount"))
 
 
+@query
+def snap_rerun(t: Tables) -> DataFrame:
+    """A whole run, one of a single table and a failed one on the same day."""
+    root = snapshot_root(t)
+    snap.snap_write(bound(t, "customers", "orders", "payments"), root, AS_OF)
+    snap.snap_write({"customers": t.customers.where("is_active")}, root, AS_OF)
+    broken = t.customers.withColumn("email", F.raise_error(F.lit("source went away")).cast("string"))
+    try:
+        snap.snap_write({"orders": t.orders.where("status = 'Pending'"), "customers": broken}, root, AS_OF, parallel=1)
+    except Exception:  # the manifest has the failure
+        pass
+    by_day = [snap.snap_as_of(t.spark, root, n, AS_OF) for n in ("customers", "orders", "payments")]
+    newest = [snap.snap_latest(t.spark, root, n) for n in ("customers", "orders", "payments")]
+    named = zip(("customers", "orders", "payments") * 2, by_day + newest)
+    return stack([src.src_row_count(df, name) for name, df in named]).groupBy("table_name").agg(
+        F.min("row_count").alias("fewest"), F.max("row_count").alias("most")
+    )
+
+
 @query
 def snap_row_recon(t: Tables) -> DataFrame:
     root = snapshot_root(t)
@@ -210,20 +234,29 @@ def snap_storage_stats(t: Tables) -> DataFrame:
     tables = bound(t, "customers", "orders", "payments")
     snap.snap_write(tables, root, AS_OF, "csv")
     snap.snap_write(tables, root, AS_OF, "parquet")
-    return snap.snap_storage_stats(t.spark, root)
+    stats = snap.snap_storage_stats(t.spark, root)
+    return stats.select(
+        "table_name",
+        (F.col("csv_files") > 0).alias("has_csv"),
+        (F.col("parquet_files") > 0).alias("has_parquet"),
+        F.col("percent_smaller").isNotNull().alias("compared"),
+    )
 
 
 @query
 def snap_retention(t: Tables) -> DataFrame:
-    expired = snap.snap_retention(snap.snap_manifest(t.spark, _history(t)), AS_OF)
+    newest = t.orders.agg(F.max("order_date")).first()[0]
+    expired = snap.snap_retention(snap.snap_manifest(t.spark, _history(t)), newest)
     return expired.select("snapshot_date", "table_name", "rows", "age_days")
 
 
 @query
 def snap_compact(t: Tables) -> DataFrame:
-    path = fresh_path(t.spark, "small-files")
-    t.order_items.repartition(64).write.parquet(path)
-    return t.spark.read.parquet(snap.snap_compact(t.spark, path)).select("id", "order_id", "product_id", "line_total")
+    root = snapshot_root(t)
+    snap.snap_write({"order_items": t.order_items.repartition(64), "customers": t.customers}, root, AS_OF)
+    snap.snap_compact(t.spark, root, "order_items", AS_OF)
+    compacted = snap.snap_latest(t.spark, root, "order_items")
+    return compacted.select("snapshot_date", "id", "order_id", "product_id", "line_total")
 
 
 # ---- increments --------------------------------------------------------------
@@ -255,12 +288,11 @@ def inc_merge_latest(t: Tables) -> DataFrame:
 def fact_merge(t: Tables) -> DataFrame:
     month = F.trunc("order_date", "month").alias("order_month")
     columns = ("id", "order_number", "customer_id", "order_date", "status", "total_amount", "updated_at")
-    path = sinks.snk_warehouse_write(
-        t.orders.select(*columns, month), fresh_path(t.spark, "warehouse"), "dw", "fact_order", partition_by="order_month"
-    )
-    for _ in range(2):  # merging the same delta again changes nothing
-        inc.merge_into_dates(t.spark, path, t.order_changes.select(*columns, month), "order_month")
-    return t.spark.read.parquet(path)
+    table, changes = t.orders.select(*columns, month), t.order_changes.select(*columns, month)
+    path = sinks.snk_warehouse_write(table, fresh_path(t.spark, "warehouse"), "dw", "fact_order", partition_by="order_month")
+    for check in (True, False):  # merging the same delta again changes nothing
+        inc.merge_into_dates(t.spark, path, changes, "order_month", check_moved=check)
+    return versions.read_current(t.spark, path, schema_of(table))
 
 
 @query
@@ -308,6 +340,14 @@ def dim_customer_scd2(t: Tables) -> DataFrame:
     return wh.dim_customer_scd2(_customer_states(t), ["segment", "country"]).drop("version_key")
 
 
+@query
+def scd2_apply(t: Tables) -> DataFrame:
+    """The history of the first two days with the third applied."""
+    states, tracked, last = _customer_states(t), ["segment", "country"], date(2001, 8, 1)
+    stored = wh.dim_customer_scd2(states.where(F.col("snapshot_date") < F.lit(last)), tracked)
+    return wh.scd2_apply(stored, states.where(F.col("snapshot_date") == F.lit(last)), last, tracked).drop("version_key")
+
+
 @query
 def jn_scd2_lookup(t: Tables) -> DataFrame:
     history = wh.dim_customer_scd2(_customer_states(t), ["segment", "country"])
@@ -318,22 +358,40 @@ def jn_scd2_lookup(t: Tables) -> DataFrame:
 
 @query
 def fact_order(t: Tables) -> DataFrame:
-    return wh.fact_order(t.orders, t.payments).drop("channel_key")
+    return wh.fact_order(t.orders, t.payments).drop("channel_key", "customer_key")
 
 
 @query
 def fact_orderline(t: Tables) -> DataFrame:
-    return wh.fact_orderline(t.order_items, t.orders, t.products).drop("product_key", "channel_key")
+    return wh.fact_orderline(t.order_items, t.orders, t.products).drop("product_key", "channel_key", "customer_key")
 
 
 @query
 def fact_payment(t: Tables) -> DataFrame:
-    return wh.fact_payment(t.payments, t.orders).drop("channel_key")
+    return wh.fact_payment(t.payments, t.orders).drop("channel_key", "customer_key")
 
 
 @query
 def fact_invoice(t: Tables) -> DataFrame:
-    return wh.fact_invoice(t.invoices, t.orders).drop("channel_key")
+    return wh.fact_invoice(t.invoices, t.orders).drop("channel_key", "customer_key")
+
+
+@query
+def fact_dim_integrity(t: Tables) -> DataFrame:
+    """Facts over orders and products of which some are gone."""
+    orders, products = t.orders.where("status <> 'Shipped'"), t.products.where("stock_quantity > 10")
+    facts = {
+        "fact_orderline": wh.fact_orderline(t.order_items, orders, products),
+        "fact_payment": wh.fact_payment(t.payments, orders),
+        "fact_invoice": wh.fact_invoice(t.invoices, orders),
+        "fact_order": wh.fact_order(orders, t.payments),
+    }
+    dimensions = {
+        "customer": wh.dim_customer(t.customers),
+        "product": wh.dim_product(products, t.categories),
+        "channel": wh.dim_channel(orders),
+    }
+    return wh.fact_dim_integrity(facts, dimensions)
 
 
 @query
@@ -347,9 +405,10 @@ def util_code_sequence(t: Tables) -> DataFrame:
 
 @query
 def stream_sales_refresh(t: Tables) -> DataFrame:
+    """Orders in files of mixed months, two files a batch."""
     staged, out = fresh_path(t.spark, "orders-staged"), fresh_path(t.spark, "sales")
-    sinks.snk_parquet(t.orders, staged)
-    stream = refresh.read_staged_stream(t.spark, staged, "orders")
+    sinks.snk_parquet(t.orders.repartition(6, F.month("order_date")), staged)
+    stream = refresh.read_staged_stream(t.spark, staged, "orders", files_per_batch=2)
     refresh.stream_sales_refresh(stream, out, fresh_path(t.spark, "sales-checkpoint")).awaitTermination()
     return refresh.refreshed_sales(t.spark, out)
 
@@ -358,8 +417,8 @@ def stream_sales_refresh(t: Tables) -> DataFrame:
 def stream_recon_alerts(t: Tables) -> DataFrame:
     orders, payments = fresh_path(t.spark, "orders-staged"), fresh_path(t.spark, "payments-staged")
     out = fresh_path(t.spark, "alerts")
-    sinks.snk_parquet(t.orders, orders)
-    sinks.snk_parquet(t.payments, payments)
+    refresh.stage_by_order(t.orders, orders, "id")
+    refresh.stage_by_order(t.payments, payments, "order_id")
     stream = refresh.read_staged_stream(t.spark, payments, "payments")
     checkpoint = fresh_path(t.spark, "alerts-checkpoint")
     refresh.stream_recon_alerts(stream, orders, payments, out, checkpoint).awaitTermination()

@@ -68,9 +68,17 @@ WITH n AS (SELECT (SELECT count(*) FROM customer) AS c, (SELECT count(*) FROM or
 SELECT DATE '2001-06-01' AS snapshot_date, 'COMPLETE' AS status, 2::BIGINT AS tables, c + early AS rows FROM n
 UNION ALL SELECT DATE '2001-08-01', 'COMPLETE', 2, c + o FROM n
 UNION ALL SELECT DATE '2001-08-02', 'FAILED', 1, o FROM n"""
-SQL["snap_size_change"] = """
-SELECT 'customers' AS table_name, (count(*) / count(c_custkey))::DOUBLE AS ratio FROM customer
-UNION ALL SELECT 'order_items', (count(*) / count(l_orderkey))::DOUBLE FROM lineitem"""
+SQL["snap_size_change"] = over("c_customers", "c_order_items") + """
+SELECT 'customers' AS table_name, count(*) FILTER (is_active) > count(*) AS grown FROM c_customers
+UNION ALL SELECT 'order_items', count(*) > count(*) FILTER (quantity <= 10) FROM c_order_items"""
+SQL["snap_storage_stats"] = over("c_customers", "c_orders", "c_payments") + " UNION ALL ".join(
+    f" SELECT '{n}' AS table_name, count(*) > 0 AS has_csv, count(*) > 0 AS has_parquet, count(*) > 0 AS compared FROM c_{n}"
+    for n in ("customers", "orders", "payments")
+)
+SQL["snap_rerun"] = over("c_customers", "c_orders", "c_payments") + """
+SELECT 'customers' AS table_name, count(*) AS fewest, count(*) AS most FROM c_customers WHERE is_active
+UNION ALL SELECT 'orders', count(*), count(*) FROM c_orders
+UNION ALL SELECT 'payments', count(*), count(*) FROM c_payments"""
 SQL["snap_latest"] = over("c_orders") + f"""
 SELECT {DAY} AS snapshot_date, id, total_amount::DOUBLE AS total_amount FROM c_orders"""
 SQL["snap_as_of"] = over("c_orders") + """
@@ -93,10 +101,12 @@ MERGED = over("c_order_changes") + """,
 merged AS (SELECT * FROM c_orders WHERE id NOT IN (SELECT id FROM c_order_changes)
            UNION ALL SELECT * FROM c_order_changes)"""
 
+# The compared columns of the order table.
 ORDER_COLUMNS = (
-    "order_number customer_id order_date order_timestamp status subtotal discount_amount tax_amount shipping_fee "
-    "total_amount channel shipping_address shipping_city shipping_phone customer_note internal_note created_at updated_at"
-).split()
+    "order_number", "customer_id", "order_date", "order_timestamp", "status", "subtotal", "discount_amount", "tax_amount",
+    "shipping_fee", "total_amount", "channel", "shipping_address", "shipping_city", "shipping_phone", "customer_note",
+    "internal_note", "created_at", "updated_at",
+)
 SQL["snap_sample_compare"] = MERGED + """,
 both_sides AS (SELECT o.*, m.* FROM (SELECT c_orders AS o FROM c_orders) o JOIN (SELECT merged AS m FROM merged) m
                ON o.o.id = m.m.id
@@ -114,12 +124,14 @@ SELECT coalesce(p.id, c.id) AS id,
             WHEN p.total_amount IS DISTINCT FROM c.total_amount OR p.updated_at IS DISTINCT FROM c.updated_at
               OR p.status IS DISTINCT FROM c.status THEN 'updated' ELSE 'unchanged' END AS change
 FROM prev p FULL OUTER JOIN cur c ON p.id = c.id"""
-SQL["snap_retention"] = over("c_orders") + """
-SELECT DATE '2001-06-01' AS snapshot_date, 'customers' AS table_name, count(*) AS rows, 61 AS age_days FROM customer
-UNION ALL
-SELECT DATE '2001-06-01', 'orders', count(*), 61 FROM c_orders WHERE order_date < DATE '2001-06-01'"""
+SQL["snap_retention"] = over("c_customers", "c_orders") + """,
+newest AS (SELECT max(order_date) AS today FROM c_orders),
+stored AS (SELECT DATE '2001-06-01' AS snapshot_date, 'customers' AS table_name, (SELECT count(*) FROM c_customers) AS rows
+           UNION ALL SELECT DATE '2001-06-01', 'orders', (SELECT count(*) FROM c_orders WHERE order_date < DATE '2001-06-01'))
+SELECT snapshot_date, table_name, rows, (today - snapshot_date)::INTEGER AS age_days FROM stored, newest
+WHERE today - snapshot_date > 30"""
 SQL["snap_compact"] = over("c_order_items") + """
-SELECT id, order_id, product_id, line_total::DOUBLE AS line_total FROM c_order_items"""
+SELECT DATE '2001-08-01' AS snapshot_date, id, order_id, product_id, line_total::DOUBLE AS line_total FROM c_order_items"""
 
 # ---- increments --------------------------------------------------------------
 
@@ -152,13 +164,15 @@ SELECT strftime(date, '%Y%m%d')::INTEGER AS date_key, date, year(date)::INTEGER
        date_trunc('month', date)::DATE AS month_start, strftime(date, '%Y-%m') AS accounting_period FROM days"""
 SQL["dim_customer"] = over("c_customers") + """
 SELECT id AS customer_id, customer_code, first_name || ' ' || last_name AS customer_name, email, segment, city, country,
-       registration_date, is_active FROM c_customers"""
+       registration_date, is_active FROM c_customers
+UNION ALL SELECT NULL, NULL, 'Unknown', NULL, NULL, NULL, NULL, NULL, NULL"""
 SQL["dim_product"] = over("c_products", "c_categories") + """
 SELECT p.id AS product_id, p.sku, p.name AS product_name, p.category_id, c.name AS category_name,
        c.parent_id AS parent_category_id, p.unit_price::DOUBLE AS unit_price, p.cost_price::DOUBLE AS cost_price,
        p.is_active
-FROM c_products p LEFT JOIN c_categories c ON p.category_id = c.id"""
-SQL["dim_channel"] = over("c_orders") + " SELECT DISTINCT coalesce(channel, 'Unknown') AS channel FROM c_orders"
+FROM c_products p LEFT JOIN c_categories c ON p.category_id = c.id
+UNION ALL SELECT NULL, NULL, 'Unknown', NULL, NULL, NULL, NULL, NULL, NULL"""
+SQL["dim_channel"] = over("c_orders") + " SELECT coalesce(channel, 'Unknown') AS channel FROM c_orders UNION SELECT 'Unknown'"
 
 SCD2 = over("c_customers", "c_orders") + """,
 states AS (SELECT id, segment, country, DATE '2001-06-01' AS d FROM c_customers
@@ -173,7 +187,7 @@ history AS (SELECT id, segment, country, d AS valid_from,
                    coalesce(lead(d) OVER (PARTITION BY id ORDER BY d),
                             CASE WHEN country = 'NATION_3' THEN DATE '2001-08-01' END) AS valid_to
             FROM opened WHERE opens)"""
-SQL["dim_customer_scd2"] = SCD2 + " SELECT *, valid_to IS NULL AS is_current FROM history"
+SQL["dim_customer_scd2"] = SQL["scd2_apply"] = SCD2 + " SELECT *, valid_to IS NULL AS is_current FROM history"
 SQL["jn_scd2_lookup"] = SCD2 + """
 SELECT o.id AS order_id, o.customer_id, o.order_date, h.segment, h.valid_from AS version_from, h.valid_to AS version_to
 FROM c_orders o LEFT JOIN history h ON o.customer_id = h.id AND o.order_date >= h.valid_from
@@ -194,13 +208,40 @@ SELECT i.id AS order_item_id, i.order_id, o.order_number, o.customer_id, i.produ
        round(i.quantity * i.unit_price * (100 - i.discount_percent) * 0.01::DECIMAL(3,2), 2)::DOUBLE AS recomputed_total,
        (i.quantity * p.cost_price)::DOUBLE AS cost_amount,
        (i.line_total - i.quantity * p.cost_price)::DOUBLE AS margin_amount
-FROM c_order_items i JOIN c_orders o ON i.order_id = o.id LEFT JOIN c_products p ON i.product_id = p.id"""
+FROM c_order_items i LEFT JOIN c_orders o ON i.order_id = o.id LEFT JOIN c_products p ON i.product_id = p.id"""
 SQL["fact_payment"] = over("c_payments", "c_orders") + """
 SELECT p.id AS payment_id, p.payment_code, p.order_id, o.customer_id,
        strftime(p.payment_date, '%Y%m%d')::INTEGER AS date_key, p.payment_date, p.payment_method, p.payment_gateway,
        p.status AS payment_status, p.amount::DOUBLE AS amount, (p.payment_date - o.order_date)::INTEGER AS days_to_pay,
        o.id IS NOT NULL AS has_order
 FROM c_payments p LEFT JOIN c_orders o ON p.order_id = o.id"""
+# One line per fact and dimension: what its key column refers to, and which rows of it exist.
+INTEGRITY = (
+    ("fact_orderline", "customer", "lines", "customer_id", "c_customers"),
+    ("fact_orderline", "product", "lines", "product_id", "kept_products"),
+    ("fact_orderline", "channel", "lines", None, None),
+    ("fact_payment", "customer", "paid", "customer_id", "c_customers"),
+    ("fact_payment", "channel", "paid", None, None),
+    ("fact_invoice", "customer", "c_invoices", "customer_id", "c_customers"),
+    ("fact_invoice", "channel", "c_invoices", None, None),
+    ("fact_order", "customer", "kept_orders", "customer_id", "c_customers"),
+    ("fact_order", "channel", "kept_orders", None, None),
+)
+SQL["fact_dim_integrity"] = over("c_customers", "c_orders", "c_products", "c_order_items", "c_payments", "c_invoices") + """,
+kept_orders AS (SELECT * FROM c_orders WHERE status <> 'Shipped'),
+kept_products AS (SELECT * FROM c_products WHERE stock_quantity > 10),
+lines AS (SELECT i.product_id, o.customer_id FROM c_order_items i LEFT JOIN kept_orders o ON i.order_id = o.id),
+paid AS (SELECT o.customer_id FROM c_payments p LEFT JOIN kept_orders o ON p.order_id = o.id)""" + " UNION ALL ".join(
+    f"""
+SELECT '{fact}' AS fact, '{dimension}' AS dimension, count(*) AS rows, count(*) FILTER ({column} IS NULL) AS unknown_rows,
+       count(*) FILTER ({column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} d WHERE d.id = f.{column}))
+         AS rows_without_member, 0::BIGINT AS repeated_keys FROM {source} f"""
+    if column
+    else f"""
+SELECT '{fact}' AS fact, '{dimension}' AS dimension, count(*) AS rows, 0 AS unknown_rows, 0 AS rows_without_member,
+       0::BIGINT AS repeated_keys FROM {source} f"""
+    for fact, dimension, source, column, parent in INTEGRITY
+)
 SQL["util_code_sequence"] = over("c_payments") + """
 SELECT id, payment_date, amount::DOUBLE AS amount,
        printf('PAY-2024-%06d', row_number() OVER (ORDER BY payment_date, id)) AS new_code FROM c_payments"""

@@ -114,8 +114,8 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
               WHERE pay_status IS NOT NULL AND d < 31) p
         UNION ALL
         SELECT event_id * 3 + 2, printf('PAY-2024-%06d', event_id * 3 + 2), event_id * 2, value::DECIMAL(15,2),
-               'E-Wallet', 'Momo', 'Completed', ts::DATE, date_trunc('second', ts), printf('GTW-%d', event_id),
-               props, date_trunc('second', ts), date_trunc('second', ts)
+               'E-Wallet', 'Momo', 'Completed', ts::DATE, ts, printf('GTW-%d', event_id),
+               props, ts, ts
         FROM events WHERE event_type = 'purchase'""",
     ),
     "c_invoices": (

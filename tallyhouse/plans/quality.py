@@ -100,7 +100,7 @@ def dq_required_columns(t: Tables) -> DataFrame:
 
 @query
 def dq_profile(t: Tables) -> DataFrame:
-    return dq.dq_profile(t.payments)
+    return dq.dq_profile(t.payments, exact=t.payments.columns)
 
 
 @query
@@ -112,7 +112,7 @@ def dq_schema_drift(t: Tables) -> DataFrame:
         {"id": F.col("id").cast("string"), "loyalty_tier": F.when(F.col("is_active"), "basic")}
     )
     sinks.snk_parquet(changed, new)
-    return dq.dq_schema_drift(t.spark.read.parquet(old), t.spark.read.parquet(new))
+    return dq.dq_schema_drift(t.spark.read.parquet(old), t.spark.read.parquet(new), fills=True)
 
 
 @query
@@ -150,6 +150,8 @@ def dq_snapshot_gate(t: Tables) -> DataFrame:
         dq.dq_schema_drift(t.customers, staged),
         AS_OF,
         sizes=snap.snap_size_change(t.spark, root, AS_OF).where("bytes IS NOT NULL"),
+        profile=dq.dq_profile(staged),
+        sample=snap.snap_sample_compare(t.orders, snap.snap_latest(t.spark, root, "orders"), "id", 64),
     )
 
 

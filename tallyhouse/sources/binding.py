@@ -254,11 +254,11 @@ class Tables:
             F.lit("Momo").alias("payment_gateway"),
             F.lit("Completed").alias("status"),
             e.ts.cast("date").alias("payment_date"),
-            F.date_trunc("second", e.ts).cast("timestamp_ntz").alias("paid_at"),
+            e.ts.cast("timestamp_ntz").alias("paid_at"),
             F.format_string("GTW-%d", e.event_id).alias("transaction_ref"),
             e.props.alias("gateway_response"),
-            F.date_trunc("second", e.ts).cast("timestamp_ntz").alias("created_at"),
-            F.date_trunc("second", e.ts).cast("timestamp_ntz").alias("updated_at"),
+            e.ts.cast("timestamp_ntz").alias("created_at"),
+            e.ts.cast("timestamp_ntz").alias("updated_at"),
         )
         return from_orders.unionByName(strays)
 

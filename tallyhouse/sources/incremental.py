@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..workspace import stage
+from ..workspace import broadcastable, stage, staged
+from .versions import read_current, write_version
 
 
 def inc_extract(df: DataFrame, last_run: datetime, column: str = "updated_at") -> DataFrame:
@@ -30,20 +31,30 @@ def latest_per_key(df: DataFrame, pk: str, version: str = "updated_at") -> DataF
     return df.groupBy(F.col(pk).alias("_key")).agg(newest.alias("_row")).select("_row.*")
 
 
+def _newer(new: Column, old: Column) -> Column:
+    """A change wins unless the stored version is newer; NULL is older than any version."""
+    return old.isNull() | F.coalesce(new >= old, F.lit(False))
+
+
 def _with_changes(base: DataFrame, delta: DataFrame, pk: str, version: str) -> DataFrame:
     """``delta`` is a written table with one row per key.
 
-    Its size is known from its files, so Spark broadcasts it only while it is
-    small, and the base is then read where it lies, neither grouped nor sorted.
-    Beyond that Spark joins by shuffle.
+    Its size is known from its files. Below the broadcast limit the base is read
+    where it lies, neither grouped nor sorted, and a second look at its keys alone
+    finds the new ones. Beyond it, one full join reads both sides once.
     """
     delta = delta.select(*base.columns)
     changes = delta.select(F.col(pk).alias("_key"), F.struct(*delta.columns).alias("_new"))
+    if not broadcastable(delta):
+        stored = base.select(F.col(pk).alias("_key"), F.struct(*base.columns).alias("_old"))
+        wins = F.col("_new").isNotNull() & _newer(F.col(f"_new.{version}"), F.col(f"_old.{version}"))
+        row = F.when(wins, F.col("_new")).otherwise(F.col("_old"))
+        return stored.join(changes, "_key", "full").select(row.alias("_row")).select("_row.*")
     kept = F.struct(*(base[c] for c in base.columns))
-    wins = F.col(f"_new.{version}") >= base[version]
+    wins = F.col("_key").isNotNull() & _newer(F.col(f"_new.{version}"), base[version])
     merged = (
         base.join(changes, base[pk] == changes["_key"], "left")
-        .select(F.when(F.coalesce(wins, F.lit(False)), F.col("_new")).otherwise(kept).alias("_row"))
+        .select(F.when(wins, F.col("_new")).otherwise(kept).alias("_row"))
         .select("_row.*")
     )
     known = base.select(F.col(pk)).join(delta.select(pk), pk, "left_semi").distinct()
@@ -52,37 +63,41 @@ def _with_changes(base: DataFrame, delta: DataFrame, pk: str, version: str) -> D
 
 def inc_merge_latest(base: DataFrame, delta: DataFrame, pk: str = "id", version: str = "updated_at") -> DataFrame:
     """``base`` (one row per key) with the changes of ``delta`` applied; a delta
-    row wins unless the base row is newer."""
+    row wins unless the base row is newer, and no version is older than any."""
     return _with_changes(base, stage(latest_per_key(delta, pk, version), "delta"), pk, version)
 
 
+def moved_keys(table: DataFrame, delta: DataFrame, date_column: str, pk: str = "id") -> DataFrame:
+    """Keys of the delta that the table has under another date. Reads key and date of the whole table."""
+    old = table.select(pk, F.col(date_column).alias("old_date"))
+    new = delta.select(pk, F.col(date_column).alias("new_date")).distinct()
+    return old.join(new, pk).where(~F.equal_null("old_date", "new_date"))
+
+
 def merge_into_dates(
-    spark: SparkSession, path: str, delta: DataFrame, date_column: str, pk: str = "id", version: str = "updated_at"
+    spark: SparkSession,
+    path: str,
+    delta: DataFrame,
+    date_column: str,
+    pk: str = "id",
+    version: str = "updated_at",
+    check_moved: bool = True,
 ) -> None:
-    """Merge a delta into a table partitioned by date, rewriting touched dates only.
+    """Merge a delta into a warehouse table partitioned by date, as a new version of the touched dates.
 
-    A key must keep its date; a delta that moves one is refused before anything
-    is written, since its old row lies in a date this merge does not rewrite. The
-    merged rows are staged first: no job reads and overwrites the same files.
-    Repeating a merge gives the same table.
+    A key must keep its date; a delta that moves one is refused before anything is
+    written, since its old row lies in a date this merge does not read. That check
+    is the only step that looks beyond the touched dates; feeds whose dates cannot
+    change do without (``check_moved=False``). Repeating a merge gives the same
+    table, and readers keep the version they began with.
     """
-    table = spark.read.parquet(path)
-    latest = stage(latest_per_key(delta, pk, version), "delta")
-    moved = table.select(pk, F.col(date_column).alias("_old")).join(
-        latest.select(pk, F.col(date_column).alias("_new")), pk
-    )
-    if not moved.where(~F.equal_null("_old", "_new")).isEmpty():
-        raise ValueError(f"a delta row changes {date_column}; rewrite the whole table instead")
-    touched = latest.select(date_column).distinct()
-    affected = table.join(touched, date_column, "left_semi")
-    merged = stage(_with_changes(affected, latest, pk, version), "merged")
-    (
-        merged.hint("rebalance", F.col(date_column))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(date_column)
-        .parquet(path)
-    )
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in delta.schema.fields)
+    table = read_current(spark, path, schema)
+    with staged(latest_per_key(delta, pk, version), "delta") as latest:
+        if check_moved and not moved_keys(table, latest, date_column, pk).isEmpty():
+            raise ValueError(f"a delta row changes {date_column}; rewrite the whole table instead")
+        affected = table.join(latest.select(date_column).distinct(), date_column, "left_semi").select(*delta.columns)
+        write_version(_with_changes(affected, latest, pk, version), path, date_column)
 
 
 def util_touch_updated_at(

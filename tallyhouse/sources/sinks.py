@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from .tables import CSV_OPTIONS
+from .tables import WHOLE_SECONDS, csv_options
+from .versions import write_version
 
 FORMATS = ("csv", "parquet")
 LAYERS = ("staging", "dw", "mart", "reconcile")
 ROWS_PER_CSV_FILE = 500_000
 
 
-def snk_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Header, UTF-8, quotes only where needed, NULL as an empty field."""
-    df.write.mode(mode).options(**CSV_OPTIONS, maxRecordsPerFile=str(ROWS_PER_CSV_FILE)).csv(path)
+def snk_csv(df: DataFrame, path: str, mode: str = "errorifexists", whole_seconds: bool = False) -> None:
+    """Header, UTF-8, quotes only where needed, NULL as an empty field.
+
+    Times keep their microseconds unless ``whole_seconds`` asks to cut them.
+    """
+    options = csv_options(WHOLE_SECONDS) if whole_seconds else csv_options()
+    df.write.mode(mode).options(**options, maxRecordsPerFile=str(ROWS_PER_CSV_FILE)).csv(path)
 
 
 def snk_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -54,17 +59,12 @@ def snk_jdbc_append(
 
 
 def snk_warehouse_write(df: DataFrame, root: str, layer: str, table: str, partition_by: str | None = None) -> str:
-    """Replace a table of a warehouse layer; returns its path.
+    """Replace a table of a warehouse layer, or its delivered partitions; returns its path.
 
-    A partitioned table only has the delivered partitions replaced. Rows are
-    balanced over write tasks, so one huge partition does not fall to one task.
+    The rows become a new version; ``versions.read_current`` reads the newest.
     """
     if layer not in LAYERS:
         raise ValueError(f"layer must be one of {LAYERS}, not {layer!r}")
     path = f"{root.rstrip('/')}/{layer}/{table}"
-    if partition_by is None:
-        snk_parquet(df, path, mode="overwrite")
-    else:
-        writer = df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by)
-        writer.option("partitionOverwriteMode", "dynamic").option("compression", "snappy").parquet(path)
+    write_version(df, path, partition_by)
     return path

@@ -2,8 +2,8 @@
 
 Layout: ``<root>/<format>/<table>/snapshot_date=YYYY-MM-DD/run_id=…``, so both
 are partition columns. A run never touches the files of another one; readers take
-the newest COMPLETE run of a day from the manifest, so a failed repeat leaves the
-earlier snapshot readable. The manifest has a row per table and a row per run
+each table of a day from the newest COMPLETE run that exported it, so neither a
+failed repeat nor one of a single table hides what lies there. The manifest has a row per table and a row per run
 (without table name); they are written together, after the last table.
 """
 
@@ -12,13 +12,12 @@ from __future__ import annotations
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..schemas import TABLES
-from ..workspace import fresh_path
 from .sinks import snk_parquet, write_as
 from .tables import csv_reader, src_row_count
 
@@ -73,7 +72,7 @@ def snap_write(
     """
     spark = next(iter(tables.values())).sparkSession
     snapshot_date = snapshot_date or date.today()
-    started, run_timestamp = time.time(), run_timestamp or datetime.now().replace(microsecond=0)
+    started, run_timestamp = time.time(), run_timestamp or datetime.now(timezone.utc).replace(tzinfo=None)
     run_id = f"run-{uuid.uuid4().hex}"
     origin = source or {"host": None, "database": None, "schema": "ecommerce"}
 
@@ -112,12 +111,17 @@ def snap_write(
 # ---- readers -----------------------------------------------------------------
 
 
-def complete_runs(manifest: DataFrame) -> DataFrame:
-    """Newest complete run of each day: snapshot_date, run_id."""
-    committed = manifest.where("table_name IS NULL AND status = 'COMPLETE'")
-    return committed.groupBy("snapshot_date").agg(
-        F.max_by("run_id", F.struct("run_timestamp", "run_id")).alias("run_id")
-    )
+def readable_tables(manifest: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """What readers get: per day and table the newest complete run that exported it.
+
+    One row per (snapshot_date, table_name) with run_id, run_timestamp and rows.
+    """
+    committed = manifest.where("table_name IS NULL AND status = 'COMPLETE'").select("run_id")
+    exported = manifest.where(
+        F.col("table_name").isNotNull() & (F.col("status") == "success") & (F.col("output_format") == fmt)
+    ).join(committed, "run_id", "left_semi")
+    newest = F.max(F.struct("run_timestamp", "run_id", "rows")).alias("newest")
+    return exported.groupBy("snapshot_date", "table_name").agg(newest).select("snapshot_date", "table_name", "newest.*")
 
 
 def snap_commit(manifest: DataFrame) -> DataFrame:
@@ -156,9 +160,8 @@ def _read_runs(spark: SparkSession, root: str, table: str, fmt: str, runs: DataF
 
 def _complete(spark: SparkSession, root: str, table: str, fmt: str) -> DataFrame:
     """Newest complete run of each day that has the table."""
-    manifest = snap_manifest(spark, root).where(F.col("output_format") == fmt)
-    exported = manifest.where((F.col("table_name") == table) & (F.col("status") == "success")).select("run_id")
-    return complete_runs(manifest).join(exported, "run_id", "left_semi")
+    readable = readable_tables(snap_manifest(spark, root), fmt)
+    return readable.where(F.col("table_name") == table).select("snapshot_date", "run_id")
 
 
 def snap_complete(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
@@ -186,10 +189,8 @@ def snap_row_recon(
 ) -> DataFrame:
     """Rows at the source against rows staged that day; a missing table fails."""
     spark = next(iter(tables.values())).sparkSession
-    manifest = snap_manifest(spark, root)
-    run = complete_runs(manifest.where(F.col("output_format") == fmt)).where(F.col("snapshot_date") == F.lit(day))
-    listed = manifest.where("table_name IS NOT NULL").join(run, ["snapshot_date", "run_id"], "left_semi")
-    staged_names = {r.table_name for r in listed.select("table_name").distinct().collect()}  # table names only
+    readable = readable_tables(snap_manifest(spark, root), fmt).where(F.col("snapshot_date") == F.lit(day))
+    staged_names = {r.table_name for r in readable.select("table_name").collect()}  # table names only
     counts = []
     for name, df in tables.items():
         counts.append(src_row_count(df, name).withColumnRenamed("row_count", "source_count"))
@@ -296,44 +297,56 @@ def snap_storage_stats(spark: SparkSession, root: str) -> DataFrame:
 
 
 def snap_retention(manifest: DataFrame, as_of: date, days: int = RETENTION_DAYS) -> DataFrame:
-    """Table snapshots older than the policy. Deleting them is a separate step."""
-    age = F.datediff(F.lit(as_of), "snapshot_date")
-    return manifest.where(F.col("table_name").isNotNull() & (age > days)).select(
-        "snapshot_date", "run_id", "table_name", "path", "rows", age.alias("age_days")
-    )
-
+    """Table snapshots older than the policy, but for the last readable one of a table.
 
-def snap_compact(spark: SparkSession, path: str, target_mb: int = 256) -> str:
-    """Rewrite many small Parquet files as few large ones; returns the new path.
-
-    A scan can pack many files into one task. With the packing set to the wanted
-    size, each task writes one file and nothing is shuffled. The setting lives in
-    a session of its own.
+    Deleting them is a separate step.
+    """
+    age = F.datediff(F.lit(as_of), "snapshot_date")
+    formats = [r[0] for r in manifest.select("output_format").distinct().collect()]  # csv, parquet
+    kept = [
+        readable_tables(manifest, fmt).groupBy("table_name").agg(F.max_by("run_id", "snapshot_date").alias("run_id")) for fmt in formats
+    ]
+    old = manifest.where(F.col("table_name").isNotNull() & (age > days))
+    if kept:
+        old = old.join(reduce(DataFrame.unionByName, kept), ["table_name", "run_id"], "left_anti")
+    return old.select("snapshot_date", "run_id", "table_name", "path", "rows", age.alias("age_days"))
+
+
+def snap_compact(spark: SparkSession, root: str, table: str, day: date, target_mb: int = 256) -> str:
+    """Rewrite a day's Parquet snapshot of a table as few large files; returns the new run's id.
+
+    The rows go to a run of their own, which the manifest then names as the newest
+    of that day and table, so readers change over at once and the old files stay
+    until retention. A scan can pack many files into one task: with the packing
+    set to the wanted size, each task writes one file and nothing is shuffled. The
+    setting lives in a session of its own.
     """
     packing = spark.newSession()
     packing.conf.set("spark.sql.files.maxPartitionBytes", f"{target_mb}MB")
     packing.conf.set("spark.sql.files.openCostInBytes", "64KB")
     packing.conf.set("spark.sql.files.minPartitionNum", "1")
-    target = fresh_path(spark, "compacted")
-    snk_parquet(packing.read.parquet(path), target)
-    return target
+    rows = snap_as_of(packing, root, table, day).drop("snapshot_date")
+    return snap_write({table: rows}, root, day)
 
 
 def snap_size_change(spark: SparkSession, root: str, day: date, fmt: str = "parquet") -> DataFrame:
-    """Bytes per table of a day's snapshot and of the one before, with their ratio."""
-    runs = complete_runs(snap_manifest(spark, root).where(F.col("output_format") == fmt))
-    recent = runs.where(F.col("snapshot_date") <= F.lit(day)).orderBy(F.desc("snapshot_date")).limit(2).select("run_id", "snapshot_date")
+    """Bytes per table of a day's snapshot and of the table's one before, with their ratio."""
+    readable = readable_tables(snap_manifest(spark, root), fmt).where(F.col("snapshot_date") <= F.lit(day))
+    now = F.col("snapshot_date") == F.lit(day)
+    before = readable.where(~now).groupBy("table_name").agg(F.max_by("run_id", "snapshot_date").alias("run_id"))
+    wanted = readable.where(now).select("table_name", "run_id", F.lit(True).alias("now")).unionByName(
+        before.withColumn("now", F.lit(False))
+    )
     part = f"/{fmt}/([^/]+)/snapshot_date=[^/]+/run_id=([^/]+)/"
     sizes = file_sizes(spark, f"{root}/{fmt}").select(
         F.regexp_extract("path", part, 1).alias("table_name"), F.regexp_extract("path", part, 2).alias("run_id"), "length"
     )
-    now = F.col("snapshot_date") == F.lit(day)
     return (
-        sizes.join(recent, "run_id")
+        sizes.join(wanted, ["table_name", "run_id"])
         .groupBy("table_name")
         .agg(
-            F.sum(F.when(now, F.col("length"))).alias("bytes"),
-            F.sum(F.when(~now, F.col("length"))).alias("previous_bytes"),
+            F.sum(F.when(F.col("now"), F.col("length"))).alias("bytes"),
+            F.sum(F.when(~F.col("now"), F.col("length"))).alias("previous_bytes"),
         )
         .withColumn("ratio", F.try_divide(F.col("bytes").cast("double"), F.col("previous_bytes").cast("double")))
     )

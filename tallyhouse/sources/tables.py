@@ -9,21 +9,23 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 from ..schemas import TABLES
 
 SOURCE_SCHEMA = "ecommerce"
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
-CSV_OPTIONS = {
-    "header": "true",
-    "encoding": "UTF-8",
-    "nullValue": "",
-    "emptyValue": "",
-    "quote": '"',
-    "escape": '"',  # a quote inside a field is doubled
-    "ignoreLeadingWhiteSpace": "false",  # blanks are data
-    "ignoreTrailingWhiteSpace": "false",
-    "dateFormat": "yyyy-MM-dd",
-    "timestampFormat": TIMESTAMP_FORMAT,
-    "timestampNTZFormat": TIMESTAMP_FORMAT,
-}
+WITH_FRACTION, WHOLE_SECONDS = "yyyy-MM-dd HH:mm:ss[.SSSSSS]", "yyyy-MM-dd HH:mm:ss"
+
+
+def csv_options(timestamps: str = WITH_FRACTION) -> dict[str, str]:
+    return {
+        "header": "true",
+        "encoding": "UTF-8",
+        "nullValue": "",
+        "emptyValue": "",
+        "quote": '"',
+        "escape": '"',  # a quote inside a field is doubled
+        "ignoreLeadingWhiteSpace": "false",  # blanks are data
+        "ignoreTrailingWhiteSpace": "false",
+        "dateFormat": "yyyy-MM-dd",
+        "timestampFormat": timestamps,
+        "timestampNTZFormat": timestamps,
+    }
 
 
 def jdbc_options(url: str, properties: dict[str, str] | None = None, fetch_size: int = 10_000) -> dict[str, str]:
@@ -55,18 +57,20 @@ def src_jdbc_scan(
     return reader.load()
 
 
-def src_csv_scan(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def src_csv_scan(spark: SparkSession, path: str, schema: str, multi_line: bool = True) -> DataFrame:
     """Staged CSV with its declared schema, never an inferred one.
 
-    Free text may hold line breaks, so a file is one split; the writer bounds
-    file sizes to keep the read parallel. A malformed row or a header other than
-    the declared columns fails the read.
+    Free text may hold line breaks; a file is then one split, and the writer bounds
+    file sizes to keep the read parallel. ``multi_line=False`` lets many tasks read
+    one large file that is known to hold no line break. A malformed row or a header
+    other than the declared columns fails the read.
     """
-    return csv_reader(spark, schema).csv(path)
+    return csv_reader(spark, schema, multi_line).csv(path)
 
 
-def csv_reader(spark: SparkSession, schema: str) -> DataFrameReader:
-    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine="true", mode="FAILFAST", enforceSchema="false")
+def csv_reader(spark: SparkSession, schema: str, multi_line: bool = True) -> DataFrameReader:
+    checks = {"mode": "FAILFAST", "enforceSchema": "false"}
+    return spark.read.schema(schema).options(**csv_options(), **checks, multiLine=str(multi_line).lower())
 
 
 def src_parquet_scan(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

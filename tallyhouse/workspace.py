@@ -45,6 +45,16 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return df.hint("broadcast") if df.limit(rows + 1).count() <= rows else df
 
 
+def broadcastable(df: DataFrame) -> bool:
+    """Does Spark's estimate, for a staged table the size of its files, allow a broadcast?"""
+    spark = df.sparkSession
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if limit.startswith("-"):
+        return False
+    bytes_ = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= bytes_
+
+
 def discard(df: DataFrame) -> None:
     """Remove the files of a staged table that nothing reads any more."""
     spark, jvm = df.sparkSession, df.sparkSession.sparkContext._jvm

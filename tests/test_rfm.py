@@ -76,6 +76,26 @@ def test_percentiles_equal_brute_force(spark, seed):
     assert [found[f"p{i}"] for i in range(5)] == [interpolated(values, c) for c in cuts]
 
 
+def test_percentiles_keep_every_digit(spark):
+    values = [Decimal("0.004"), Decimal("0.009"), Decimal("0.000001")]
+    df = spark.createDataFrame([(v,) for v in values], "amount DECIMAL(19,6)")
+    found = rfm.exact_percentiles(df, "amount", ["0.5", "0.75", "0.995"]).first()
+    assert list(found) == [interpolated(values, c) for c in ("0.5", "0.75", "0.995")]
+    many = [Decimal(i) for i in range(1, 1001)]
+    df = spark.createDataFrame([(v,) for v in many], "amount DECIMAL(10,0)")
+    assert rfm.exact_percentiles(df, "amount", ["0.995"]).first().p0 == Decimal("995.005")
+
+
+def test_percentiles_refuse_what_does_not_fit(spark):
+    df = spark.createDataFrame([(Decimal(10) ** 20,)], "amount DECIMAL(38,6)")
+    with pytest.raises(Exception, match="(?i)overflow"):
+        rfm.exact_percentiles(df, "amount", ["0.5"]).collect()
+    with pytest.raises(ValueError):
+        rfm.exact_percentiles(df, "amount", ["1.5"])
+    with pytest.raises(TypeError):
+        rfm.exact_percentiles(spark.range(3), "id", ["0.5"])
+
+
 def test_percentiles_of_nothing_are_null(spark):
     empty = spark.createDataFrame([], "amount DECIMAL(25,2)")
     assert tuple(rfm.exact_percentiles(empty, "amount", ["0.50"]).first()) == (None,)

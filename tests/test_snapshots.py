@@ -117,17 +117,36 @@ def test_diff_of_many_copies_of_one_key_does_not_multiply(spark):
     assert rows(snap.snap_diff(copies, copies.orderBy(F.desc("v")), "id")) == [(1, "unchanged")]
 
 
-def test_retention_and_compaction(spark, table, root, tmp_path):
+def test_one_table_again_hides_no_other(spark, table, root):
+    full = {"customers": table("customers", {"id": 1}), "orders": table("orders", {"id": 1}, {"id": 2}), "payments": table("payments", {"id": 1})}
+    snap.snap_write(full, root, DAY)
+    snap.snap_write({"customers": table("customers", {"id": 1}, {"id": 2}, {"id": 3})}, root, DAY)
+    with pytest.raises(Exception, match="source went away"):
+        snap.snap_write({"payments": full["payments"].limit(0), "customers": broken(full["customers"])}, root, DAY, parallel=1)
+    for read in (lambda n: snap.snap_as_of(spark, root, n, DAY), lambda n: snap.snap_latest(spark, root, n), lambda n: snap.snap_complete(spark, root, n)):
+        assert [read(n).count() for n in ("customers", "orders", "payments")] == [3, 2, 1]
+    recon = snap.snap_row_recon(full, root, DAY)
+    assert rows(recon.select("table_name", "staging_count")) == [("customers", 3), ("orders", 2), ("payments", 1)]
+
+
+def test_retention_keeps_the_last_readable_snapshot(spark, table, root):
     for age in (0, 30, 31):
         snap.snap_write({"orders": table("orders", {"id": 1})}, root, DAY - timedelta(days=age))
+    for age in (40, 50):
+        snap.snap_write({"customers": table("customers", {"id": 1})}, root, DAY - timedelta(days=age))
     expired = snap.snap_retention(snap.snap_manifest(spark, root), DAY)
-    assert rows(expired.select("snapshot_date", "age_days")) == [(DAY - timedelta(days=31), 31)]
-    small = str(tmp_path / "small")
-    spark.range(1000).repartition(20).write.parquet(small)
-    target = snap.snap_compact(spark, small, 8)
-    assert snap.file_sizes(spark, target).where("path LIKE '%.parquet'").count() == 1
-    assert spark.read.parquet(target).exceptAll(spark.read.parquet(small)).isEmpty()
-    assert spark.read.parquet(target).count() == 1000
+    assert rows(expired.select("table_name", "age_days")) == [("customers", 50), ("orders", 31)]
+
+
+def test_readers_take_the_compacted_run(spark, table, root):
+    orders = table("orders", *({"id": i} for i in range(200)))
+    first = snap.snap_write({"orders": orders.repartition(20)}, root, DAY)
+    run = snap.snap_compact(spark, root, "orders", DAY, 8)
+    found = snap.snap_latest(spark, root, "orders")
+    files = found.inputFiles()
+    assert run != first and len(files) == 1 and f"run_id={run}" in files[0]
+    assert found.columns[-1] == "snapshot_date" and rows(found.select("snapshot_date").distinct()) == [(DAY,)]
+    assert found.drop("snapshot_date").exceptAll(orders).isEmpty() and found.count() == 200
 
 
 def test_size_against_the_day_before(spark, table, root):

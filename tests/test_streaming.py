@@ -1,5 +1,8 @@
 from datetime import datetime, timedelta
 
+import pytest
+from pyspark.sql import functions as F
+
 from tallyhouse.sources import sinks
 from tallyhouse.sources.binding import Tables
 from tallyhouse.operators import reconciliation as recon
@@ -15,45 +18,53 @@ def order(id, at, total="10.00", status="Completed", channel="Store"):
     return {"id": id, "order_timestamp": at, "total_amount": d(total), "status": status, "channel": channel}
 
 
-def refreshed(spark, tmp_path, staged, **options):
+def refreshed(spark, tmp_path, staged, files=1, **options):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
-    query = refresh.stream_sales_refresh(refresh.read_staged_stream(spark, staged, "orders", 1), out, checkpoint, **options)
-    query.awaitTermination()
-    return query, refresh.refreshed_sales(spark, out)
+    stream = refresh.read_staged_stream(spark, staged, "orders", files)
+    refresh.stream_sales_refresh(stream, out, checkpoint, **options).awaitTermination()
+    return refresh.refreshed_sales(spark, out)
 
 
-def test_refresh_equals_the_batch_report(spark, tmp_path):
+@pytest.mark.parametrize("files", [1, 2, None])
+def test_files_in_any_order_and_number_equal_the_batch_report(spark, tmp_path, files):
     orders, staged = Tables(spark, SF).orders, str(tmp_path / "orders")
-    sinks.snk_parquet(orders, staged)
-    _, found = refreshed(spark, tmp_path, staged)
-    assert rows(found) == rows(refresh.windowed_sales(orders, watermark=None))
+    sinks.snk_parquet(orders.repartition(7, F.dayofyear("order_date")), staged)
+    assert rows(refreshed(spark, tmp_path, staged, files)) == rows(refresh.windowed_sales(orders))
 
 
-def test_next_files_update_open_windows(spark, table, tmp_path):
+def test_next_files_update_windows(spark, table, tmp_path):
     staged = str(tmp_path / "orders")
     sinks.snk_parquet(table("orders", order(1, NOON), order(2, NOON, status="Cancelled")).coalesce(1), staged)
     refreshed(spark, tmp_path, staged)
     sinks.snk_parquet(table("orders", order(3, NOON + timedelta(minutes=29), "5.00"), order(4, NOON + timedelta(minutes=30))).coalesce(1), staged, mode="append")
-    _, found = refreshed(spark, tmp_path, staged)
+    found = refreshed(spark, tmp_path, staged)
     assert rows(found.select("window_start", "orders", "revenue")) == [(NOON, 2, d("15.00")), (NOON + timedelta(minutes=30), 1, d("10.00"))]
 
 
-def test_rows_behind_the_watermark_are_dropped_and_counted(spark, table, tmp_path):
-    staged = str(tmp_path / "orders")
+def test_late_rows_are_counted_and_kept(spark, table, tmp_path):
+    staged, out = str(tmp_path / "orders"), str(tmp_path / "out")
     sinks.snk_parquet(table("orders", order(1, NOON)).coalesce(1), staged)
-    refreshed(spark, tmp_path, staged, watermark="1 hour")
-    sinks.snk_parquet(table("orders", order(2, NOON - timedelta(hours=3))).coalesce(1), staged, mode="append")
-    query, found = refreshed(spark, tmp_path, staged, watermark="1 hour")
-    assert rows(found.select("window_start", "orders")) == [(NOON, 1)]
-    assert refresh.late_rows_dropped(query) == 1
+    refreshed(spark, tmp_path, staged, late_after=timedelta(hours=1))
+    assert refresh.late_orders(spark, out).count() == 0
+    sinks.snk_parquet(table("orders", order(2, NOON - timedelta(hours=3)), order(3, NOON - timedelta(minutes=59))).coalesce(1), staged, mode="append")
+    found = refreshed(spark, tmp_path, staged, late_after=timedelta(hours=1))
+    assert found.agg(F.sum("orders")).first()[0] == 3
+    assert rows(refresh.late_orders(spark, out).select("id", "batch_id")) == [(2, 1)]
+
+
+def test_a_repeated_batch_replaces_itself(spark, table, tmp_path):
+    orders, out = table("orders", order(1, NOON), order(2, NOON)), str(tmp_path / "out")
+    for _ in range(2):
+        refresh.batch_folder(f"{out}/sales")(refresh.windowed_sales(orders), 0)
+    assert rows(refresh.refreshed_sales(spark, out).select("orders")) == [(2,)]
 
 
 def test_alerts_equal_the_batch_reconciliation(spark, tmp_path):
     bound = Tables(spark, SF)
     orders, payments, out = (str(tmp_path / n) for n in ("orders", "payments", "alerts"))
-    sinks.snk_parquet(bound.orders, orders)
-    sinks.snk_parquet(bound.payments.repartition(3), payments)
-    stream = refresh.read_staged_stream(spark, payments, "payments", 1)
+    refresh.stage_by_order(bound.orders, orders, "id")
+    refresh.stage_by_order(bound.payments, payments, "order_id")
+    stream = refresh.read_staged_stream(spark, payments, "payments", 30)
     refresh.stream_recon_alerts(stream, orders, payments, out, str(tmp_path / "checkpoint")).awaitTermination()
     touched = bound.payments.select("order_id").distinct()
     expected = recon.order_balance(bound.orders, bound.payments).where("abs(discrepancy) > 100000").join(touched, "order_id", "left_semi")
@@ -62,13 +73,25 @@ def test_alerts_equal_the_batch_reconciliation(spark, tmp_path):
 
 def test_settled_orders_leave_the_alerts(spark, table, tmp_path):
     orders, payments, out, checkpoint = (str(tmp_path / n) for n in ("orders", "payments", "alerts", "checkpoint"))
-    sinks.snk_parquet(table("orders", {"id": 1, "total_amount": d("300000.00")}), orders)
+    refresh.stage_by_order(table("orders", {"id": 1, "total_amount": d("300000.00")}), orders, "id")
 
     def pay(id, amount):
-        sinks.snk_parquet(table("payments", {"id": id, "order_id": 1, "amount": d(amount), "status": "Completed"}), payments, mode="append")
+        paid = table("payments", {"id": id, "order_id": 1, "amount": d(amount), "status": "Completed"})
+        refresh.stage_by_order(paid, payments, "order_id", mode="append")
         stream = refresh.read_staged_stream(spark, payments, "payments")
         refresh.stream_recon_alerts(stream, orders, payments, out, checkpoint).awaitTermination()
         return rows(refresh.recon_alerts(spark, out).select("order_id", "discrepancy"))
 
     assert pay(1, "100000.00") == [(1, d("200000.00"))]
     assert pay(2, "200000.00") == []
+
+
+def test_only_touched_buckets_are_read(spark, table, tmp_path):
+    orders, payments = str(tmp_path / "orders"), str(tmp_path / "payments")
+    refresh.stage_by_order(table("orders", *({"id": i} for i in range(300))), orders, "id")
+    refresh.stage_by_order(table("payments", *({"id": i, "order_id": i, "status": "Completed"} for i in range(300))), payments, "order_id")
+    touched = spark.createDataFrame([(5,), (6,)], "order_id BIGINT")
+    plan = refresh.check_orders(spark, touched, orders, payments)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2 and all("order_bucket" in s.split("PartitionFilters")[1].split("]")[0] for s in scans)
+    assert refresh.check_orders(spark, touched, orders, payments).count() == 2

@@ -1,3 +1,4 @@
+import random
 from datetime import date
 
 import pytest
@@ -31,11 +32,44 @@ def test_surrogate_keys_agree_between_dimension_and_fact(table):
     keys = wh.dim_product(products, categories).select("product_key", "sku")
     assert fact.join(keys, "product_key").count() == 2
     assert fact.join(wh.dim_channel(orders), "channel_key").count() == 2
+    assert fact.join(wh.dim_customer(table("customers", {"id": 1})), "customer_key").count() == 2
     first, second = fact.orderBy("order_item_id").collect()
     assert (first.recomputed_total, first.cost_amount, first.margin_amount) == (d("26.97"), d("6.00"), d("20.97"))
     assert second.cost_amount is None and second.recomputed_total == d("1.00")
 
 
+def test_lines_without_order_or_product_stay_and_join_the_unknown_members(table):
+    products, categories = table("products", {"id": 1, "cost_price": d("2.00")}), table("categories", {"id": 1})
+    orders, customers = table("orders", {"id": 1, "channel": "Store"}), table("customers", {"id": 1})
+    items = table("order_items", {"id": 1, "order_id": 1, "product_id": 1}, {"id": 2, "order_id": 99, "product_id": 1}, {"id": 3, "order_id": 1, "product_id": 77}, {"id": 4, "order_id": 1, "product_id": None})
+    fact = wh.fact_orderline(items, orders, products)
+    assert rows(fact.select("order_item_id", "order_status")) == [(1, "x"), (2, None), (3, "x"), (4, "x")]
+    dims = {"customer": wh.dim_customer(customers), "product": wh.dim_product(products, categories), "channel": wh.dim_channel(orders)}
+    found = {r.dimension: tuple(r)[2:] for r in wh.fact_dim_integrity({"line": fact}, dims).collect()}
+    assert found == {"customer": (4, 1, 0, 0), "product": (4, 1, 1, 0), "channel": (4, 0, 0, 0)}
+    twice = {"customer": dims["customer"].unionByName(dims["customer"].limit(1))}
+    assert wh.fact_dim_integrity({"line": fact}, twice).first().repeated_keys == 1
+
+
+def test_no_key_is_made_of_null(spark):
+    df = spark.createDataFrame([(1,), (None,)], "id INT").select("id", wh.id_key("id").alias("k"))
+    assert [r.k == wh.UNKNOWN_KEY for r in df.orderBy("id").collect()] == [True, False]
+
+
+def test_applied_days_equal_a_rebuild(spark):
+    draw = random.Random(7)
+    days = [date(2024, 1, n) for n in range(1, 8)]
+    seen = [(k, day, draw.choice(("a", "b", None))) for day in days for k in range(25) if draw.random() < 0.7]
+    seen += [(1, days[2], "a"), (1, days[2], "b")]  # copies within a day
+    snapshots = spark.createDataFrame(seen, "id INT, snapshot_date DATE, state STRING")
+    columns = ("version_key", "id", "state", "valid_from", "valid_to", "is_current")
+    history = wh.dim_customer_scd2(snapshots.where(F.col("snapshot_date") == F.lit(days[0])), ["state"])
+    for day in days[1:]:
+        history = wh.scd2_apply(history, snapshots.where(F.col("snapshot_date") == F.lit(day)).drop("snapshot_date"), day, ["state"])
+        history = spark.createDataFrame(history.collect(), history.schema)
+    assert rows(history.select(*columns)) == rows(wh.dim_customer_scd2(snapshots, ["state"]).select(*columns))
+
+
 def test_facts_carry_date_rules(table):
     orders = table("orders", {"id": 1, "order_date": date(2024, 1, 30), "customer_id": 7})
     payments = table("payments", {"id": 1, "order_id": 1, "payment_date": date(2024, 2, 1)}, {"id": 2, "order_id": 9, "payment_date": date(2024, 2, 1)})
