@@ -33,6 +33,8 @@ BLOCK_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN_TAGS = frozenset("iframe math noscript script style svg template textarea".split())
+# Tags that say what they hold.
+TELLING_TAGS = frozenset("article aside dialog figure footer form head header main menu nav section title".split())
 # A tag on the left ends an open one on the right.
 ENDS_OPEN = {
     "li": ("li",),
@@ -52,15 +54,16 @@ _NAMING = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def leaf_blocks(page: str, of_element: Callable[[str, str], Any], start: Any) -> list[tuple[Any, str, str, int]]:
+def leaf_blocks(page: str, of_element: Callable[[str, str], tuple[Any, Any]], start: Any) -> list[tuple[Any, str, str, int]]:
     """(sum over ancestors, innermost tag, text, characters in links) of every block that has text.
 
-    ``of_element`` gives the summand of an element from its tag and raw
-    attributes. Character references are decoded, white space becomes single
+    ``of_element`` gives, from an element's tag and raw attributes, its summand and
+    the one it adds as the closest telling ancestor (None if it tells nothing, and
+    the one around it counts). Character references are decoded, white space becomes single
     spaces. Scripts, styles, comments and the like hold no text.
     """
     blocks: list[tuple[Any, str, str, int]] = []
-    stack: list[tuple[str, Any]] = [("", start)]
+    stack: list[tuple[str, Any, Any]] = [("", start, start)]
     parts: list[str] = []
     linked = in_link = 0
 
@@ -72,7 +75,8 @@ def leaf_blocks(page: str, of_element: Callable[[str, str], Any], start: Any) ->
             text = references.unescape(text)
         text = " ".join(text.split())
         if text:
-            blocks.append((stack[-1][1], stack[-1][0], text, min(linked, len(text))))
+            tag, total, near = stack[-1]
+            blocks.append((total + near, tag, text, min(linked, len(text))))
         linked = 0
 
     at, size = 0, len(page)
@@ -110,7 +114,8 @@ def leaf_blocks(page: str, of_element: Callable[[str, str], Any], start: Any) ->
                     if stack[-1][0] == open_tag:
                         stack.pop()
                 if tag not in VOID_TAGS:
-                    stack.append((tag, stack[-1][1] + of_element(tag, attributes)))
+                    own, near = of_element(tag, attributes)
+                    stack.append((tag, stack[-1][1] + own, stack[-1][2] if near is None else near))
         elif tag == "br":
             parts.append(" ")
         elif tag == "a":
@@ -119,12 +124,11 @@ def leaf_blocks(page: str, of_element: Callable[[str, str], Any], start: Any) ->
     return blocks
 
 
-def element_features(tag: str, attributes: str) -> tuple[str, ...]:
-    """The tag itself and the words of its class, id and role."""
-    words = {f"tag {tag}"}
-    for groups in _NAMING.findall(attributes):
-        words.update(f"named {part.lower()}" for part in _NAME_PART.findall("".join(groups)))
-    return tuple(sorted(words))
+def element_features(tag: str, attributes: str) -> tuple[tuple[str, ...], tuple[str, ...] | None]:
+    """A telling tag and the words of class, id and role; the same once more for the closest telling ancestor."""
+    names = sorted({f"named {part.lower()}" for groups in _NAMING.findall(attributes) for part in _NAME_PART.findall("".join(groups))})
+    own = (f"tag {tag}", *names) if tag in TELLING_TAGS else tuple(names)
+    return own, tuple(f"near {f}" for f in own) or None
 
 
 def text_features(tag: str, text: str, linked: int) -> tuple[str, ...]:
@@ -145,20 +149,24 @@ class Field:
     steps: np.ndarray  # 2 x 2, from label to label
     first: float
 
-    def scorer(self) -> Callable[[str, str], float]:
-        known: dict[tuple[str, str], float] = {}
+    def scorer(self) -> Callable[[str, str], tuple[float, float | None]]:
+        known: dict[tuple[str, str], tuple[float, float | None]] = {}
 
-        def score(tag: str, attributes: str) -> float:
+        def total(features: tuple[str, ...]) -> float:
+            return sum(self.features.get(f, 0.0) for f in features)
+
+        def score(tag: str, attributes: str) -> tuple[float, float | None]:
             key = (tag, attributes)
             if key not in known:
                 if len(known) > 100_000:  # attributes that never recur
                     known.clear()
-                known[key] = sum(self.features.get(f, 0.0) for f in element_features(tag, attributes))
+                own, near = element_features(tag, attributes)
+                known[key] = total(own), None if near is None else total(near)
             return known[key]
 
         return score
 
-    def main_blocks(self, page: str, score: Callable[[str, str], float]) -> list[str]:
+    def main_blocks(self, page: str, score: Callable[[str, str], tuple[float, float | None]]) -> list[str]:
         """The texts of the most likely labelling's main blocks."""
         blocks = leaf_blocks(page, score, 0.0)
         stay_other, to_main, to_other, stay_main = (float(x) for x in self.steps.ravel())
@@ -180,7 +188,7 @@ class Field:
         return chosen[::-1]
 
 
-def train(pages: list[tuple[str, list[bool]]], rounds: int = 60, rate: float = 0.15, decay: float = 1e-3) -> Field:
+def train(pages: list[tuple[str, list[bool]]], rounds: int = 80, rate: float = 0.15, decay: float = 1e-3) -> Field:
     """Maximum likelihood by full gradients with adaptive steps; deterministic.
 
     A page comes with one label per leaf block.
@@ -241,7 +249,7 @@ AD_NAMES = "ad ads advert advertisement banner sponsor sponsored promo promoted
 NOTICE_NAMES = "cookie cookies consent notice alert gdpr newsletter subscribe popup modal".split()
 COMMENT_NAMES = "comments comment discussion replies respond commentlist disqus".split()
 SHARE_NAMES = "share social sharing tags meta byline author".split()
-TRAINING_PAGES = 260
+TRAINING_PAGES = 320
 
 
 def training_pages(seed: int = 11) -> list[tuple[str, list[bool]]]:
@@ -352,7 +360,12 @@ def training_pages(seed: int = 11) -> list[tuple[str, list[bool]]]:
         def share() -> str:
             return link_list("div", named(SHARE_NAMES, True))
 
+        def stub() -> str:
+            return f"<article{named(MAIN_NAMES)}>{block('p', short() if draw.random() < 0.5 else sentence(2, 6), True)}</article>"
+
         def article() -> str:
+            if draw.random() < 0.08:
+                return stub()
             tag, attributes = draw.choice(
                 (("article", named(MAIN_NAMES)), ("article", ""), ("article", ""), ("main", named(MAIN_NAMES)), ("div", named(MAIN_NAMES, True)), ("section", named(MAIN_NAMES, True)))
             )
@@ -362,7 +375,7 @@ def training_pages(seed: int = 11) -> list[tuple[str, list[bool]]]:
                 inner += f"<header>{title}</header>" if draw.random() < 0.15 else title
             for _ in range(draw.choice((0, 1, 2, 3, 4, 6, 9, 14))):
                 inner += paragraph()
-                if draw.random() < 0.06:
+                if draw.random() < 0.1:
                     inner += within()
             if draw.random() < 0.15:
                 inner += comments()
