@@ -20,10 +20,11 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import stage
+from ..workspace import sized, stage
 
 SLOTS = 4096  # hashed beginnings of words, and as many ends
-ROUNDS, CLOSE_ENOUGH = 60, 1e-6  # most rounds, and the largest residual share that ends them
+ROUNDS, CLOSE_ENOUGH = 30, 1e-5  # most rounds, and the largest residual share that ends them
+LONGEST_STEP = 100.0
 PATIENCE = 12.0  # words; longer texts weigh their average word as this many
 SMOOTHING = 1.0
 
@@ -58,8 +59,10 @@ def word_weights(docs: DataFrame, labels: DataFrame, domains: int) -> tuple[list
     known = labels.select(F.col("doc_id").alias("_labelled"), domain_of(F.col("quality"), F.col("toxic")).alias("domain")).where(
         "domain is not null and _labelled is not null"
     )
+    known = stage(known, "labels")
     texts = docs.select(F.col("doc_id").alias("_doc"), F.col("text").cast("string").alias("text"))
-    labelled = texts.join(known, F.col("_doc") == F.col("_labelled"))
+    # Labels are few and narrow: as long as they are, no text has to travel to meet them.
+    labelled = texts.join(sized(known), F.col("_doc") == F.col("_labelled"))
     counted = (
         labelled.select("domain", F.explode(_slots(F.col("text"))).alias("slot"))
         .groupBy("domain", "slot")
@@ -133,10 +136,13 @@ def _solve(matrix: list[list[float]], right: list[float]) -> list[float]:
 
 
 def fit_rates(posteriors: DataFrame, targets: Sequence[float]) -> list[list[float]]:
-    """The gradients whose projected steps lead to the fitted rates.
+    """The gradients, each times its step, whose projected steps lead to the fitted rates.
 
-    The fitted totals are ``targets`` x all tokens. A target no document has any
-    posterior for cannot be met; the least-squares fit then leaves that residual.
+    The fitted totals are ``targets`` x all tokens. Documents whose rate is 0 answer
+    no step, so steps are lengthened by what the last one fell short of; a step that
+    did not bring the totals closer is followed by one of length 1, which always
+    does. Targets outside what the documents' posteriors span cannot be met; the
+    closest totals found are then taken.
     """
     domains = len(targets)
     tokens = F.col("tokens").cast("double")
@@ -145,21 +151,34 @@ def fit_rates(posteriors: DataFrame, targets: Sequence[float]) -> list[list[floa
         F.sum(tokens).alias("all"),
         *(F.sum(tokens * p[d] * p[e]).alias(f"g{d}_{e}") for d in range(domains) for e in range(d, domains)),
     ).first()
-    if not moments["all"]:
-        return []
     everything = moments["all"]
+    if not everything:
+        return []
     gram = [[moments[f"g{min(d, e)}_{max(d, e)}"] for e in range(domains)] for d in range(domains)]
-    share = sum(targets)
-    wanted = [everything * t / share for t in targets]
+    wanted = [everything * t / sum(targets) for t in targets]
+
+    def dot(a: Sequence[float], b: Sequence[float]) -> float:
+        return sum(x * y for x, y in zip(a, b, strict=True))
+
     gradients: list[list[float]] = []
+    best, closest, step, before = 0, float("inf"), 1.0, None
     for _ in range(ROUNDS):
         rate = _rate(gradients, domains)
         row = posteriors.agg(*(F.sum(rate * tokens * p[d]).alias(f"t{d}") for d in range(domains))).first()
-        residual = [(row[f"t{d}"] or 0.0) - wanted[d] for d in range(domains)]
+        residual = [row[f"t{d}"] - wanted[d] for d in range(domains)]
+        gradient = _solve(gram, residual)
+        error = dot(residual, gradient)  # in the metric of the inverse Gram matrix
+        if before is not None:
+            last, last_gradient, last_error = before
+            answered = dot([x - y for x, y in zip(last, residual, strict=True)], last_gradient)
+            step = min(LONGEST_STEP, max(1.0, step * last_error / answered)) if error <= last_error and answered > 0 else 1.0
+        if error < closest:
+            best, closest = len(gradients), error
         if max(abs(x) for x in residual) <= CLOSE_ENOUGH * everything:
             break
-        gradients.append(_solve(gram, residual))
-    return gradients
+        gradients.append([step * g for g in gradient])
+        before = residual, gradient, error
+    return gradients[:best]
 
 
 def fitted(docs: DataFrame, labels: DataFrame, targets: Sequence[float]) -> DataFrame:
