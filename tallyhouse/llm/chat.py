@@ -3,8 +3,8 @@
 Nodes know their parent. Self-joins double what every node sees: after round k it
 knows its ancestor 2**k replies up and the sums on the way, so a tree of any depth
 takes the logarithm of its depth in rounds. Leaves are then ranked within their
-tree by the mean score of their branch, the best are chosen, and the same jumps,
-largest first, enumerate the nodes of the chosen branches alone.
+tree by the mean score of their branch, the best are chosen, and the same jumps
+enumerate the nodes of the chosen branches alone.
 
 Turns are written as ``<|im_start|>role\\ntext<|im_end|>\\n``. Inside roles and
 texts ``&`` becomes ``&amp;`` and ``<|`` becomes ``&lt;|`` (in roles also a line
@@ -14,6 +14,8 @@ read back.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,38 +59,40 @@ def branches(nodes: DataFrame, per_tree: int = 1) -> DataFrame:
     reach a circle have no root and are on no path.
     """
     base = stage(_mended(nodes.select("node", "parent", "tree", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))), "nodes")
-    jumps = [stage(base.select("node", F.col("parent").alias("up"), "score", F.lit(1).cast("long").alias("length")), "jumps")]
+    start = base.select("node", F.col("parent").alias("up"), "score", F.lit(1).cast("long").alias("length"))
+    # Nodes that have reached their root take no part in later rounds, but are looked at by those below.
+    jumps, done, written = [start.where("up is not null")], start.where("up is null"), [base]
     most = max(1, base.count())
-    while len(jumps) <= most.bit_length() and not jumps[-1].where("up is not null").isEmpty():
-        above = jumps[-1].select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"), F.col("length").alias("length2"))
-        jumps.append(
-            stage(
-                jumps[-1].join(above, "up", "left").select(
-                    "node",
-                    F.col("up2").alias("up"),
-                    (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"),
-                    (F.col("length") + F.coalesce("length2", F.lit(0))).alias("length"),
-                ),
-                "jumps",
-            )
+    while len(jumps) <= most.bit_length() and not jumps[-1].isEmpty():
+        above = jumps[-1].unionByName(done).select(
+            F.col("node").alias("up"), F.col("up").alias("up2"), F.col("score").alias("score2"), F.col("length").alias("length2")
+        )
+        further = jumps[-1].join(above, "up").select(
+            "node", F.col("up2").alias("up"), (F.col("score") + F.col("score2")).alias("score"), (F.col("length") + F.col("length2")).alias("length")
         )
-    whole = jumps[-1].where("up is null")  # what still jumps goes round in a circle
+        written.append(stage(further, "jumps"))
+        jumps.append(written[-1].where("up is not null"))
+        done = done.unionByName(written[-1].where("up is null"))
+    whole = done  # what still jumps goes round in a circle
     leaves = base.join(base.select(F.col("parent").alias("node")).where("node is not null").distinct(), "node", "left_anti")
     order = Window.partitionBy("tree").orderBy(F.desc("mean"), F.desc("length"), "node")
-    chosen = (
+    best = (
         leaves.select("node", "tree")
         .join(whole.select("node", "length", (F.col("score") / F.col("length")).alias("mean")), "node")
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= per_tree)
         .select("tree", F.col("node").alias("branch"), "rank", "length", "node", F.lit(0).cast("long").alias("up_by"))
     )
-    for k, jump in enumerate(jumps[:-1]):
-        far = chosen.join(jump.select("node", "up").where("up is not null"), "node").select(
+    reached = [stage(best, "reached")]
+    chosen = reached[0]
+    for k, jump in enumerate(jumps):
+        far = chosen.join(jump.select("node", "up"), "node").select(
             "tree", "branch", "rank", "length", F.col("up").alias("node"), (F.col("up_by") + (1 << k)).alias("up_by")
         )
-        chosen = chosen.unionByName(far)
+        reached.append(stage(far, "reached"))  # as many rows as were reached before, at most
+        chosen = reduce(DataFrame.unionByName, reached)
     found = stage(chosen.select("tree", "branch", "rank", (F.col("length") - F.col("up_by")).alias("depth"), "node"), "branches")
-    for table in (base, *jumps):
+    for table in (*written, *reached):
         discard(table)
     return found
 
