@@ -128,11 +128,11 @@ def _could_be_similar(size: str, other_size: str) -> Column:
 
 
 def _centres(rows: DataFrame) -> DataFrame:
-    """(bucket, centre, centre_size): the bucket's class that meets most others over all its buckets."""
+    """(bucket, centre, centre_size, weight): the bucket's class that meets most others over all its buckets."""
     weight = rows.groupBy("class").agg(F.sum("filled").alias("weight"))
     first = F.max(F.struct("weight", "class", "size")).alias("first")
     return rows.join(weight, "class").groupBy("bucket").agg(first).select(
-        "bucket", F.col("first.class").alias("centre"), F.col("first.size").alias("centre_size")
+        "bucket", F.col("first.class").alias("centre"), F.col("first.size").alias("centre_size"), "first.weight"
     )
 
 
@@ -146,36 +146,45 @@ def _star_pairs(rows: DataFrame, centres: DataFrame) -> DataFrame:
     )
 
 
+def _counts_by_part(hashes: Column) -> Column:
+    def count(part: Column) -> Column:
+        return F.size(F.filter(hashes, lambda h: F.pmod(h, F.lit(PARTS)) == part)).cast("long")
+
+    return F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), count)
+
+
 def _profiles(crowded: DataFrame, sets: DataFrame) -> DataFrame:
-    """How a class's shingles lie: (class, centre, inside, outside) for the given pairs.
+    """How a class's shingles lie: (class, middle, inside, outside) for the given (class, middle).
 
     Shingles fall into PARTS parts. ``inside`` counts, part by part, those that
-    the centre has too, ``outside`` the others that at least one more class has.
-    What two classes share lies in both's counts, so the smaller counts, summed
-    up, bound it.
+    the middle class has too, ``outside`` the others that at least one more of
+    these classes has. What two classes of one middle share lies in both's counts,
+    so the smaller counts, summed up, bound it.
     """
-    met = crowded.select("class").union(crowded.select("centre")).distinct()
-    each = stage(sets.join(met, "class", "left_semi").select("class", F.explode("shingles").alias("shingle")), "each")
-    owned = each.groupBy("shingle").agg(F.count("*").alias("owners")).where("owners = 1").select("shingle", F.lit(True).alias("own"))
-    of_centre = each.select(F.col("class").alias("centre"), "shingle", F.lit(True).alias("shared"))
-    counted = (
-        crowded.join(each.join(owned, "shingle", "left"), "class")
-        .join(of_centre, ["centre", "shingle"], "left")
-        .groupBy("class", "centre", F.pmod("shingle", F.lit(PARTS)).cast("int").alias("part"))
-        .agg(
-            F.count_if(F.col("shared")).alias("inside"),
-            F.count_if(F.col("shared").isNull() & F.col("own").isNull()).alias("outside"),
-        )
-    )
-    parts = counted.groupBy("class", "centre").agg(
-        F.map_from_entries(F.collect_list(F.struct("part", F.struct("inside", "outside")))).alias("parts")
+    members = crowded.select("class").union(crowded.select("middle")).distinct()
+    each = sets.join(members, "class", "left_semi").select("class", F.explode("shingles").alias("shingle"))
+    owned = each.groupBy("shingle").agg(F.count("*").alias("owners"), F.min("class").alias("class")).where("owners = 1")
+    own = owned.groupBy("class", F.pmod("shingle", F.lit(PARTS)).cast("int").alias("part")).agg(F.count("*").alias("n"))
+    own = own.groupBy("class").agg(F.map_from_entries(F.collect_list(F.struct("part", "n"))).alias("own"))
+    of_middle = sets.select(F.col("class").alias("middle"), F.col("shingles").alias("of_middle"))
+    both = crowded.join(sets, "class").join(of_middle, "middle").join(own, "class", "left")
+    counted = both.select(
+        "class",
+        "middle",
+        _counts_by_part(F.array_intersect("shingles", "of_middle")).alias("inside"),
+        _counts_by_part(F.array_except("shingles", "of_middle")).alias("beyond"),
+        "own",
     )
+    # Shingles of one owner are beyond the middle, but for the middle's own.
+    rest = F.transform("beyond", lambda n, part: F.greatest(n - F.coalesce(F.col("own")[part], F.lit(0).cast("long")), F.lit(0).cast("long")))
+    return stage(counted.select("class", "middle", "inside", rest.alias("outside")), "profiles")
 
-    def filled(side: str) -> Column:
-        every = F.sequence(F.lit(0), F.lit(PARTS - 1))
-        return F.transform(every, lambda p: F.coalesce(F.col("parts")[p][side], F.lit(0).cast("long"))).alias(side)
 
-    return stage(parts.select("class", "centre", filled("inside"), filled("outside")), "profiles")
+def _middles(rows: DataFrame) -> DataFrame:
+    """(class, middle): the most central class its buckets lead to, or that one's in turn."""
+    nearest = rows.groupBy("class").agg(F.max(F.struct("weight", "centre")).alias("nearest")).select("class", "nearest.centre")
+    further = nearest.select(F.col("class").alias("centre"), F.col("centre").alias("beyond"))
+    return nearest.join(further, "centre", "left").select("class", F.coalesce("beyond", "centre").alias("middle"))
 
 
 def _total(counts: Column) -> Column:
@@ -197,11 +206,11 @@ def _bridge_pairs(placed: DataFrame, centres: DataFrame, sets: DataFrame) -> Dat
         F.count("*").alias("parts"), F.sum("many").alias("filled"), F.max(F.struct("many", "component")).alias("main")
     )
     split = parts.where("parts > 1").select("bucket", "filled", F.col("main.component").alias("main"))
-    open_rows = stage(placed.drop("filled").join(split, "bucket").join(centres.select("bucket", "centre"), "bucket"), "open")
+    open_rows = stage(placed.drop("filled").join(split, "bucket").join(centres.select("bucket", "centre", "weight"), "bucket"), "open")
     crowded = F.col("filled") >= CROWDED
-    profiles = _profiles(open_rows.where(crowded).select("class", "centre").distinct(), sets)
-    known = open_rows.join(profiles, ["class", "centre"], "left").withColumns(
-        {side: F.when(crowded, F.col(side)) for side in ("inside", "outside")}
+    profiles = _profiles(stage(_middles(open_rows.where(crowded)), "middles"), sets)
+    known = open_rows.join(profiles, "class", "left").withColumns(
+        {side: F.when(crowded, F.col(side)) for side in ("middle", "inside", "outside")}
     )
     bounded = known.withColumn("common", F.coalesce(_total(F.col("inside")) + _total(F.col("outside")), F.col("size")))
     # What a class can reach at best: its common part lies in the smallest class of the bucket that is large enough.
@@ -213,18 +222,19 @@ def _bridge_pairs(placed: DataFrame, centres: DataFrame, sets: DataFrame) -> Dat
         ),
         "able",
     )
-    apart = able.where("component <> main").select("bucket", "class", "component", "size", "inside", "outside")
+    apart = able.where("component <> main").select("bucket", "class", "component", "size", "middle", "inside", "outside")
     others = able.select(
         "bucket",
         F.col("class").alias("other"),
         F.col("component").alias("other_component"),
         F.col("size").alias("other_size"),
+        F.col("middle").alias("other_middle"),
         F.col("inside").alias("other_inside"),
         F.col("outside").alias("other_outside"),
         (F.col("component") == F.col("main")).alias("in_main"),
     )
     by_parts = _total(F.zip_with("inside", "other_inside", _smaller)) + _total(F.zip_with("outside", "other_outside", _smaller))
-    most = F.coalesce(by_parts, F.least("size", "other_size"))
+    most = F.coalesce(F.when(F.col("middle") == F.col("other_middle"), by_parts), F.least("size", "other_size"))
     return (
         apart.join(others, "bucket")
         .where((F.col("component") != F.col("other_component")) & (F.col("in_main") | (F.col("class") < F.col("other"))))
