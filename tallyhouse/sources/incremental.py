@@ -88,8 +88,9 @@ def merge_into_dates(
     A key must keep its date; a delta that moves one is refused before anything is
     written, since its old row lies in a date this merge does not read. That check
     is the only step that looks beyond the touched dates; feeds whose dates cannot
-    change do without (``check_moved=False``). Repeating a merge gives the same
-    table, and readers keep the version they began with.
+    change do without (``check_moved=False``). NULL is a date like any other.
+    Repeating a merge gives the same table, and readers keep the version they
+    began with.
     """
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in delta.schema.fields)
     table = read_current(spark, path, schema)
@@ -97,6 +98,9 @@ def merge_into_dates(
         if check_moved and not moved_keys(table, latest, date_column, pk).isEmpty():
             raise ValueError(f"a delta row changes {date_column}; rewrite the whole table instead")
         affected = table.join(latest.select(date_column).distinct(), date_column, "left_semi").select(*delta.columns)
+        # NULL joins nothing; a filter besides, as a null-safe join would not prune the other dates.
+        if not latest.where(F.col(date_column).isNull()).isEmpty():
+            affected = affected.unionByName(table.where(F.col(date_column).isNull()).select(*delta.columns))
         write_version(_with_changes(affected, latest, pk, version), path, date_column)
 
 

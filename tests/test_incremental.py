@@ -84,6 +84,21 @@ def test_merge_adds_a_version_of_touched_dates_only(spark, tmp_path):
     assert versions.expired_versions(versions.version_log(spark, path)).count() == 3
 
 
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_merge_keeps_stored_rows_without_date(spark, tmp_path, limit):
+    path = str(tmp_path / "fact")
+    base = [(1, "a", OLD, None), (2, "b", OLD, None), (3, "newer", NEW, None), (4, "d", OLD, OLD.date())]
+    versions.write_version(spark.createDataFrame(base, DATED), path, "day")
+    delta = spark.createDataFrame([(2, "B", MID, None), (3, "older", MID, None), (5, "e", MID, None)], DATED)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        for check in (True, False):
+            inc.merge_into_dates(spark, path, delta, "day", check_moved=check)
+            assert rows(versions.read_current(spark, path, DATED).select("id", "v")) == [(1, "a"), (2, "B"), (3, "newer"), (4, "d"), (5, "e")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_failed_write_leaves_the_table_as_it_was(spark, tmp_path):
     path = str(tmp_path / "t")
     versions.write_version(spark.createDataFrame([(1, "a", OLD, OLD.date())], DATED), path)
