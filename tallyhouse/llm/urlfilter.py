@@ -31,6 +31,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Pages name their address in <link rel=canonical href=...> or forward in <meta http-equiv=refresh content="0; url=...">.
 LINK, REFRESH = r"(?is)<link\b[^>]*>", r"(?is)<meta\b[^>]*>"
 HREF = r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)"""
+BASE = r"""(?is)<base\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
 FORWARD = r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -69,14 +70,52 @@ def with_rule(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -
 
 
 def address(url: Column) -> Column:
-    """A URL without its fragment: what a server is asked for."""
-    return F.regexp_replace(url, r"(?s)#.*$", "")
+    """A URL without its fragment: what a server is asked for. Scheme and host are lower-cased."""
+    asked = F.regexp_replace(url, r"(?s)#.*$", "")
+    user = F.regexp_extract(asked, r"(?s)^[^:/?#]*://([^/?#]*@)", 1)
+    scheme = F.regexp_extract(asked, r"(?s)^([^:/?#]*://)", 1)
+    named = F.regexp_extract(asked, r"(?s)^[^:/?#]*://(?:[^/?#]*@)?([^/?#]*)", 1)
+    rest = F.substr(asked, F.length(scheme) + F.length(user) + F.length(named) + 1)
+    return F.concat(F.translate(scheme, _UPPER, _LOWER), user, F.translate(named, _UPPER, _LOWER), rest)
+
+
+def _without_dots(path: Column) -> Column:
+    """A path that begins with a slash, its segments ``.`` and ``..`` followed."""
+    segments = F.split(path, "/")
+
+    def step(done: Column, segment: Column) -> Column:
+        above = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(segment == ".", done).when(segment == "..", above).otherwise(F.concat(done, F.array(segment)))
+
+    followed = F.aggregate(F.slice(segments, F.lit(2), F.size(segments)), F.array().cast("array<string>"), step)
+    ends_above = F.element_at(segments, -1).isin(".", "..")
+    return F.concat(F.lit("/"), F.array_join(F.when(ends_above, F.concat(followed, F.array(F.lit("")))).otherwise(followed), "/"))
+
+
+def resolved(target: Column, base: Column) -> Column:
+    """``target`` as seen from the URL ``base`` (RFC 3986); NULL where it is relative and ``base`` names no host."""
+    scheme, named, path = (F.regexp_extract(base, r"(?s)^([^:/?#]*:)//([^/?#]*)([^?#]*)", i) for i in (1, 2, 3))
+    root = F.concat(scheme, F.lit("//"), named)
+    own = F.regexp_extract(target, r"(?s)^([^?#]*)", 1)
+    rest = F.substr(target, F.length(own) + 1)
+    folder = F.regexp_extract(path, r"(?s)^(.*/)", 1)
+    beside = F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), own)
+    return (
+        F.when(target.rlike(r"^([A-Za-z][A-Za-z0-9+.\-]*:|://)"), target)
+        .when((scheme == "") | base.isNull(), F.lit(None))
+        .when((target == "") | target.startswith("#"), base)
+        .when(target.startswith("//"), F.concat(scheme, target))
+        .when(target.startswith("?"), F.concat(root, path, target))
+        .when(target.startswith("/"), F.concat(root, _without_dots(own), rest))
+        .otherwise(F.concat(root, _without_dots(beside), rest))
+    )
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
     """(a, b): a page's address and the addresses its HTML forwards to or names as canonical.
 
-    Only absolute targets, with a scheme, name another URL; ``&amp;`` in them is decoded.
+    ``&amp;`` in targets is decoded; relative ones are resolved against the page's
+    <base>, if any, and its URL. Targets without a host (``mailto:``) name no page.
     """
     html = F.col("html").cast("string")
     canonical = F.transform(
@@ -91,13 +130,15 @@ def alias_edges(pages: DataFrame) -> DataFrame:
         ),
         lambda tag: F.regexp_extract(tag, FORWARD, 1),
     )
-    # A page that has neither word is not searched for tags.
-    named = F.when(html.rlike("(?i)canonical|refresh"), F.concat(canonical, forward)).otherwise(F.array().cast("array<string>"))
+    written_base = F.replace(F.regexp_extract(html, BASE, 1), F.lit("&amp;"), F.lit("&"))
     return (
         pages.where("url is not null and html is not null")
-        .select(address(F.col("url").cast("string")).alias("a"), F.explode(named).alias("target"))
-        .select("a", address(F.replace("target", F.lit("&amp;"), F.lit("&"))).alias("b"))
-        .where("b like '%://%' and a <> b")
+        .where(html.rlike("(?i)canonical|refresh"))  # a page that has neither word is not searched for tags
+        .select(F.col("url").cast("string").alias("url"), written_base.alias("base"), F.explode(F.concat(canonical, forward)).alias("target"))
+        .withColumn("base", F.coalesce(resolved(F.col("base"), F.col("url")), F.col("url")))
+        .withColumn("target", resolved(F.replace("target", F.lit("&amp;"), F.lit("&")), F.col("base")))
+        .select(address(F.col("url")).alias("a"), address(F.col("target")).alias("b"))
+        .where(F.col("b").rlike("^[^:/?#]*://") & (F.col("a") != F.col("b")))
     )
 
 
@@ -105,15 +146,14 @@ def judged(pages: DataFrame, redirects: DataFrame | None = None, rules: Sequence
     """One row per row of ``pages``: page_id, url, host, path, rule, verdict.
 
     ``redirects`` (url, target) adds edges known from a crawl to those in the
-    HTML. A NULL url or one without ``://`` has empty host and path, fits no
+    HTML; relative targets are resolved there too. A NULL url or one without ``://`` has empty host and path, fits no
     rule, has no alias and is allowed. Aliases that are no page themselves still
     pass a block on, by the rule that fits them. Repeated rows are judged alike.
     """
     edges = alias_edges(pages)
     if redirects is not None:
-        edges = edges.unionByName(
-            redirects.select(address(F.col("url")).alias("a"), address(F.col("target")).alias("b")).where("a <> b")
-        )
+        target = F.coalesce(resolved(F.col("target"), F.col("url")), F.col("target"))
+        edges = edges.unionByName(redirects.select(address(F.col("url")).alias("a"), address(target).alias("b")).where("a <> b"))
     aliases = connected_components(edges)
     named = aliases.select("component", host(F.col("node")).alias("host"), path(F.col("node")).alias("path"))
     blocked = with_rule(named, rules).where(F.col("ruled") == BLOCK).select("component").distinct()

@@ -77,6 +77,52 @@ def test_redirects_from_a_crawl(spark):
     assert sorted((r.page_id, r.verdict) for r in urlfilter.judged(table, redirects).collect()) == [(1, "block"), (2, "allow"), (2, "allow")]
 
 
+TARGETS = [
+    ("http://x.com/a", "/de/1"),
+    ("http://x.com/fr/sub/a?q=1", "../../de/1"),
+    ("http://x.com/de/a", "b"),
+    ("http://n.net/a", "//X.com/de/1"),
+    ("HTTP://N.net/b", "http://X.COM/de/2"),
+    ("http://x.com", "de/1"),
+]
+
+
+def test_relative_targets_are_resolved(spark):
+    rows = [(i, u, canonical(t)) for i, (u, t) in enumerate(TARGETS)]
+    rows += [
+        (10, "http://y.com/a", '<meta http-equiv="refresh" content="0; url=./x/../de/1">'),
+        (11, "http://n.net/c", '<base href="//x.com/de/"><link rel="canonical" href="1">'),
+        (12, "http://N.NET/d", ""),
+        (13, "https://n.net/e", canonical("http://n.net/d")),
+        (14, "http://n.net/d", canonical("http://x.com/de/3")),
+        (20, "http://n.net/f", canonical("/g?u=http://x.com/de/1")),
+        (21, "http://x.com/a/b", canonical("de/1")),
+        (22, "http://n.net/h", canonical("mailto:a@x.com")),
+        (23, "x.com/a", canonical("/de/1")),
+        (24, "http://n.net/i", canonical("#top")),
+        (25, "http://n.net/D", ""),
+    ]
+    got = {i: v[3] for i, v in verdicts(spark, rows).items()}
+    assert got == {i: "block" if i < 20 else "allow" for i, *_ in rows} | {1: "allow"}  # its own rule allows com/fr/
+    redirects = spark.createDataFrame([("http://x.com/a/b", "/de/1")], "url string, target string")
+    assert verdicts(spark, rows, redirects=redirects)[21][3] == "block"
+
+
+# RFC 3986, 5.4
+REFERENCES = {
+    "g:h": "g:h", "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g", "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y",
+    "g#s": "http://a/b/c/g#s", ";x": "http://a/b/c/;x", "": "http://a/b/c/d;p?q", ".": "http://a/b/c/", "./": "http://a/b/c/", "..": "http://a/b/", "../g": "http://a/b/g", "../..": "http://a/",
+    "../../../g": "http://a/g", "/./g": "http://a/g", "/../g": "http://a/g", "g..": "http://a/b/c/g..", "./g/.": "http://a/b/c/g/", "g/../h": "http://a/b/c/h", "g?y/../x": "http://a/b/c/g?y/../x",
+}
+
+
+def test_references_resolve_as_in_the_standard(spark):
+    from pyspark.sql import functions as F
+
+    table = spark.createDataFrame([(t, "http://a/b/c/d;p?q") for t in REFERENCES], "target string, base string")
+    assert {r[0]: r[1] for r in table.select("target", urlfilter.resolved(F.col("target"), F.col("base"))).collect()} == REFERENCES
+
+
 def test_no_pages(spark):
     assert verdicts(spark, []) == {}
 
