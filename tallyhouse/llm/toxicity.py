@@ -1,16 +1,20 @@
 """Toxicity by nearest labelled examples.
 
-A text is its normalised TF-IDF vector over the words, and the first four bytes of
-longer words, that tell toxic from other labelled texts. Its nearest examples by
-exact cosine come from an inverted index in blocks: for every word and block of
-examples the index knows the largest weight, so a block whose bound cannot reach
-the k-th cosine is never read. The nearest examples vote by cosine; the vote is
-calibrated on labelled texts that are no examples, and the ids of the voters are
-the evidence.
-
-Word counts cover all labelled rows that may be learnt from. The examples are a
-bounded sample, at most ``EXAMPLES_PER_LABEL`` of each label, as are the texts of
-the calibration.
+A text is its normalised TF-IDF vector over its words and the first four bytes of
+longer words. The vocabulary is every one of these that the examples hold; others
+could meet no example and, as in the fitting of any TF-IDF, are no part of the
+vector or its length. A word that comes with toxic labels weighs the more, the
+surer that is: its IDF is multiplied by one plus the root of its chi-square.
+
+The nearest examples by exact cosine come from an inverted index in blocks: for
+every word and block of examples the index knows the largest weight, so a block
+whose bound cannot reach the k-th cosine is never read. The nearest examples vote
+by cosine; the vote is calibrated on labelled texts that are no examples, and the
+ids of the voters are the evidence.
+
+Document frequencies cover all labelled rows that may be learnt from. The examples
+are a bounded sample, at most ``EXAMPLES_PER_LABEL`` of each label, as are the texts
+of the calibration.
 """
 
 from __future__ import annotations
@@ -29,11 +33,9 @@ from .words import NOT_PLAIN, chunks
 
 EXAMPLES_PER_LABEL = 1500
 CALIBRATION_PER_LABEL = 1000
-VOCABULARY = 800  # words and beginnings, by how well they tell the labels apart
-LEAST_TEXTS = 4  # labelled texts a word of the vocabulary occurs in
-LEAST_LIFT, LEAST_CHI_SQUARE = 2, 25  # its share of toxic texts against the usual one, and how sure that is
 NEAREST = 15
 BLOCK = 64  # examples
+BLOCKS_FIRST = 4  # blocks read before the others are measured against the k-th cosine
 
 WORD_COUNTS = "word long, texts long, toxic long"
 
@@ -58,69 +60,72 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return texts.where("text is not null").join(sized(stage(known, "labels")), "doc_id").select("doc_id", "text", "toxic")
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts and toxic texts per word hash, summed over what a task has read so far."""
-    names = ["word", "texts", "toxic"]
-
-    def summed(words: np.ndarray, toxic: np.ndarray) -> pa.RecordBatch:
-        values, inverse, many = np.unique(words, return_inverse=True, return_counts=True)
-        marked = np.bincount(inverse, weights=toxic, minlength=len(values)).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(many), pa.array(marked)], names)
-
-    for batch in batches:
-        toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
-        words, marks = [], []
-        for chunk in chunks(batch.column("text"), NOT_PLAIN):
-            for i, (a, b) in enumerate(zip(chunk.at[:-1], chunk.at[1:], strict=True)):
-                own = np.unique(np.concatenate((chunk.words[a:b], chunk.beginnings[a:b])))
-                words.append(own)
-                marks.append(np.full(len(own), toxic[chunk.first + i], np.float64))
-        if words:
-            yield summed(np.concatenate(words), np.concatenate(marks))
+def _word_sets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct hashes of every text's words and beginnings, and how often each occurs."""
+    for chunk in chunks(column, NOT_PLAIN):
+        for a, b in zip(chunk.at[:-1], chunk.at[1:], strict=True):
+            begun = chunk.beginnings[a:b]
+            yield np.unique(np.concatenate((chunk.words[a:b], begun[begun != 0])), return_counts=True)
 
 
 @dataclass
 class Vocabulary:
     words: np.ndarray  # sorted hashes
-    idf: np.ndarray
+    worth: np.ndarray  # IDF times how well the word tells toxic texts
+
+    def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers of those hashes that are words of the vocabulary, and where they are."""
+        if not len(self.words):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        hit = np.flatnonzero(self.words[at] == hashes)
+        return at[hit], hit
+
+    def vector(self, hashes: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Word numbers and normalised weights."""
+        terms, hit = self.known(hashes)
+        weights = (1 + np.log(many[hit])) * self.worth[terms]
+        norm = np.sqrt((weights * weights).sum())
+        return terms, (weights / norm if norm else weights)
 
     def vectors(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Word numbers and normalised weights of every text."""
-        for chunk in chunks(column, NOT_PLAIN):
-            found, edges = [], []
-            for hashes in (chunk.words, chunk.beginnings):
-                at = np.minimum(np.searchsorted(self.words, hashes), max(0, len(self.words) - 1))
-                hit = np.flatnonzero(self.words[at] == hashes) if len(self.words) else np.zeros(0, np.int64)
-                found.append(at[hit])
-                edges.append(np.searchsorted(hit, chunk.at))
-            for i in range(len(chunk.at) - 1):
-                own = [f[e[i] : e[i + 1]] for f, e in zip(found, edges, strict=True)]
-                terms, many = np.unique(np.concatenate(own), return_counts=True)
-                weights = (1 + np.log(many)) * self.idf[terms]
-                norm = np.sqrt((weights * weights).sum())
-                yield terms, (weights / norm if norm else weights)
-
-
-def fit_vocabulary(texts: DataFrame) -> Vocabulary:
-    """The words with the largest chi-square among those that come with toxic labels, with their IDF."""
+        for hashes, many in _word_sets(column):
+            yield self.vector(hashes, many)
+
+
+def fit_vocabulary(texts: DataFrame, words: np.ndarray) -> Vocabulary:
+    """``words`` (sorted hashes) with their document frequencies, and toxic ones, over all labelled texts."""
     sizes = texts.agg(F.count("*").alias("all"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     every, toxic = float(sizes["all"]), float(sizes["toxic"])
-    counted = texts.select("text", "toxic").mapInArrow(_count_words, WORD_COUNTS).groupBy("word").agg(
-        F.sum("texts").cast("double").alias("texts"), F.sum("toxic").cast("double").alias("toxic")
-    )
-    off = F.col("toxic") * F.lit(every) - F.col("texts") * F.lit(toxic)
-    spread = F.col("texts") * (F.lit(every) - F.col("texts"))
-    chosen = (
-        counted.where((F.col("word") != 0) & (F.col("texts") >= LEAST_TEXTS) & (F.col("texts") < every))
-        .where(F.col("toxic") * every >= F.col("texts") * (toxic * LEAST_LIFT))
-        .withColumn("tells", off * off / spread * F.lit(every / max(1.0, toxic * (every - toxic))))
-        .where(F.col("tells") >= LEAST_CHI_SQUARE)
-        .orderBy(F.desc("tells"), "word")
-        .limit(VOCABULARY)
-        .collect()
-    )
-    found = sorted((r["word"] % 2**64, r["texts"]) for r in chosen)
-    return Vocabulary(np.array([w for w, _ in found], np.uint64), np.array([np.log((1 + every) / (1 + n)) for _, n in found]))
+    found = Vocabulary(words, np.zeros(len(words)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((2, len(words)), np.int64)
+        for batch in batches:
+            labels = batch.column("toxic").to_numpy(zero_copy_only=False)
+            for label, (hashes, _) in zip(labels, _word_sets(batch.column("text")), strict=True):
+                terms, _ = found.known(hashes)
+                seen[0, terms] += 1
+                seen[1, terms] += int(label)
+        word = np.flatnonzero(seen[0])
+        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(seen[0, word]), pa.array(seen[1, word])], ["word", "texts", "toxic"])
+
+    counted = (
+        texts.select("text", "toxic").mapInArrow(count, WORD_COUNTS).groupBy("word").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
+    ).toPandas()
+    of_all, of_toxic = np.zeros(len(words)), np.zeros(len(words))
+    place = counted["word"].to_numpy(np.int64)
+    of_all[place], of_toxic[place] = counted["texts"], counted["toxic"]
+    off = of_toxic * every - of_all * toxic
+    spread = np.maximum(1.0, of_all * (every - of_all)) * max(1.0, toxic * (every - toxic))
+    tells = np.sqrt(np.maximum(0.0, off) ** 2 * every / spread)
+    found.worth = np.log((1 + every) / (1 + of_all)) * (1 + tells)
+    return found
+
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions of several ranges, one range after another."""
+    return np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
 
 
 class ExampleIndex:
@@ -130,37 +135,39 @@ class ExampleIndex:
         # Examples of like words lie side by side, which keeps the bounds of blocks apart.
         order = np.array(sorted(range(len(ids)), key=lambda i: (labels[i], vectors[i][0][np.argmax(vectors[i][1])] if len(vectors[i][0]) else -1, ids[i])), np.int64)
         self.ids, self.labels = ids[order], labels[order]
-        blocks = -(-len(ids) // BLOCK)
-        self.most = np.zeros((words, blocks), np.float64)
-        self.lists: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-        gathered: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for place, i in enumerate(order):
-            for term, weight in zip(*vectors[i], strict=True):
-                gathered.setdefault((int(term), place // BLOCK), []).append((place % BLOCK, float(weight)))
-        for (term, block), postings in gathered.items():
-            places, weights = np.array([p for p, _ in postings]), np.array([w for _, w in postings])
-            self.lists[term, block] = places, weights
-            self.most[term, block] = weights.max()
+        terms = np.concatenate([vectors[i][0] for i in order]).astype(np.int64)
+        places = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
+        by_word = np.lexsort((places, terms))
+        terms, self.places = terms[by_word], places[by_word].astype(np.int32)
+        self.weights = np.concatenate([vectors[i][1] for i in order])[by_word]
+        # One entry per word and block: its postings and their largest weight.
+        blocks = self.places // BLOCK
+        first = np.flatnonzero(np.diff(terms, prepend=-1) | np.diff(blocks, prepend=-1)) if len(terms) else np.zeros(0, np.int64)
+        self.blocks, self.most = blocks[first], np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0)
+        self.begin = np.append(first, len(terms))  # of an entry, in the postings
+        self.entries = np.searchsorted(terms[first], np.arange(words + 1))  # of a word, in the entries
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples that share a word; equal cosines by place."""
-        bounds = weights @ self.most[terms]
-        places, cosines, kth = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(places) >= k and bounds[block] < kth):
-                break
-            found = np.zeros(BLOCK)
-            for term, weight in zip(terms, weights, strict=True):
-                posting = self.lists.get((int(term), int(block)))
-                if posting is not None:
-                    found[posting[0]] += weight * posting[1]
-            own = np.flatnonzero(found > 0)
-            places, cosines = np.concatenate((places, own + block * BLOCK)), np.concatenate((cosines, found[own]))
-            if len(places) > k:
-                best = np.lexsort((places, -cosines))[:k]
-                places, cosines = places[best], cosines[best]
-            kth = cosines.min() if len(cosines) >= k else 0.0
-        return places, cosines
+        many = self.entries[terms + 1] - self.entries[terms]
+        entries, weights = _spans(self.entries[terms], many), np.repeat(weights, many)
+        blocks = self.blocks[entries]
+        # Bounds and cosines are summed in the same order, so rounding lifts no cosine above its bound.
+        bounds = np.bincount(blocks, weights * self.most[entries], minlength=-(-len(self.ids) // BLOCK))
+        cosines, read = np.zeros(len(self.ids)), np.zeros(len(bounds), bool)
+        wanted = np.zeros(len(bounds), bool)
+        wanted[np.argsort(-bounds, kind="stable")[:BLOCKS_FIRST]] = True
+        while wanted.any():
+            own = np.flatnonzero(wanted[blocks])
+            sizes = self.begin[entries[own] + 1] - self.begin[entries[own]]
+            postings = _spans(self.begin[entries[own]], sizes)
+            cosines += np.bincount(self.places[postings], np.repeat(weights[own], sizes) * self.weights[postings], minlength=len(cosines))
+            read |= wanted
+            kth = np.partition(cosines, -k)[-k] if len(cosines) >= k else 0.0
+            wanted = ~read & (bounds > 0) & (bounds >= kth)
+        places = np.flatnonzero(cosines > 0)
+        places = places[np.lexsort((places, -cosines[places]))[:k]]
+        return places, cosines[places]
 
 
 @dataclass
@@ -201,7 +208,6 @@ def _monotone(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from the labelled documents; without any, every text scores 0."""
     texts = stage(labelled_texts(docs, labels).withColumn("order", F.xxhash64("doc_id", "text")), "labelled")
-    vocabulary = fit_vocabulary(texts)
     sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     wanted = EXAMPLES_PER_LABEL + CALIBRATION_PER_LABEL
     likely = F.lit(1.0)
@@ -212,16 +218,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     ranked = drawn.select("doc_id", "toxic", "order").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= wanted)
     sample = drawn.join(F.broadcast(stage(ranked, "drawn")), ["doc_id", "toxic", "order"])
 
-    def turned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = list(vocabulary.vectors(batch.column("text")))
+            found = list(_word_sets(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), batch.column("n"), pa.array([t for t, _ in found], pa.list_(pa.int64())), pa.array([w for _, w in found], pa.list_(pa.float64()))],
-                ["doc_id", "toxic", "n", "terms", "weights"],
+                [batch.column("doc_id"), batch.column("toxic"), batch.column("n"), pa.array([u.view(np.int64) for u, _ in found], pa.list_(pa.int64())), pa.array([c for _, c in found], pa.list_(pa.int64()))],
+                ["doc_id", "toxic", "n", "words", "many"],
             )
 
-    schema = "doc_id long, toxic int, n int, terms array<long>, weights array<double>"
-    known = sample.select("doc_id", "text", "toxic", "n").mapInArrow(turned, schema).toPandas().sort_values(["toxic", "n", "doc_id"])
+    schema = "doc_id long, toxic int, n int, words array<long>, many array<long>"
+    known = sample.select("doc_id", "text", "toxic", "n").mapInArrow(counted, schema).toPandas().sort_values(["toxic", "n", "doc_id"])
     every = sum(sizes.values())
     prior = sizes.get(1, 0) / every if every else 0.0
     # Small tables share what they have between examples and calibration.
@@ -229,13 +235,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     per_label = known.groupby("toxic")["n"].transform("max") if len(known) else known.get("n")
     is_example = known["n"] <= np.maximum(1, per_label * shares) if len(known) else known.get("n")
     examples = known[is_example] if len(known) else known
-    vectors = [(np.asarray(t, np.int64), np.asarray(w, np.float64)) for t, w in zip(examples["terms"], examples["weights"], strict=True)]
+    held = [np.asarray(w, np.int64).view(np.uint64) for w in examples["words"]]
+    vocabulary = fit_vocabulary(texts, np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64))
+
+    def vectors_of(rows: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [vocabulary.vector(np.asarray(w, np.int64).view(np.uint64), np.asarray(c, np.int64)) for w, c in zip(rows["words"], rows["many"], strict=True)]
+
+    vectors = vectors_of(examples)
     index = ExampleIndex(examples["doc_id"].to_numpy(np.int64), examples["toxic"].to_numpy(np.float64), vectors, len(vocabulary.words)) if len(examples) else None
     model = Model(vocabulary, index, prior, np.zeros(0), np.zeros(0))
 
     rest = known[~is_example] if len(known) else known
     if index is not None and rest["toxic"].nunique() == 2:
-        votes = np.array([model.vote(np.asarray(t, np.int64), np.asarray(w, np.float64))[0] for t, w in zip(rest["terms"], rest["weights"], strict=True)])
+        votes = np.array([model.vote(terms, weights)[0] for terms, weights in vectors_of(rest)])
         truth = rest["toxic"].to_numpy(np.float64)
         drawn_of = rest["toxic"].map(rest["toxic"].value_counts())
         weight = rest["toxic"].map(sizes).to_numpy(np.float64) / drawn_of.to_numpy(np.float64)  # back to the labels' true shares
@@ -250,7 +262,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence.
 
     Only doc_id and text are read, and labels to learn. A NULL or wordless text
-    has the score of a text without any telling word. ``evidence`` lists the ids
+    has the score of a text that shares no word with an example. ``evidence`` lists the ids
     of the nearest examples, nearest first.
     """
     model = fit(docs, labels)

@@ -124,6 +124,17 @@ def test_toxicity_of_odd_texts(spark, quarrel):
     assert by_id[1003].predicted == 1 and by_id[None].predicted == 1 and by_id[None].held_out is False
 
 
+def test_rare_words_meet_their_examples(spark, quarrel):
+    learnt = [i for i in range(5000, 5040) if zlib.crc32(str(i).encode()) % 5][:3]  # fewer texts than any threshold on counts
+    rare = [(i, f"{quarrel[1][1]} zounderkite", True) for i in learnt]
+    table = docs(spark, [(d, t, None) for d, t, _ in quarrel + rare] + [(6000, "Zounderkite!", None), (6001, "unheard", None), (6002, quarrel[1][1][:60], None)])
+    labels = spark.createDataFrame(labelled((d, x) for d, _, x in quarrel + rare), LABELS)
+    got = {r.doc_id: r for r in toxicity.toxicity(table, labels).collect()}
+    assert got[6000].evidence and set(got[6000].evidence) <= set(learnt)
+    assert got[6000].score > got[6001].score and got[6001].evidence == []
+    assert len(got[6002].evidence) == toxicity.NEAREST  # plain words count as well
+
+
 def test_toxicity_without_labels_or_documents(spark):
     none = spark.createDataFrame([], LABELS)
     assert toxicity.toxicity(docs(spark, []), none).collect() == []
