@@ -24,7 +24,8 @@ SCALE = 64
 BLOCK_ROWS, PACK_ROWS = 8192, 512
 FIRST_DEPTH = 64  # list entries read before the bound is first compared
 EXACT_IN_DOUBLE = 2**53
-LARGEST = 2**31  # components beyond make no vector of whole numbers that can be scored safely
+EXACT_IN_LONG = 2**62  # sums of absolute products, taken in doubles, below which no step leaves a long
+LARGEST = 2**63  # components beyond are no long
 
 PACKED = "dims int, unit long, ids binary, vectors binary"
 BEST = "query_id long, vec_id long, score long"
@@ -34,7 +35,7 @@ def whole_numbers(vectors: DataFrame) -> DataFrame:
     """(vec_id, whole, dims): floor(64 x) of usable vectors.
 
     Left out: rows without vec_id, vectors that are NULL, empty or hold a NULL,
-    a non-finite or an over-large component (2**31 and beyond after scaling).
+    a non-finite component or one that fits no long (2**63 and beyond after scaling).
     """
     numbers = F.transform("embedding", lambda x: F.floor(x.cast("double") * SCALE))
     usable = F.forall(
@@ -44,7 +45,7 @@ def whole_numbers(vectors: DataFrame) -> DataFrame:
         vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
         .where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0))
         .where(F.coalesce(usable, F.lit(False)))
-        .select("vec_id", F.transform(numbers, lambda x: x.cast("int")).alias("whole"), F.size("embedding").alias("dims"))
+        .select("vec_id", numbers.alias("whole"), F.size("embedding").alias("dims"))
     )
 
 
@@ -57,9 +58,9 @@ def _packs(rows: DataFrame, size: int) -> DataFrame:
 
     def pack(own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("vec_id", kind="stable")
-        vectors = np.stack(own["whole"].to_numpy()).astype(np.int32)
-        if np.abs(vectors).max(initial=0) < 2**15:
-            vectors = vectors.astype(np.int16)
+        vectors = np.stack(own["whole"].to_numpy()).astype(np.int64)
+        largest = np.abs(vectors).max(initial=0)
+        vectors = vectors.astype(np.int16 if largest < 2**15 else np.int32 if largest < 2**31 else np.int64)
         return pd.DataFrame(
             {
                 "dims": [int(own["dims"].iloc[0])],
@@ -75,7 +76,7 @@ def _packs(rows: DataFrame, size: int) -> DataFrame:
 
 def _unpacked(ids: bytes, vectors: bytes, dims: int) -> tuple[np.ndarray, np.ndarray]:
     own = np.frombuffer(ids, np.int64)
-    kind = np.int16 if len(vectors) == 2 * dims * len(own) else np.int32
+    kind = {2: np.int16, 4: np.int32, 8: np.int64}[len(vectors) // (dims * len(own))]
     return own, np.frombuffer(vectors, kind).reshape(len(own), dims).astype(np.int64)
 
 
@@ -93,7 +94,10 @@ class SortedLists:
     def top(self, query: np.ndarray, own_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best but the query itself, best first, equal scores by id."""
         n = len(self.ids)
-        if float((np.abs(query) * self.largest).sum()) < EXACT_IN_DOUBLE:
+        reach = float((np.abs(query).astype(np.float64) * self.largest).sum())
+        if reach >= EXACT_IN_LONG:
+            return self._top_of_large(query, own_id, k)
+        if reach < EXACT_IN_DOUBLE:
             score = lambda rows: (self.exact[rows] @ query.astype(np.float64)).astype(np.int64)
         else:
             score = lambda rows: self.vectors[rows] @ query
@@ -131,6 +135,20 @@ class SortedLists:
         best = np.lexsort((self.ids[rows], -scores))[:k]
         return self.ids[rows[best]], scores[best]
 
+    def _top_of_large(self, query: np.ndarray, own_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same where sums may leave a long: those rows are scored with whole numbers of any size."""
+        small = np.abs(self.exact) @ np.abs(query.astype(np.float64)) < EXACT_IN_LONG
+        scores = np.zeros(len(self.ids), np.int64)
+        scores[small] = self.vectors[small] @ query
+        fits, asked = small.copy(), query.tolist()
+        for row in np.flatnonzero(~small):
+            score = sum(a * b for a, b in zip(asked, self.vectors[row].tolist(), strict=True))
+            if -(2**63) <= score < 2**63:
+                scores[row], fits[row] = score, True
+        rows = np.flatnonzero(fits & (self.ids != own_id))
+        rows = rows[np.lexsort((self.ids[rows], ~scores[rows]))[:k]]  # ~x falls as x rises, and never overflows
+        return self.ids[rows], scores[rows]
+
 
 def nearest(vectors: DataFrame, queries: Column, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest integer inner products of every query row.
@@ -138,6 +156,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int) -> DataFrame:
     ``queries`` tells which rows of ``vectors`` (vec_id, embedding) ask; candidates
     are all rows of the same dimension but those with the query's own id. Equal
     scores rank by vec_id. Rows that repeat a vec_id with the same vector are one.
+    A pair whose score fits no long is left out.
     """
     whole = stage(whole_numbers(vectors).dropDuplicates(["vec_id", "whole"]), "vectors")
     blocks = stage(_packs(whole, BLOCK_ROWS), "blocks")

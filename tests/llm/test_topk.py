@@ -52,6 +52,15 @@ def test_components_too_large_to_score_take_no_part(spark):
     assert run(spark, [(0, [1.0]), (1, [3e38]), (2, [2.0])]) == [(0, 1, 2, 64 * 128)]
 
 
+def test_large_components_are_scored_exactly(spark):
+    rows = [(0, [1.0]), (1, [4e7]), (2, [2.0]), (20, [-4e7]), (3, [5e7]), (4, [1e17])]
+    assert run(spark, rows[:5]) == brute(rows[:5], 20)
+    assert [r for r in run(spark, rows) if r[2] == 4] == []  # 64 times 6.4e18 fits no long
+    rows = [(0, [2e10, -2e10]), (1, [2e10, 2e10]), (2, [2e10, 1.0]), (3, [0.0, 1.0]), (5, [1.0, 0.0])]
+    step = 64 * 2 * 10**10  # 2e10 is a float exactly
+    assert run(spark, rows) == [(0, 1, 5, 64 * step), (0, 2, 1, 0), (0, 3, 3, -64 * step)]
+
+
 def test_fewer_than_k_and_empty(spark):
     assert run(spark, [(0, [1.0]), (20, [2.0])], 3) == [(0, 1, 20, 64 * 128), (20, 1, 0, 64 * 128)]
     assert run(spark, []) == []
