@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import pin_runtime
-from . import chat, decontam, htmlextract, langid, linededup, mixing, neardup, topk, toxicity, urlfilter
+from . import chat, decontam, htmlextract, infill, langid, linededup, mixing, neardup, topk, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -75,6 +75,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.infill_report(table(spark, sf_dir, "documents"))
+
+
 SQL: dict[str, str] = {
     "op2_chat": """
         WITH given AS (
@@ -186,4 +191,28 @@ SQL: dict[str, str] = {
         SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
         FROM words w JOIN components USING (doc_id) LEFT JOIN sizes s USING (doc_id)
     """,
+    "op13_infill": r"""
+        WITH given AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents
+        ), drawn AS (
+            SELECT *, CAST('0x' || digest[1:8] AS BIGINT) AS h1, CAST('0x' || digest[9:16] AS BIGINT) AS h2,
+                   CAST('0x' || digest[17:24] AS BIGINT) AS h3, CAST('0x' || digest[25:32] AS BIGINT) AS h4,
+                   regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS units
+            FROM given
+        ), cut AS (
+            SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                        WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+            FROM drawn
+        ), pieces AS (
+            SELECT *, coalesce(array_to_string(units[1:a], ''), '') AS p, coalesce(array_to_string(units[a + 1:b], ''), '') AS m,
+                   coalesce(array_to_string(units[b + 1:], ''), '') AS s
+            FROM cut
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM pieces
+    """,
 }
