@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import pin_runtime
-from . import chat, decontam, htmlextract, infill, langid, linededup, mixing, neardup, repair, topk, toxicity, urlfilter
+from . import chat, decontam, htmlextract, infill, langid, linededup, mixing, neardup, ngramlm, repair, topk, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -80,6 +80,11 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")), lost="lost")
 
 
+@query
+def op12_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramlm.scored(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.infill_report(table(spark, sf_dir, "documents"))
