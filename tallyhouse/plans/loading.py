@@ -6,6 +6,7 @@ what they read back.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
@@ -295,6 +296,19 @@ def fact_merge(t: Tables) -> DataFrame:
     return versions.read_current(t.spark, path, schema_of(table))
 
 
+@query
+def fact_merge_two_writers(t: Tables) -> DataFrame:
+    """The same changes as two deltas of the same months, merged at the same time."""
+    month = F.trunc("order_date", "month").alias("order_month")
+    columns = ("id", "order_number", "customer_id", "order_date", "status", "total_amount", "updated_at")
+    table, changes = t.orders.select(*columns, month), t.order_changes.select(*columns, month)
+    path = sinks.snk_warehouse_write(table, fresh_path(t.spark, "warehouse"), "dw", "fact_order", partition_by="order_month")
+    halves = [changes.where(F.col("id") % 2 == k) for k in (0, 1)]
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda delta: inc.merge_into_dates(t.spark, path, delta, "order_month"), halves))
+    return versions.read_current(t.spark, path, schema_of(table))
+
+
 @query
 def util_touch_updated_at(t: Tables) -> DataFrame:
     touched = inc.util_touch_updated_at(t.orders, t.order_changes, datetime(2001, 8, 2, 6, 0))

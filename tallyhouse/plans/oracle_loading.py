@@ -145,7 +145,7 @@ versions AS (SELECT id, total_amount, updated_at FROM c_orders
 SELECT id, total_amount::DOUBLE AS total_amount, updated_at FROM versions
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated_at DESC) = 1"""
 SQL["inc_merge_latest"] = MERGED + " SELECT id, status, total_amount::DOUBLE AS total_amount, updated_at FROM merged"
-SQL["fact_merge"] = MERGED + """
+SQL["fact_merge"] = SQL["fact_merge_two_writers"] = MERGED + """
 SELECT id, order_number, customer_id, order_date, status, total_amount::DOUBLE AS total_amount, updated_at,
        date_trunc('month', order_date)::DATE AS order_month FROM merged"""
 SQL["util_touch_updated_at"] = over("c_order_changes") + """

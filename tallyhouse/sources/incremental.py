@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..workspace import broadcastable, stage, staged
-from .versions import read_current, write_version
+from .commits import TRIES, Overlap
+from .versions import read_at, read_current, write_version
 
 
 def inc_extract(df: DataFrame, last_run: datetime, column: str = "updated_at") -> DataFrame:
@@ -85,6 +86,10 @@ def merge_into_dates(
 ) -> None:
     """Merge a delta into a warehouse table partitioned by date, as a new version of the touched dates.
 
+    Any number of merges may run at a time: one that finds a touched date committed
+    by another meanwhile merges anew into what that one left; if only other dates
+    were, it keeps its rows and takes the next number.
+
     A key must keep its date; a delta that moves one is refused before anything is
     written, since its old row lies in a date this merge does not read. That check
     is the only step that looks beyond the touched dates; feeds whose dates cannot
@@ -93,15 +98,28 @@ def merge_into_dates(
     began with.
     """
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in delta.schema.fields)
-    table = read_current(spark, path, schema)
     with staged(latest_per_key(delta, pk, version), "delta") as latest:
-        if check_moved and not moved_keys(table, latest, date_column, pk).isEmpty():
-            raise ValueError(f"a delta row changes {date_column}; rewrite the whole table instead")
-        affected = table.join(latest.select(date_column).distinct(), date_column, "left_semi").select(*delta.columns)
+
+        def refuse_moved() -> None:
+            if not moved_keys(read_current(spark, path, schema), latest, date_column, pk).isEmpty():
+                raise ValueError(f"a delta row changes {date_column}; rewrite the whole table instead")
+
         # NULL joins nothing; a filter besides, as a null-safe join would not prune the other dates.
-        if not latest.where(F.col(date_column).isNull()).isEmpty():
-            affected = affected.unionByName(table.where(F.col(date_column).isNull()).select(*delta.columns))
-        write_version(_with_changes(affected, latest, pk, version), path, date_column)
+        undated = not latest.where(F.col(date_column).isNull()).isEmpty()
+        for _ in range(TRIES):
+            table, number = read_at(spark, path, schema)
+            if check_moved:
+                refuse_moved()
+            affected = table.join(latest.select(date_column).distinct(), date_column, "left_semi").select(*delta.columns)
+            if undated:
+                affected = affected.unionByName(table.where(F.col(date_column).isNull()).select(*delta.columns))
+            merged = _with_changes(affected, latest, pk, version)
+            try:
+                write_version(merged, path, date_column, number, refuse_moved if check_moved else None)
+                return
+            except Overlap:
+                continue
+    raise RuntimeError(f"other writers kept changing the same dates of {path}")
 
 
 def util_touch_updated_at(

@@ -34,7 +34,8 @@ def _manifest_path(root: str) -> str:
 
 
 def snap_manifest(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(_manifest_path(root))
+    # Each run writes a folder of its own, so that runs at the same time share no file.
+    return spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").parquet(_manifest_path(root))
 
 
 def snap_runs(manifest: DataFrame) -> DataFrame:
@@ -81,7 +82,7 @@ def snap_write(
 
     def commit(records: list[tuple]) -> None:
         frame = spark.createDataFrame(records, MANIFEST_SCHEMA)
-        snk_parquet(frame.coalesce(1), _manifest_path(root), mode="append")
+        snk_parquet(frame.coalesce(1), f"{_manifest_path(root)}/{run_id}")
 
     def export(name: str) -> tuple:
         begun = time.time()

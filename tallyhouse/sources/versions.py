@@ -1,67 +1,74 @@
 """Warehouse tables as immutable versions with a log.
 
 Layout: ``<path>/data/version=<id>[/<column>=<value>]`` and ``<path>/log``. A write
-adds a version folder and then one log file that names it, for the whole table or
-for the partitions it delivers; that file is the switch. Files a reader has begun
-to read are never touched, and a write that fails before its log row leaves the
-table as it was.
+adds a version folder and then one numbered commit that names it, for the whole table
+or for the partitions it delivers; that commit is the switch. Files a reader has begun
+to read are never touched, and a write that fails before its commit leaves the table
+as it was. Any number of writers may work at a time, see ``commits``.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-LOG_SCHEMA = "number BIGINT, version STRING, partition STRING, folder STRING"
+from . import commits
+from .commits import LOG_SCHEMA as LOG_SCHEMA
 
 
 def version_log(spark: SparkSession, path: str) -> DataFrame:
     """All versions; an empty log for a table that has none yet."""
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(f"{path}/log")
-    except Exception as absent:
-        if "PATH_NOT_FOUND" not in str(absent):
-            raise
-        return spark.createDataFrame([], LOG_SCHEMA)
+    return commits.history(spark, path)
 
 
-def write_version(df: DataFrame, path: str, partition_by: str | None = None) -> str:
+def write_version(
+    df: DataFrame, path: str, partition_by: str | None = None, read: int | None = None, between: Callable[[], None] | None = None
+) -> str:
     """Add a version; returns its id.
 
     A partitioned version replaces the partitions it has rows for, any other the
     whole table. Rows are balanced over write tasks, so one huge partition does not
-    fall to one task.
+    fall to one task. ``read`` is the commit the rows were made from: if a later one
+    has touched the same partitions, ``commits.Overlap`` is raised and the version's
+    files are removed. ``between`` is called before the number is taken if other
+    partitions were committed meanwhile, and may refuse.
     """
     spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
     folder = f"{path}/data/version={version}"
     if partition_by is None:
         df.write.option("compression", "snappy").parquet(folder)
-        delivered = [(None, folder)]
+        delivered = [(commits.WHOLE, folder)]
     else:
         writer = df.hint("rebalance", F.col(partition_by)).write.option("compression", "snappy")
         writer.partitionBy(partition_by).parquet(folder)
         where = F.regexp_extract(F.input_file_name(), f"({partition_by}=[^/]*)/[^/]*$", 1)
         names = spark.read.parquet(folder).select(where.alias("name")).distinct().collect()  # one row per partition
         delivered = [(r.name, f"{folder}/{r.name}") for r in names]
-    number = (version_log(spark, path).agg(F.max("number")).first()[0] or 0) + 1
-    rows = [(number, version, partition, where) for partition, where in delivered]
-    if rows:
-        spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/log")
+    if delivered:
+        try:
+            commits.commit(spark, path, version, delivered, read, between)
+        except Exception:
+            commits.remove(spark, folder)  # named by no commit
+            raise
     return version
 
 
-def read_current(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The newest version of the table, or of each of its partitions."""
-    newest = version_log(spark, path).groupBy("partition").agg(F.max_by("folder", "number").alias("folder"))
+def read_at(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, int]:
+    """The newest version of the table, or of each of its partitions, and the number of its last commit."""
+    newest, number = commits.current(spark, path)
     folders = [r.folder for r in newest.collect()]  # one row per partition
     if not folders:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema), number
     reader = spark.read.schema(f"{schema}, version STRING").option("basePath", f"{path}/data")
-    return reader.parquet(*folders).drop("version")
+    return reader.parquet(*folders).drop("version"), number
+
+
+def read_current(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return read_at(spark, path, schema)[0]
 
 
 def expired_versions(log: DataFrame) -> DataFrame:
     """Folders no reader would take any more. Deleting them is a separate step."""
-    newest = log.groupBy(F.col("partition").alias("named")).agg(F.max("number").alias("newest"))
-    return log.join(newest, F.col("partition").eqNullSafe(F.col("named"))).where("number < newest").select("number", "partition", "folder")
+    return log.join(commits.newest_folders(log).select("folder"), "folder", "left_anti").select("number", "partition", "folder")
