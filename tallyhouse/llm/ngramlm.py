@@ -37,8 +37,8 @@ from .words import chunks, mix
 ORDER = 2  # longest n-grams
 PRIOR = 100.0  # occurrences a context needs to count as much as what shorter ones say
 STEPS = 20  # of a quantised probability, to a power of ten
-CHUNK_TOKENS = 4_000_000
-SHARD_TOKENS = 4_000_000  # tokens to a shard, on average
+CHUNK_TOKENS = 1_500_000
+SHARD_TOKENS = 1_000_000  # tokens to a shard, on average
 SPLIT = 1_000_000  # a context that occurs more often is split
 
 END = np.uint64(0x5BD1E995_9E3779B9)  # hash of the end; words have hashes of 63 bits as well
