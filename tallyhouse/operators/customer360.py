@@ -47,7 +47,12 @@ def purchase_behaviour(orders: DataFrame, as_of: date) -> DataFrame:
 
 def mart_customer_360(customers: DataFrame, orders: DataFrame, as_of: date) -> DataFrame:
     """Identity, purchase behaviour, channels, RFM and lifetime value."""
-    scored = rfm_segment(rfm_score(purchase_behaviour(orders, as_of)))
+    return customer_360_of(customers, purchase_behaviour(orders, as_of))
+
+
+def customer_360_of(customers: DataFrame, behaviour: DataFrame) -> DataFrame:
+    """The mart from purchase figures that are already there."""
+    scored = rfm_segment(rfm_score(behaviour))
     who = customers.select(
         F.col("id").alias("customer_id"),
         "customer_code",

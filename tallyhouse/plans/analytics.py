@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import customer360, kpis, reconciliation as recon, relational as rel, rfm, views
+from ..operators import customer360, kpis, maintained, reconciliation as recon, relational as rel, rfm, views
 from ..schemas import PAYMENT_METHODS, SEGMENTS
 from ..sources.binding import Tables
+from ..workspace import fresh_path
 from .registry import AS_OF, query, stack
 
 # ---- filters, projections, text ----------------------------------------------
@@ -137,6 +138,21 @@ def view_daily_sales_unique_ids(t: Tables) -> DataFrame:
     return views.view_daily_sales(t.orders, unique_ids=True)
 
 
+def _kept(t: Tables) -> maintained.SalesViews:
+    """The kept views after three change sets."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in t.orders.schema.fields)
+    kept = maintained.SalesViews(t.spark, fresh_path(t.spark, "kept"), schema)
+    kept.start(t.orders)
+    for changes in t.change_sets:
+        kept.refresh(changes)
+    return kept
+
+
+@query
+def view_daily_sales_kept(t: Tables) -> DataFrame:
+    return _kept(t).daily_sales()
+
+
 @query
 def kpi_customer_ltv(t: Tables) -> DataFrame:
     return kpis.kpi_customer_ltv(t.orders)
@@ -272,6 +288,11 @@ def mart_customer_360(t: Tables) -> DataFrame:
     return customer360.mart_customer_360(t.customers, t.orders, AS_OF)
 
 
+@query
+def mart_customer_360_kept(t: Tables) -> DataFrame:
+    return _kept(t).customer_360(t.customers, AS_OF)
+
+
 @query
 def mart_segment_summary(t: Tables) -> DataFrame:
     return customer360.mart_segment_summary(customer360.mart_customer_360(t.customers, t.orders, AS_OF))

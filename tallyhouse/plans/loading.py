@@ -16,7 +16,7 @@ from ..schemas import INVOICES, ORDERS, PAYMENTS, PRODUCTS, TABLES
 from ..sources import incremental as inc, sinks, snapshots as snap, tables as src, versions
 from ..sources.binding import Tables
 from ..streaming import refresh
-from ..workspace import fresh_path
+from ..workspace import fresh_path, stage
 from .registry import AS_OF, query, stack
 
 BEFORE = date(2001, 6, 1)
@@ -309,6 +309,26 @@ def fact_merge_two_writers(t: Tables) -> DataFrame:
     return versions.read_current(t.spark, path, schema_of(table))
 
 
+@query
+def inc_merge_deletes(t: Tables) -> DataFrame:
+    """Three change sets with deletions, one after the other."""
+    table = t.orders
+    for changes in t.change_sets:
+        table = stage(inc.inc_merge_latest(table, changes, deleted="deleted"), "merged")
+    return table.select("id", "status", "total_amount")
+
+
+@query
+def fact_merge_deletes(t: Tables) -> DataFrame:
+    month = F.trunc("order_date", "month").alias("order_month")
+    columns = ("id", "order_number", "customer_id", "order_date", "status", "total_amount", "updated_at")
+    table = t.orders.select(*columns, month)
+    path = sinks.snk_warehouse_write(table, fresh_path(t.spark, "warehouse"), "dw", "fact_order", partition_by="order_month")
+    for changes in t.change_sets:
+        inc.merge_into_dates(t.spark, path, changes.select(*columns, month, "deleted"), "order_month", deleted="deleted")
+    return versions.read_current(t.spark, path, schema_of(table)).drop("updated_at")
+
+
 @query
 def util_touch_updated_at(t: Tables) -> DataFrame:
     touched = inc.util_touch_updated_at(t.orders, t.order_changes, datetime(2001, 8, 2, 6, 0))

@@ -148,6 +148,10 @@ SQL["inc_merge_latest"] = MERGED + " SELECT id, status, total_amount::DOUBLE AS
 SQL["fact_merge"] = SQL["fact_merge_two_writers"] = MERGED + """
 SELECT id, order_number, customer_id, order_date, status, total_amount::DOUBLE AS total_amount, updated_at,
        date_trunc('month', order_date)::DATE AS order_month FROM merged"""
+SQL["inc_merge_deletes"] = over("c_kept") + " SELECT id, status, total_amount::DOUBLE AS total_amount FROM c_kept"
+SQL["fact_merge_deletes"] = over("c_kept") + """
+SELECT id, order_number, customer_id, order_date, status, total_amount::DOUBLE AS total_amount,
+       date_trunc('month', order_date)::DATE AS order_month FROM c_kept"""
 SQL["util_touch_updated_at"] = over("c_order_changes") + """
 SELECT n.id, n.total_amount::DOUBLE AS total_amount,
        CASE WHEN n.total_amount <> o.total_amount THEN TIMESTAMP '2001-08-02 06:00:00' ELSE o.updated_at END AS updated_at

@@ -149,6 +149,16 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                  (CASE WHEN channel = 'Website' THEN updated_at + INTERVAL 1 DAY ELSE updated_at END) AS updated_at)
         FROM c_orders WHERE order_date >= (SELECT max(order_date) FROM c_orders) - 30""",
     ),
+    # Three change sets after c_orders: the feed; its pending orders deleted; its shipped ones
+    # cancelled and the web's deleted ones placed anew.
+    "c_kept": (
+        ("c_orders", "c_order_changes"),
+        """
+        SELECT * FROM c_orders WHERE id NOT IN (SELECT id FROM c_order_changes)
+        UNION ALL
+        SELECT * REPLACE (CASE status WHEN 'Shipped' THEN 'Cancelled' WHEN 'Pending' THEN 'Processing' ELSE status END AS status)
+        FROM c_order_changes WHERE status <> 'Pending' OR channel = 'Website'""",
+    ),
     "c_spend": (
         ("c_orders",),
         "SELECT date_trunc('month', order_date)::DATE AS month, sum(discount_amount) AS spend FROM c_orders GROUP BY 1",

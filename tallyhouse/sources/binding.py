@@ -318,6 +318,21 @@ class Tables:
             }
         )
 
+    @cached_property
+    def change_sets(self) -> list[DataFrame]:
+        """Three sets of changes with ``deleted``: the feed; its pending orders deleted;
+        its shipped ones cancelled and the web's deleted ones placed anew."""
+
+        def at(rows: DataFrame, days: int, status: str | None = None, deleted: bool = False) -> DataFrame:
+            rows = rows.withColumn("status", F.lit(status)) if status else rows
+            later = F.col("updated_at") + F.make_dt_interval(days=F.lit(days))
+            return rows.withColumns({"updated_at": later, "deleted": F.lit(deleted)})
+
+        feed = self.order_changes
+        pending, shipped = feed.where("status = 'Pending'"), feed.where("status = 'Shipped'")
+        placed = at(pending.where("channel = 'Website'"), 3, "Processing")
+        return [at(feed, 0), at(pending, 2, deleted=True), at(shipped, 3, "Cancelled").unionByName(placed)]
+
     @cached_property
     def marketing_spend(self) -> DataFrame:
         """Discounts given per month, as a stand-in for marketing spend."""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..workspace import broadcastable, stage, staged
 from .commits import TRIES, Overlap
-from .versions import read_at, read_current, write_version
+from .versions import partition_name, read_at, read_current, write_version
 
 
 def inc_extract(df: DataFrame, last_run: datetime, column: str = "updated_at") -> DataFrame:
@@ -32,7 +32,7 @@ def latest_per_key(df: DataFrame, pk: str, version: str = "updated_at") -> DataF
     return df.groupBy(F.col(pk).alias("_key")).agg(newest.alias("_row")).select("_row.*")
 
 
-def _newer(new: Column, old: Column) -> Column:
+def newer(new: Column, old: Column) -> Column:
     """A change wins unless the stored version is newer; NULL is older than any version."""
     return old.isNull() | F.coalesce(new >= old, F.lit(False))
 
@@ -48,11 +48,11 @@ def _with_changes(base: DataFrame, delta: DataFrame, pk: str, version: str) -> D
     changes = delta.select(F.col(pk).alias("_key"), F.struct(*delta.columns).alias("_new"))
     if not broadcastable(delta):
         stored = base.select(F.col(pk).alias("_key"), F.struct(*base.columns).alias("_old"))
-        wins = F.col("_new").isNotNull() & _newer(F.col(f"_new.{version}"), F.col(f"_old.{version}"))
+        wins = F.col("_new").isNotNull() & newer(F.col(f"_new.{version}"), F.col(f"_old.{version}"))
         row = F.when(wins, F.col("_new")).otherwise(F.col("_old"))
         return stored.join(changes, "_key", "full").select(row.alias("_row")).select("_row.*")
     kept = F.struct(*(base[c] for c in base.columns))
-    wins = F.col("_key").isNotNull() & _newer(F.col(f"_new.{version}"), base[version])
+    wins = F.col("_key").isNotNull() & newer(F.col(f"_new.{version}"), base[version])
     merged = (
         base.join(changes, base[pk] == changes["_key"], "left")
         .select(F.when(wins, F.col("_new")).otherwise(kept).alias("_row"))
@@ -62,10 +62,26 @@ def _with_changes(base: DataFrame, delta: DataFrame, pk: str, version: str) -> D
     return merged.unionByName(delta.join(known, pk, "left_anti"))
 
 
-def inc_merge_latest(base: DataFrame, delta: DataFrame, pk: str = "id", version: str = "updated_at") -> DataFrame:
+def _left(merged: DataFrame, deleted: str | None) -> DataFrame:
+    """Merged rows without those whose newest version is a deletion."""
+    return merged.where(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted) if deleted else merged
+
+
+def _unmarked(base: DataFrame, deleted: str | None) -> DataFrame:
+    return base.withColumn(deleted, F.lit(None).cast("boolean")) if deleted else base
+
+
+def inc_merge_latest(
+    base: DataFrame, delta: DataFrame, pk: str = "id", version: str = "updated_at", deleted: str | None = None
+) -> DataFrame:
     """``base`` (one row per key) with the changes of ``delta`` applied; a delta
-    row wins unless the base row is newer, and no version is older than any."""
-    return _with_changes(base, stage(latest_per_key(delta, pk, version), "delta"), pk, version)
+    row wins unless the base row is newer, and no version is older than any.
+
+    ``deleted`` names a boolean column of the delta: a key whose newest version is
+    true there goes. A deletion that is older than the stored row changes nothing.
+    """
+    changes = stage(latest_per_key(delta, pk, version), "delta")
+    return _left(_with_changes(_unmarked(base, deleted), changes, pk, version), deleted)
 
 
 def moved_keys(table: DataFrame, delta: DataFrame, date_column: str, pk: str = "id") -> DataFrame:
@@ -83,6 +99,7 @@ def merge_into_dates(
     pk: str = "id",
     version: str = "updated_at",
     check_moved: bool = True,
+    deleted: str | None = None,
 ) -> None:
     """Merge a delta into a warehouse table partitioned by date, as a new version of the touched dates.
 
@@ -95,9 +112,11 @@ def merge_into_dates(
     is the only step that looks beyond the touched dates; feeds whose dates cannot
     change do without (``check_moved=False``). NULL is a date like any other.
     Repeating a merge gives the same table, and readers keep the version they
-    began with.
+    began with. Rows for which ``deleted`` is true take their key out of the date
+    they name; a date that loses its last row is empty from then on.
     """
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in delta.schema.fields)
+    fields = [f for f in delta.schema.fields if f.name != deleted]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
     with staged(latest_per_key(delta, pk, version), "delta") as latest:
 
         def refuse_moved() -> None:
@@ -106,16 +125,18 @@ def merge_into_dates(
 
         # NULL joins nothing; a filter besides, as a null-safe join would not prune the other dates.
         undated = not latest.where(F.col(date_column).isNull()).isEmpty()
+        dates = latest.select(date_column).distinct()
+        replaced = [partition_name(date_column, r[0]) for r in dates.collect()] if deleted else []  # one row per date
         for _ in range(TRIES):
             table, number = read_at(spark, path, schema)
             if check_moved:
                 refuse_moved()
-            affected = table.join(latest.select(date_column).distinct(), date_column, "left_semi").select(*delta.columns)
+            affected = table.join(dates, date_column, "left_semi").select(*(f.name for f in fields))
             if undated:
-                affected = affected.unionByName(table.where(F.col(date_column).isNull()).select(*delta.columns))
-            merged = _with_changes(affected, latest, pk, version)
+                affected = affected.unionByName(table.where(F.col(date_column).isNull()).select(*affected.columns))
+            merged = _left(_with_changes(_unmarked(affected, deleted), latest, pk, version), deleted)
             try:
-                write_version(merged, path, date_column, number, refuse_moved if check_moved else None)
+                write_version(merged, path, date_column, number, refuse_moved if check_moved else None, replaced)
                 return
             except Overlap:
                 continue

@@ -10,7 +10,7 @@ as it was. Any number of writers may work at a time, see ``commits``.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -24,7 +24,12 @@ def version_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_version(
-    df: DataFrame, path: str, partition_by: str | None = None, read: int | None = None, between: Callable[[], None] | None = None
+    df: DataFrame,
+    path: str,
+    partition_by: str | None = None,
+    read: int | None = None,
+    between: Callable[[], None] | None = None,
+    replaced: Iterable[str] = (),
 ) -> str:
     """Add a version; returns its id.
 
@@ -33,7 +38,8 @@ def write_version(
     fall to one task. ``read`` is the commit the rows were made from: if a later one
     has touched the same partitions, ``commits.Overlap`` is raised and the version's
     files are removed. ``between`` is called before the number is taken if other
-    partitions were committed meanwhile, and may refuse.
+    partitions were committed meanwhile, and may refuse. Partitions named in
+    ``replaced`` have no rows from then on if none arrive.
     """
     spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
     folder = f"{path}/data/version={version}"
@@ -43,9 +49,8 @@ def write_version(
     else:
         writer = df.hint("rebalance", F.col(partition_by)).write.option("compression", "snappy")
         writer.partitionBy(partition_by).parquet(folder)
-        where = F.regexp_extract(F.input_file_name(), f"({partition_by}=[^/]*)/[^/]*$", 1)
-        names = spark.read.parquet(folder).select(where.alias("name")).distinct().collect()  # one row per partition
-        delivered = [(r.name, f"{folder}/{r.name}") for r in names]
+        names = commits.subfolders(spark, folder)
+        delivered = [(name, f"{folder}/{name}") for name in names] + [(name, None) for name in set(replaced) - set(names)]
     if delivered:
         try:
             commits.commit(spark, path, version, delivered, read, between)
@@ -55,10 +60,15 @@ def write_version(
     return version
 
 
+def partition_name(column: str, value: object) -> str:
+    """Name of the folder of a date or whole number, or of NULL."""
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
 def read_at(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, int]:
     """The newest version of the table, or of each of its partitions, and the number of its last commit."""
     newest, number = commits.current(spark, path)
-    folders = [r.folder for r in newest.collect()]  # one row per partition
+    folders = [r.folder for r in newest.where("folder IS NOT NULL").collect()]  # one row per partition
     if not folders:
         return spark.createDataFrame([], schema), number
     reader = spark.read.schema(f"{schema}, version STRING").option("basePath", f"{path}/data")
@@ -71,4 +81,5 @@ def read_current(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def expired_versions(log: DataFrame) -> DataFrame:
     """Folders no reader would take any more. Deleting them is a separate step."""
-    return log.join(commits.newest_folders(log).select("folder"), "folder", "left_anti").select("number", "partition", "folder")
+    named = log.where("folder IS NOT NULL")
+    return named.join(commits.newest_folders(log).select("folder"), "folder", "left_anti").select("number", "partition", "folder")
