@@ -16,6 +16,7 @@ from __future__ import annotations
 import html as references
 import random
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Any
@@ -46,14 +47,52 @@ ENDS_OPEN = {
     "option": ("option",),
 }
 
-_TAG = re.compile(
-    r"<!--(?:.*?-->|.*)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.DOTALL,
-)
+_OPENING = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+_MARK = re.compile(r"[>\"']")
 _NAMING = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+class Tags:
+    """The tags and comments of a page, in time that grows with its length however broken it is."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.ends_nowhere: set[int] = set()  # places outside quotes from which no end of a tag follows
+
+    def _quoted_end(self, at: int) -> int:
+        """Place behind the ``>`` that ends a tag, passing over quoted values; -1 if there is none."""
+        passed = []
+        while at not in self.ends_nowhere:
+            passed.append(at)
+            mark = _MARK.search(self.page, at)
+            if mark and mark[0] == ">":
+                return mark.end()
+            closing = self.page.find(mark[0], mark.end()) if mark else -1
+            if closing < 0:
+                break
+            at = closing + 1
+        self.ends_nowhere.update(passed)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(begin, end, name, ``/`` of a closing tag, attributes) from a place on; no name for what is no element."""
+        found = _OPENING.search(self.page, at)
+        if not found:
+            return None
+        begin, after = found.span()
+        if found[0] == "<!--":
+            end = self.page.find("-->", after)
+            return begin, end + 3 if end >= 0 else len(self.page), "", "", ""
+        end = self._quoted_end(after) if found[2] else -1
+        if end < 0:  # a quote that never closes is no quote
+            end = self.page.find(">", after) + 1
+        if not end:  # no tag ends from here on; a comment can still begin
+            begin = self.page.find("<!--", begin + 1)
+            return None if begin < 0 else (*self.next(begin),)
+        return begin, end, found[2] or "", found[1] or "", self.page[after : end - 1]
+
+
 def leaf_blocks(page: str, of_element: Callable[[str, str], tuple[Any, Any]], start: Any) -> list[tuple[Any, str, str, int]]:
     """(sum over ancestors, innermost tag, text, characters in links) of every block that has text.
 
@@ -64,9 +103,15 @@ def leaf_blocks(page: str, of_element: Callable[[str, str], tuple[Any, Any]], st
     """
     blocks: list[tuple[Any, str, str, int]] = []
     stack: list[tuple[str, Any, Any]] = [("", start, start)]
+    is_open: Counter[str] = Counter()
     parts: list[str] = []
     linked = in_link = 0
 
+    def close(depth: int) -> None:
+        """End all elements from this depth on."""
+        while len(stack) > depth:
+            is_open[stack.pop()[0]] -= 1
+
     def flush() -> None:
         nonlocal linked
         text = "".join(parts)
@@ -79,42 +124,40 @@ def leaf_blocks(page: str, of_element: Callable[[str, str], tuple[Any, Any]], st
             blocks.append((total + near, tag, text, min(linked, len(text))))
         linked = 0
 
-    at, size = 0, len(page)
+    at, size, tags = 0, len(page), Tags(page)
     while at < size:
-        found = _TAG.search(page, at)
-        end = found.start() if found else size
+        found = tags.next(at)
+        end = found[0] if found else size
         if end > at:
             parts.append(page[at:end])
             if in_link:
                 linked += end - at
         if not found:
             break
-        at = found.end()
-        name = found[2] or found[5]
+        _, at, name, closing, attributes = found
         if not name:
             continue
-        tag, closing, attributes = name.lower(), found[1] or found[4], found[3] or found[6] or ""
+        tag = name.lower()
         if tag in HIDDEN_TAGS:
             if not closing and not attributes.endswith("/"):
-                stop = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
-                at = stop.end() if stop else size
+                stop = re.compile(rf"</{tag}\b", re.IGNORECASE).search(page, at)
+                at = (page.find(">", stop.end()) + 1 if stop else 0) or size
             parts.append(" ")
         elif tag in BLOCK_TAGS:
             flush()
             in_link = 0
             if closing:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth][0] == tag:
-                        del stack[depth:]
-                        break
+                if is_open[tag] > 0:  # else no element ends, however many are open
+                    close(next(depth for depth in range(len(stack) - 1, 0, -1) if stack[depth][0] == tag))
             else:
                 if stack[-1][0] == "p":
-                    stack.pop()
+                    close(len(stack) - 1)
                 for open_tag in ENDS_OPEN.get(tag, ()):
                     if stack[-1][0] == open_tag:
-                        stack.pop()
+                        close(len(stack) - 1)
                 if tag not in VOID_TAGS:
                     own, near = of_element(tag, attributes)
+                    is_open[tag] += 1
                     stack.append((tag, stack[-1][1] + own, stack[-1][2] if near is None else near))
         elif tag == "br":
             parts.append(" ")

@@ -1,6 +1,7 @@
 """URL verdicts and main text."""
 
 import random
+import time
 
 import duckdb
 import pytest
@@ -221,3 +222,21 @@ def test_random_markup_never_fails(field):
     bits = ["<", ">", "</", "p", "div", " class='a", '"', "'", "&", "&#x", "&lt", "<!--", "-->", "<script", "</script>", "text ", "\x00", "<a href=x>", "/>", "=", "<li>", "</ul>"]
     for _ in range(3000):
         field.main_blocks("".join(draw.choices(bits, k=draw.randint(0, 30))), field.scorer())
+
+
+@pytest.mark.parametrize(
+    "unit",
+    ["<a ", '<a href="', "<a '>'", "<", "<!", "</script ", "<p", "<a\"'", "&", "<li><p>", "<script ", "<div class='"],
+)
+def test_broken_pages_take_time_in_proportion(unit):
+    for page in (unit * (1_000_000 // len(unit)), "<script>" + unit * (1_000_000 // len(unit))):
+        begun = time.process_time()
+        htmlextract.leaf_blocks(page, lambda tag, attributes: (0.0, None), 0.0)
+        assert time.process_time() - begun < 4
+
+
+def test_stray_closing_tags_in_deep_nesting():
+    page = "<div>" * 80_000 + "</p>" * 120_000 + "text"
+    begun = time.process_time()
+    assert [b[2] for b in htmlextract.leaf_blocks(page, lambda tag, attributes: (0.0, None), 0.0)] == ["text"]
+    assert time.process_time() - begun < 2
