@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..workspace import stage
+from ..workspace import sized, stage
 
 GRAMS = 4096  # hashed n-gram features
 ORDERS = 3
@@ -143,6 +143,20 @@ class Centroids:
     floors: np.ndarray  # lowest accepted cosine by class of length
 
 
+def drawn_texts(usable: DataFrame) -> DataFrame:
+    """The bounded sample (lang, text): of every language the distinct texts with the smallest digests.
+
+    Copies of a text count once, so they crowd out no language and bring no further
+    row along. Ranks are cut to the bound within each task before they meet.
+    """
+    usable = usable.withColumn("order", F.xxhash64("doc_id", "text")).withColumn("text_hash", F.xxhash64("text"))
+    keys = usable.groupBy("lang", "text_hash").agg(F.min("order").alias("order"))
+    first = Window.partitionBy("lang").orderBy("order", "text_hash")
+    ranked = keys.withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_PER_LANGUAGE)
+    drawn = usable.join(sized(stage(ranked.select("lang", "text_hash", "order"), "drawn")), ["lang", "text_hash", "order"])
+    return drawn.groupBy("lang", "text_hash").agg(F.min("text").alias("text")).select("lang", "text")
+
+
 def fit(labelled: DataFrame) -> Centroids | None:
     """Learn from ``labelled`` (doc_id, text, lang); None if no row has a language and a letter."""
     usable = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang")
@@ -156,22 +170,7 @@ def fit(labelled: DataFrame) -> Centroids | None:
     present = np.array([per_slot[s] for s in range(GRAMS)], np.float64)
     idf = np.log((1 + texts) / (1 + present)) + 0.1
 
-    sizes = usable.groupBy("lang").count()
-    order = F.xxhash64("doc_id", "text")
-    drawn = (
-        usable.join(F.broadcast(sizes), "lang")
-        .where(F.abs(order / F.lit(2.0**63)) * F.col("count") < 2 * SAMPLE_PER_LANGUAGE)
-        .withColumn("order", order)
-    )
-    first = Window.partitionBy("lang").orderBy("order")
-    ids = drawn.select("lang", "order").withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_PER_LANGUAGE)
-    sample = (
-        drawn.join(F.broadcast(stage(ids.select("lang", "order").distinct(), "drawn")), ["lang", "order"])
-        .select("lang", "text")
-        .mapInPandas(_sampled, "lang string, letters long, slots array<int>, counts array<int>")
-        .toPandas()
-        .sort_values(["lang", "letters"], kind="stable")
-    )
+    sample = drawn_texts(usable).mapInPandas(_sampled, "lang string, letters long, slots array<int>, counts array<int>").toArrow().to_pandas().sort_values(["lang", "letters"], kind="stable")
     languages, centroids, lengths, cosines = [], [], [], []
     for lang, own in sample.groupby("lang", sort=True):
         counts = np.zeros((len(own), GRAMS))
@@ -226,7 +225,8 @@ def identify(docs: DataFrame) -> DataFrame:
 
     Only doc_id, text and (for learning) lang are read. A NULL text or one
     without a letter is ``und`` with score 0 and rejected, as is every text when
-    nothing can be learnt. Equal cosines go to the language first in the
+    nothing can be learnt. Rows that repeat are judged each time, and drawn for the
+    model once. Equal cosines go to the language first in the
     alphabet. A row without doc_id is judged but never learnt from.
     """
     model = fit(learnable(docs))
