@@ -23,13 +23,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..workspace import sized, stage
-from .words import NOT_PLAIN, chunks
+from .words import NOT_PLAIN, Chunk, chunks
 
 EXAMPLES_PER_LABEL = 1500
 CALIBRATION_PER_LABEL = 1000
@@ -60,6 +59,13 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return texts.where("text is not null").join(sized(stage(known, "labels")), "doc_id").select("doc_id", "text", "toxic")
 
 
+def _found(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words and beginnings of a chunk, and the text of each."""
+    text = np.repeat(np.arange(len(chunk.at) - 1), np.diff(chunk.at))
+    begun = chunk.beginnings != 0
+    return np.concatenate((chunk.words, chunk.beginnings[begun])), np.concatenate((text, text[begun]))
+
+
 def _word_sets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Distinct hashes of every text's words and beginnings, and how often each occurs."""
     for chunk in chunks(column, NOT_PLAIN):
@@ -73,24 +79,29 @@ class Vocabulary:
     words: np.ndarray  # sorted hashes
     worth: np.ndarray  # IDF times how well the word tells toxic texts
 
-    def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers of those hashes that are words of the vocabulary, and where they are."""
-        if not len(self.words):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        hit = np.flatnonzero(self.words[at] == hashes)
-        return at[hit], hit
-
-    def vector(self, hashes: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def counts(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Word numbers of every text, and how often each occurs; one lookup for all texts of a chunk."""
+        size = max(1, len(self.words))
+        for chunk in chunks(column, NOT_PLAIN):
+            hashes, text = _found(chunk)
+            hashes, place = np.unique(hashes, return_inverse=True)
+            at = np.minimum(np.searchsorted(self.words, hashes), size - 1)
+            number = np.where(self.words[at] == hashes, at, -1)[place] if len(self.words) else np.full(len(place), -1)
+            known = number >= 0
+            pairs, many = np.unique(text[known] * size + number[known], return_counts=True)
+            edges = np.searchsorted(pairs, np.arange(len(chunk.at)) * size)
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                yield pairs[a:b] % size, many[a:b]
+
+    def vector(self, terms: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers and normalised weights."""
-        terms, hit = self.known(hashes)
-        weights = (1 + np.log(many[hit])) * self.worth[terms]
+        weights = (1 + np.log(many)) * self.worth[terms]
         norm = np.sqrt((weights * weights).sum())
         return terms, (weights / norm if norm else weights)
 
     def vectors(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for hashes, many in _word_sets(column):
-            yield self.vector(hashes, many)
+        for terms, many in self.counts(column):
+            yield self.vector(terms, many)
 
 
 def fit_vocabulary(texts: DataFrame, words: np.ndarray) -> Vocabulary:
@@ -103,8 +114,7 @@ def fit_vocabulary(texts: DataFrame, words: np.ndarray) -> Vocabulary:
         seen = np.zeros((2, len(words)), np.int64)
         for batch in batches:
             labels = batch.column("toxic").to_numpy(zero_copy_only=False)
-            for label, (hashes, _) in zip(labels, _word_sets(batch.column("text")), strict=True):
-                terms, _ = found.known(hashes)
+            for label, (terms, _) in zip(labels, found.counts(batch.column("text")), strict=True):
                 seen[0, terms] += 1
                 seen[1, terms] += int(label)
         word = np.flatnonzero(seen[0])
@@ -112,10 +122,10 @@ def fit_vocabulary(texts: DataFrame, words: np.ndarray) -> Vocabulary:
 
     counted = (
         texts.select("text", "toxic").mapInArrow(count, WORD_COUNTS).groupBy("word").agg(F.sum("texts").alias("texts"), F.sum("toxic").alias("toxic"))
-    ).toPandas()
+    ).toArrow()
     of_all, of_toxic = np.zeros(len(words)), np.zeros(len(words))
-    place = counted["word"].to_numpy(np.int64)
-    of_all[place], of_toxic[place] = counted["texts"], counted["toxic"]
+    place = counted["word"].to_numpy()
+    of_all[place], of_toxic[place] = counted["texts"].to_numpy(), counted["toxic"].to_numpy()
     off = of_toxic * every - of_all * toxic
     spread = np.maximum(1.0, of_all * (every - of_all)) * max(1.0, toxic * (every - toxic))
     tells = np.sqrt(np.maximum(0.0, off) ** 2 * every / spread)
@@ -205,52 +215,64 @@ def _monotone(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(int(p[2]), p[0]) for p in pools])
 
 
+def drawn_texts(texts: DataFrame) -> DataFrame:
+    """The bounded sample: (doc_id, toxic, n, text), n counting from 1 within each label.
+
+    Rows are told apart by doc_id and text first, so copies neither crowd out others
+    nor come along: of every label the rows with the smallest digests, whatever their
+    number. Ranks are cut to the bound within each task before they meet.
+    """
+    keys = texts.select("doc_id", "toxic", "order").distinct()
+    order = Window.partitionBy("toxic").orderBy("order", "doc_id")
+    ranked = keys.withColumn("n", F.row_number().over(order)).where(F.col("n") <= EXAMPLES_PER_LABEL + CALIBRATION_PER_LABEL)
+    drawn = texts.join(F.broadcast(stage(ranked, "drawn")), ["doc_id", "toxic", "order"])
+    return drawn.groupBy("doc_id", "toxic", "order", "n").agg(F.min("text").alias("text")).drop("order")
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from the labelled documents; without any, every text scores 0."""
     texts = stage(labelled_texts(docs, labels).withColumn("order", F.xxhash64("doc_id", "text")), "labelled")
     sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
-    wanted = EXAMPLES_PER_LABEL + CALIBRATION_PER_LABEL
-    likely = F.lit(1.0)
-    for label, many in sizes.items():
-        likely = F.when(F.col("toxic") == label, min(1.0, 2 * wanted / many)).otherwise(likely)
-    drawn = texts.where(F.abs(F.col("order") / F.lit(2.0**63)) <= likely)
-    order = Window.partitionBy("toxic").orderBy("order", "doc_id")
-    ranked = drawn.select("doc_id", "toxic", "order").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= wanted)
-    sample = drawn.join(F.broadcast(stage(ranked, "drawn")), ["doc_id", "toxic", "order"])
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = list(_word_sets(batch.column("text")))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), batch.column("n"), pa.array([u.view(np.int64) for u, _ in found], pa.list_(pa.int64())), pa.array([c for _, c in found], pa.list_(pa.int64()))],
-                ["doc_id", "toxic", "n", "words", "many"],
-            )
-
-    schema = "doc_id long, toxic int, n int, words array<long>, many array<long>"
-    known = sample.select("doc_id", "text", "toxic", "n").mapInArrow(counted, schema).toPandas().sort_values(["toxic", "n", "doc_id"])
+    sample = stage(drawn_texts(texts), "sample")
     every = sum(sizes.values())
     prior = sizes.get(1, 0) / every if every else 0.0
     # Small tables share what they have between examples and calibration.
-    shares = EXAMPLES_PER_LABEL / wanted
-    per_label = known.groupby("toxic")["n"].transform("max") if len(known) else known.get("n")
-    is_example = known["n"] <= np.maximum(1, per_label * shares) if len(known) else known.get("n")
-    examples = known[is_example] if len(known) else known
-    held = [np.asarray(w, np.int64).view(np.uint64) for w in examples["words"]]
-    vocabulary = fit_vocabulary(texts, np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64))
-
-    def vectors_of(rows: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-        return [vocabulary.vector(np.asarray(w, np.int64).view(np.uint64), np.asarray(c, np.int64)) for w, c in zip(rows["words"], rows["many"], strict=True)]
-
-    vectors = vectors_of(examples)
-    index = ExampleIndex(examples["doc_id"].to_numpy(np.int64), examples["toxic"].to_numpy(np.float64), vectors, len(vocabulary.words)) if len(examples) else None
+    share = EXAMPLES_PER_LABEL / (EXAMPLES_PER_LABEL + CALIBRATION_PER_LABEL)
+    most = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.max("n").alias("n")).collect()}
+    last = F.coalesce(*(F.when(F.col("toxic") == label, max(1.0, n * share)) for label, n in most.items()), F.lit(0.0))
+    examples, rest = sample.where(F.col("n") <= last), sample.where(F.col("n") > last)
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [words for words, _ in _word_sets(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64) if found else [], pa.int64())], ["word"])
+
+    words = examples.select("text").mapInArrow(hashed, "word long").distinct().toArrow()["word"].to_numpy()
+    vocabulary = fit_vocabulary(texts, np.sort(words.view(np.uint64)))
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = list(vocabulary.vectors(batch.column("text")))
+            numbers, weights = [t.astype(np.int32).tobytes() for t, _ in found], [w.tobytes() for _, w in found]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), batch.column("n"), pa.array(numbers, pa.binary()), pa.array(weights, pa.binary())], ["doc_id", "toxic", "n", "terms", "weights"])
+
+    known = examples.select("doc_id", "toxic", "n", "text").mapInArrow(numbered, "doc_id long, toxic int, n int, terms binary, weights binary").toArrow()
+    known = known.sort_by([("toxic", "ascending"), ("n", "ascending"), ("doc_id", "ascending")])
+    vectors = [(np.frombuffer(t.as_buffer(), np.int32).astype(np.int64), np.frombuffer(w.as_buffer(), np.float64)) for t, w in zip(known["terms"], known["weights"], strict=True)]
+    ids, toxic = known["doc_id"].to_numpy(), known["toxic"].to_numpy().astype(np.float64)
+    index = ExampleIndex(ids, toxic, vectors, len(vocabulary.words)) if len(ids) else None
     model = Model(vocabulary, index, prior, np.zeros(0), np.zeros(0))
 
-    rest = known[~is_example] if len(known) else known
-    if index is not None and rest["toxic"].nunique() == 2:
-        votes = np.array([model.vote(terms, weights)[0] for terms, weights in vectors_of(rest)])
-        truth = rest["toxic"].to_numpy(np.float64)
-        drawn_of = rest["toxic"].map(rest["toxic"].value_counts())
-        weight = rest["toxic"].map(sizes).to_numpy(np.float64) / drawn_of.to_numpy(np.float64)  # back to the labels' true shares
+    def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            votes = [model.vote(*vector)[0] for vector in vocabulary.vectors(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(votes, pa.float64())], ["toxic", "vote"])
+
+    calibration = rest.select("toxic", "text").mapInArrow(voted, "toxic int, vote double").toArrow()
+    truth, votes = calibration["toxic"].to_numpy(), calibration["vote"].to_numpy()
+    if index is not None and len(np.unique(truth)) == 2:
+        drawn_of = np.bincount(truth, minlength=2)
+        weight = np.array([sizes[0] / drawn_of[0], sizes[1] / drawn_of[1]])[truth]  # back to the labels' true shares
         model.edges, level = np.unique(votes, return_inverse=True)
         size = np.bincount(level, weights=weight)
         chance = np.bincount(level, weights=weight * truth) / size
@@ -261,7 +283,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence.
 
-    Only doc_id and text are read, and labels to learn. A NULL or wordless text
+    Only doc_id and text are read, and labels to learn. Rows that repeat are scored
+    each time, and drawn as examples once. A NULL or wordless text
     has the score of a text that shares no word with an example. ``evidence`` lists the ids
     of the nearest examples, nearest first.
     """

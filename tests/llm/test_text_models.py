@@ -1,5 +1,6 @@
 """Language identification, toxicity and decontamination."""
 
+import math
 import random
 import zlib
 
@@ -271,3 +272,45 @@ def test_words_of_benchmarks_are_letters_and_digits():
 
     a, b = (next(iter(chunks(pa.array([t]), NOT_PLAIN))).words.tolist() for t in ("Ab, c-1: É!", "ab c 1 É"))
     assert a == b
+
+
+def test_copies_crowd_out_no_language(spark):
+    """Probe: 40 documents of one language, 2 of another with many copies each."""
+    draw = random.Random(2)
+    some = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(some[i], speech(draw, NORTH, 30), "no") for i in range(40)]
+    rare = [(some[50 + i], speech(draw, SOUTH, 30), "su") for i in range(2)]
+    table = docs(spark, rows + rare).union(docs(spark, rare).crossJoin(spark.range(1500)).drop("id"))
+    sample = langid.drawn_texts(langid.learnable(table).select("doc_id", "text", "lang")).collect()
+    assert sorted(r.lang for r in sample) == ["no"] * 40 + ["su"] * 2
+    unseen = docs(spark, [(9000, speech(draw, SOUTH, 40), None), (9001, speech(draw, NORTH, 40), None)])
+    got = {r.doc_id: r.lang_pred for r in langid.identify(table.union(unseen)).where("doc_id >= 9000").collect()}
+    assert got == {9000: "su", 9001: "no"}
+
+
+def test_copies_crowd_out_no_label(spark, quarrel):
+    """Probe: clean documents, and 2 toxic ones with many copies each."""
+    some = [(d, t, x) for d, t, x in quarrel if zlib.crc32(str(d).encode()) % 5]
+    clean, bad = [(d, t) for d, t, x in some if not x][:60], [(d, t) for d, t, x in some if x][:2]
+    table = docs(spark, [(d, t, None) for d, t in clean + bad]).union(docs(spark, [(d, t, None) for d, t in bad]).crossJoin(spark.range(2000)).drop("id"))
+    labels = spark.createDataFrame(labelled([(d, 0) for d, _ in clean] + [(d, 1) for d, _ in bad]), LABELS)
+    model = toxicity.fit(table, labels)
+    assert sorted(set(model.index.labels)) == [0, 1] and len(model.index.ids) <= 62
+    known = toxicity.labelled_texts(table, labels).withColumn("order", F.xxhash64("doc_id", "text"))
+    assert toxicity.drawn_texts(known).count() == 62
+    got = {r.doc_id: r.score for r in toxicity.toxicity(table, labels).dropDuplicates(["doc_id"]).collect()}
+    assert min(got[d] for d, _ in bad) > max(got[d] for d, _ in clean)
+
+
+def test_nearest_centroid_by_brute_force(spark, two_tongues):
+    """Counts of n-grams, weights, cosines and the nearest centroid once more, one text at a time."""
+    model = langid.fit(langid.learnable(docs(spark, two_tongues)))
+    got = {r.doc_id: r for r in langid.identify(docs(spark, two_tongues)).collect()}
+    for doc_id, text, _ in two_tongues:
+        (counts,), _ = langid.gram_counts([text])
+        weighted = [math.log1p(c) * w for c, w in zip(counts, model.idf, strict=True)]
+        norm = math.sqrt(sum(x * x for x in weighted))
+        cosines = [sum(a * b for a, b in zip(weighted, v, strict=True) if a) / norm for v in model.vectors]
+        best = max(range(len(cosines)), key=lambda i: (cosines[i], -i))
+        assert got[doc_id].lang_pred == model.languages[best]
+        assert got[doc_id].score == pytest.approx(min(1, max(0, cosines[best])), abs=1e-4)
