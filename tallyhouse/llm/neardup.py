@@ -3,8 +3,12 @@
 Every permutation of the shingle hashes yields two signature values, the
 smallest and the largest, so 126 hash evaluations give 252 values; 42 bands of
 six values find candidates. A pair of similarity 0.75 shares no band with a
-probability of 0.00026, one of 0.8 with 0.000003. Candidates are confirmed on
-the full shingle sets.
+probability of 0.00026, one of 0.8 with 0.000003. That holds for long texts; the
+fewer shingles, the less often both extremes survive. So sets of up to SMALL
+shingles have exact candidates instead: in the order of their hashes, two sets that
+are similar enough share one of their first n - ceil(0.75 n) + 1 shingles. Sets a
+little larger have both, as a small set may be similar to them. Candidates are
+confirmed on the full shingle sets.
 
 Documents with equal sets form one class first, and only classes are compared.
 Within a band's bucket the classes are compared with the bucket's most central
@@ -32,12 +36,15 @@ from .words import chunks, distinct_sets, mix, shingles
 BANDS, PERMUTATIONS_PER_BAND = 42, 3
 PERMUTATIONS = BANDS * PERMUTATIONS_PER_BAND
 SIMILAR_PERCENT = 75
+SMALL = 20  # shingles up to which all candidates are found
+MEETS_SMALL = SMALL * 100 // SIMILAR_PERCENT  # the largest set that one of so many can be similar to
 PIECE = 1 << 16  # hashes permuted at a time, so that they stay in the processor's cache
 
 _random = np.random.default_rng(99)
 _FACTOR = _random.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _random.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
 _VALUE_SALT = _random.integers(0, 2**63, (BANDS, 2 * PERMUTATIONS_PER_BAND), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PREFIX_SALT = np.uint64(_random.integers(0, 2**63))
 
 SIGNATURES = "doc_id long, n_shingles long, digest binary, bands array<long>"
 SETS = "class long, shingles array<long>"
@@ -67,6 +74,27 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return mix((grouped * _VALUE_SALT).sum(axis=2, dtype=np.uint64) + _VALUE_SALT[:, 0]).view(np.int64)
 
 
+def prefix_keys(own: np.ndarray) -> np.ndarray:
+    """Keys of a set's first shingles: of two similar sets at least one is the same. ``own`` rises."""
+    first = len(own) - -(-SIMILAR_PERCENT * len(own) // 100) + 1
+    return mix(own[:first] ^ _PREFIX_SALT).view(np.int64)
+
+
+def bucket_keys(hashes: np.ndarray, begin: np.ndarray) -> list[np.ndarray | None]:
+    """Every text's buckets; none for a text without shingles."""
+    many = np.diff(begin)
+    banded = np.flatnonzero(many > SMALL)
+    keys: list[np.ndarray | None] = [None] * len(many)
+    if len(banded):
+        every = np.concatenate([hashes[begin[i] : begin[i + 1]] for i in banded])
+        for i, bands in zip(banded, band_keys(min_max_values(every, np.concatenate(([0], np.cumsum(many[banded]))))), strict=True):
+            keys[i] = bands
+    for i in np.flatnonzero((many > 0) & (many <= MEETS_SMALL)):
+        prefix = prefix_keys(hashes[begin[i] : begin[i + 1]])
+        keys[i] = prefix if keys[i] is None else np.concatenate((keys[i], prefix))
+    return keys
+
+
 def _set_digest(own: np.ndarray) -> bytes:
     return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
 
@@ -79,9 +107,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             many = np.diff(begin)
             sizes.extend(many.tolist())
             digests.extend(_set_digest(hashes[a:b]) if b > a else None for a, b in zip(begin[:-1], begin[1:], strict=True))
-            full = many > 0
-            keys = iter(band_keys(min_max_values(hashes, np.concatenate((begin[:-1][full], begin[-1:])))) if full.any() else ())
-            bands.extend(next(keys) if x else None for x in full)
+            bands.extend(bucket_keys(hashes, begin))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
@@ -182,9 +208,11 @@ def _profiles(crowded: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _middles(rows: DataFrame) -> DataFrame:
     """(class, middle): the most central class its buckets lead to, or that one's in turn."""
-    nearest = rows.groupBy("class").agg(F.max(F.struct("weight", "centre")).alias("nearest")).select("class", "nearest.centre")
+    nearest = stage(rows.groupBy("class").agg(F.max(F.struct("weight", "centre")).alias("nearest")).select("class", "nearest.centre"), "nearest")
+    # Centres are few, and one of them may be that of most classes: what they lead to comes to the classes.
     further = nearest.select(F.col("class").alias("centre"), F.col("centre").alias("beyond"))
-    return nearest.join(further, "centre", "left").select("class", F.coalesce("beyond", "centre").alias("middle"))
+    further = stage(further.join(nearest.select("centre").distinct(), "centre", "left_semi"), "further")
+    return nearest.join(sized(further), "centre", "left").select("class", F.coalesce("beyond", "centre").alias("middle"))
 
 
 def _total(counts: Column) -> Column:
@@ -303,6 +331,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that are not the first of their group."""
-    going = stage(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "copies")
-    return docs.join(sized(going), "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the documents that are not the first of their group.
+
+    Rows that repeat a doc_id and its text are one document: one of them stays, as
+    does one of all rows without doc_id that have equal texts (NULL like any other).
+    Rows of one doc_id with different texts all stay, or go, together.
+    """
+    groups = stage(near_duplicates(docs), "groups")
+    going = stage(groups.where("not kept").select("doc_id").distinct(), "copies")
+    left = docs.join(sized(going), "doc_id", "left_anti").select(*docs.columns)
+    again = stage(groups.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("doc_id").alias("id_again")), "again")
+    if again.isEmpty():
+        return left
+    same_id = left["doc_id"].cast("long").eqNullSafe(F.col("id_again"))
+    single = left.join(sized(again), same_id, "left_anti")
+    row = F.struct(*(left[c] for c in left.columns))
+    repeated = left.join(sized(again), same_id, "left_semi").select(row.alias("row"), F.xxhash64(row.cast("string")).alias("pick"))
+    by_text = F.sha2(F.coalesce(F.concat(F.lit("t"), F.col("row.text").cast("string")), F.lit("")), 256)
+    once = repeated.groupBy(F.col("row.doc_id").alias("id_again"), by_text.alias("said")).agg(F.max_by("row", "pick").alias("row"))
+    return single.unionByName(once.select("row.*"))

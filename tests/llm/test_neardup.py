@@ -145,3 +145,38 @@ def test_components_of_random_graphs(spark):
 
 def test_components_of_nothing(spark):
     assert connected_components(spark.createDataFrame([], "a string, b string")).collect() == []
+
+
+def test_small_sets_lose_no_link(spark):
+    """A text of 7 words inside one of 8 has 3 of 4 shingles: exactly 75 percent, 2,000 times."""
+    rows = []
+    for i in range(2000):
+        words = [f"w{i}x{k}" for k in range(8)]
+        rows += [(2 * i, " ".join(words[:7])), (2 * i + 1, " ".join(words))]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.component_id == r.doc_id - r.doc_id % 2 for r in got)
+
+
+def test_similar_small_sets_share_a_prefix():
+    """All sizes of 1 to 20 shingles, with every partner that reaches the similarity."""
+    draw = np.random.default_rng(4)
+    for n in range(1, neardup.SMALL + 1):
+        for m in range(n, neardup.MEETS_SMALL + 1):
+            most = n
+            least = -(-75 * (n + m) // 175)
+            for shared in range(least, most + 1):
+                if 100 * shared < 75 * (n + m - shared):
+                    continue
+                for _ in range(8):
+                    pool = draw.integers(0, 2**63, n + m - shared, dtype=np.uint64)
+                    a, b = np.sort(pool[:n]), np.sort(pool[n - shared :])
+                    assert set(neardup.prefix_keys(a).tolist()) & set(neardup.prefix_keys(b).tolist())
+
+
+def test_rows_that_repeat_leave_one(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, "a"), (1, text, "a"), (2, text, "b"), (None, "loose", "c"), (None, "loose", "c"), (None, None, "d"), (None, None, "d"), (3, "x", "e"), (3, "y", "e"), (4, None, "f")]
+    left = neardup.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert left.columns == ["doc_id", "text", "source"]
+    key = lambda r: (str(r[0]), str(r[1]))
+    assert sorted((tuple(r) for r in left.collect()), key=key) == sorted([(1, text, "a"), (None, "loose", "c"), (None, None, "d"), (3, "x", "e"), (3, "y", "e"), (4, None, "f")], key=key)
