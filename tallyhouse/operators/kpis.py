@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.dates import months_spanned, period_start
+from ..functions.dates import by_grains, months_spanned, period_start
 from ..functions.money import ZERO, ratio
 from .relational import revenue_orders
 
@@ -47,6 +47,51 @@ def kpi_revenue_by_period(orders: DataFrame, grain: str = "month") -> DataFrame:
     )
 
 
+GRAINS = ("day", "week", "month", "all")
+
+
+def daily_revenue(orders: DataFrame) -> DataFrame:
+    """Orders and revenue per day and channel: what longer grains and totals add up."""
+    return revenue_orders(orders).groupBy("order_date", "channel").agg(F.count("*").alias("orders"), F.sum("total_amount").alias("revenue"))
+
+
+def kpi_revenue_grains(orders: DataFrame, grains: tuple[str, ...] = GRAINS) -> DataFrame:
+    """Orders and revenue of every grain, per channel and over all, out of one scan: period, grain, channel, total_channel, …"""
+    sums = [F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue")]
+    return by_grains(daily_revenue(orders), "order_date", grains, sums, [["channel"], []])
+
+
+def kpi_revenue_by_periods(orders: DataFrame, grains: tuple[str, ...] = ("day", "week", "month")) -> DataFrame:
+    """``kpi_revenue_by_period`` of several grains out of one scan, with the grain."""
+    sums = [F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue")]
+    return by_grains(daily_revenue(orders), "order_date", grains, sums)
+
+
+def customer_bitmaps(orders: DataFrame) -> DataFrame:
+    """Who bought on which day, as bitmaps: order_date, bucket, bitmap, four kilobytes for 32,768 customer numbers.
+
+    Bitmaps of several loads of a day are united by ``united_bitmaps``, so a kept
+    table takes late orders; a customer counts once however often they come.
+    """
+    return (
+        revenue_orders(orders)
+        .where("customer_id IS NOT NULL")
+        .groupBy("order_date", F.bitmap_bucket_number("customer_id").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("customer_id")).alias("bitmap"))
+    )
+
+
+def united_bitmaps(stored: DataFrame, more: DataFrame) -> DataFrame:
+    """Two tables of bitmaps as one, a row per day and bucket."""
+    return stored.unionByName(more).groupBy("order_date", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
+def kpi_unique_customers(bitmaps: DataFrame, grains: tuple[str, ...] = GRAINS) -> DataFrame:
+    """Distinct customers of every grain, exactly, from daily bitmaps: no order is read again."""
+    united = by_grains(bitmaps, "order_date", grains, [F.bitmap_or_agg("bitmap").alias("bitmap")], [["bucket"]])
+    return united.groupBy("period", "grain").agg(F.sum(F.bitmap_count("bitmap")).alias("unique_customers"))
+
+
 def kpi_revenue_by_channel(orders: DataFrame, grain: str = "month") -> DataFrame:
     return (
         revenue_orders(orders)

@@ -12,7 +12,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.dates import period_start
+from ..functions.dates import by_grains
 from ..functions.money import ZERO
 from .relational import jn_anti_orphans
 from .views import paid_per_order
@@ -203,11 +203,11 @@ def recon_material_alerts(fact: DataFrame, threshold: Decimal = MATERIAL) -> Dat
     return fact.where((F.abs("payment_difference") > limit) | (off > limit))
 
 
-def recon_system_totals(orders: DataFrame, payments: DataFrame, invoices: DataFrame, grain: str = "day") -> DataFrame:
-    """Count and amount per system and period, side by side."""
+def daily_system_totals(orders: DataFrame, payments: DataFrame, invoices: DataFrame) -> DataFrame:
+    """Count and amount per system and day, side by side; 0 where a system has none."""
 
-    def source(df: DataFrame, date: str, amount: str, name: str) -> DataFrame:
-        return df.select(period_start(F.col(date), grain).alias("period"), F.col(amount).alias(name))
+    def source(df: DataFrame, day: str, amount: str, name: str) -> DataFrame:
+        return df.select(F.col(day).alias("day"), F.col(amount).alias(name))
 
     stacked = (
         source(orders, "order_date", "total_amount", "order_amount")
@@ -217,16 +217,25 @@ def recon_system_totals(orders: DataFrame, payments: DataFrame, invoices: DataFr
         )
         .unionByName(source(invoices, "invoice_date", "total_amount", "invoice_amount"), allowMissingColumns=True)
     )
-    return stacked.groupBy("period").agg(
-        F.count("order_amount").alias("orders"),
-        F.coalesce(F.sum("order_amount"), F.lit(ZERO)).alias("order_amount"),
-        F.count("payment_amount").alias("payments"),
-        F.coalesce(F.sum("payment_amount"), F.lit(ZERO)).alias("payment_amount"),
-        F.count("invoice_amount").alias("invoices"),
-        F.coalesce(F.sum("invoice_amount"), F.lit(ZERO)).alias("invoice_amount"),
+    amounts = {"orders": "order_amount", "payments": "payment_amount", "invoices": "invoice_amount"}
+    return stacked.groupBy("day").agg(
+        *(c for n, a in amounts.items() for c in (F.count(a).alias(n), F.coalesce(F.sum(a), F.lit(ZERO)).alias(a)))
     )
 
 
+def recon_system_totals_by(
+    orders: DataFrame, payments: DataFrame, invoices: DataFrame, grains: tuple[str, ...] = ("day", "month")
+) -> DataFrame:
+    """The daily totals added up for several grains, each source read once: period, grain, counts and amounts."""
+    days = daily_system_totals(orders, payments, invoices)
+    return by_grains(days, "day", grains, [F.sum(c).alias(c) for c in days.columns if c != "day"])
+
+
+def recon_system_totals(orders: DataFrame, payments: DataFrame, invoices: DataFrame, grain: str = "day") -> DataFrame:
+    """Count and amount per system and period, side by side."""
+    return recon_system_totals_by(orders, payments, invoices, (grain,)).drop("grain")
+
+
 def recon_status_consistency(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Order state x payment state with the number of orders, and whether the
     pair is expected. Payments collapse to one row per order and state first."""

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import customer360, kpis, maintained, reconciliation as recon, relational as rel, rfm, views
 from ..schemas import PAYMENT_METHODS, SEGMENTS
 from ..sources.binding import Tables
-from ..workspace import fresh_path
+from ..workspace import fresh_path, stage
 from .registry import AS_OF, query, stack
 
 # ---- filters, projections, text ----------------------------------------------
@@ -165,9 +167,20 @@ def kpi_monthly_revenue(t: Tables) -> DataFrame:
 
 @query
 def kpi_revenue_by_period(t: Tables) -> DataFrame:
-    return stack(
-        [kpis.kpi_revenue_by_period(t.orders, g).withColumn("grain", F.lit(g)) for g in ("day", "week", "month")]
-    )
+    return kpis.kpi_revenue_by_periods(t.orders)
+
+
+@query
+def kpi_revenue_grains(t: Tables) -> DataFrame:
+    return kpis.kpi_revenue_grains(t.orders)
+
+
+@query
+def kpi_unique_customers(t: Tables) -> DataFrame:
+    """Bitmaps of the orders before June, kept; those of the later ones come to them."""
+    early = F.col("order_date") < F.lit(date(2001, 6, 1))
+    kept = stage(kpis.customer_bitmaps(t.orders.where(early)), "bitmaps")
+    return kpis.kpi_unique_customers(kpis.united_bitmaps(kept, kpis.customer_bitmaps(t.orders.where(~early))))
 
 
 @query
@@ -343,12 +356,7 @@ def recon_material_alerts(t: Tables) -> DataFrame:
 
 @query
 def recon_system_totals(t: Tables) -> DataFrame:
-    return stack(
-        [
-            recon.recon_system_totals(t.orders, t.payments, t.invoices, g).withColumn("grain", F.lit(g))
-            for g in ("day", "month")
-        ]
-    )
+    return recon.recon_system_totals_by(t.orders, t.payments, t.invoices, ("day", "month"))
 
 
 @query
