@@ -143,10 +143,35 @@ def _match_class(tolerance: Decimal) -> Column:
     )
 
 
+def _settled(stacked: DataFrame) -> DataFrame:
+    """Payments and invoices at order grain; a missing column counts as none."""
+    figures = {"paid_amount": ("payments", "payment_count"), "invoice_amount": ("invoices", "invoice_count")}
+    kept = {a: v for a, v in figures.items() if a in stacked.columns}
+    return stacked.groupBy("order_id").agg(
+        *(F.sum(amount).alias(amount) for amount in kept), *(F.count(each).alias(many) for each, many in kept.values())
+    )
+
+
+def _without_shuffle(orders: DataFrame, paid: DataFrame, invoiced: DataFrame) -> DataFrame:
+    """Orders with what settles them, and what settles no order: joins that keep the order key's partitioning.
+
+    A full join of three tables would lose it after the first join.
+    """
+    keys = orders.select("order_id")
+    known = orders.join(paid, "order_id", "left").join(invoiced, "order_id", "left")
+    loose = [table.join(keys, "order_id", "left_anti") for table in (paid, invoiced)]
+    return known.unionByName(loose[0].join(loose[1], "order_id", "full"), allowMissingColumns=True)
+
+
 def fact_reconciliation(
-    orders: DataFrame, payments: DataFrame, invoices: DataFrame, tolerance: Decimal = TOLERANCE
+    orders: DataFrame, payments: DataFrame, invoices: DataFrame, tolerance: Decimal = TOLERANCE, colocated: bool = False
 ) -> DataFrame:
-    """Three-way match at order grain with one class per order key."""
+    """Three-way match at order grain with one class per order key.
+
+    ``colocated``: the tables are stored by the hash of the order key
+    (``sources.colocated``); then no row moves. Else payments and invoices are
+    brought to order grain in one shuffle and meet the orders in one join.
+    """
     tax = F.coalesce("tax_amount", F.lit(ZERO))
     o = orders.select(
         F.col("id").alias("order_id"),
@@ -161,19 +186,13 @@ def fact_reconciliation(
         "order_id", F.col("amount").alias("paid_amount"), F.lit(1).alias("payments")
     )
     i = invoices.select("order_id", (F.col("subtotal") + tax).alias("invoice_amount"), F.lit(1).alias("invoices"))
-    settled = (
-        p.unionByName(i, allowMissingColumns=True)
-        .groupBy("order_id")
-        .agg(
-            F.sum("paid_amount").alias("paid_amount"),
-            F.sum("invoice_amount").alias("invoice_amount"),
-            F.count("payments").alias("payment_count"),
-            F.count("invoices").alias("invoice_count"),
-        )
-    )
+    if colocated:
+        joined = _without_shuffle(o, _settled(p), _settled(i))
+    else:
+        joined = o.join(_settled(p.unionByName(i, allowMissingColumns=True)), "order_id", "full")
     zeros = {c: F.coalesce(c, F.lit(ZERO)) for c in ("order_amount", "invoiceable_amount", "paid_amount", "invoice_amount")}
     none = {c: F.coalesce(c, F.lit(0)) for c in ("order_count", "payment_count", "invoice_count")}
-    matched = o.join(settled, "order_id", "full").withColumns({**zeros, **none})
+    matched = joined.withColumns({**zeros, **none})
     return matched.select(
         "order_id",
         "order_number",

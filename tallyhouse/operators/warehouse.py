@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ..functions.dates import accounting_period
 from ..functions.money import ZERO, line_total
 from ..functions.text import business_code, full_name
-from ..workspace import stage
+from ..workspace import sized, stage
 from .views import paid_per_order
 
 UNKNOWN = "Unknown"
@@ -205,6 +205,46 @@ def jn_scd2_lookup(facts: DataFrame, history: DataFrame, key: str, day: str, pk:
     return facts.join(h, (facts[key] == h["_pk"]) & valid, "left").drop("_pk")
 
 
+def jn_scd2_sweep(facts: DataFrame, history: DataFrame, key: str, day: str, pk: str = "id") -> DataFrame:
+    """``jn_scd2_lookup`` by one sweep over facts and versions in the order of key and day.
+
+    The join lets every version of a key meet all its facts; here each row is looked
+    at once. Both kinds are range-partitioned together, so a key with a third of all
+    facts lies in as many partitions as it fills. Within a partition the last version
+    is carried forward; what a partition begins with comes from a pass over one row
+    per partition. Versions of a key must not overlap, as ``dim_customer_scd2`` makes
+    them; a version without key meets nothing, as does a fact without key or day.
+    """
+    versions = history.where(F.col(pk).isNotNull() & F.col("valid_from").isNotNull())
+    named = versions.withColumnsRenamed({pk: "_pk", "valid_from": "version_from", "valid_to": "version_to"}).drop("_pk")
+    carried_columns = named.columns
+    fact = F.struct(*(facts[c] for c in facts.columns))
+    events = (
+        versions.select(F.col(pk).alias("_key"), F.col("valid_from").alias("_day"), F.lit(0).alias("_kind"), F.struct(
+            *(F.col({"version_from": "valid_from", "version_to": "valid_to"}.get(c, c)).alias(c) for c in carried_columns)
+        ).alias("_version"))
+        .unionByName(
+            facts.select(facts[key].alias("_key"), facts[day].alias("_day"), F.lit(1).alias("_kind"), fact.alias("_fact")),
+            allowMissingColumns=True,
+        )
+    )
+    # The salt lets facts of one key and day, and facts without key, lie in several partitions.
+    salted = events.withColumn("_salt", F.when(F.col("_kind") == 1, F.xxhash64("_fact")).otherwise(F.lit(-(2**63))))
+    order = ("_key", "_day", "_kind", "_salt")
+    ranged = stage(salted.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "sweep")
+    ends = ranged.where("_kind = 0").groupBy("_part").agg(F.max(F.struct("_key", "_day", "_version")).alias("_end"))
+    parts = ranged.select("_part").distinct().join(ends, "_part", "left")
+    # One row per partition: the last version before its first row.
+    before = F.max("_end").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    begins = sized(stage(parts.select("_part", before.alias("_begin")), "sweep-begins"))
+    own = Window.partitionBy("_part", "_key").orderBy("_day", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = ranged.withColumn("_last", F.last("_version", ignorenulls=True).over(own)).where("_kind = 1").join(begins, "_part", "left")
+    last = F.coalesce("_last", F.when(F.col("_begin._key") == F.col("_key"), F.col("_begin._version")))
+    found = swept.select("_fact", "_day", last.alias("_found"))
+    valid = (F.col("_day") >= F.col("_found.version_from")) & (F.col("_found.version_to").isNull() | (F.col("_day") < F.col("_found.version_to")))
+    return found.select(*(F.col("_fact")[c].alias(c) for c in facts.columns), *(F.when(valid, F.col("_found")[c]).alias(c) for c in carried_columns))
+
+
 # ---- facts -------------------------------------------------------------------
 
 

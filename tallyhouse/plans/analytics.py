@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import customer360, kpis, maintained, reconciliation as recon, relational as rel, rfm, views
 from ..schemas import PAYMENT_METHODS, SEGMENTS
+from ..sources import colocated
 from ..sources.binding import Tables
 from ..workspace import fresh_path, stage
 from .registry import AS_OF, query, stack
@@ -354,6 +355,25 @@ def recon_material_alerts(t: Tables) -> DataFrame:
     return recon.recon_material_alerts(recon.fact_reconciliation(t.orders, t.payments, t.invoices))
 
 
+def _colocated(t: Tables) -> dict[str, DataFrame]:
+    """Orders and what hangs on them, stored side by side."""
+    root = fresh_path(t.spark, "colocated")
+    tables = {name: t[name] for name in colocated.ORDER_KEYS}
+    return colocated.colocate(tables, f"side_by_side_{root.rsplit('-', 1)[-1]}", root, buckets=8)
+
+
+@query
+def fact_reconciliation_colocated(t: Tables) -> DataFrame:
+    s = _colocated(t)
+    return recon.fact_reconciliation(s["orders"], s["payments"], s["invoices"], colocated=True)
+
+
+@query
+def recon_order_payment_colocated(t: Tables) -> DataFrame:
+    s = _colocated(t)
+    return recon.recon_order_payment(s["orders"], s["payments"])
+
+
 @query
 def recon_system_totals(t: Tables) -> DataFrame:
     return recon.recon_system_totals_by(t.orders, t.payments, t.invoices, ("day", "month"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import warehouse as wh
 from ..schemas import INVOICES, ORDERS, PAYMENTS, PRODUCTS, TABLES
-from ..sources import incremental as inc, sinks, snapshots as snap, tables as src, versions
+from ..sources import digests, incremental as inc, sinks, snapshots as snap, tables as src, versions
 from ..sources.binding import Tables
 from ..streaming import refresh
 from ..workspace import fresh_path, stage
@@ -224,9 +224,34 @@ def snap_sample_compare(t: Tables) -> DataFrame:
 
 @query
 def snap_diff(t: Tables) -> DataFrame:
+    return snap.snap_diff(*_two_states(t), "id")
+
+
+def _two_states(t: Tables) -> tuple[DataFrame, DataFrame]:
     previous = t.orders.where(F.col("order_date") < F.lit(AS_OF - timedelta(days=10)))
-    current = inc.inc_merge_latest(t.orders, t.order_changes).where(F.col("status") != "Pending")
-    return snap.snap_diff(previous, current, "id")
+    return previous, inc.inc_merge_latest(t.orders, t.order_changes).where(F.col("status") != "Pending")
+
+
+@query
+def snap_diff_tree(t: Tables) -> DataFrame:
+    """The comparison by digest trees that were kept with each state."""
+    root, trees = snapshot_root(t), []
+    for n, df in enumerate(_two_states(t)):
+        digests.keep_tree(root, "orders", f"run-{n}", df, "id", 256)
+        trees.append(digests.kept_tree(t.spark, root, "orders", f"run-{n}"))
+    return digests.tree_diff(*_two_states(t), "id", *trees, leaf_keys=256)
+
+
+@query
+def snap_recon_tree(t: Tables) -> DataFrame:
+    """Sources against the trees of what was staged: the customers are as they were, the orders have changed."""
+    root = snapshot_root(t)
+    later = inc.inc_merge_latest(t.orders, t.order_changes)
+    found = []
+    for name, staged_rows, source in (("customers", t.customers, t.customers), ("orders", t.orders, later)):
+        digests.keep_tree(root, name, "run-0", staged_rows, "id", 256)
+        found.append(digests.source_matches(source, "id", digests.kept_tree(t.spark, root, name, "run-0"), name, 256))
+    return stack(found)
 
 
 @query
@@ -390,6 +415,14 @@ def jn_scd2_lookup(t: Tables) -> DataFrame:
     return found.select("order_id", "customer_id", "order_date", "segment", "version_from", "version_to")
 
 
+@query
+def jn_scd2_sweep(t: Tables) -> DataFrame:
+    history = wh.dim_customer_scd2(_customer_states(t), ["segment", "country"])
+    orders = t.orders.select(F.col("id").alias("order_id"), "customer_id", "order_date")
+    found = wh.jn_scd2_sweep(orders, history, "customer_id", "order_date")
+    return found.select("order_id", "customer_id", "order_date", "segment", "version_from", "version_to")
+
+
 @query
 def fact_order(t: Tables) -> DataFrame:
     return wh.fact_order(t.orders, t.payments).drop("channel_key", "customer_key")

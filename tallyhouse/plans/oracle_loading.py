@@ -262,3 +262,11 @@ SELECT o.id AS order_id, o.order_number, o.order_date, o.total_amount::DOUBLE AS
        coalesce(p.paid, 0)::DOUBLE AS paid_amount, (o.total_amount - coalesce(p.paid, 0))::DOUBLE AS discrepancy
 FROM c_orders o LEFT JOIN c_paid p ON o.id = p.order_id
 WHERE o.id IN (SELECT order_id FROM c_payments) AND abs(o.total_amount - coalesce(p.paid, 0)) > 100000"""
+
+SQL["jn_scd2_sweep"] = SQL["jn_scd2_lookup"]
+SQL["snap_diff_tree"] = SQL["snap_diff"]
+SQL["snap_recon_tree"] = over("c_customers", "c_orders", "c_order_changes") + """
+SELECT 'customers' AS table_name, count(*) AS source_count, count(*) AS staging_count, 0::BIGINT AS differing_ranges, 'PASS' AS status FROM c_customers
+UNION ALL
+SELECT 'orders', (SELECT count(*) FROM c_orders), (SELECT count(*) FROM c_orders), count(DISTINCT id // 256), 'FAIL'
+FROM (SELECT * FROM c_order_changes EXCEPT SELECT * FROM c_orders) x"""

@@ -1,5 +1,5 @@
 import random
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,3 +118,31 @@ def test_codes_are_gap_free_and_ordered(spark):
 def test_codes_grow_past_six_digits(spark):
     coded = wh.util_code_sequence(spark.range(2).select("id"), "INV", 2024, ["id"], start=999_999)
     assert [r.code for r in coded.orderBy("id").collect()] == ["INV-2024-999999", "INV-2024-1000000"]
+
+
+def test_sweep_equals_the_join_with_a_hot_key(spark):
+    """A third of all facts on one key of 1,000 versions; keys and days that are missing; versions that end."""
+    draw = random.Random(9)
+    day = lambda k: date(2020, 1, 1) + timedelta(days=k)
+    versions = [(1, f"s{k}", day(k), day(k + 1) if k < 999 else None) for k in range(1000)]
+    for key in range(2, 40):
+        at = 0
+        for k in range(draw.randrange(6)):
+            at += draw.randrange(1, 200)
+            end = at + draw.randrange(1, 200)
+            versions.append((key, f"k{k}", day(at), day(end) if draw.random() < 0.8 else None))
+            at = end
+            if versions[-1][3] is None:
+                break
+    versions.append((None, "none", day(0), None))
+    facts = [(i, draw.choice((1, None, *range(2, 50))) if i % 3 else 1, draw.choice((None, day(draw.randrange(-20, 1300))))) for i in range(3000)]
+    history = spark.createDataFrame(versions, "id INT, segment STRING, valid_from DATE, valid_to DATE")
+    table = spark.createDataFrame(facts, "fact INT, customer INT, day DATE").repartition(3)
+    plain = wh.jn_scd2_lookup(table, history, "customer", "day")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        swept = wh.jn_scd2_sweep(table, history, "customer", "day")
+        found = rows(swept.select(*plain.columns), "fact")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert found == rows(plain, "fact") and len(found) == 3000
