@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..workspace import stage
 from .snapshots import snap_diff
 
 LEAF_KEYS = 4_096
@@ -168,7 +169,7 @@ def kept_tree(spark: SparkSession, root: str, table: str, run_id: str) -> DataFr
 
 def source_matches(source: DataFrame, pk: str, tree: DataFrame, table: str, leaf_keys: int = LEAF_KEYS) -> DataFrame:
     """One row: does the source still hold what a run exported? With the rows on both sides and the ranges that differ."""
-    own = digest_tree(source, pk, leaf_keys)
+    own = stage(digest_tree(source, pk, leaf_keys), "tree")
     rows = [t.where(F.col("level") == LEVELS).agg(F.coalesce(F.max("rows"), F.lit(0))).scalar() for t in (own, tree)]
     ranges = differing_leaves(tree, own).select(F.count("*")).scalar()
     status = F.when(F.col("differing_ranges") == 0, "PASS").otherwise("FAIL")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.sources import digests
 from tallyhouse.sources.snapshots import snap_diff
+from tallyhouse.workspace import stage
 
 from .conftest import rows
 
@@ -35,7 +36,7 @@ def test_equals_the_plain_comparison(spark, monkeypatch, limit):
     draw = random.Random(5)
     for n, changes in ((40, 0), (200, 120)):
         old, new = pair(spark, draw, n, changes)
-        trees = [digests.digest_tree(df, "id", 7) for df in (old, new)]
+        trees = [stage(digests.digest_tree(df, "id", 7), "tree") for df in (old, new)]
         found = digests.tree_diff(old, new, "id", *trees, leaf_keys=7)
         plain = snap_diff(old, new, "id")
         key = lambda r: (r[0] is None, r[0] or 0, r[1])
@@ -56,9 +57,10 @@ def test_levels_add_up_and_order_does_not_matter(spark):
     tree = digests.digest_tree(df, "id", 5)
     totals = rows(tree.groupBy("level").agg(F.sum("rows"), F.sum("x"), F.sum("m")).drop("level"))
     assert len(totals) == digests.LEVELS + 1 and len(set(totals)) == 1 and totals[0][0] == 3500
-    other = digests.digest_tree(df.select("b", "id", "a").orderBy(F.rand(1)).repartition(5), "id", 5)
+    tree = stage(tree, "tree")
+    other = stage(digests.digest_tree(df.select("b", "id", "a").orderBy(F.rand(1)).repartition(5), "id", 5), "tree")
     assert digests.same(tree, other) and digests.differing_leaves(tree, other).isEmpty()
-    changed = digests.digest_tree(df.where("id <> 1234"), "id", 5)
+    changed = stage(digests.digest_tree(df.where("id <> 1234"), "id", 5), "tree")
     assert rows(digests.differing_leaves(tree, changed)) == [(246,)] and not digests.same(tree, changed)
 
 
@@ -84,7 +86,7 @@ def test_unchanged_ranges_are_not_read(spark, tmp_path):
     base.repartitionByRange(20, "id").write.parquet(str(tmp_path / "old"))
     base.withColumn("b", F.when(F.col("id").isin(5, 70_001), 2).otherwise(1)).repartitionByRange(20, "id").write.parquet(str(tmp_path / "new"))
     old, new = (spark.read.parquet(str(tmp_path / n)) for n in ("old", "new"))
-    trees = [digests.digest_tree(df, "id", 1000) for df in (old, new)]
+    trees = [stage(digests.digest_tree(df, "id", 1000), "tree") for df in (old, new)]
     found = digests.tree_diff(old, new, "id", *trees, changes_only=True, leaf_keys=1000)
     assert rows(found) == [(5, "updated"), (70_001, "updated")]
     plan = found._jdf.queryExecution().executedPlan().toString()
