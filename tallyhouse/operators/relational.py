@@ -10,6 +10,7 @@ from ..functions.dates import accounting_period
 from ..functions.money import ZERO
 from ..functions.text import has_word, masked_digits, masked_email
 from ..schemas import NON_REVENUE_STATUSES
+from ..workspace import stage
 
 
 def revenue_orders(orders: DataFrame) -> DataFrame:
@@ -109,32 +110,42 @@ def jn_key_lookup(df: DataFrame, code: str, stored: DataFrame, stored_code: str,
     return df.join(lookup, code, "left")
 
 
+def _climbed(nodes: DataFrame, with_path: bool) -> DataFrame:
+    """(id, root_id, depth, up, path): every node as far up as its parents lead, doubling the way each round.
+
+    ``up`` is NULL where the root was reached. What is left after the logarithm of
+    the number of nodes in rounds leads into a cycle. Nodes that have arrived rest.
+    """
+    path = F.col("name") if with_path else F.lit("")
+    state = stage(nodes.select("id", F.col("id").alias("root_id"), F.lit(0).alias("depth"), F.col("parent_id").alias("up"), path.alias("path")), "tree")
+    for _ in range(nodes.count().bit_length() + 1):
+        climbing = state.where("up IS NOT NULL")
+        if climbing.isEmpty():
+            break
+        above = state.select(
+            F.col("id").alias("up"), F.col("root_id").alias("_root"), F.col("depth").alias("_depth"), F.col("up").alias("_up"), F.col("path").alias("_path")
+        )
+        joined = F.concat("_path", F.lit(" > "), "path") if with_path else F.lit("")
+        moved = climbing.join(above, "up").select("id", F.col("_root").alias("root_id"), (F.col("depth") + 1 + F.col("_depth")).alias("depth"), F.col("_up").alias("up"), joined.alias("path"))
+        state = stage(state.where("up IS NULL").unionByName(moved), "tree")
+    return state
+
+
 def jn_category_tree(categories: DataFrame) -> DataFrame:
-    """Root, depth and path of every category.
+    """Root, depth and path of every category, however deep the tree.
 
-    A category without parent, or with an unknown one, is a root. The descent
-    starts at roots, so a cycle is never entered and the query ends; categories
-    on or below a cycle come out with status 'CYCLE' and no root.
+    A category without parent, or with an unknown one, is a root. Categories on or
+    below a cycle come out with status 'CYCLE' and no root: the first climb finds
+    them without paths, which would grow round and round, the second one joins the
+    names of all others.
     """
-    spark = categories.sparkSession
     nodes = categories.select("id", "name", "parent_id")
     known = nodes.select(F.col("id").alias("known_id"))
-    nodes = nodes.join(known, nodes.parent_id == known.known_id, "left").select(
-        "id", "name", F.col("known_id").alias("parent_id"), (F.col("known_id").isNull()).alias("is_root")
-    )
-    tree = spark.sql(
-        """
-        WITH RECURSIVE tree (id, name, root_id, depth, path) AS (
-            SELECT id, name, id, 0, name FROM {nodes} WHERE is_root
-            UNION ALL
-            SELECT c.id, c.name, t.root_id, t.depth + 1, concat(t.path, ' > ', c.name)
-            FROM {nodes} c JOIN tree t ON c.parent_id = t.id
-        )
-        SELECT * FROM tree
-        """,
-        nodes=nodes,
-    )
-    placed = tree.select(F.col("id").alias("_id"), "root_id", "depth", "path")
+    nodes = nodes.join(known, nodes.parent_id == known.known_id, "left").select("id", "name", F.col("known_id").alias("parent_id"))
+    nodes = stage(nodes, "nodes")
+    rooted = _climbed(nodes, with_path=False).where("up IS NULL").select("id")
+    placed = _climbed(stage(nodes.join(rooted, "id", "left_semi"), "nodes"), with_path=True)
+    placed = placed.select(F.col("id").alias("_id"), "root_id", "depth", "path")
     return nodes.join(placed, nodes.id == placed["_id"], "left").select(
         "id",
         "name",

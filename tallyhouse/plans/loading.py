@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import warehouse as wh
 from ..schemas import INVOICES, ORDERS, PAYMENTS, PRODUCTS, TABLES
-from ..sources import digests, incremental as inc, sinks, snapshots as snap, tables as src, versions
+from ..sources import clustered, digests, incremental as inc, sinks, snapshots as snap, tables as src, versions
 from ..sources.binding import Tables
 from ..streaming import refresh
 from ..workspace import fresh_path, stage
@@ -294,6 +294,25 @@ def inc_extract(t: Tables) -> DataFrame:
     return changed.select("id", "order_date", "updated_at", "total_amount")
 
 
+def _clustered(t: Tables) -> clustered.Clustered:
+    path, zones = fresh_path(t.spark, "clustered"), ["order_date", "customer_id", "updated_at"]
+    clustered.write_clustered(t.orders, path, zones[:2], zones, files=64)
+    return clustered.Clustered(t.spark, path, schema_of(t.orders))
+
+
+@query
+def inc_extract_clustered(t: Tables) -> DataFrame:
+    changed = _clustered(t).after("updated_at", datetime(2001, 7, 1))
+    return changed.select("id", "order_date", "updated_at", "total_amount")
+
+
+@query
+def clustered_customer_lookup(t: Tables) -> DataFrame:
+    """All orders of the customer who has most."""
+    busiest = t.orders.groupBy("customer_id").count().agg(F.max_by("customer_id", F.struct("count", "customer_id"))).first()[0]
+    return _clustered(t).equal("customer_id", busiest).select("id", "customer_id", "order_date", "total_amount")
+
+
 @query
 def inc_high_water(t: Tables) -> DataFrame:
     return inc.inc_high_water(t.orders)

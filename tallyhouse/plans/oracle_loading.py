@@ -270,3 +270,8 @@ SELECT 'customers' AS table_name, count(*) AS source_count, count(*) AS staging_
 UNION ALL
 SELECT 'orders', (SELECT count(*) FROM c_orders), (SELECT count(*) FROM c_orders), count(DISTINCT id // 256), 'FAIL'
 FROM (SELECT * FROM c_order_changes EXCEPT SELECT * FROM c_orders) x"""
+
+SQL["inc_extract_clustered"] = SQL["inc_extract"]
+SQL["clustered_customer_lookup"] = over("c_orders") + """
+SELECT id, customer_id, order_date, total_amount::DOUBLE AS total_amount FROM c_orders WHERE customer_id = (
+  SELECT customer_id FROM c_orders GROUP BY customer_id ORDER BY count(*) DESC, customer_id DESC LIMIT 1)"""

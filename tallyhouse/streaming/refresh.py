@@ -11,6 +11,7 @@ from collections.abc import Callable
 from datetime import timedelta
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -108,8 +109,8 @@ def late_orders(spark: SparkSession, out: str) -> DataFrame:
     """Orders that came late, with the batch that brought them."""
     try:
         return spark.read.schema(LATE).parquet(f"{out}/late")
-    except Exception as absent:  # no second batch yet
-        if "PATH_NOT_FOUND" not in str(absent):
+    except AnalysisException as absent:  # no second batch yet
+        if absent.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LATE)
 

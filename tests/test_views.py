@@ -132,3 +132,14 @@ def test_invoice_gap_and_top_customers(table):
     c = table("customers", {"id": 1, "customer_code": "A"}, {"id": 2, "customer_code": "B"}, {"id": 3, "customer_code": "C"})
     top = rel.top_customers(c, o, 2).select("customer_code", "order_count", "total_spent").collect()
     assert [tuple(r) for r in top] == [("A", 2, d("150.00")), ("B", 3, d("120.00"))]
+
+
+def test_deep_category_chain_and_cycles(table):
+    """5,000 categories in one chain, a cycle of 40 and a chain of 60 below it."""
+    chain = [{"id": i, "name": f"n{i}", "parent_id": i - 1 if i else None} for i in range(5000)]
+    cycle = [{"id": 6000 + i, "name": "c", "parent_id": 6000 + (i + 1) % 40} for i in range(40)]
+    below = [{"id": 7000 + i, "name": "b", "parent_id": 7000 + i - 1 if i else 6000} for i in range(60)]
+    tree = {r.id: r for r in rel.jn_category_tree(table("categories", *chain, *cycle, *below)).collect()}
+    assert all(tree[i].depth == i and tree[i].root_id == 0 and tree[i].status == "OK" for i in range(5000))
+    assert tree[4999].path == " > ".join(f"n{i}" for i in range(5000)) and tree[7].path == "n0 > n1 > n2 > n3 > n4 > n5 > n6 > n7"
+    assert {tree[i].status for i in tree if i >= 6000} == {"CYCLE"} and len(tree) == 5100
