@@ -15,7 +15,7 @@ from ..operators import warehouse as wh
 from ..schemas import INVOICES, ORDERS, PAYMENTS, PRODUCTS, TABLES
 from ..sources import clustered, digests, incremental as inc, sinks, snapshots as snap, tables as src, versions
 from ..sources.binding import Tables
-from ..streaming import refresh
+from ..streaming import refresh, windows
 from ..workspace import fresh_path, stage
 from .registry import AS_OF, query, stack
 
@@ -499,6 +499,18 @@ def stream_sales_refresh(t: Tables) -> DataFrame:
     return refresh.refreshed_sales(t.spark, out)
 
 
+@query
+def stream_sales_windows(t: Tables) -> DataFrame:
+    """Orders in files of mixed months, a file a batch; the second stream runs after the first, and batches are merged."""
+    staged, out = fresh_path(t.spark, "orders-staged"), fresh_path(t.spark, "windows")
+    sinks.snk_parquet(t.orders.repartition(3, F.month("order_date")), staged)
+    stream = refresh.read_staged_stream(t.spark, staged, "orders", files_per_batch=1)
+    windows.sort_arrivals(stream, out, fresh_path(t.spark, "arrivals-checkpoint")).awaitTermination()
+    windows.close_windows(t.spark, out, fresh_path(t.spark, "windows-checkpoint")).awaitTermination()
+    windows.merge_batches(t.spark, out)
+    return windows.windowed_totals(t.spark, out)
+
+
 @query
 def stream_recon_alerts(t: Tables) -> DataFrame:
     orders, payments = fresh_path(t.spark, "orders-staged"), fresh_path(t.spark, "payments-staged")

@@ -275,3 +275,5 @@ SQL["inc_extract_clustered"] = SQL["inc_extract"]
 SQL["clustered_customer_lookup"] = over("c_orders") + """
 SELECT id, customer_id, order_date, total_amount::DOUBLE AS total_amount FROM c_orders WHERE customer_id = (
   SELECT customer_id FROM c_orders GROUP BY customer_id ORDER BY count(*) DESC, customer_id DESC LIMIT 1)"""
+
+SQL["stream_sales_windows"] = SQL["stream_sales_refresh"]
