@@ -390,12 +390,14 @@ def dq_snapshot_gate(
     profile: DataFrame | None = None,
     sample: DataFrame | None = None,
     fmt: str = "parquet",
+    column_drift: DataFrame | None = None,
 ) -> DataFrame:
     """The gate a snapshot passes before anyone reads it.
 
     Blocking: equal counts, readable files, every table, completion marker.
     Warning: export time, unchanged schema and, given ``sizes``, table sizes within
-    a range of the snapshot before. For information: given a ``profile``, columns
+    a range of the snapshot before; given ``column_drift`` (``sketches.column_drift``),
+    columns whose values have shifted since. For information: given a ``profile``, columns
     without any value, and given a ``sample`` comparison, columns that differ from
     the source. ``row_recon`` has read the staged files, so a count is proof that
     they are readable; a table counts as there if readers would get it.
@@ -434,6 +436,8 @@ def dq_snapshot_gate(
     if sizes is not None:
         low, high = size_range
         gate.append(rules(sizes, ("file_size", MINOR, "count(*)", f"count_if(ratio NOT BETWEEN {low} AND {high})")))
+    if column_drift is not None:
+        gate.append(rules(column_drift, ("column_drift", MINOR, "count(*)", "count_if(status = 'WARN')")))
     if profile is not None:
         gate.append(rules(profile, ("column_statistics", INFO, "count(*)", "count_if(nulls = rows)")))
     if sample is not None:

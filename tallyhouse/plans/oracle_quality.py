@@ -291,3 +291,19 @@ SQL["dq_history"] = (
     + " UNION ALL "
     + outcome("2001-08-01", [r.replace("c_orders", "c_order_changes") for r in ORDER_RULES])
 )
+
+
+def shifted(column: str, number: bool) -> str:
+    """Exact distance of a column's values: of the cumulative distributions, or of the shares of each text."""
+    distance = "max(abs(fa - fb))" if number else "sum(abs(sa - sb)) / 2"
+    return f"""
+SELECT 'orders' AS table_name, '{column}' AS column_name, '{'number' if number else 'text'}' AS kind,
+       CASE WHEN {distance} <= 0.1 THEN 'PASS' ELSE 'WARN' END AS status
+FROM (SELECT *, sum(sa) OVER (ORDER BY v) AS fa, sum(sb) OVER (ORDER BY v) AS fb FROM (
+        SELECT v, sum(a) / (SELECT count(*) FROM old) AS sa, sum(b) / (SELECT count(*) FROM c_order_changes) AS sb FROM (
+          SELECT {column} AS v, 1 AS a, 0 AS b FROM old UNION ALL SELECT {column}, 0, 1 FROM c_order_changes) x GROUP BY v) y) z"""
+
+
+SQL["dq_column_drift"] = over("c_orders", "c_order_changes") + ", old AS (SELECT * FROM c_orders WHERE order_date < DATE '2001-07-02')" + " UNION ALL ".join(
+    shifted(c, c not in ("status", "channel")) for c in ("order_date", "total_amount", "customer_id", "status", "channel")
+)

@@ -6,7 +6,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import quality as dq, warehouse as wh
+from ..operators import quality as dq, sketches, warehouse as wh
 from ..schemas import TABLES
 from ..sources import sinks, snapshots as snap
 from ..sources.binding import Tables
@@ -133,6 +133,16 @@ def dq_timeliness(t: Tables) -> DataFrame:
     return dq.dq_timeliness(snap.snap_manifest(t.spark, root))
 
 
+@query
+def dq_column_drift(t: Tables) -> DataFrame:
+    """Orders of the last month against all before, by sketches kept with either."""
+    root, columns = snapshot_root(t), ["order_date", "total_amount", "customer_id", "status", "channel"]
+    for run, rows in (("before", t.orders.where("order_date < DATE '2001-07-02'")), ("after", t.order_changes)):
+        sketches.keep_sketches(root, run, sketches.column_sketches(rows, "orders", columns))
+    drift = sketches.column_drift(*(sketches.kept_sketches(t.spark, root, run) for run in ("before", "after")))
+    return drift.select("table_name", "column_name", "kind", "status")
+
+
 @query
 def dq_snapshot_gate(t: Tables) -> DataFrame:
     """A snapshot without invoice items, whose customers lost a column and whose
