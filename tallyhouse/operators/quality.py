@@ -139,16 +139,27 @@ def _parent_column(rule: Rule) -> str | None:
     return f"{rule.spec[1]}.{TABLES[rule.spec[1]].primary_key}" if rule.kind == "fk" else None
 
 
-def _key_counts(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
-    """(column_name, k, n): rows per value of each column the rules name, one scan per table."""
-    wanted = dict.fromkeys(c for r in rules for c in (_column(r), _parent_column(r)) if c)
+WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def _key_counts(tables: dict[str, DataFrame], rules: list[Rule], codes: dict[str, int]) -> DataFrame:
+    """(code, there, k, s, n): rows per value of each column the rules name, one scan per table.
+
+    A whole number stays one (k), any other value is text (s), so that most keys are
+    grouped and joined as numbers. ``there`` is false for NULL.
+    """
     by_table: dict[str, list[str]] = {}
-    for column in wanted:
+    for column in codes:
         by_table.setdefault(column.split(".")[0], []).append(column.split(".")[1])
     parts = []
     for name, columns in by_table.items():
-        values = ", ".join(f"struct('{name}.{c}' AS column_name, cast({c} AS string) AS k)" for c in columns)
-        parts.append(tables[name].selectExpr(f"inline(array({values}))").groupBy("column_name", "k").agg(F.count("*").alias("n")))
+        kinds = dict(tables[name].dtypes)
+        values = ", ".join(
+            f"struct({codes[f'{name}.{c}']} AS code, {c} IS NOT NULL AS there, "
+            + (f"coalesce(bigint({c}), 0L) AS k, '' AS s)" if kinds[c] in WHOLE_NUMBERS else f"0L AS k, coalesce(string({c}), '') AS s)")
+            for c in columns
+        )
+        parts.append(tables[name].selectExpr(f"inline(array({values}))").groupBy("code", "there", "k", "s").agg(F.count("*").alias("n")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -159,26 +170,28 @@ def _key_rules(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     primary key fails row by row. A reference fails per row whose parent is
     missing; NULL counts where the column must be set.
     """
-    counts = stage(_key_counts(tables, rules), "key-counts")
+    codes = {c: i for i, c in enumerate(dict.fromkeys(c for r in rules for c in (_column(r), _parent_column(r)) if c))}
+    counts = stage(_key_counts(tables, rules, codes), "key-counts")
 
     def literal(value: object) -> str:
-        return "cast(null AS string)" if value is None else str(value).lower() if isinstance(value, bool) else f"'{value}'"
+        return "cast(null AS int)" if value is None else str(value).lower()
 
     declared = ", ".join(
-        f"struct({_outcome(r)}, {literal(_column(r))} AS column_name, {literal(_parent_column(r))} AS parent_column, "
+        f"struct({_outcome(r)}, {codes[_column(r)]} AS code, {literal(codes.get(_parent_column(r)))} AS parent, "
         f"'{r.kind}' AS kind, {literal(r.kind == 'fk' and r.spec[0] in TABLES[r.table].not_null)} AS must_be_set)"
         for r in rules
     )
     # One row per rule; each has a row without value as well, so that empty tables are reported.
     named = counts.sparkSession.range(1).selectExpr(f"inline(array({declared}))")
-    values = counts.join(named, "column_name").unionByName(named.withColumns({"k": F.lit(None).cast("string"), "n": F.lit(None).cast("bigint")}))
-    is_reference = F.col("kind") == "fk"
-    parents = counts.join(named.where(is_reference).selectExpr("parent_column AS column_name").distinct(), "column_name", "left_semi")
-    found = parents.selectExpr("column_name AS parent_column", "k", "TRUE AS found")
-    referring = values.where(is_reference).join(found, ["parent_column", "k"], "left")
-    missing = F.col("found").isNull() & (F.col("k").isNotNull() | F.col("must_be_set"))
+    nothing = {"there": F.lit(False), "k": F.lit(0).cast("bigint"), "s": F.lit(""), "n": F.lit(None).cast("bigint")}
+    values = counts.join(F.broadcast(named), "code").unionByName(named.withColumns(nothing))
+    is_reference, there = F.col("kind") == "fk", F.col("there")
+    parents = sorted({codes[_parent_column(r)] for r in rules if r.kind == "fk"})
+    found = counts.where(F.col("code").isin(*parents) & there).selectExpr("code AS parent", "k", "s", "TRUE AS there", "TRUE AS found")
+    referring = values.where(is_reference).join(found, ["parent", "there", "k", "s"], "left")
+    missing = F.col("found").isNull() & (there | F.col("must_be_set"))
     referring = referring.withColumn("bad", F.when(missing, F.col("n")))
-    repeated = F.when(F.col("k").isNotNull(), (F.col("n") > 1).cast("bigint")).when(F.col("kind") == "pk", F.col("n"))
+    repeated = F.when(there, (F.col("n") > 1).cast("bigint")).when(F.col("kind") == "pk", F.col("n"))
     unique = values.where(~is_reference).withColumn("bad", repeated)
     outcome = ("rule_id", "table_name", "dimension", "severity", "allowed")
     judged = unique.select(*outcome, "n", "bad").unionByName(referring.select(*outcome, "n", "bad"))
