@@ -184,7 +184,7 @@ def _key_rules(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     # One row per rule; each has a row without value as well, so that empty tables are reported.
     named = counts.sparkSession.range(1).selectExpr(f"inline(array({declared}))")
     nothing = {"there": F.lit(False), "k": F.lit(0).cast("bigint"), "s": F.lit(""), "n": F.lit(None).cast("bigint")}
-    values = counts.join(F.broadcast(named), "code").unionByName(named.withColumns(nothing))
+    values = counts.join(named, "code").unionByName(named.withColumns(nothing))
     is_reference, there = F.col("kind") == "fk", F.col("there")
     parents = sorted({codes[_parent_column(r)] for r in rules if r.kind == "fk"})
     found = counts.where(F.col("code").isin(*parents) & there).selectExpr("code AS parent", "k", "s", "TRUE AS there", "TRUE AS found")
