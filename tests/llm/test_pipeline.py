@@ -133,4 +133,4 @@ def test_query(spark, con, name):
 
 
 def test_all_are_registered():
-    assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries()) and len(queries.QUERIES) == 10
+    assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries()) and len(queries.QUERIES) == 13
