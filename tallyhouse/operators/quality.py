@@ -1,8 +1,8 @@
 """Declarative data-quality rules and the jobs that run them.
 
-All row-level rules of a table share one scan, and so do all its uniqueness and
-reference rules: every value of a key or reference column is counted, before
-anything is shuffled, and those counts answer all such rules of all tables.
+All row, uniqueness and reference rules share one scan per table: the rules a row
+breaks are the bits of a number, and rows are counted per such number and per
+value of each key and of the columns that refer to it, before anything is shuffled.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.money import ZERO
 from ..schemas import TABLES, Table
 from ..sources.snapshots import readable_tables
-from ..workspace import stage
 
 BLOCKER, MAJOR, MINOR, INFO = "blocker", "major", "minor", "info"
 
@@ -122,82 +121,112 @@ def _result(counted: DataFrame, rules: list[Rule], failed: list[str]) -> DataFra
     return counted.selectExpr(f"inline(array({rows}))")
 
 
-def _row_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """One scan: a counter per rule, then one result row per rule."""
-    counters = [f"bigint(count(*) < {r.spec})" if r.kind == "rows" else f"count_if({r.spec})" for r in rules]
-    names = [f"r{i}" for i in range(len(rules))]
-    counted = df.selectExpr("count(*) AS checked", *(f"{c} AS {n}" for c, n in zip(counters, names)))
-    return _result(counted, rules, names)
-
-
 def _column(rule: Rule) -> str:
     """The counted column of a key or reference rule, with its table."""
     return f"{rule.table}.{rule.spec[0] if rule.kind == 'fk' else rule.spec}"
 
 
-def _parent_column(rule: Rule) -> str | None:
-    return f"{rule.spec[1]}.{TABLES[rule.spec[1]].primary_key}" if rule.kind == "fk" else None
+def _key_column(rule: Rule) -> str:
+    """The key column whose values a key or reference rule is about."""
+    return f"{rule.spec[1]}.{TABLES[rule.spec[1]].primary_key}" if rule.kind == "fk" else _column(rule)
 
 
 WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
+MARKS = 60  # row rules that share one number
 
 
-def _key_counts(tables: dict[str, DataFrame], rules: list[Rule], codes: dict[str, int]) -> DataFrame:
-    """(code, there, k, s, n): rows per value of each column the rules name, one scan per table.
+class _Counted:
+    """What one pass over the tables counts, and where each rule finds its figures.
 
-    A whole number stays one (k), any other value is text (s), so that most keys are
-    grouped and joined as numbers. ``there`` is false for NULL.
+    Sets of marks: a row's broken row rules are the bits of a number; rows are counted per number.
+    Domains: a key column and all columns that refer to it; rows are counted per value, side by side.
     """
-    by_table: dict[str, list[str]] = {}
-    for column in codes:
-        by_table.setdefault(column.split(".")[0], []).append(column.split(".")[1])
-    parts = []
-    for name, columns in by_table.items():
-        kinds = dict(tables[name].dtypes)
-        values = ", ".join(
-            f"struct({codes[f'{name}.{c}']} AS code, {c} IS NOT NULL AS there, "
-            + (f"coalesce(bigint({c}), 0L) AS k, '' AS s)" if kinds[c] in WHOLE_NUMBERS else f"0L AS k, coalesce(string({c}), '') AS s)")
-            for c in columns
-        )
-        parts.append(tables[name].selectExpr(f"inline(array({values}))").groupBy("code", "there", "k", "s").agg(F.count("*").alias("n")))
-    return reduce(DataFrame.unionByName, parts)
 
-
-def _key_rules(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
-    """Results of all uniqueness and reference rules.
+    def __init__(self, rules: list[Rule]):
+        marked: dict[str, list[Rule]] = {}
+        self.columns: dict[str, list[str]] = {}
+        for rule in rules:
+            if rule.kind in ("row", "rows"):
+                marked.setdefault(rule.table, []).append(rule)
+            else:
+                columns = self.columns.setdefault(_key_column(rule), [_key_column(rule)])
+                if _column(rule) not in columns:
+                    columns.append(_column(rule))
+        self.marks = [(t, own[i : i + MARKS]) for t, own in marked.items() for i in range(0, len(own), MARKS)]
+        self.n_groups = len(self.marks) + len(self.columns)
+        self.slots = [f"n{j}" for j in range(max((len(c) for c in self.columns.values()), default=1))]
+
+    def entries(self, tables: dict[str, DataFrame]) -> dict[str, list[str]]:
+        """What a row of each table adds, as SQL: struct(of, slot, there, k, s) per set of marks and column.
+
+        A whole number stays one (k), any other value is text (s), so that most keys are
+        grouped as numbers. ``there`` is false for NULL.
+        """
+        found: dict[str, list[str]] = {}
+        for of, (table, rules) in enumerate(self.marks):
+            bits = [f"CASE WHEN {r.spec} THEN {1 << j}L ELSE 0L END" for j, r in enumerate(rules) if r.kind == "row"]
+            found.setdefault(table, []).append(f"struct({of} AS of, 0 AS slot, TRUE AS there, {' | '.join(bits) or '0L'} AS k, '' AS s)")
+        for of, columns in enumerate(self.columns.values(), len(self.marks)):
+            for slot, column in enumerate(columns):
+                table, c = column.split(".")
+                whole = dict(tables[table].dtypes)[c] in WHOLE_NUMBERS
+                value = f"coalesce(bigint({c}), 0L) AS k, '' AS s" if whole else f"0L AS k, coalesce(string({c}), '') AS s"
+                found.setdefault(table, []).append(f"struct({of} AS of, {slot} AS slot, {c} IS NOT NULL AS there, {value})")
+        return found
+
+    def result(self, rule: Rule) -> str:
+        """A rule's row out of the figures of its set or domain, as SQL."""
+        if rule.kind in ("row", "rows"):
+            of, bit = next((i, own.index(rule)) for i, (_, own) in enumerate(self.marks) if rule in own)
+            slot, failed = 0, f"coalesce(marked[{bit}], 0L)" if rule.kind == "row" else f"bigint(rows[0] < {rule.spec})"
+        else:
+            columns = self.columns[_key_column(rule)]
+            of, slot = len(self.marks) + list(self.columns).index(_key_column(rule)), columns.index(_column(rule))
+            failed = f"orphans[{slot}]" if rule.kind == "fk" else "repeated"
+            if rule.kind == "pk" or (rule.kind == "fk" and rule.spec[0] in TABLES[rule.table].not_null):
+                failed += f" + nulls[{slot}]"
+        return f"struct({of} AS rule_of, {_outcome(rule)}, rows[{slot}] AS checked, {failed} AS failed)"
+
+
+def _counted_rules(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
+    """Results of all row, uniqueness and reference rules, each table read once.
 
     A value that occurs more than once fails its uniqueness rule once; a NULL
     primary key fails row by row. A reference fails per row whose parent is
-    missing; NULL counts where the column must be set.
+    missing; NULL counts where the column must be set. The rows of a key and of
+    all its references meet in one group per value, so nothing is joined.
     """
-    codes = {c: i for i, c in enumerate(dict.fromkeys(c for r in rules for c in (_column(r), _parent_column(r)) if c))}
-    counts = stage(_key_counts(tables, rules, codes), "key-counts")
-
-    def literal(value: object) -> str:
-        return "cast(null AS int)" if value is None else str(value).lower()
-
-    declared = ", ".join(
-        f"struct({_outcome(r)}, {codes[_column(r)]} AS code, {literal(codes.get(_parent_column(r)))} AS parent, "
-        f"'{r.kind}' AS kind, {literal(r.kind == 'fk' and r.spec[0] in TABLES[r.table].not_null)} AS must_be_set)"
-        for r in rules
+    counted = _Counted(rules)
+    parts = [tables[name].selectExpr(f"inline(array({', '.join(own)}))") for name, own in counted.entries(tables).items()]
+    slots = counted.slots
+    values = reduce(DataFrame.unionByName, parts).groupBy("of", "there", "k", "s").agg(
+        *(F.count_if(F.col("slot") == j).alias(n) for j, n in enumerate(slots))
+    )
+    # A row without any count per set and domain, so that empty tables are reported.
+    nothing = values.sparkSession.range(counted.n_groups).selectExpr(
+        "int(id) AS of", "FALSE AS there", "0L AS k", "'' AS s", *(f"0L AS {n}" for n in slots)
+    )
+    # Groups of marks count for each of their bits, and like all others once as a whole (-1).
+    bits = f"CASE WHEN of < {len(counted.marks)} THEN filter(sequence(-1, {MARKS - 1}), b -> b < 0 OR getbit(k, b) = 1) ELSE array(-1) END"
+    there, orphan = F.col("there"), F.col("there") & (F.col("n0") == 0)
+    figures = (
+        values.unionByName(nothing)
+        .withColumn("bit", F.explode(F.expr(bits)))
+        .groupBy("of", "bit")
+        .agg(
+            F.array(*(F.sum(n) for n in slots)).alias("rows"),
+            F.array(*(F.sum(F.when(there, 0).otherwise(F.col(n))) for n in slots)).alias("nulls"),
+            F.array(*(F.sum(F.when(orphan, F.col(n)).otherwise(0)) for n in slots)).alias("orphans"),
+            F.count_if(there & (F.col("n0") > 1)).alias("repeated"),
+        )
     )
-    # One row per rule; each has a row without value as well, so that empty tables are reported.
-    named = counts.sparkSession.range(1).selectExpr(f"inline(array({declared}))")
-    nothing = {"there": F.lit(False), "k": F.lit(0).cast("bigint"), "s": F.lit(""), "n": F.lit(None).cast("bigint")}
-    values = counts.join(named, "code").unionByName(named.withColumns(nothing))
-    is_reference, there = F.col("kind") == "fk", F.col("there")
-    parents = sorted({codes[_parent_column(r)] for r in rules if r.kind == "fk"})
-    found = counts.where(F.col("code").isin(*parents) & there).selectExpr("code AS parent", "k", "s", "TRUE AS there", "TRUE AS found")
-    referring = values.where(is_reference).join(found, ["parent", "there", "k", "s"], "left")
-    missing = F.col("found").isNull() & (there | F.col("must_be_set"))
-    referring = referring.withColumn("bad", F.when(missing, F.col("n")))
-    repeated = F.when(there, (F.col("n") > 1).cast("bigint")).when(F.col("kind") == "pk", F.col("n"))
-    unique = values.where(~is_reference).withColumn("bad", repeated)
-    outcome = ("rule_id", "table_name", "dimension", "severity", "allowed")
-    judged = unique.select(*outcome, "n", "bad").unionByName(referring.select(*outcome, "n", "bad"))
-    return judged.groupBy(*outcome).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("checked"), F.coalesce(F.sum("bad"), F.lit(0)).alias("failed")
+    whole = F.col("bit") == -1
+    marked = F.map_from_entries(F.collect_list(F.struct("bit", F.col("rows")[0])))  # a row per bit
+    per_group = figures.groupBy("of").agg(
+        *(F.max(F.when(whole, F.col(c))).alias(c) for c in ("rows", "nulls", "orphans", "repeated")), marked.alias("marked")
     )
+    judged = per_group.selectExpr("of", f"inline(array({', '.join(counted.result(r) for r in rules)}))")
+    return judged.where("of = rule_of").drop("of", "rule_of")
 
 
 def sum_mismatches(orders: DataFrame, items: DataFrame, tolerance: Decimal = SUM_TOLERANCE) -> DataFrame:
@@ -228,14 +257,8 @@ def _differing(df: DataFrame, rule: Rule) -> DataFrame:
 
 def dq_run(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
     """Result per rule: rows checked, violations, PASS, WARN or FAIL."""
-    parts = []
-    for name in dict.fromkeys(r.table for r in rules):
-        scanned = [r for r in rules if r.table == name and r.kind in ("row", "rows")]
-        if scanned:
-            parts.append(_row_rules(tables[name], scanned))
-    keyed = [r for r in rules if r.kind in ("pk", "unique", "fk")]
-    if keyed:
-        parts.append(_key_rules(tables, keyed))
+    counted = [r for r in rules if r.kind not in ("sum", "owner")]
+    parts = [_counted_rules(tables, counted)] if counted else []
     for rule in rules:
         if rule.kind == "sum":
             parts.append(_differing(sum_mismatches(tables["orders"], tables["order_items"], rule.spec), rule))
