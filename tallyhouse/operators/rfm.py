@@ -17,8 +17,8 @@ FREQUENCY_ORDERS = ((10, 5), (6, 4), (3, 3), (2, 2))
 MONETARY_CUTS = (("0.90", 5), ("0.75", 4), ("0.50", 3), ("0.25", 2))
 SEGMENTS = ("Champions", "Loyal", "Potential", "At Risk", "Hibernating", "New")
 
-# Digits of the order-statistic search: 3 x 21 bits cover every 64-bit number.
-_SHIFTS = (42, 21, 0)
+# Bits of a digit of the order-statistic search; three digits cover every 64-bit number.
+_DIGIT = 21
 
 
 def trailing_year(order_date: Column, as_of: date) -> Column:
@@ -46,14 +46,14 @@ def _running(histogram: DataFrame, window: WindowSpec) -> DataFrame:
     return histogram.withColumns({"before": through - F.col("n"), "through": through})
 
 
-def _first_digit(values: DataFrame, wanted: DataFrame) -> DataFrame:
+def _first_digit(values: DataFrame, wanted: DataFrame, shift: int) -> DataFrame:
     """The bucket of the highest digit each wanted rank falls in.
 
     There are two ranks per cut, so they travel as one small array instead of a
-    join without key. The window runs over buckets of 2^42 units of the last digit.
+    join without key. The window runs over at most 2^22 buckets.
     """
     ranks = wanted.select(F.collect_list(F.struct("cut", "spot", "rank"))).scalar()
-    histogram = values.groupBy(F.shiftright("v", _SHIFTS[0]).alias("prefix")).agg(F.count("*").alias("n"))
+    histogram = values.groupBy(F.shiftright("v", shift).alias("prefix")).agg(F.count("*").alias("n"))
     ranked = _running(histogram, Window.orderBy("prefix")).withColumn("ranks", ranks)
     hits = F.filter("ranks", lambda r: (r["rank"] >= F.col("before")) & (r["rank"] < F.col("through")))
     return ranked.select("prefix", "before", F.explode(hits).alias("r")).select(
@@ -68,7 +68,8 @@ def exact_percentiles(df: DataFrame, amount: str, cuts: list[str]) -> DataFrame:
     Here the wanted ranks are narrowed down instead, 21 bits at a time: each pass
     counts rows per bucket (pre-aggregated before the shuffle) and keeps the
     bucket each rank falls in. At most 2^21 buckets per open prefix are ever
-    ranked, whatever the number of rows.
+    ranked, whatever the number of rows. Values count from the least one, so that
+    their range, which a first small job finds, says how many passes it takes.
 
     All digits of the column count. A value that does not fit 64 bits in units of
     its last digit fails the query; nothing is rounded. ``df`` is read once per
@@ -84,18 +85,24 @@ def exact_percentiles(df: DataFrame, amount: str, cuts: list[str]) -> DataFrame:
     exact_cut = f"decimal({digits + 1},{digits})"
     units = (F.col(amount) * F.lit(Decimal(10**kind.scale))).cast("bigint")
     values = df.where(F.col(amount).isNotNull()).select(units.alias("v"))
-    rows = values.agg(F.count("*").alias("n"))
+    rows, least, greatest = values.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    spread = (greatest or 0) - (least or 0)
+    origin = least if least is not None and spread < 2**63 else 0  # a wider range cannot be moved
+    values = values.select((F.col("v") - F.lit(origin).cast("bigint")).alias("v"))
+    shifts = [s for s in range(2 * _DIGIT, -1, -_DIGIT) if s == 0 or spread >> s]
     # Rank of a cut: (n - 1) * cut, in exact decimals; its two neighbours are looked up.
     spot = (F.col("n") - 1).cast("decimal(20,0)") * F.col("cut")
     wanted = (
-        rows.where("n > 0")
+        df.sparkSession.range(1)
+        .select(F.lit(rows).cast("bigint").alias("n"))
+        .where("n > 0")
         .select("n", F.explode(F.array(*(F.lit(p).cast(exact_cut) for p in points))).alias("cut"))
         .select("cut", spot.alias("spot"))
         .select("cut", "spot", F.explode(F.array_distinct(F.array(F.floor("spot"), F.ceil("spot")))).alias("rank"))
         .select("cut", "spot", F.col("rank").cast("bigint").alias("rank"))
     )
-    found = _first_digit(values, wanted)
-    for wider, shift in zip(_SHIFTS, _SHIFTS[1:]):
+    found = _first_digit(values, wanted, shifts[0])
+    for wider, shift in zip(shifts, shifts[1:]):
         histogram = (
             values.select(F.shiftright("v", wider).alias("prefix"), F.shiftright("v", shift).alias("bucket"))
             .join(found.select("prefix").distinct(), "prefix", "left_semi")
@@ -108,7 +115,7 @@ def exact_percentiles(df: DataFrame, amount: str, cuts: list[str]) -> DataFrame:
             .where(inside)
             .select("cut", "spot", "rank", F.col("bucket").alias("prefix"), (F.col("rest") - F.col("before")).alias("rest"))
         )
-    unit = F.col("prefix").cast("decimal(20,0)")
+    unit = (F.col("prefix") + F.lit(origin).cast("bigint")).cast("decimal(20,0)")
     low = F.min(F.struct("rank", unit.alias("value")))["value"]
     high = F.max(F.struct("rank", unit.alias("value")))["value"]
     by_cut = found.groupBy("cut", "spot").agg(low.alias("low"), high.alias("high"))

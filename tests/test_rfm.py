@@ -86,6 +86,13 @@ def test_percentiles_keep_every_digit(spark):
     assert rfm.exact_percentiles(df, "amount", ["0.995"]).first().p0 == Decimal("995.005")
 
 
+@pytest.mark.parametrize("least, step", [(-(2**63), 2**61), (2**62, 1), (-5, 2**40), (7, 0)])
+def test_percentiles_of_any_range(spark, least, step):
+    values = [Decimal(least + i * step) for i in range(8)]
+    df = spark.createDataFrame([(v,) for v in values], "amount DECIMAL(19,0)")
+    assert list(rfm.exact_percentiles(df, "amount", ["0.0", "0.3", "1.0"]).first()) == [interpolated(values, c) for c in ("0.0", "0.3", "1.0")]
+
+
 def test_percentiles_refuse_what_does_not_fit(spark):
     df = spark.createDataFrame([(Decimal(10) ** 20,)], "amount DECIMAL(38,6)")
     with pytest.raises(Exception, match="(?i)overflow"):
