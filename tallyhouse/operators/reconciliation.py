@@ -255,19 +255,40 @@ def recon_system_totals(orders: DataFrame, payments: DataFrame, invoices: DataFr
     return recon_system_totals_by(orders, payments, invoices, (grain,)).drop("grain")
 
 
-def recon_status_consistency(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Order state x payment state with the number of orders, and whether the
-    pair is expected. Payments collapse to one row per order and state first."""
-    states = payments.select("order_id", F.col("status").alias("payment_status")).distinct()
-    pairs = orders.select(F.col("id").alias("order_id"), F.col("status").alias("order_status")).join(
-        states, "order_id", "left"
+def _status_pairs(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """``orders`` with payment_status, one row per state of their payments ('none' without any),
+    and whether the pair is expected. Payments collapse to one row per order and state first."""
+    states = payments.groupBy(F.col("order_id").alias("_order"), F.col("status").alias("payment_status")).agg(
+        F.count("*").alias("payments"), F.sum("amount").alias("paid")
     )
-    payment = F.coalesce("payment_status", F.lit("none"))
     expected = F.lit(False)
     for status, allowed in EXPECTED_PAYMENT.items():
-        expected = F.when(F.col("order_status") == status, F.col("payment_status").isin(*allowed)).otherwise(expected)
+        expected = F.when(F.col("status") == status, F.col("payment_status").isin(*allowed)).otherwise(expected)
     return (
-        pairs.groupBy("order_status", payment.alias("payment_status"))
-        .agg(F.count("*").alias("orders"))
+        orders.join(states, orders["id"] == states["_order"], "left")
+        .withColumn("payment_status", F.coalesce("payment_status", F.lit("none")))
         .withColumn("expected", expected)
     )
+
+
+def recon_status_consistency(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """Order state x payment state with the number of orders, and whether the pair is expected."""
+    pairs = _status_pairs(orders, payments).groupBy(F.col("status").alias("order_status"), "payment_status")
+    return pairs.agg(F.count("*").alias("orders"), F.first("expected").alias("expected"))
+
+
+def recon_status_violations(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """Every order whose payments are in a state its own does not allow, a row per such state.
+
+    An order of an unknown or no state is allowed none; no payment at all is the
+    state 'none' with 0 payments.
+    """
+    return _status_pairs(orders, payments).where(~F.coalesce("expected", F.lit(False))).select(
+        F.col("id").alias("order_id"),
+        "order_date",
+        F.col("status").alias("order_status"),
+        "payment_status",
+        "total_amount",
+        F.coalesce("payments", F.lit(0)).alias("payments"),
+        F.coalesce("paid", F.lit(ZERO)).alias("paid"),
+    )

@@ -382,3 +382,8 @@ def recon_system_totals(t: Tables) -> DataFrame:
 @query
 def recon_status_consistency(t: Tables) -> DataFrame:
     return recon.recon_status_consistency(t.orders, t.payments)
+
+
+@query
+def recon_status_violations(t: Tables) -> DataFrame:
+    return recon.recon_status_violations(t.orders, t.payments)

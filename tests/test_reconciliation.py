@@ -89,5 +89,7 @@ def test_status_pairs(table):
     found = rows(recon.recon_status_consistency(o, p))
     assert found == [("Completed", "Completed", 1, True), ("Lost", "none", 1, False), ("Pending", "none", 1, True),
                      ("Refunded", "Completed", 1, False)]
+    broken = recon.recon_status_violations(o, p).select("order_id", "order_status", "payment_status", "payments", "paid")
+    assert rows(broken) == [(3, "Refunded", "Completed", 1, d("1.00")), (4, "Lost", "none", 0, d("0.00"))]
     unmatched = table("payments", payment(1, 2, "1.00"), payment(2, 50, "1.00"))
     assert rows(recon.recon_unmatched_payments(unmatched, o).select("id")) == [(2,)]
