@@ -10,7 +10,7 @@ from ..functions.dates import accounting_period
 from ..functions.money import ZERO
 from ..functions.text import has_word, masked_digits, masked_email
 from ..schemas import NON_REVENUE_STATUSES
-from ..workspace import stage
+from ..workspace import broadcastable, stage
 
 
 def revenue_orders(orders: DataFrame) -> DataFrame:
@@ -80,23 +80,36 @@ def json_field(df: DataFrame, column: str, path: str, dtype: str, name: str) ->
 # ---- joins -------------------------------------------------------------------
 
 
-def anti_join_spread(child: DataFrame, fk: str, parent: DataFrame, parent_key: str, spread_by: Column) -> DataFrame:
-    """Rows of ``child`` without a parent; a NULL key counts as without.
+KEYS_PER_TASK = 1_000_000
+
+
+def unknown_keys(asked: DataFrame, known: DataFrame) -> DataFrame:
+    """Distinct values of the only column of ``asked`` that the one of ``known``, of the same name, lacks.
 
-    NULL keys match nothing, yet a shuffle on the key alone would send all of
-    them to one task. A second key column, constant for real keys, spreads them
-    over as many values as a shuffle has partitions.
+    The number of tasks follows the number of keys, so that one task never holds more of
+    them as the tables grow, whatever a shuffle has as its usual number of partitions.
     """
-    tasks = int(child.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.when(F.col(fk).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(tasks))).otherwise(F.lit(0))
-    keys = parent.select(F.col(parent_key).alias("_key"), F.lit(0).cast("bigint").alias("_spread"))
-    left = child.withColumn("_child_spread", spread.cast("bigint"))
-    on = (left[fk] == keys["_key"]) & (left["_child_spread"] == keys["_spread"])
-    return left.join(keys, on, "left_anti").drop("_child_spread")
+    key = asked.columns[0]
+    tasks = -(-(asked.count() + known.count()) // KEYS_PER_TASK)
+    if tasks > 1:
+        tasks = max(tasks, asked.sparkSession.sparkContext.defaultParallelism)
+        asked, known = asked.repartition(tasks, key), known.repartition(tasks, key)
+    return asked.distinct().join(known, key, "left_anti")
 
 
-def jn_anti_orphans(child: DataFrame, fk: str, parent: DataFrame, parent_key: str = "id", child_key: str = "id") -> DataFrame:
-    return anti_join_spread(child, fk, parent, parent_key, F.col(child_key))
+def jn_anti_orphans(child: DataFrame, fk: str, parent: DataFrame, parent_key: str = "id") -> DataFrame:
+    """Rows of ``child`` without a parent; a NULL key counts as without.
+
+    Rows with a NULL key match nothing and go by the join, so no shuffle brings them to
+    one task. Where the parents are too many to broadcast, only keys travel to meet them,
+    a hot one as a single row of what is sorted, and the rows are then picked by the keys found.
+    """
+    keyed, without = child.where(F.col(fk).isNotNull()), child.where(F.col(fk).isNull())
+    keys = parent.select(F.col(parent_key).alias("_key")).where("_key IS NOT NULL")
+    if broadcastable(keys):
+        return keyed.join(keys, keyed[fk] == keys["_key"], "left_anti").unionByName(without)
+    unknown = stage(unknown_keys(keyed.select(F.col(fk).alias("_key")), keys), "unknown")
+    return keyed.join(unknown, keyed[fk] == unknown["_key"], "left_semi").unionByName(without)
 
 
 def jn_orders_without_invoice(orders: DataFrame, invoices: DataFrame, status: str = "Completed") -> DataFrame:

@@ -1,5 +1,7 @@
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from tallyhouse.operators import relational as rel, views
 
 from .conftest import d, rows
@@ -93,6 +95,25 @@ def test_orphans_count_null_keys(table, spark):
     assert rows(rel.jn_anti_orphans(children, "customer_id", parents).select("id")) == [(2,), (3,), (4,)]
 
 
+def test_orphans_among_more_keys_than_one_task_takes(spark, table, tmp_path, monkeypatch):
+    monkeypatch.setattr(rel, "KEYS_PER_TASK", 100)
+    table("customers", *({"id": i} for i in range(0, 400, 2))).write.parquet(str(tmp_path / "parents"))
+    found = [{"id": i, "customer_id": None if i % 7 == 0 else 3 if i % 2 else i} for i in range(400)]  # 3 is unknown and hot
+    table("orders", *found).write.parquet(str(tmp_path / "children"))
+    parents, children = spark.read.parquet(str(tmp_path / "parents")), spark.read.parquet(str(tmp_path / "children"))
+    # The shuffle has six tasks for the 342 keyed rows and 200 parents, not the usual four.
+    unknown = rel.unknown_keys(children.where("customer_id IS NOT NULL").select("customer_id"), parents.select(F.col("id").alias("customer_id")))
+    assert "REPARTITION_BY_NUM" in unknown._jdf.queryExecution().executedPlan().toString()
+    assert len(unknown.rdd.glom().collect()) == 6 and rows(unknown) == [(3,)]
+    wanted = sorted((r["id"],) for r in found if r["customer_id"] in (None, 3))
+    assert rows(rel.jn_anti_orphans(children, "customer_id", parents).select("id")) == wanted
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(rel.jn_anti_orphans(children, "customer_id", parents).select("id")) == wanted
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_category_tree_with_orphan_and_cycle(table):
     c = table(
         "categories",
