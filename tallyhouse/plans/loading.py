@@ -489,22 +489,34 @@ def util_code_sequence(t: Tables) -> DataFrame:
 # ---- streaming ---------------------------------------------------------------
 
 
+def _staged_by_months(t: Tables, batches: int = 3) -> tuple[str, int]:
+    """Orders in files of mixed months and the number of files that make a batch.
+
+    One write per group of months, each from where its tasks read the orders: there are
+    as many files as the orders have splits, none larger, and nothing is shuffled.
+    """
+    staged = fresh_path(t.spark, "orders-staged")
+    group = F.coalesce(F.month("order_date") % batches, F.lit(0))
+    for k in range(batches):
+        sinks.snk_parquet(t.orders.where(group == k), staged, mode="append")
+    files = len(t.spark.read.schema(schema_of(t.orders)).parquet(staged).inputFiles())
+    return staged, max(1, -(-files // batches))
+
+
 @query
 def stream_sales_refresh(t: Tables) -> DataFrame:
-    """Orders in files of mixed months, two files a batch."""
-    staged, out = fresh_path(t.spark, "orders-staged"), fresh_path(t.spark, "sales")
-    sinks.snk_parquet(t.orders.repartition(6, F.month("order_date")), staged)
-    stream = refresh.read_staged_stream(t.spark, staged, "orders", files_per_batch=2)
+    """Orders in files of mixed months, in three batches."""
+    (staged, files), out = _staged_by_months(t), fresh_path(t.spark, "sales")
+    stream = refresh.read_staged_stream(t.spark, staged, "orders", files_per_batch=files)
     refresh.stream_sales_refresh(stream, out, fresh_path(t.spark, "sales-checkpoint")).awaitTermination()
     return refresh.refreshed_sales(t.spark, out)
 
 
 @query
 def stream_sales_windows(t: Tables) -> DataFrame:
-    """Orders in files of mixed months, a file a batch; the second stream runs after the first, and batches are merged."""
-    staged, out = fresh_path(t.spark, "orders-staged"), fresh_path(t.spark, "windows")
-    sinks.snk_parquet(t.orders.repartition(3, F.month("order_date")), staged)
-    stream = refresh.read_staged_stream(t.spark, staged, "orders", files_per_batch=1)
+    """Orders in files of mixed months, in three batches; the second stream runs after the first, and batches are merged."""
+    (staged, files), out = _staged_by_months(t), fresh_path(t.spark, "windows")
+    stream = refresh.read_staged_stream(t.spark, staged, "orders", files_per_batch=files)
     windows.sort_arrivals(stream, out, fresh_path(t.spark, "arrivals-checkpoint")).awaitTermination()
     windows.close_windows(t.spark, out, fresh_path(t.spark, "windows-checkpoint")).awaitTermination()
     windows.merge_batches(t.spark, out)

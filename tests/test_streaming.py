@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse.plans import loading
 from tallyhouse.sources import sinks
 from tallyhouse.sources.binding import Tables
 from tallyhouse.operators import reconciliation as recon
@@ -32,6 +33,25 @@ def test_files_in_any_order_and_number_equal_the_batch_report(spark, tmp_path, f
     assert rows(refreshed(spark, tmp_path, staged, files)) == rows(refresh.windowed_sales(orders))
 
 
+def test_staged_files_follow_the_splits_of_the_orders(spark):
+    t = Tables(spark, SF)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        many = Tables(spark, "/root/testdata/sf0.1")
+        splits = many.orders.rdd.getNumPartitions()
+        staged, per_batch = loading._staged_by_months(many)
+        files = spark.read.parquet(staged).inputFiles()
+        assert splits > 1 and 3 < len(files) <= 3 * splits and per_batch == -(-len(files) // 3)
+        assert spark.read.parquet(staged).count() == many.raw("orders").count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    staged, per_batch = loading._staged_by_months(t)
+    found = spark.read.parquet(staged)
+    assert found.exceptAll(t.orders).isEmpty() and t.orders.exceptAll(found).isEmpty()
+    assert (len(found.inputFiles()), per_batch) == (3, 1)
+
+
 def test_next_files_update_windows(spark, table, tmp_path):
     staged = str(tmp_path / "orders")
     sinks.snk_parquet(table("orders", order(1, NOON), order(2, NOON, status="Cancelled")).coalesce(1), staged)
