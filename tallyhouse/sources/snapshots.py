@@ -277,7 +277,7 @@ def file_sizes(spark: SparkSession, root: str) -> DataFrame:
 
 
 def snap_storage_stats(spark: SparkSession, root: str) -> DataFrame:
-    """Files and bytes per table, and how much smaller Parquet is than CSV, in %."""
+    """Files and bytes per table as staged (CSV with gzip, Parquet with snappy), and how much smaller Parquet is than CSV, in %."""
     part = r"/(csv|parquet)/([^/]+)/snapshot_date="
     sizes = file_sizes(spark, root).select(
         F.regexp_extract("path", part, 1).alias("fmt"), F.regexp_extract("path", part, 2).alias("table_name"), "length"

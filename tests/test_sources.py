@@ -1,3 +1,4 @@
+import gzip
 from datetime import date, datetime
 
 import pytest
@@ -98,6 +99,17 @@ def test_warehouse_layers(spark, tmp_path):
         sinks.write_as(df, str(tmp_path / "x"), "xlsx")
 
 
+def test_staged_csv_is_compressed_and_comes_back_whole(spark, table, tmp_path):
+    plain, staged = tmp_path / "plain", tmp_path / "staged"
+    df = table("customers", *({"id": i, "email": f'a,"{i}"\nb', "address_line1": " x ", "created_at": datetime(2024, 1, 2, 3, 4, 5, 6)} for i in range(2000))).coalesce(1)
+    sinks.snk_csv(df, str(plain))
+    sinks.write_as(df, str(staged), "csv")
+    (as_text,), (packed,) = plain.glob("*.csv"), staged.glob("*.csv.gz")
+    assert gzip.decompress(packed.read_bytes()) == as_text.read_bytes() and packed.stat().st_size * 3 < as_text.stat().st_size
+    found = src.src_csv_scan(spark, str(staged), TABLES["customers"].ddl)
+    assert found.exceptAll(df).isEmpty() and df.exceptAll(found).isEmpty() and found.count() == 2000
+
+
 class Reader:
     """Stands in for a session: records what a database read asks for."""
 
