@@ -13,6 +13,9 @@ refreshes at the same time both arrive (see ``sources.commits``).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from dataclasses import dataclass
 from datetime import date
 
@@ -142,18 +145,24 @@ class SalesViews:
         newest, number = commits.current(self.spark, self.path)
         return {r.partition: r.folder for r in newest.where("folder IS NOT NULL").collect()}, number  # one row per split
 
-    def _write(self, tables: dict[str, DataFrame], touched: set[str], read: int) -> int:
-        """One version of the given tables and one commit for all; a touched split without rows is empty from then on."""
+    def _lay_out(self, table: str, rows: DataFrame, folder: str) -> dict[str, str]:
+        """Write the rows of a table by their splits; returns the folder of each split."""
+        split, out = SPLITS[table], f"{folder}/{table}"
+        rows.withColumn(split, self._split(table)).hint("rebalance", F.col(split)).write.partitionBy(split).parquet(out)
+        return {f"{table}/{name}": f"{out}/{name}" for name in commits.subfolders(self.spark, out)}
+
+    def _write(self, tables: dict[str, Callable[[], DataFrame]], touched: set[str], read: int) -> int:
+        """One version of the given tables and one commit for all; a touched split without rows is empty from then on.
+
+        The tables are written at the same time, as none needs another one: the last
+        tasks of one do not leave the cluster idle.
+        """
         version = f"v-{uuid.uuid4().hex}"
         folder = f"{self.path}/data/version={version}"
-        delivered = {}
-        for table, rows in tables.items():
-            split = SPLITS[table]
-            out = f"{folder}/{table}"
-            rows.withColumn(split, self._split(table)).hint("rebalance", F.col(split)).write.partitionBy(split).parquet(out)
-            delivered |= {f"{table}/{name}": f"{out}/{name}" for name in commits.subfolders(self.spark, out)}
-        every = {name: delivered.get(name) for name in touched | set(delivered)}
         try:
+            with ThreadPoolExecutor(len(tables)) as pool:
+                parts = list(pool.map(lambda t: self._lay_out(t, tables[t](), folder), tables))
+            every = {name: None for name in touched} | {name: at for part in parts for name, at in part.items()}
             return commits.commit(self.spark, self.path, version, sorted(every.items()), read)
         except Exception:
             commits.remove(self.spark, folder)
@@ -164,8 +173,10 @@ class SalesViews:
     def start(self, orders: DataFrame) -> int:
         """The first version, from all orders; returns its commit."""
         own = orders.select(*self._no_orders().columns)
-        with staged(contributions(own.withColumn("sign", F.lit(1))), "sums") as state:
-            return self._write({"orders": own, "sales": state, "customers": state}, set(), 0)
+        with ThreadPoolExecutor(1) as pool, ExitStack() as stack:
+            # Both sums wait for their common rows, the orders do not.
+            sums = pool.submit(lambda: stack.enter_context(staged(contributions(own.withColumn("sign", F.lit(1))), "sums")))
+            return self._write({"orders": lambda: own, "sales": sums.result, "customers": sums.result}, set(), 0)
 
     def refresh(self, changes: DataFrame, deleted: str = "deleted", version: str = "updated_at") -> int:
         """Apply a change set: full new rows, and ``deleted`` (true or false); returns its commit.
@@ -197,7 +208,7 @@ class SalesViews:
                         made = {t: _summed(read(t, names).unionByName(delta)) for t, names in touched.items()}
                         made["orders"] = stored.join(news.select("id"), "id", "left_anti").select(*columns).unionByName(new)
                         try:
-                            return self._write(made, ranges | touched["sales"] | touched["customers"], number)
+                            return self._write({t: lambda t=t: made[t] for t in made}, ranges | touched["sales"] | touched["customers"], number)
                         except commits.Overlap:
                             continue
         raise RuntimeError(f"other writers kept changing the same splits of {self.path}")

@@ -4,6 +4,7 @@ import random
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,6 +89,21 @@ def test_only_touched_splits_are_read_and_written(spark, table, tmp_path, monkey
     assert {n for n in after if after[n] != before.get(n)} == {"orders/key_range=0", "sales/month=2024-01-01", "customers/customer_range=0"}
 
 
+def test_the_three_tables_are_written_at_the_same_time(spark, table, tmp_path, monkeypatch):
+    together, writing = Barrier(3), maintained.SalesViews._lay_out
+
+    def wait_for_all(self, name, found, folder):
+        together.wait(timeout=60)
+        return writing(self, name, found, folder)
+
+    monkeypatch.setattr(maintained.SalesViews, "_lay_out", wait_for_all)
+    found = [{"id": k, "customer_id": k, "channel": "Store", "status": "Completed", "order_date": date(2024, 1, 1), "total_amount": 5} for k in range(3)]
+    kept = build(spark, table, str(tmp_path / "kept"), found)
+    change = table("orders", {**found[1], "total_amount": 9, "updated_at": datetime(2025, 1, 1)}).withColumn("deleted", F.lit(False))
+    kept.refresh(change)
+    assert rows(kept.daily_sales().select("order_count", "gross_revenue")) == [(3, Decimal("19.00"))]
+
+
 def test_a_split_that_loses_its_last_row(spark, table, customers, tmp_path):
     found = [{"id": k, "customer_id": k, "channel": "Store", "status": "Completed", "order_date": date(2024, k + 1, 1), "total_amount": 5} for k in range(2)]
     kept = build(spark, table, str(tmp_path / "kept"), found, keys_per_range=1, customers_per_range=1)
