@@ -38,16 +38,20 @@ def domain_of(quality: Column, toxic: Column) -> Column:
     return F.when(toxic == 1, 2).when(quality == 0, 1).when(quality == 1, 0)
 
 
-def _slots(text: Column) -> Column:
-    """Two hashed features per word: its first four characters, lower-cased, and its last two as they stand."""
-    words = F.filter(F.split(F.coalesce(text.cast("string"), F.lit("")), r"\s+"), lambda w: w != "")
+def _pairs(text: Column) -> Column:
+    """Two hashed features per word: its first four characters, lower-cased, and its last two as they stand.
 
-    def slots(word: Column) -> Column:
+    The text is trimmed of all that separates words first, so no word is empty.
+    """
+    trimmed = F.btrim(F.coalesce(text.cast("string"), F.lit("")), F.lit(" \t\n\x0b\f\r"))
+    words = F.when(trimmed != "", F.split(trimmed, r"\s+")).otherwise(F.array().cast("array<string>"))
+
+    def pair(word: Column) -> Column:
         begins = F.pmod(F.xxhash64(F.lower(F.left(word, F.lit(4)))), F.lit(SLOTS))
         ends = F.pmod(F.xxhash64(F.right(word, F.lit(2))), F.lit(SLOTS))
-        return F.array(begins.cast("int"), (ends + SLOTS).cast("int"))
+        return F.struct(begins.cast("int").alias("begins"), (ends + SLOTS).cast("int").alias("ends"))
 
-    return F.flatten(F.transform(words, slots))
+    return F.transform(words, pair)
 
 
 def word_weights(docs: DataFrame, labels: DataFrame, domains: int) -> tuple[list[list[float]], list[float]]:
@@ -64,9 +68,12 @@ def word_weights(docs: DataFrame, labels: DataFrame, domains: int) -> tuple[list
     # Labels are few and narrow: as long as they are, no text has to travel to meet them.
     labelled = texts.join(sized(known), F.col("_doc") == F.col("_labelled"))
     counted = (
-        labelled.select("domain", F.explode(_slots(F.col("text"))).alias("slot"))
-        .groupBy("domain", "slot")
+        labelled.select("domain", F.inline(_pairs(F.col("text"))))
+        .groupBy("domain", "begins", "ends")
         .count()
+        .select("domain", "count", F.explode(F.array("begins", "ends")).alias("slot"))
+        .groupBy("domain", "slot")
+        .agg(F.sum("count").alias("count"))
         .collect()  # domains x 2 x SLOTS rows at most
     )
     sizes = {r.domain: r["count"] for r in known.groupBy("domain").count().collect()}
@@ -80,7 +87,7 @@ def word_weights(docs: DataFrame, labels: DataFrame, domains: int) -> tuple[list
 
 
 def _adding_from(table: Column) -> Callable[[Column, Column], Column]:
-    return lambda total, slot: total + F.get(table, slot)
+    return lambda total, pair: total + F.get(table, pair["begins"]) + F.get(table, pair["ends"])
 
 
 def with_posteriors(docs: DataFrame, weights: list[list[float]], priors: list[float]) -> DataFrame:
@@ -91,13 +98,13 @@ def with_posteriors(docs: DataFrame, weights: list[list[float]], priors: list[fl
     """
     domains = len(priors)
     gains = [[round(w - b, 6) for w, b in zip(weights[d], weights[0], strict=True)] for d in range(1, domains)]
-    rows = docs.select(F.struct(*docs.columns).alias("row"), _slots(F.col("text")).alias("slots"))
-    rows = rows.withColumn("tokens", (F.size("slots") / 2).cast("long"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), _pairs(F.col("text")).alias("pairs"))
+    rows = rows.withColumn("tokens", F.size("pairs").cast("long"))
     pull = F.least(F.lit(1.0), F.lit(PATIENCE) / F.greatest(F.col("tokens"), F.lit(1)))
     scores = [F.lit(0.0)]
     for d in range(1, domains):
         table = F.expr(f"cast(split('{','.join(map(str, gains[d - 1]))}', ',') as array<double>)")
-        scores.append(pull * F.aggregate("slots", F.lit(0.0), _adding_from(table)) + F.lit(priors[d] - priors[0]))
+        scores.append(pull * F.aggregate("pairs", F.lit(0.0), _adding_from(table)) + F.lit(priors[d] - priors[0]))
     scored = rows.select("row", "tokens", F.array(*scores).alias("scores"))
     raised = scored.withColumn("raised", F.transform("scores", lambda s: F.exp(s - F.array_max("scores"))))
     total = F.aggregate("raised", F.lit(0.0), lambda a, b: a + b)

@@ -134,3 +134,10 @@ def test_query(spark, con, name):
 
 def test_all_are_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries()) and len(queries.QUERIES) == 13
+
+
+def test_words_are_what_white_space_separates(spark):
+    texts = [None, "", " \t\r\n\x0b\f", "  One two\n", "a", "\u00a0x y\x0bz "]
+    found = spark.createDataFrame(list(enumerate(texts)), "id INT, text STRING").select("id", mixing._pairs(F.col("text")).alias("pairs"))
+    sizes = {r.id: len(r.pairs) for r in found.collect()}
+    assert [sizes[i] for i in range(len(texts))] == [0, 0, 0, 2, 1, 3]
