@@ -14,7 +14,7 @@ as fast as large ones.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from math import log
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +27,7 @@ ROUNDS, CLOSE_ENOUGH = 30, 1e-5  # most rounds, and the largest residual share t
 LONGEST_STEP = 100.0
 PATIENCE = 12.0  # words; longer texts weigh their average word as this many
 SMOOTHING = 1.0
+GRAIN = 1_000_000  # weights are whole numbers of its inverse, so their sums are exact in any order
 
 # Domains of the labelled table and the share of all tokens each is to have.
 DOMAINS = ("sound", "poor", "toxic")
@@ -38,20 +39,22 @@ def domain_of(quality: Column, toxic: Column) -> Column:
     return F.when(toxic == 1, 2).when(quality == 0, 1).when(quality == 1, 0)
 
 
-def _pairs(text: Column) -> Column:
-    """Two hashed features per word: its first four characters, lower-cased, and its last two as they stand.
-
-    The text is trimmed of all that separates words first, so no word is empty.
-    """
+def _words(text: Column) -> Column:
+    """The words of a text. It is trimmed of all that separates them first, so none is empty."""
     trimmed = F.btrim(F.coalesce(text.cast("string"), F.lit("")), F.lit(" \t\n\x0b\f\r"))
-    words = F.when(trimmed != "", F.split(trimmed, r"\s+")).otherwise(F.array().cast("array<string>"))
+    return F.when(trimmed != "", F.split(trimmed, r"\s+")).otherwise(F.array().cast("array<string>"))
 
-    def pair(word: Column) -> Column:
-        begins = F.pmod(F.xxhash64(F.lower(F.left(word, F.lit(4)))), F.lit(SLOTS))
-        ends = F.pmod(F.xxhash64(F.right(word, F.lit(2))), F.lit(SLOTS))
-        return F.struct(begins.cast("int").alias("begins"), (ends + SLOTS).cast("int").alias("ends"))
 
-    return F.transform(words, pair)
+def _pair(word: Column) -> list[Column]:
+    """Two hashed features of a word: its first four characters, lower-cased, and its last two as they stand."""
+    begins = F.pmod(F.xxhash64(F.lower(F.left(word, F.lit(4)))), F.lit(SLOTS))
+    ends = F.pmod(F.xxhash64(F.right(word, F.lit(2))), F.lit(SLOTS))
+    return [begins.cast("int").alias("begins"), (ends + SLOTS).cast("int").alias("ends")]
+
+
+def _pairs(text: Column) -> Column:
+    """The features of all words of a text in one array. Over a whole table, words as rows are much cheaper."""
+    return F.transform(_words(text), lambda word: F.struct(*_pair(word)))
 
 
 def word_weights(docs: DataFrame, labels: DataFrame, domains: int) -> tuple[list[list[float]], list[float]]:
@@ -68,7 +71,8 @@ def word_weights(docs: DataFrame, labels: DataFrame, domains: int) -> tuple[list
     # Labels are few and narrow: as long as they are, no text has to travel to meet them.
     labelled = texts.join(sized(known), F.col("_doc") == F.col("_labelled"))
     counted = (
-        labelled.select("domain", F.inline(_pairs(F.col("text"))))
+        labelled.select("domain", F.explode(_words(F.col("text"))).alias("word"))
+        .select("domain", *_pair(F.col("word")))
         .groupBy("domain", "begins", "ends")
         .count()
         .select("domain", "count", F.explode(F.array("begins", "ends")).alias("slot"))
@@ -86,29 +90,39 @@ def word_weights(docs: DataFrame, labels: DataFrame, domains: int) -> tuple[list
     return weights, [log((sizes.get(d, 0) + 1) / (everything + domains)) for d in range(domains)]
 
 
-def _adding_from(table: Column) -> Callable[[Column, Column], Column]:
-    return lambda total, pair: total + F.get(table, pair["begins"]) + F.get(table, pair["ends"])
+def numbered(docs: DataFrame, *columns: Column) -> DataFrame:
+    """``columns`` of ``docs`` and a number per row, as rows may be equal in all columns."""
+    return docs.select(F.monotonically_increasing_id().alias("number"), *columns)
 
 
-def with_posteriors(docs: DataFrame, weights: list[list[float]], priors: list[float]) -> DataFrame:
-    """(row, tokens, posteriors): all columns of ``docs``, its words counted, and a probability per domain.
+def with_posteriors(rows: DataFrame, weights: list[list[float]], priors: list[float]) -> DataFrame:
+    """All columns of numbered ``rows`` but the text, with its words counted and a probability per domain.
 
-    Only differences to the first domain are summed up. A text without words has
-    the priors as its posterior and no tokens.
+    Words are rows until they are summed up by row, and no text goes further than
+    that. Only differences to the first domain are summed up. A text without words
+    has the priors as its posterior and no tokens.
     """
     domains = len(priors)
-    gains = [[round(w - b, 6) for w, b in zip(weights[d], weights[0], strict=True)] for d in range(1, domains)]
-    rows = docs.select(F.struct(*docs.columns).alias("row"), _pairs(F.col("text")).alias("pairs"))
-    rows = rows.withColumn("tokens", F.size("pairs").cast("long"))
+    gains = [[round((w - b) * GRAIN) for w, b in zip(weights[d], weights[0], strict=True)] for d in range(1, domains)]
+    tables = [F.expr(f"cast(split('{','.join(map(str, g))}', ',') as array<int>)") for g in gains]
+    names = [c for c in rows.columns if c != "text"]
+    words = rows.select(*names, F.explode_outer(_words(F.col("text"))).alias("word"))
+    summed = (
+        words.select(*names, "word", *_pair(F.col("word")))
+        .groupBy(*names)
+        .agg(
+            F.count("word").alias("tokens"),
+            *(F.sum(F.get(t, F.col("begins")) + F.get(t, F.col("ends"))).alias(f"_gain{d}") for d, t in enumerate(tables, 1)),
+        )
+    )
     pull = F.least(F.lit(1.0), F.lit(PATIENCE) / F.greatest(F.col("tokens"), F.lit(1)))
-    scores = [F.lit(0.0)]
-    for d in range(1, domains):
-        table = F.expr(f"cast(split('{','.join(map(str, gains[d - 1]))}', ',') as array<double>)")
-        scores.append(pull * F.aggregate("pairs", F.lit(0.0), _adding_from(table)) + F.lit(priors[d] - priors[0]))
-    scored = rows.select("row", "tokens", F.array(*scores).alias("scores"))
+    # The row that stands for no words has been hashed as well.
+    gained = [F.when(F.col("tokens") > 0, F.col(f"_gain{d}")).otherwise(0) / F.lit(float(GRAIN)) for d in range(1, domains)]
+    scores = [F.lit(0.0), *(pull * g + F.lit(priors[d] - priors[0]) for d, g in enumerate(gained, 1))]
+    scored = summed.select(*names, "tokens", F.array(*scores).alias("scores"))
     raised = scored.withColumn("raised", F.transform("scores", lambda s: F.exp(s - F.array_max("scores"))))
     total = F.aggregate("raised", F.lit(0.0), lambda a, b: a + b)
-    return raised.select("row", "tokens", F.transform("raised", lambda s: s / total).alias("posteriors"))
+    return raised.select(*names, "tokens", F.transform("raised", lambda s: s / total).alias("posteriors"))
 
 
 def _rate(gradients: Sequence[Sequence[float]], domains: int) -> Column:
@@ -188,10 +202,10 @@ def fit_rates(posteriors: DataFrame, targets: Sequence[float]) -> list[list[floa
     return gradients[:best]
 
 
-def fitted(docs: DataFrame, labels: DataFrame, targets: Sequence[float]) -> DataFrame:
-    """(row, tokens, posteriors, rate), staged once before the rates are fitted."""
-    weights, priors = word_weights(docs, labels, len(targets))
-    known = stage(with_posteriors(docs, weights, priors), "posteriors")
+def fitted(rows: DataFrame, labels: DataFrame, targets: Sequence[float]) -> DataFrame:
+    """(number, doc_id, tokens, posteriors, rate) of numbered rows, staged once before the rates are fitted."""
+    weights, priors = word_weights(rows, labels, len(targets))
+    known = stage(with_posteriors(rows, weights, priors), "posteriors")
     return known.withColumn("rate", _rate(fit_rates(known, targets), len(targets)))
 
 
@@ -203,12 +217,15 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS
     table gives an empty one.
     """
     kept = [F.col(f"row.{c}").alias(c) for c in docs.columns if c not in ("tokens", "posteriors", "rate")]
-    return fitted(docs, labels, targets).select(*kept, "tokens", "posteriors", "rate")
+    rows = stage(numbered(docs, F.struct(*docs.columns).alias("row")), "rows")
+    known = fitted(rows.select("number", "row.doc_id", "row.text"), labels, targets).drop("doc_id")
+    # One row for every document: this side grows as the other one does and is never broadcast.
+    return rows.join(known.hint("merge"), "number").select(*kept, "tokens", "posteriors", "rate")
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS) -> DataFrame:
     """doc_id, tokens, a posterior per domain, rate."""
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return fitted(slim, labels, targets).select(
-        "row.doc_id", "tokens", *(F.col("posteriors")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)), "rate"
+    rows = numbered(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    return fitted(rows, labels, targets).select(
+        "doc_id", "tokens", *(F.col("posteriors")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)), "rate"
     )

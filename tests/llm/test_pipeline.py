@@ -141,3 +141,24 @@ def test_words_are_what_white_space_separates(spark):
     found = spark.createDataFrame(list(enumerate(texts)), "id INT, text STRING").select("id", mixing._pairs(F.col("text")).alias("pairs"))
     sizes = {r.id: len(r.pairs) for r in found.collect()}
     assert [sizes[i] for i in range(len(texts))] == [0, 0, 0, 2, 1, 3]
+
+
+def test_mixing_stages_no_text_and_scores_every_row(spark):
+    """Rows equal in all columns included: scores are those of the words one by one, and rates need no text again."""
+    table, labels = corpus(spark)
+    out = mixing.rates(table, labels)
+    held = spark.read.parquet(*out.inputFiles())
+    assert "text" not in held.schema.simpleString() and held.count() == table.count()
+
+    twice = table.unionByName(table)
+    weights, priors = mixing.word_weights(twice, labels, 3)
+    rows = mixing.numbered(twice, F.col("doc_id"), F.col("text"), mixing._pairs(F.col("text")).alias("pairs"))
+    found = mixing.with_posteriors(rows.drop("pairs"), weights, priors).collect()
+    pairs = {r.number: r.pairs for r in rows.collect()}
+    assert len(found) == len(pairs) == 2 * table.count()
+    for r in found:
+        of_row = pairs[r.number]
+        pull = min(1, mixing.PATIENCE / max(1, len(of_row)))
+        scores = [pull * sum(weights[d][p.begins] + weights[d][p.ends] for p in of_row) + priors[d] for d in range(3)]
+        raised = np.exp(np.array(scores) - max(scores))
+        assert r.tokens == len(of_row) and np.allclose(r.posteriors, raised / raised.sum(), atol=1e-4)
