@@ -23,8 +23,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = stage(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
     )
-    ends = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    labels = stage(ends.select("node", F.col("node").alias("component")), "labels")
+    labels = None
     while not edges.isEmpty():
         both = edges.select(F.col("a").alias("node"), F.col("b").alias("to")).union(edges.select("b", "a"))
         nearest = both.groupBy("node").agg(F.min("to").alias("to")).select("node", F.least("node", "to").alias("to"))
@@ -40,13 +39,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .distinct(),
             "edges",
         )
-        moved = points.select(F.col("node").alias("component"), "to")
-        relabelled = stage(
-            labels.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")),
-            "labels",
-        )
-        for old in (edges, labels, step, points):
+        if labels is None:  # every node still has edges
+            relabelled, done = points.select("node", F.col("to").alias("component")), (edges, step)
+        else:
+            moved = points.select(F.col("node").alias("component"), "to")
+            relabelled = stage(
+                labels.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")),
+                "labels",
+            )
+            done = (edges, step, points, labels)
+        for old in done:
             discard(old)
         edges, labels = smaller, relabelled
+    if labels is None:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     discard(edges)
     return labels

@@ -47,7 +47,7 @@ _VALUE_SALT = _random.integers(0, 2**63, (BANDS, 2 * PERMUTATIONS_PER_BAND), dty
 _PREFIX_SALT = np.uint64(_random.integers(0, 2**63))
 
 SIGNATURES = "doc_id long, n_shingles long, digest binary, bands array<long>"
-SETS = "class long, shingles array<long>"
+SETS = "class long, doc_id long, shingles array<long>"
 CROWDED = 8  # classes in a bucket from which on a bound spares comparisons
 PARTS = 32  # of the shingles, by which that bound counts
 
@@ -122,30 +122,32 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Full sets of the texts whose set is the one that the class stands for."""
     for batch in batches:
-        wanted, classes = batch.column("digest").to_pylist(), batch.column("class").to_pylist()
+        wanted, classes, documents = (batch.column(c).to_pylist() for c in ("digest", "class", "doc_id"))
         for chunk in chunks(batch.column("text")):
-            of_class, sets = [], []
+            of_class, of_document, sets = [], [], []
             hashes, begin = distinct_sets(*shingles(chunk.words, chunk.at))
             for i, (a, b) in enumerate(zip(begin[:-1], begin[1:], strict=True), chunk.first):
                 if _set_digest(hashes[a:b]) == wanted[i]:
                     of_class.append(classes[i])
+                    of_document.append(documents[i])
                     sets.append(hashes[a:b].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(of_class, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["class", "shingles"]
+                [pa.array(of_class, pa.int64()), pa.array(of_document, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
+                ["class", "doc_id", "shingles"],
             )
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (x, y) of classes whose full sets are similar enough."""
-    left = sets.select(F.col("class").alias("x"), F.col("shingles").alias("of_x"))
-    right = sets.select(F.col("class").alias("y"), F.col("shingles").alias("of_y"))
+    """Of the pairs (x, y) of classes those whose full sets are similar enough, as links (a, b) of their documents."""
+    left = sets.select(F.col("class").alias("x"), F.col("doc_id").alias("a"), F.col("shingles").alias("of_x"))
+    right = sets.select(F.col("class").alias("y"), F.col("doc_id").alias("b"), F.col("shingles").alias("of_y"))
     counted = pairs.join(right, "y").join(left, "x").select(
-        "x",
-        "y",
+        "a",
+        "b",
         F.size(F.array_intersect("of_x", "of_y")).cast("long").alias("shared"),
         (F.size("of_x") + F.size("of_y")).cast("long").alias("total"),
     )
-    return counted.where(100 * F.col("shared") >= SIMILAR_PERCENT * (F.col("total") - F.col("shared"))).select("x", "y")
+    return counted.where(100 * F.col("shared") >= SIMILAR_PERCENT * (F.col("total") - F.col("shared"))).select("a", "b")
 
 
 def _could_be_similar(size: str, other_size: str) -> Column:
@@ -306,21 +308,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = stage(
         texts.where("text is not null").join(sized(named.select("doc_id", "class", "digest")), "doc_id").mapInArrow(_shingle_sets, SETS), "sets"
     )
-    if sets.count() > sets.select("class").distinct().count():  # the same row twice in the table
+    many, different = sets.agg(F.count("*"), F.count_distinct("class")).first()
+    if many > different:  # the same row twice in the table
         sets = stage(sets.dropDuplicates(["class"]), "sets")
 
-    def as_edges(links: DataFrame) -> DataFrame:
-        x, y = (named.select(F.col("class").alias(s), F.col("doc_id").alias(e)) for s, e in (("x", "a"), ("y", "b")))
-        return links.join(y, "y").join(x, "x").select("a", "b")
-
     centres = stage(_centres(rows), "centres")
     star = stage(_star_pairs(rows, centres), "star")
-    links = stage(as_edges(confirmed(star, sets)), "links")
+    links = stage(confirmed(star, sets), "links")
     joined = connected_components(links)
     known_part = named.select("class", F.col("doc_id").alias("node")).join(joined, "node", "left")
     placed = stage(rows.join(known_part.select("class", F.coalesce("component", "node").alias("component")), "class"), "placed")
     bridges = confirmed(_bridge_pairs(placed, centres, sets).join(star, ["x", "y"], "left_anti"), sets)
-    components = connected_components(links.unionByName(as_edges(bridges)).unionByName(members))
+    # What is joined already goes on as one link a document to its component.
+    known_links = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    components = connected_components(known_links.unionByName(bridges).unionByName(members))
     for table in (classes, met, named, sets, centres, star, links, joined, placed):
         discard(table)
     return (

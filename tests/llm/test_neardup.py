@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from tallyhouse.llm import components as contraction
 from tallyhouse.llm import neardup, words
 from tallyhouse.llm.components import connected_components
 
@@ -143,6 +144,28 @@ def test_components_of_random_graphs(spark):
     assert found == want
 
 
+def staged_by(module, monkeypatch):
+    """The names of the tables that this module writes from now on."""
+    names, write = [], module.stage
+    monkeypatch.setattr(module, "stage", lambda df, name: names.append(name) or write(df, name))
+    return names
+
+
+def test_one_round_of_components_writes_no_more_than_it_has_to(spark, monkeypatch):
+    written = staged_by(contraction, monkeypatch)
+    star = spark.createDataFrame([(0, i) for i in range(1, 30)], "a long, b long")
+    assert {(r.node, r.component) for r in connected_components(star).collect()} == {(i, 0) for i in range(30)}
+    assert written == ["edges", "nearest", "points", "edges"]
+
+
+def test_what_is_joined_goes_on_as_one_link_a_document(spark, monkeypatch):
+    """The chain of 40 takes rounds once; the second search finds it contracted."""
+    searched, search = [], neardup.connected_components
+    monkeypatch.setattr(neardup, "connected_components", lambda edges: searched.append(edges.where("a <> b").distinct().collect()) or search(edges))
+    assert {r[2] for r in run(spark, chain())} == {49_961}
+    assert len(searched) == 2 and {r.b for r in searched[1]} == {49_961}
+
+
 def test_components_of_nothing(spark):
     assert connected_components(spark.createDataFrame([], "a string, b string")).collect() == []
 
